@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import registry
+from . import hr, registry
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -23,12 +23,18 @@ def queries() -> dict[str, QueryFn]:
         "affiliate_rank": registry.affiliate_rank,
         "pay_summary_industry": registry.pay_summary_industry,
         "pay_summary_region": registry.pay_summary_region,
+        "turnover_monthly": hr.turnover_monthly,
+        "exit_reason_share": hr.exit_reason_share,
+        "attrition_dept_role": hr.attrition_dept_role,
+        "attrition_heatmap": hr.attrition_heatmap,
+        "attrition_by_rating": hr.attrition_by_rating,
     }
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import oracle_registry
+    from . import oracle_hr, oracle_registry
     out: dict[str, str] = {}
     out.update(oracle_registry.sql())
+    out.update(oracle_hr.sql())
     return out
