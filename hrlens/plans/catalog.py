@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hr, registry
+from . import hr, registry, stats
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -28,13 +28,33 @@ def queries() -> dict[str, QueryFn]:
         "attrition_dept_role": hr.attrition_dept_role,
         "attrition_heatmap": hr.attrition_heatmap,
         "attrition_by_rating": hr.attrition_by_rating,
+        "anova_industry": stats.anova_industry,
+        "anova_industry_test": stats.anova_industry_test,
+        "anova_region": stats.anova_region,
+        "anova_region_test": stats.anova_region_test,
+        "anova_rater": stats.anova_rater,
+        "anova_rater_test": stats.anova_rater_test,
+        "tukey_industry": stats.tukey_industry,
+        "tukey_industry_test": stats.tukey_industry_test,
+        "tukey_region": stats.tukey_region,
+        "tukey_region_test": stats.tukey_region_test,
+        "ols_year": stats.ols_year,
+        "ols_year_report": stats.ols_year_report,
+        "ols_year_fit": stats.ols_year_fit,
+        "ols_headcount": stats.ols_headcount,
+        "ols_headcount_report": stats.ols_headcount_report,
+        "ols_headcount_fit": stats.ols_headcount_fit,
+        "ols_line": stats.ols_line,
+        "ols_multi": stats.ols_multi,
+        "ols_multi_fit": stats.ols_multi_fit,
     }
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import oracle_hr, oracle_registry
+    from . import oracle_hr, oracle_registry, oracle_stats
     out: dict[str, str] = {}
     out.update(oracle_registry.sql())
     out.update(oracle_hr.sql())
+    out.update(oracle_stats.sql())
     return out
