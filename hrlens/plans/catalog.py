@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hr, registry, stats
+from . import hr, payloads, registry, stats
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -47,14 +47,22 @@ def queries() -> dict[str, QueryFn]:
         "ols_line": stats.ols_line,
         "ols_multi": stats.ols_multi,
         "ols_multi_fit": stats.ols_multi_fit,
+        "pay_api_topk": payloads.pay_api_topk,
+        "pay_growth_topk": payloads.pay_growth_topk,
+        "api_status_gate": payloads.api_status_gate,
+        "news_rss": payloads.news_rss,
+        "news_json": payloads.news_json,
+        "news_clean": payloads.news_clean,
+        "page_links_topn": payloads.page_links_topn,
     }
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import oracle_hr, oracle_registry, oracle_stats
+    from . import oracle_hr, oracle_payloads, oracle_registry, oracle_stats
     out: dict[str, str] = {}
     out.update(oracle_registry.sql())
     out.update(oracle_hr.sql())
     out.update(oracle_stats.sql())
+    out.update(oracle_payloads.sql())
     return out
