@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hr, payloads, registry, stats
+from . import hr, payloads, registry, stats, vectors
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -54,15 +54,20 @@ def queries() -> dict[str, QueryFn]:
         "news_json": payloads.news_json,
         "news_clean": payloads.news_clean,
         "page_links_topn": payloads.page_links_topn,
+        "person_centroids": vectors.person_centroids,
+        "person_match": vectors.person_match,
+        "largest_box": vectors.largest_box,
+        "split_check": vectors.split_check,
     }
     return q
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import oracle_hr, oracle_payloads, oracle_registry, oracle_stats
+    from . import oracle_hr, oracle_payloads, oracle_registry, oracle_stats, oracle_vectors
     out: dict[str, str] = {}
     out.update(oracle_registry.sql())
     out.update(oracle_hr.sql())
     out.update(oracle_stats.sql())
     out.update(oracle_payloads.sql())
+    out.update(oracle_vectors.sql())
     return out
