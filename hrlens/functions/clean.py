@@ -189,6 +189,7 @@ def sig_sql(expr: str, digits: int = SIG_DIGITS) -> str:
     The same text runs in Spark SQL and DuckDB and uses only exact powers of
     ten, so both engines produce the same double from the same input.
     """
+    expr = f"({expr})"
     s = f"({digits} - CAST(ceil(log10(abs({expr}))) AS INT))"
     return (f"(CASE WHEN {expr} IS NULL OR {expr} = 0 OR isnan({expr}) OR abs({expr}) > 1e300 "
             f"THEN {expr} "

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hr, payloads, registry, stats, vectors
+from . import hr, payloads, rater, registry, stats, vectors
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -58,6 +58,10 @@ def queries() -> dict[str, QueryFn]:
         "person_match": vectors.person_match,
         "largest_box": vectors.largest_box,
         "split_check": vectors.split_check,
+        "rater_mixed": rater.rater_mixed,
+        "rater_icc": rater.rater_icc,
+        "rater_bias": rater.rater_bias,
+        "rater_adjusted": rater.rater_adjusted,
     }
     return q
 
