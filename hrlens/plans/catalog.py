@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hr, payloads, rater, registry, stats, vectors
+from . import hr, ml, payloads, rater, registry, stats, vectors
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -62,6 +62,14 @@ def queries() -> dict[str, QueryFn]:
         "rater_icc": rater.rater_icc,
         "rater_bias": rater.rater_bias,
         "rater_adjusted": rater.rater_adjusted,
+        "pay_model_compare": ml.pay_model_compare,
+        "pay_importance": ml.pay_importance,
+        "pay_shap": ml.pay_shap,
+        "pay_shap_summary": ml.pay_shap_summary,
+        "attrition_svm": ml.attrition_svm,
+        "attrition_whatif": ml.attrition_whatif,
+        "activity_rf": ml.activity_rf,
+        "activity_importance": ml.activity_importance,
     }
     return q
 
