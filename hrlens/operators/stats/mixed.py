@@ -29,6 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..persist import materialize
 from .dist import norm_sf2
 
 Z975 = 1.959963984540054
@@ -60,7 +61,7 @@ def _prep(df: DataFrame, group: str, y: str, xs: list[str]) -> tuple[DataFrame,
     cond = F.col(group).isNotNull()
     for c in cols:
         cond = cond & F.col(c).isNotNull() & ~F.isnan(c)
-    d = d.where(cond)
+    d = materialize(d.where(cond), repartition=False)
     m = d.agg(F.count(F.lit(1)).alias("__n"), *[F.avg(c).alias(c) for c in cols]).first()
     means = {c: float(m[c]) for c in cols}
     centred = d.select(group, F.lit(1.0).alias("__one"),

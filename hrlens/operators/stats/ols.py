@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..persist import materialize
 from .dist import chi2_sf_2df, f_sf, norm_sf2, t_ppf, t_sf2
 
 
@@ -61,8 +62,8 @@ def _clean(df: DataFrame, y: str, xs: list[str], keep: list[str] | None = None)
 def ols_fit(df: DataFrame, y: str, xs: list[str], order_key: str | None = None,
             diagnostics: bool = True) -> OlsFit:
     """Fit y ~ 1 + xs on all rows with finite values (P9 dropna semantics)."""
-    src = df
-    d = _clean(df, y, xs)
+    keep = [order_key] if (diagnostics and order_key is not None) else []
+    d = materialize(_clean(df, y, xs, keep=keep), repartition=False)
     cols = xs + [y]
     m = d.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in cols]).first()
     n = int(m["n"])
@@ -102,7 +103,7 @@ def ols_fit(df: DataFrame, y: str, xs: list[str], order_key: str | None = None,
     if diagnostics:
         _residual_moments(d, y, xs, fit)
         if order_key is not None:
-            fit.extra["durbin_watson"] = _durbin_watson(src, y, xs, order_key, fit)
+            fit.extra["durbin_watson"] = _durbin_watson(d, y, xs, order_key, fit)
     return fit
 
 

@@ -9,7 +9,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from ..functions.clean import sig_sql
 from ..operators.stats.design import add_dummies
 from ..operators.stats.mixed import coef_rows, fit_random_intercept, random_effects
-from .stats import rater_table
+from .memo import memo
+from .stats import rater_table, rater_table_materialized
 
 # Bias classes and their cut-offs on the rater effect.
 LENIENCY, SEVERITY, NEUTRAL = "Leniency", "Severity", "Neutral"
@@ -24,7 +25,7 @@ COEF_SCHEMA = StructType([StructField("term", StringType()), StructField("coef",
 
 
 def _design(spark, sf_dir):
-    d = rater_table(spark, sf_dir)
+    d = rater_table_materialized(spark, sf_dir)
     xs, names = [], ["Intercept"]
     for c in CATEGORICAL:
         d, cols = add_dummies(d, c, drop_first=True, prefix=f"__{c}")
@@ -36,9 +37,11 @@ def _design(spark, sf_dir):
 
 
 def full_model(spark, sf_dir):
-    d, xs, names = _design(spark, sf_dir)
-    fit, gs = fit_random_intercept(d, "rater_id", "rating_score", xs, names)
-    return d, fit, gs
+    def build():
+        d, xs, names = _design(spark, sf_dir)
+        fit, gs = fit_random_intercept(d, "rater_id", "rating_score", xs, names)
+        return d, fit, gs
+    return memo(spark, sf_dir, "rater_full", build)
 
 
 def rater_mixed(spark, sf_dir):

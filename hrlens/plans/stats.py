@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import code_to_text, round_sig, to_date_tolerant
 from ..functions.pay import with_annual_pay
+from ..operators.persist import materialize
 from ..operators.stats import anova, ols
 from ..operators.stats.design import add_dummies
 from ..sources.tables import establishments, ratings
@@ -37,6 +38,11 @@ def rater_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratings(spark, sf_dir).select(*RATER_COLUMNS).na.drop()
 
 
+def rater_table_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rater table written once for the multi-pass model fit."""
+    return materialize(rater_table(spark, sf_dir), repartition=False)
+
+
 # ANOVA -------------------------------------------------------------------------
 def anova_industry(spark, sf_dir):
     return anova.anova_table(_industry(spark, sf_dir), "industry_code", "annual_pay", "industry_code")
@@ -136,6 +142,7 @@ def _multi_design(spark, sf_dir):
     base = (base.select("est_id", "annual_pay", "headcount", "year",
                         code_to_text("industry_code").alias("industry_code"),
                         code_to_text("region_code").alias("region_code")).na.drop())
+    base = materialize(base, repartition=False)
     d, ind = add_dummies(base, "industry_code", drop_first=True)
     d, reg = add_dummies(d, "region_code", drop_first=True)
     return d, ["headcount", "year"] + ind + reg
