@@ -72,16 +72,21 @@ def headcount_topk_region(spark, sf_dir):
 
 
 # main3-3: closures per month of one year -----------------------------------------
-def closures_by_month_df(est: DataFrame, year: int) -> DataFrame:
+def closures_by_month_df(est: DataFrame, year: int, all_months: bool = False) -> DataFrame:
+    """Closures per month of ``year``; ``all_months`` adds zero rows for empty months (A8 axis)."""
     end = to_date_tolerant(F.col("end_date"))
     # year filter written as a date range so a stored date column prunes files
     closed = (est.where(F.col("status_code") == WITHDRAWN)
                  .select(end.alias("end_date"))
                  .where((F.col("end_date") >= F.make_date(F.lit(year), F.lit(1), F.lit(1)))
                         & (F.col("end_date") < F.make_date(F.lit(year + 1), F.lit(1), F.lit(1)))))
-    return (closed.groupBy(F.month("end_date").alias("close_month"))
-                  .agg(F.count(F.lit(1)).alias("n_closed"))
-                  .orderBy("close_month"))
+    counts = (closed.groupBy(F.month("end_date").alias("close_month"))
+                    .agg(F.count(F.lit(1)).alias("n_closed")))
+    if all_months:
+        spine = est.sparkSession.range(1, 13).select(F.col("id").cast("int").alias("close_month"))
+        counts = (spine.join(counts, "close_month", "left")
+                       .select("close_month", F.coalesce("n_closed", F.lit(0).cast("bigint")).alias("n_closed")))
+    return counts.orderBy("close_month")
 
 
 def closures_by_month(spark, sf_dir):
