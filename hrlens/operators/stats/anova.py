@@ -97,10 +97,10 @@ def _pairs(df: DataFrame, group_col: str, value: Column | str) -> DataFrame:
     b = g.select(F.col("grp").alias("group2"), F.col("n").alias("n2"), F.col("mean").alias("mean2"))
     # k(k-1)/2 pairs of *groups* (the comparisons themselves), not pairs of rows
     pairs = a.join(b, F.col("group1") < F.col("group2"))
-    t = anova_oneway(df, group_col, value)
-    msw = t.select("ms_within").scalar()
-    dfw = t.select("df_within").scalar()
-    k = t.select("n_groups").scalar()
+    # one scalar subquery for the three numbers the pairs need
+    t = anova_oneway(df, group_col, value).select(
+        F.struct("ms_within", "df_within", "n_groups").alias("s")).scalar()
+    msw, dfw, k = t["ms_within"], t["df_within"], t["n_groups"]
     se = F.sqrt(msw / 2 * (F.lit(1.0) / F.col("n1") + F.lit(1.0) / F.col("n2")))
     return (pairs.withColumn("meandiff", F.col("mean2") - F.col("mean1"))
                  .withColumn("std_pair", se)
