@@ -165,8 +165,16 @@ def has_extension(c: ColumnOrName, exts: Iterable[str]) -> Column:
 
 # F9 / D17 --------------------------------------------------------------------
 def url_quote(c: ColumnOrName) -> Column:
-    """Percent-encode like ``urllib.parse.quote`` for text: space → %20."""
-    return F.replace(F.url_encode(_c(c)), F.lit("+"), F.lit("%20"))
+    """Percent-encode exactly like Python's ``urllib.parse.quote`` (safe='/').
+
+    Spark's encoder writes space as '+', keeps '*', encodes '~' and '/'.  Each
+    of those outputs has a single source character (a literal '+' or '%' is
+    itself encoded), so literal replacements give the same text.
+    """
+    x = F.url_encode(_c(c))
+    for a, b in (("+", "%20"), ("*", "%2A"), ("%7E", "~"), ("%2F", "/")):
+        x = F.replace(x, F.lit(a), F.lit(b))
+    return x
 
 
 def remove_spaces(c: ColumnOrName) -> Column:

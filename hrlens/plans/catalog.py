@@ -54,6 +54,7 @@ def queries() -> dict[str, QueryFn]:
         "news_json": payloads.news_json,
         "news_clean": payloads.news_clean,
         "page_links_topn": payloads.page_links_topn,
+        "news_search_urls": payloads.news_search_urls,
         "person_centroids": vectors.person_centroids,
         "person_match": vectors.person_match,
         "largest_box": vectors.largest_box,

@@ -7,7 +7,7 @@ match also shows the payload build → parse path is lossless.
 from __future__ import annotations
 
 from .oracle_views import with_views
-from .payloads import LINK_PARAMS, PAY_PARAMS
+from .payloads import LINK_PARAMS, PAY_PARAMS, SEARCH_PARAMS
 
 ITEMS = """, items AS (SELECT CAST(pay_year AS INTEGER) AS pay_year, org_name,
        TRY_CAST(split_part(replace(avg_pay_text, ',', ''), '.', 1) AS BIGINT) AS amount
@@ -68,6 +68,11 @@ def sql() -> dict[str, str]:
                       f"CAST(NULL AS VARCHAR) AS pub_date FROM pages")
     q["news_clean"] = (f"SELECT {_clean(title)} AS title, url AS link, {_clean('html')} AS description, "
                        f"CAST(NULL AS VARCHAR) AS pub_date FROM pages")
+    kw = _clean(title)
+    q["news_search_urls"] = (
+        f"SELECT page_id, {kw} AS keyword, '{SEARCH_PARAMS['base']}' || replace(url_encode({kw}), '%2F', '/') "
+        f"|| '{SEARCH_PARAMS['suffix']}' AS request_url, "
+        f"'{SEARCH_PARAMS['file_prefix']}' || replace({kw}, ' ', '') AS file_stem FROM pages")
     pat = '<a [^>]*?href="([^"]*)"'
     q["page_links_topn"] = (
         f"WITH h AS (SELECT page_id, url, unnest(regexp_extract_all(html, '{pat}', 1)) AS href, "

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clean import clean_html, trunc_to_long
+from ..functions.clean import clean_html, remove_spaces, trunc_to_long, url_quote
 from ..functions.pay import THOUSAND_PER_10K
 from ..operators.topk import top_k
 from ..sources import payloads as pl
@@ -14,6 +14,7 @@ from ..sources.tables import pay_by_year, read_table
 # Stand-in parameters (reference: the 2024 list, growth 2023 → 2024).
 PAY_PARAMS = {"year": 2000, "growth_from": 1999, "growth_to": 2000, "top_n": 20, "page_size": 500}
 NEWS_PARAMS = {"rss_items_per_feed": 100, "json_display": 30}
+SEARCH_PARAMS = {"base": "https://news.example.com/rss/search?q=", "suffix": "&hl=ko", "file_prefix": "News_"}
 LINK_PARAMS = {"max_items": 20, "prefix": "SH", "suffix": ".jpg", "scheme": "http"}
 
 
@@ -80,6 +81,21 @@ def news_clean(spark, sf_dir):
                        clean_html("description").alias("description"), "pub_date")
 
 
+def news_search_urls(spark, sf_dir):
+    """main.py / main2-1.py: request URL and output file stem for a keyword.
+
+    Keywords are the cleaned page titles (one request per page); the keyword is
+    percent-encoded like ``urllib.parse.quote`` and stripped of spaces for the
+    file name.
+    """
+    kw = clean_html(pl.page_title(F.col("html")))
+    p = _pages(spark, sf_dir).select("page_id", kw.alias("keyword"))
+    return p.select("page_id", "keyword",
+                    F.concat(F.lit(SEARCH_PARAMS["base"]), url_quote("keyword"), F.lit(SEARCH_PARAMS["suffix"]))
+                     .alias("request_url"),
+                    F.concat(F.lit(SEARCH_PARAMS["file_prefix"]), remove_spaces("keyword")).alias("file_stem"))
+
+
 # page links (G3 / O8) -----------------------------------------------------------
 HREF_PATTERN = '<a [^>]*?href="([^"]*)"'
 

@@ -93,3 +93,14 @@ def test_vectors_zero_and_blocks(spark):
     for k in one:
         assert one[k][1:3] == many[k][1:3] and one[k][3] == pytest.approx(many[k][3])
     assert one[99][1] == "unknown" and one[99][4] == 0.0
+
+
+def test_url_quote_matches_python(spark):
+    import random
+    import urllib.parse
+    rnd = random.Random(11)
+    alphabet = "ab Z09 *~/+%&=?#.-_é한 '\"<>"
+    words = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))) for _ in range(300)]
+    df = spark.createDataFrame([(w,) for w in words], "s string")
+    got = [r[0] for r in df.select(C.url_quote("s")).collect()]
+    assert got == [urllib.parse.quote(w) for w in words]
