@@ -92,11 +92,25 @@ def anova_test(df: DataFrame, group_col: str, value: Column | str, factor: str,
 
 
 def _pairs(df: DataFrame, group_col: str, value: Column | str) -> DataFrame:
-    g = group_moments(df, group_col, value).select("grp", "n", "mean")
-    a = g.select(F.col("grp").alias("group1"), F.col("n").alias("n1"), F.col("mean").alias("mean1"))
-    b = g.select(F.col("grp").alias("group2"), F.col("n").alias("n2"), F.col("mean").alias("mean2"))
-    # k(k-1)/2 pairs of *groups* (the comparisons themselves), not pairs of rows
-    pairs = a.join(b, F.col("group1") < F.col("group2"))
+    """All k(k-1)/2 pairs of *groups* (the comparisons themselves), group1 < group2.
+
+    The k group summaries are packed into one sorted array (the output has
+    k(k-1)/2 rows, so k is small by construction) and the pairs are generated
+    with array functions — no join, no row pairs.
+    """
+    g = group_moments(df, group_col, value)
+    packed = g.agg(F.sort_array(F.collect_list(F.struct("grp", "n", "mean"))).alias("g"))
+    k_ = F.size("g")
+
+    def later(i):
+        return F.when(i + 1 < k_, F.sequence(i + 1, k_ - 1)).otherwise(F.array().cast("array<int>"))
+
+    idx = F.when(k_ > 1, F.sequence(F.lit(0), k_ - 2)).otherwise(F.array().cast("array<int>"))
+    pair_arr = F.flatten(F.transform(idx, lambda i: F.transform(
+        later(i), lambda j: F.struct(F.col("g")[i].alias("a"), F.col("g")[j].alias("b")))))
+    pairs = packed.select(F.explode(pair_arr).alias("p")).select(
+        F.col("p.a.grp").alias("group1"), F.col("p.a.n").alias("n1"), F.col("p.a.mean").alias("mean1"),
+        F.col("p.b.grp").alias("group2"), F.col("p.b.n").alias("n2"), F.col("p.b.mean").alias("mean2"))
     # one scalar subquery for the three numbers the pairs need
     t = anova_oneway(df, group_col, value).select(
         F.struct("ms_within", "df_within", "n_groups").alias("s")).scalar()

@@ -44,9 +44,9 @@ def read_text_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", heade
 def read_registry_csv(spark: SparkSession, path: str, encoding: str = REGISTRY_ENCODING) -> DataFrame:
     """The registry with English aliases and typed, tolerant columns.
 
-    Unknown extra columns are kept as text; missing known columns become NULL.
-    ``est_id`` is a stable row key derived from the file position-free content
-    (name + dates), for tie-breaks and joins.
+    Missing known columns become NULL.  ``est_id`` is a row key hashed from the
+    row's content (name, dates, codes) — stable across re-reads and cluster
+    sizes, unlike a file position — used for tie-breaks.
     """
     raw = read_text_csv(spark, path, encoding)
     raw = raw.withColumnsRenamed({k: v for k, v in REGISTRY_HEADERS.items() if k in raw.columns})

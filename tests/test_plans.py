@@ -22,7 +22,8 @@ TABLE_KEYS = ["pay_topk_large", "headcount_topk_region", "closures_by_month", "n
               "peer_pay", "affiliate_pay", "affiliate_rank", "pay_summary_industry", "pay_summary_region",
               "turnover_monthly", "exit_reason_share", "attrition_dept_role", "attrition_by_rating",
               "pay_api_topk", "pay_growth_topk", "api_status_gate", "news_rss", "news_clean", "page_links_topn",
-              "largest_box", "split_check", "anova_industry", "anova_rater"]
+              "largest_box", "split_check", "anova_industry", "anova_rater", "tukey_industry",
+              "tukey_region", "news_search_urls"]
 
 
 @pytest.mark.parametrize("key", TABLE_KEYS)

@@ -109,3 +109,8 @@ def test_reml_bucketed_equals_dense(spark):
     assert fit.beta[1] == pytest.approx(2.0, abs=0.5)
     blups = {r["g"]: r["random_effect"] for r in mixed.random_effects(fit, gs, "g").collect()}
     assert len(blups) == len(sizes)
+
+
+def test_tukey_single_group_has_no_pairs(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "g string, y double")
+    assert anova.tukey_table(df, "g", "y").count() == 0
