@@ -53,8 +53,11 @@ def test_additivity(spark, data, make):
     w = tree_weights(model)
     base = ts.ensemble_base(trees, w)
     pdf = model.transform(data).select("a", "b", "c", "d", "prediction").limit(25).toPandas()
-    phi = ts.ensemble_shap(trees, w, pdf[["a", "b", "c", "d"]].to_numpy())
+    X = pdf[["a", "b", "c", "d"]].to_numpy()
+    phi = ts.ensemble_shap(trees, w, X)
     assert np.allclose(base + phi.sum(axis=1), pdf["prediction"].to_numpy(), atol=1e-8)
+    # the vectorised form equals the row-at-a-time recursion
+    assert np.allclose(phi, ts.ensemble_shap_rowwise(trees, w, X), atol=1e-9)
 
 
 def test_matches_brute_force(spark, data):
