@@ -242,6 +242,17 @@ def ensemble_base(trees: list[FlatTree], weights: list[float]) -> float:
     return float(sum(wt * expected_value(t) for t, wt in zip(trees, weights)))
 
 
+MAX_BROADCAST_BYTES = 1 << 30
+
+
+def model_bytes(trees: list[FlatTree], paths: list[list[LeafPath]]) -> int:
+    """Size of what ``shap_long`` broadcasts: node arrays plus leaf paths (checked bound)."""
+    node = sum(t.left.nbytes * 6 for t in trees)
+    leaf = sum(lp.feats.nbytes + lp.z.nbytes + lp.node_feat.nbytes + lp.node_thr.nbytes + lp.node_left.nbytes + 8
+               for lps in paths for lp in lps)
+    return int(node + leaf)
+
+
 def shap_long(spark: SparkSession, df: DataFrame, id_col: str, features: list[str],
               trees: list[FlatTree], weights: list[float]) -> DataFrame:
     """(id, feature, feature_value, shap_value) for every row of ``df``.
@@ -249,6 +260,10 @@ def shap_long(spark: SparkSession, df: DataFrame, id_col: str, features: list[st
     The decoded ensemble is broadcast once; rows are processed where they lie.
     """
     paths = [leaf_paths(t) for t in trees]
+    size = model_bytes(trees, paths)
+    if size > MAX_BROADCAST_BYTES:
+        raise ValueError(f"decoded ensemble is {size / 2**20:.0f} MiB, over the broadcast budget of "
+                         f"{MAX_BROADCAST_BYTES / 2**20:.0f} MiB; reduce trees or depth")
     bc = spark.sparkContext.broadcast((trees, list(weights), paths))
     feats = list(features)
     id_type = df.schema[id_col].dataType.simpleString()
