@@ -64,6 +64,8 @@ def queries() -> dict[str, QueryFn]:
         "rater_bias": rater.rater_bias,
         "rater_adjusted": rater.rater_adjusted,
         "pay_model_compare": ml.pay_model_compare,
+        "pay_model_compare_default": ml.pay_model_compare_default,
+        "pay_model_compare_min_child5": ml.pay_model_compare_min_child5,
         "pay_importance": ml.pay_importance,
         "pay_shap": ml.pay_shap,
         "pay_shap_summary": ml.pay_shap_summary,

@@ -135,7 +135,7 @@ def ols_line(spark, sf_dir):
     return spark.createDataFrame(pdf).withColumnRenamed("x", "headcount")
 
 
-def _multi_design(spark, sf_dir):
+def multi_design(spark, sf_dir):
     base = large_active(spark, sf_dir)
     base = base.where(F.col("industry_code").isin(*PARAMS["summary_industries"])
                       & F.col("region_code").isin(*PARAMS["summary_regions"]))
@@ -149,12 +149,12 @@ def _multi_design(spark, sf_dir):
 
 
 def ols_multi(spark, sf_dir):
-    d, xs = _multi_design(spark, sf_dir)
+    d, xs = multi_design(spark, sf_dir)
     fit = ols.ols_fit(d, "annual_pay", xs, diagnostics=False)
     return _coef_df(spark, fit, with_tests=True)
 
 
 def ols_multi_fit(spark, sf_dir):
-    d, xs = _multi_design(spark, sf_dir)
+    d, xs = multi_design(spark, sf_dir)
     fit = ols.ols_fit(d, "annual_pay", xs, order_key="est_id")
     return _fit_df(spark, fit)
