@@ -27,11 +27,23 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+_HANDLES: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one parquet table of the test set (``{sf_dir}/{name}.parquet``)."""
+    """Read one parquet table of the test set (``{sf_dir}/{name}.parquet``).
+
+    Table handles are kept per session like catalog entries: the file listing
+    and footer/schema resolution happen once, every query still reads the data.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (spark.sparkContext.applicationId, path)
+    df = _HANDLES.get(key)
+    if df is None:
+        df = _HANDLES[key] = spark.read.parquet(path)
+    return df
 
 
 def _lineitem_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
