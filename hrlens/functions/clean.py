@@ -72,6 +72,19 @@ def to_date_tolerant(c: ColumnOrName, patterns: Iterable[str] | str | None = Non
     return F.coalesce(*parsed)
 
 
+def date_column(df, name: str, patterns: Iterable[str] | str | None = None) -> Column:
+    """Schema-aware date: a stored date is used as is (so range predicates on it
+    reach the scan as pushed filters), a timestamp is truncated, text is parsed
+    tolerantly."""
+    from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+    t = df.schema[name].dataType
+    if isinstance(t, DateType):
+        return F.col(name)
+    if isinstance(t, (TimestampType, TimestampNTZType)):
+        return F.col(name).cast("date")
+    return to_date_tolerant(F.col(name), patterns)
+
+
 def as_date(c: ColumnOrName) -> Column:
     """Date/timestamp column → date (no parsing)."""
     return _c(c).cast("date")

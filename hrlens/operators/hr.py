@@ -18,7 +18,11 @@ from ..functions.clean import not_null_flag, round_sig
 
 
 def month_spine(bounds: DataFrame, lo: str, hi: str) -> DataFrame:
-    """G1: one row per month start from month(lo) to month(hi) (from a one-row frame)."""
+    """G1: one row per month start from month(lo) to month(hi) (from a one-row frame).
+
+    An inverted range (last exit before the first hire) gives no months.
+    """
+    bounds = bounds.where(F.trunc(lo, "MM") <= F.trunc(hi, "MM"))
     return bounds.select(F.explode(F.sequence(F.trunc(lo, "MM"), F.trunc(hi, "MM"),
                                               F.expr("INTERVAL 1 MONTH"))).alias("month_start"))
 

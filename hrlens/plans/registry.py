@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.clean import contains_text, round_sig, to_date_tolerant, trunc_to_long
+from ..functions.clean import contains_text, date_column, round_sig, trunc_to_long
 from ..functions.pay import annual_pay, to_10k, trunc_10k, with_annual_pay
 from ..operators.topk import rank_of, top_k
 from ..sources.tables import establishments
@@ -74,7 +74,7 @@ def headcount_topk_region(spark, sf_dir):
 # main3-3: closures per month of one year -----------------------------------------
 def closures_by_month_df(est: DataFrame, year: int, all_months: bool = False) -> DataFrame:
     """Closures per month of ``year``; ``all_months`` adds zero rows for empty months (A8 axis)."""
-    end = to_date_tolerant(F.col("end_date"))
+    end = date_column(est, "end_date")
     # year filter written as a date range so a stored date column prunes files
     closed = (est.where(F.col("status_code") == WITHDRAWN)
                  .select(end.alias("end_date"))

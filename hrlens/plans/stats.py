@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.clean import code_to_text, round_sig, to_date_tolerant
+from ..functions.clean import code_to_text, date_column, round_sig
 from ..functions.pay import with_annual_pay
 from ..operators.persist import materialize
 from ..operators.stats import anova, ols
@@ -22,7 +22,7 @@ def large_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     est = establishments(spark, sf_dir)
     base = est.where((F.col("status_code") == ACTIVE) & (F.col("headcount") >= PARAMS["summary_min_headcount"]))
     return (with_annual_pay(base)
-            .withColumn("year", F.year(to_date_tolerant("start_date", "yyyy-MM-dd"))))
+            .withColumn("year", F.year(date_column(base, "start_date", "yyyy-MM-dd"))))
 
 
 def _industry(spark, sf_dir):

@@ -104,3 +104,35 @@ def test_url_quote_matches_python(spark):
     df = spark.createDataFrame([(w,) for w in words], "s string")
     got = [r[0] for r in df.select(C.url_quote("s")).collect()]
     assert got == [urllib.parse.quote(w) for w in words]
+
+
+def test_turnover_inverted_range_is_empty(spark):
+    df = spark.createDataFrame([(dt.date(2021, 5, 1), None), (None, dt.date(2020, 1, 3))],
+                               "hire_date date, termination_date date")
+    assert hr.turnover_by_month(df).count() == 0
+
+
+def test_dummies_unseen_level_is_all_zero(spark):
+    from hrlens.operators.stats.design import add_dummies
+    df = spark.createDataFrame([("Sales",), ("Eng",), (None,)], "d string")
+    out, cols = add_dummies(df, "d", drop_first=False, lv=["Eng", "HR"], prefix="Department")
+    assert cols == ["Department_Eng", "Department_HR"]
+    assert [tuple(r)[1:] for r in out.collect()] == [(0, 0), (1, 0), (0, 0)]
+
+
+def test_date_column_pushes_down(spark):
+    import contextlib
+    import io
+    import os
+    import tempfile
+    from hrlens.plans.registry import closures_by_month_df
+    d = os.path.join(tempfile.mkdtemp(prefix="hrlens-reg-"), "reg")
+    spark.createDataFrame([(2, dt.date(1999, 3, 5)), (2, dt.date(2000, 1, 1))],
+                          "status_code int, end_date date").write.parquet(d)
+    df = closures_by_month_df(spark.read.parquet(d), 1999)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    assert "GreaterThanOrEqual(end_date,1999-01-01)" in buf.getvalue()
+    assert "EqualTo(status_code,2)" in buf.getvalue()
+    assert [tuple(r) for r in df.collect()] == [(3, 1)]
