@@ -55,13 +55,16 @@ class MixedFit:
         return np.sqrt(np.maximum(np.diag(self.cov), 0.0))
 
 
-def _prep(df: DataFrame, group: str, y: str, xs: list[str]) -> tuple[DataFrame, dict, int]:
+def _prep(df: DataFrame, group: str, y: str, xs: list[str],
+          checkpoint: bool = True) -> tuple[DataFrame, dict, int]:
     cols = xs + [y]
     d = df.select(group, *[F.col(c).cast("double").alias(c) for c in cols])
     cond = F.col(group).isNotNull()
     for c in cols:
         cond = cond & F.col(c).isNotNull() & ~F.isnan(c)
-    d = materialize(d.where(cond), repartition=False)
+    d = d.where(cond)
+    if checkpoint:
+        d = materialize(d, repartition=False)
     m = d.agg(F.count(F.lit(1)).alias("__n"), *[F.avg(c).alias(c) for c in cols]).first()
     means = {c: float(m[c]) for c in cols}
     centred = d.select(group, F.lit(1.0).alias("__one"),
@@ -125,9 +128,13 @@ def reml_profile(T: np.ndarray, buckets, n_total: int, theta: float):
 
 
 def fit_random_intercept(df: DataFrame, group: str, y: str, xs: list[str],
-                         term_names: list[str] | None = None) -> tuple[MixedFit, DataFrame]:
-    """REML fit; returns the fit and the per-group sums table (for BLUPs)."""
-    centred, means, n = _prep(df, group, y, xs)
+                         term_names: list[str] | None = None,
+                         checkpoint: bool = True) -> tuple[MixedFit, DataFrame]:
+    """REML fit; returns the fit and the per-group sums table (for BLUPs).
+
+    ``checkpoint=False`` when the input is already a written table.
+    """
+    centred, means, n = _prep(df, group, y, xs, checkpoint)
     cols = ["__one"] + xs + [y]
     T, buckets, gs = sufficient_stats(centred, group, cols)
     n_groups = sum(c for _, c, _ in buckets)

@@ -60,10 +60,16 @@ def _clean(df: DataFrame, y: str, xs: list[str], keep: list[str] | None = None)
 
 
 def ols_fit(df: DataFrame, y: str, xs: list[str], order_key: str | None = None,
-            diagnostics: bool = True) -> OlsFit:
-    """Fit y ~ 1 + xs on all rows with finite values (P9 dropna semantics)."""
+            diagnostics: bool = True, checkpoint: bool = True) -> OlsFit:
+    """Fit y ~ 1 + xs on all rows with finite values (P9 dropna semantics).
+
+    The cleaned design is checkpointed once for the 3–4 passes that follow;
+    pass ``checkpoint=False`` when the input is already a written table.
+    """
     keep = [order_key] if (diagnostics and order_key is not None) else []
-    d = materialize(_clean(df, y, xs, keep=keep), repartition=False)
+    d = _clean(df, y, xs, keep=keep)
+    if checkpoint:
+        d = materialize(d, repartition=False)
     cols = xs + [y]
     m = d.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in cols]).first()
     n = int(m["n"])

@@ -19,6 +19,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .persist import materialize
+
 GALLERY_BROADCAST_BYTES = 64 * 1024 * 1024
 DEFAULT_BLOCK_SIZE = 4096
 
@@ -89,6 +91,8 @@ def nearest_centroid(targets: DataFrame, id_col: str, vec: str, cent: DataFrame,
     best_sim when matched, else max(best_sim, 0)), is_match.
     """
     t = targets.select(F.col(id_col), normalize(as_double_array(F.col(vec))).alias("t"))
+    # the gallery is read twice (size check, blocks): write it once
+    cent = materialize(cent, repartition=False)
     blocks, n_blocks, approx_bytes = _gallery_blocks(cent, block_size)
     # broadcast only a gallery whose measured size fits the budget
     side = F.broadcast(blocks) if approx_bytes <= GALLERY_BROADCAST_BYTES else blocks

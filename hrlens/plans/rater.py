@@ -39,7 +39,7 @@ def _design(spark, sf_dir):
 def full_model(spark, sf_dir):
     def build():
         d, xs, names = _design(spark, sf_dir)
-        fit, gs = fit_random_intercept(d, "rater_id", "rating_score", xs, names)
+        fit, gs = fit_random_intercept(d, "rater_id", "rating_score", xs, names, checkpoint=False)
         return d, fit, gs
     return memo(spark, sf_dir, "rater_full", build)
 
@@ -84,8 +84,10 @@ def rater_adjusted(spark, sf_dir):
     The effect table has one row per rater; no broadcast hint — AQE broadcasts
     it when its runtime size is small and splits a hot rater's partition.
     """
-    e = _effects(spark, sf_dir)
-    r = rater_table(spark, sf_dir).select("employee_id", "rater_id", "rating_score")
+    d, fit, gs = full_model(spark, sf_dir)
+    e = random_effects(fit, gs, "rater_id")
+    # the rater table written once for the fit (no re-run of its source join)
+    r = d.select("employee_id", "rater_id", "rating_score")
     j = r.join(e, "rater_id", "left")
     return j.select("employee_id", "rater_id", "rating_score",
                     F.expr(sig_sql("random_effect")).alias("random_effect"),

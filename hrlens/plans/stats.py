@@ -150,11 +150,11 @@ def multi_design(spark, sf_dir):
 
 def ols_multi(spark, sf_dir):
     d, xs = multi_design(spark, sf_dir)
-    fit = ols.ols_fit(d, "annual_pay", xs, diagnostics=False)
+    fit = ols.ols_fit(d, "annual_pay", xs, diagnostics=False, checkpoint=False)
     return _coef_df(spark, fit, with_tests=True)
 
 
 def ols_multi_fit(spark, sf_dir):
     d, xs = multi_design(spark, sf_dir)
-    fit = ols.ols_fit(d, "annual_pay", xs, order_key="est_id")
+    fit = ols.ols_fit(d, "annual_pay", xs, order_key="est_id", checkpoint=False)
     return _fit_df(spark, fit)
