@@ -51,7 +51,8 @@ def turnover_by_month(emp: DataFrame, hire: str = "hire_date", term: str = "term
     bounds = emp.agg(F.min(hire).alias("lo"), F.max(term).alias("hi"))
     spine = month_spine(bounds.where(F.col("lo").isNotNull() & F.col("hi").isNotNull()), "lo", "hi")
     w = Window.orderBy("month_start").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = (spine.join(deltas, spine.month_start == deltas.m, "left")
+    # deltas hold one row per month with events (bounded by the date range, ≤ 12 per year)
+    joined = (spine.join(F.broadcast(deltas), spine.month_start == deltas.m, "left")
                    .select("month_start",
                            F.sum(F.coalesce("d_active", F.lit(0))).over(w).cast("bigint").alias("active"),
                            F.coalesce("n_term", F.lit(0)).cast("bigint").alias("terminated")))

@@ -53,7 +53,8 @@ def pay_api_payloads(items: DataFrame, page_size: int = 500) -> DataFrame:
     """
     per_year = items.groupBy("pay_year").agg(F.count(F.lit(1)).alias("n_year"))
     pages = F.greatest(F.ceil(F.col("n_year") / F.lit(page_size)), F.lit(1)).cast("bigint")
-    paged = (items.join(per_year, "pay_year")
+    # one row per calendar year: bounded by the calendar, not the data
+    paged = (items.join(F.broadcast(per_year), "pay_year")
                   .withColumn("page_no", hash_bucket(F.col("org_name"), pages) + 1))
     item_xml = F.concat(F.lit("<item>"), _el("ENT_NAME", F.col("org_name")),
                         _el("N_SUM", F.col("avg_pay_text")), F.lit("</item>"))
