@@ -55,3 +55,22 @@ def test_streaming_ingest_once(spark):
     q.awaitTermination(120)
     got = sorted((r["org_name"], r["amount"], r["pay_year"]) for r in spark.read.parquet(os.path.join(out, "t")).collect())
     assert got == [("A", 100, 2024), ("B", 200, 2024), ("C", 300, 2024)]
+
+
+def test_registry_table_prunes_status(spark):
+    import contextlib
+    import io
+    from conftest import SF_SMALL
+    from hrlens.plans.registry import PARAMS, pay_topk_large_df
+    from hrlens.sources.tables import establishments, write_registry_table
+    path = os.path.join(tempfile.mkdtemp(prefix="hrlens-regtab-"), "registry")
+    reg = write_registry_table(spark, SF_SMALL, path)
+    df = pay_topk_large_df(reg, PARAMS["large_headcount"], PARAMS["top_k"])
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    plan = buf.getvalue()
+    assert "PartitionFilters: [isnotnull(status_code" in plan and "(status_code#" in plan
+    assert "GreaterThanOrEqual(headcount,200)" in plan
+    want = pay_topk_large_df(establishments(spark, SF_SMALL), PARAMS["large_headcount"], PARAMS["top_k"])
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, want.collect()))
