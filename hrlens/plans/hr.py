@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from ..operators.hr import attrition_matrix, attrition_rate, termination_flag, turnover_by_month, value_share
 from ..sources.tables import employees

@@ -3,7 +3,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from hrlens.plans.registry import pay_topk_large_df
 from hrlens.sources import payloads as pl
