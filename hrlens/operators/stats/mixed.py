@@ -90,17 +90,27 @@ def _sym(vals, k: int, pairs) -> np.ndarray:
 
 
 def sufficient_stats(centred: DataFrame, group: str, cols: list[str]):
-    """T (k×k), and per distinct group size n: (n, number of groups, Σ s_g s_g')."""
+    """T (k×k), and per distinct group size n: (n, number of groups, Σ s_g s_g').
+
+    One pass over the rows: the per-group aggregate carries s_g and the group's
+    own Σ W'W; the per-size aggregate then sums both, so T is the sum of the
+    size buckets.  The per-group table (one row per group) is written once —
+    it also feeds the BLUPs.
+    """
     k = len(cols)
     pairs = _pairs(cols)
-    trow = centred.agg(*[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"t{i}_{j}") for i, j in pairs]).first()
-    T = _sym([trow[f"t{i}_{j}"] for i, j in pairs], k, pairs)
-    gs = group_sums(centred, group, cols)
+    gs = centred.groupBy(group).agg(
+        F.count(F.lit(1)).alias("n_g"), *[F.sum(c).alias(c) for c in cols],
+        *[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"w{i}_{j}") for i, j in pairs])
+    gs = materialize(gs, repartition=False)
     b = gs.groupBy("n_g").agg(F.count(F.lit(1)).alias("n_groups"),
-                              *[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"u{i}_{j}") for i, j in pairs])
+                              *[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"u{i}_{j}") for i, j in pairs],
+                              *[F.sum(f"w{i}_{j}").alias(f"t{i}_{j}") for i, j in pairs])
+    rows = b.collect()
+    T = sum((_sym([r[f"t{i}_{j}"] for i, j in pairs], k, pairs) for r in rows), np.zeros((k, k)))
     buckets = [(int(r["n_g"]), int(r["n_groups"]), _sym([r[f"u{i}_{j}"] for i, j in pairs], k, pairs))
-               for r in b.collect()]
-    return T, buckets, gs
+               for r in rows]
+    return T, buckets, gs.select(group, "n_g", *cols)
 
 
 def reml_profile(T: np.ndarray, buckets, n_total: int, theta: float):
