@@ -239,6 +239,8 @@ def fit_frame(fit: OlsFit) -> pd.DataFrame:
         "jb_pvalue": fit.extra.get("jb_pvalue", float("nan")),
         "durbin_watson": fit.extra.get("durbin_watson", float("nan")),
         "cond_no": fit.extra.get("cond_no", float("nan")),
+        # 1 when X'X was singular (e.g. a dummy level without rows) and a pseudo-inverse was used
+        "singular": 1.0 if fit.extra.get("singular") else 0.0,
     }
     return pd.DataFrame({"statistic": list(stats), "value": [float(v) for v in stats.values()]})
 

@@ -24,7 +24,7 @@ REQUIRED_CONFS = {
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "hrlens") -> SparkSession:
+                app_name: str = "hrlens", extra_confs: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the package's required settings."""
     master = master or os.environ.get("HRLENS_MASTER", "local[8]")
     b = SparkSession.builder.master(master).appName(app_name)
@@ -34,6 +34,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
           .config("spark.driver.memory", os.environ.get("HRLENS_DRIVER_MEM", "16g"))
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8)))
+    for k, v in (extra_confs or {}).items():
+        b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
