@@ -193,37 +193,58 @@ def leaf_paths(tree: FlatTree) -> list[LeafPath]:
     return out
 
 
-def _shapley_weights(d: int) -> np.ndarray:
-    from math import factorial
-    return np.array([factorial(s) * factorial(d - s - 1) / factorial(d) for s in range(d)])
+_WEIGHTS: dict[int, list[float]] = {}
 
 
-def _leaf_phi(z: np.ndarray, O: np.ndarray, v: float) -> np.ndarray:
-    """φ for each pattern row of O (u × d)."""
-    u, d = O.shape
-    w = _shapley_weights(d)
-    out = np.empty((u, d))
+def _shapley_weights(d: int) -> list[float]:
+    w = _WEIGHTS.get(d)
+    if w is None:
+        from math import factorial
+        w = _WEIGHTS[d] = [factorial(s) * factorial(d - s - 1) / factorial(d) for s in range(d)]
+    return w
+
+
+def _patterns_phi(Z: np.ndarray, O: np.ndarray, V: np.ndarray) -> np.ndarray:
+    """φ for m (leaf, pattern) pairs of one path width d, vectorised over the pairs.
+
+    Z, O: (m, d) cover fractions and 0/1 conditions; V: (m,) weighted leaf values.
+    For each feature i the polynomial Π_{k≠i}(z_k + o_k t) is built over all
+    pairs at once and dotted with the Shapley weights: O(d²) array steps per
+    width, independent of the number of pairs.
+    """
+    m, d = Z.shape
+    w = np.array(_shapley_weights(d))
+    out = np.empty((m, d))
     for i in range(d):
-        poly = np.zeros((u, d))
+        poly = np.zeros((m, d))
         poly[:, 0] = 1.0
         for k in range(d):
             if k == i:
                 continue
             shifted = np.zeros_like(poly)
             shifted[:, 1:] = poly[:, :-1]
-            poly = poly * z[k] + shifted * O[:, k:k + 1]
-        out[:, i] = v * (O[:, i] - z[i]) * (poly @ w)
+            poly = poly * Z[:, k:k + 1] + shifted * O[:, k:k + 1]
+        out[:, i] = V * (O[:, i] - Z[:, i]) * (poly @ w)
     return out
 
 
 def ensemble_shap(trees: list[FlatTree], weights: list[float], X: np.ndarray,
-                  paths: list[list[LeafPath]] | None = None) -> np.ndarray:
-    """SHAP values of every row of X (rows × features), vectorised over rows."""
+                  paths: list[list[LeafPath]] | None = None, cache: dict | None = None) -> np.ndarray:
+    """SHAP values of every row of X (rows × features), vectorised over rows.
+
+    Per tree: each leaf's condition pattern is computed for all rows at once;
+    the distinct (leaf, pattern) pairs not yet in ``cache`` (kept across the
+    batches of a task; a leaf has at most 2^d patterns) are evaluated together,
+    grouped by path width; then every leaf adds its pattern's φ to its rows.
+    """
     n = X.shape[0]
     phi = np.zeros((n, X.shape[1]))
     paths = paths if paths is not None else [leaf_paths(t) for t in trees]
-    for lps, wt in zip(paths, weights):
-        for lp in lps:
+    cache = {} if cache is None else cache
+    for ti, (lps, wt) in enumerate(zip(paths, weights)):
+        per_leaf = []
+        pending: dict[int, list] = {}
+        for li, lp in enumerate(lps):
             d = len(lp.feats)
             if d == 0:
                 continue
@@ -233,8 +254,20 @@ def ensemble_shap(trees: list[FlatTree], weights: list[float], X: np.ndarray,
                 O[:, k] &= (col <= thr) if left else (col > thr)
             bits = O.astype(np.int64) @ (1 << np.arange(d, dtype=np.int64))
             uniq, inv = np.unique(bits, return_inverse=True)
-            Ou = ((uniq[:, None] >> np.arange(d)) & 1).astype(float)
-            phi[:, lp.feats] += _leaf_phi(lp.z, Ou, lp.value * wt)[inv]
+            per_leaf.append((li, lp, uniq, inv))
+            for b in uniq.tolist():
+                if (ti, li, b) not in cache:
+                    pending.setdefault(d, []).append((li, lp, b))
+        for d, items in pending.items():
+            Z = np.array([lp.z for _, lp, _ in items])
+            O = ((np.array([b for _, _, b in items])[:, None] >> np.arange(d)) & 1).astype(float)
+            V = np.array([lp.value * wt for _, lp, _ in items])
+            vals = _patterns_phi(Z, O, V)
+            for (li, _, b), row in zip(items, vals):
+                cache[(ti, li, b)] = row
+        for li, lp, uniq, inv in per_leaf:
+            table = np.array([cache[(ti, li, b)] for b in uniq.tolist()])
+            phi[:, lp.feats] += table[inv]
     return phi
 
 
@@ -270,11 +303,12 @@ def shap_long(spark: SparkSession, df: DataFrame, id_col: str, features: list[st
 
     def run(it):
         ts, ws, ps = bc.value
+        cache: dict = {}
         for pdf in it:
             if pdf.empty:
                 continue
             X = pdf[feats].to_numpy(dtype="float64")
-            phi = ensemble_shap(ts, ws, X, ps)
+            phi = ensemble_shap(ts, ws, X, ps, cache)
             yield pd.DataFrame({
                 id_col: np.repeat(pdf[id_col].to_numpy(), len(feats)),
                 "feature": np.tile(np.array(feats, dtype=object), len(pdf)),
