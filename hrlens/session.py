@@ -31,6 +31,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in REQUIRED_CONFS.items():
         b = b.config(k, v)
     b = (b.config("spark.ui.enabled", "false")
+          .config("spark.ui.showConsoleProgress", "false")
           .config("spark.driver.memory", os.environ.get("HRLENS_DRIVER_MEM", "16g"))
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8)))
