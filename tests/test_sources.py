@@ -73,3 +73,39 @@ def test_registry_table_prunes_status(spark):
     assert "GreaterThanOrEqual(headcount,200)" in plan
     want = pay_topk_large_df(establishments(spark, SF_SMALL), PARAMS["large_headcount"], PARAMS["top_k"])
     assert sorted(map(tuple, df.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_hr_csv_text_vs_date_exit(spark):
+    """The attrition flag tests the raw text, the turnover parse drops bad dates."""
+    from hrlens.operators.hr import attrition_rate, termination_flag, turnover_by_month
+    from hrlens.sources.registry_csv import read_hr_csv
+    d = tempfile.mkdtemp(prefix="hrlens-hr-")
+    rows = ["Hire_Date,Termination_Date,Status,Department,Job_Role,Performance_Rating",
+            "2020-01-05,2020-03-10,Voluntary,영업,A,3",
+            "2020-02-01,N/A,Involuntary,영업,A,2",
+            "2020-02-11,,Active,개발,B,4"]
+    with open(os.path.join(d, "hr.csv"), "w", encoding="cp949") as f:
+        f.write("\n".join(rows) + "\n")
+    hr = read_hr_csv(spark, d)
+    by_text = {r["department"]: r["turnover_rate_pct"]
+               for r in attrition_rate(hr, ["department"], termination_flag("termination_text")).collect()}
+    by_date = {r["department"]: r["turnover_rate_pct"]
+               for r in attrition_rate(hr, ["department"], termination_flag("termination_date")).collect()}
+    assert by_text == {"영업": 100.0, "개발": 0.0} and by_date == {"영업": 50.0, "개발": 0.0}
+    months = [(r["month"], r["active"], r["terminated"]) for r in turnover_by_month(hr, last_n=None).collect()]
+    assert months == [("2020-01", 1, 0), ("2020-02", 3, 0), ("2020-03", 3, 1)]
+
+
+def test_rss_streaming_ingest(spark):
+    from hrlens.streaming.ingest import rss_rows
+    land = tempfile.mkdtemp(prefix="hrlens-rss-")
+    out = tempfile.mkdtemp(prefix="hrlens-rssout-")
+    with open(os.path.join(land, "feed.xml"), "w") as f:
+        f.write('<rss version="2.0"><channel><title>t</title>'
+                '<item><title>A &amp; B</title><link>http://x/1</link><pubDate>Mon, 01 Jan 2024 00:00:00 GMT</pubDate></item>'
+                '<item><title>C</title><link>http://x/2</link></item></channel></rss>')
+    q = start_ingest(rss_rows(payload_stream(spark, land)), os.path.join(out, "t"), "rss_ingest_test",
+                     checkpoint=os.path.join(out, "ck"), once=True)
+    q.awaitTermination(120)
+    got = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "t")).collect())
+    assert got == [("A & B", "http://x/1", "Mon, 01 Jan 2024 00:00:00 GMT"), ("C", "http://x/2", None)]
