@@ -129,7 +129,7 @@ def _range_cdf_inf(w: np.ndarray, k: int) -> np.ndarray:
 
 def ptukey(q: float, k: int, nu: float) -> float:
     """P(Q < q) for the studentized range with k groups and nu error df."""
-    if q is None or math.isnan(q):
+    if q is None or math.isnan(q) or k is None or k < 2 or (nu is not None and not nu > 0):
         return float("nan")
     if q <= 0:
         return 0.0
@@ -149,12 +149,15 @@ def ptukey(q: float, k: int, nu: float) -> float:
 
 
 def psturng(q: float, k: int, nu: float) -> float:
-    """P(Q > q) — the Tukey adjusted p-value."""
-    return max(0.0, 1.0 - ptukey(q, k, nu))
+    """P(Q > q) — the Tukey adjusted p-value (NaN stays NaN)."""
+    c = ptukey(q, k, nu)
+    return c if math.isnan(c) else max(0.0, 1.0 - c)
 
 
 def qtukey(p: float, k: int, nu: float) -> float:
-    """Quantile of the studentized range (bisection)."""
+    """Quantile of the studentized range (bisection); NaN without error df."""
+    if nu is None or not nu > 0 or k is None or k < 2:
+        return float("nan")
     lo, hi = 0.0, 100.0
     for _ in range(60):
         mid = (lo + hi) / 2.0

@@ -113,3 +113,12 @@ def test_reml_bucketed_equals_dense(spark):
 def test_tukey_single_group_has_no_pairs(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "g string, y double")
     assert anova.tukey_table(df, "g", "y").count() == 0
+
+
+def test_tukey_without_error_df_is_nan(spark):
+    # one row per group: no within-group degrees of freedom; no task failure
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("c", 4.0)], "g string, y double")
+    rows = anova.tukey_hsd(df, "g", "y").collect()
+    assert len(rows) == 3 and all(r["p_adj"] is None or r["p_adj"] != r["p_adj"] for r in rows)
+    assert math.isnan(dist.qtukey(0.95, 3, 0)) and math.isnan(dist.ptukey(2.0, 3, 0))
+    assert math.isnan(dist.psturng(2.0, 3, 0))
