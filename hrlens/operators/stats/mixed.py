@@ -131,7 +131,9 @@ def reml_profile(T: np.ndarray, buckets, n_total: int, theta: float):
     beta = Ainv @ b
     rss = float(M[p, p] - beta @ b)
     dfr = n_total - p
-    s2 = rss / dfr
+    s2 = rss / dfr if dfr > 0 else float("nan")
+    if not s2 > 0:  # perfect fit or no residual df: the likelihood is unbounded/undefined
+        return float("-inf"), beta, Ainv, s2
     sign, logdet_a = np.linalg.slogdet(A)
     ll = -0.5 * (dfr * (math.log(2 * math.pi * s2) + 1.0) + logdet_v + logdet_a)
     return ll, beta, Ainv, s2
@@ -145,6 +147,8 @@ def fit_random_intercept(df: DataFrame, group: str, y: str, xs: list[str],
     ``checkpoint=False`` when the input is already a written table.
     """
     centred, means, n = _prep(df, group, y, xs, checkpoint)
+    if n == 0:
+        raise ValueError("mixed model: no complete rows")
     cols = ["__one"] + xs + [y]
     T, buckets, gs = sufficient_stats(centred, group, cols)
     n_groups = sum(c for _, c, _ in buckets)

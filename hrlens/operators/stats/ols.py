@@ -73,7 +73,9 @@ def ols_fit(df: DataFrame, y: str, xs: list[str], order_key: str | None = None,
     cols = xs + [y]
     m = d.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in cols]).first()
     n = int(m["n"])
-    means = {c: float(m[c]) if m[c] is not None else float("nan") for c in cols}
+    if n == 0:
+        raise ValueError("OLS: no complete rows")
+    means = {c: float(m[c]) for c in cols}
     exprs = []
     for i, a in enumerate(cols):
         for b in cols[i:]:
