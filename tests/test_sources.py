@@ -109,3 +109,29 @@ def test_rss_streaming_ingest(spark):
     q.awaitTermination(120)
     got = sorted(tuple(r) for r in spark.read.parquet(os.path.join(out, "t")).collect())
     assert got == [("A & B", "http://x/1", "Mon, 01 Jan 2024 00:00:00 GMT"), ("C", "http://x/2", None)]
+
+
+def test_activity_csv_with_dotted_names(spark):
+    import random
+    from hrlens.plans.ml import activity_from_tables
+    from hrlens.sources.registry_csv import read_text_csv
+    rnd = random.Random(3)
+    feats = ["age", "Applewatch.Steps_LE", "Applewatch.Heart_LE"]
+    d = tempfile.mkdtemp(prefix="hrlens-act-")
+    with open(os.path.join(d, "train.csv"), "w") as f:
+        f.write(",".join(feats + ["activity_trimmed"]) + "\n")
+        for i in range(300):
+            cls = ["Lying", "Walking", "Running"][i % 3]
+            steps = {"Lying": 0, "Walking": 50, "Running": 150}[cls] + rnd.random() * 10
+            f.write(f"{20 + i % 30},{steps},{60 + steps / 3},{cls}\n")
+        f.write("33,,70,Walking\n")  # incomplete training row: dropped
+    pdir = os.path.join(d, "predict")
+    os.makedirs(pdir)
+    with open(os.path.join(pdir, "p.csv"), "w") as f:
+        f.write(",".join(feats) + "\n25,151,110\n40,3,61\n30,,\n")
+    train = read_text_csv(spark, os.path.join(d, "train.csv"))
+    pred, imp = activity_from_tables(train, read_text_csv(spark, pdir), feats, "activity_trimmed")
+    got = [r["Predicted_activity_trimmed"] for r in pred.collect()]
+    assert got[:2] == ["Running", "Lying"] and len(got) == 3
+    assert "Applewatch.Steps_LE" in pred.columns
+    assert abs(sum(r["importance"] for r in imp.collect()) - 1.0) < 1e-9
