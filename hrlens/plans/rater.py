@@ -8,9 +8,11 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..functions.clean import sig_sql
 from ..operators.stats.design import add_dummies
+from ..operators.persist import materialize
 from ..operators.stats.mixed import coef_rows, fit_random_intercept, random_effects
+from ..sources.tables import ratings
 from .memo import memo
-from .stats import rater_table, rater_table_materialized
+from .stats import RATER_COLUMNS
 
 # Bias classes and their cut-offs on the rater effect.
 LENIENCY, SEVERITY, NEUTRAL = "Leniency", "Severity", "Neutral"
@@ -24,8 +26,9 @@ COEF_SCHEMA = StructType([StructField("term", StringType()), StructField("coef",
                           StructField("ci_high", DoubleType())])
 
 
-def _design(spark, sf_dir):
-    d = rater_table_materialized(spark, sf_dir)
+def design_df(raters: DataFrame):
+    """Fixed-effect design of the rater model from a complete rater table (FIXTURES A5 columns)."""
+    d = raters
     xs, names = [], ["Intercept"]
     for c in CATEGORICAL:
         d, cols = add_dummies(d, c, drop_first=True, prefix=f"__{c}")
@@ -36,27 +39,67 @@ def _design(spark, sf_dir):
     return d, xs, names
 
 
+def fit_rater_model(raters: DataFrame):
+    """main5-1 full model on any rater table: (written design, fit, per-rater sums).
+
+    ``raters`` must hold the A5 columns; incomplete rows are dropped first.
+    """
+    complete = materialize(raters.select(*RATER_COLUMNS).na.drop(), repartition=False)
+    d, xs, names = design_df(complete)
+    fit, gs = fit_random_intercept(d, "rater_id", "rating_score", xs, names, checkpoint=False)
+    return d, fit, gs
+
+
+def rater_reports(raters: DataFrame) -> dict:
+    """Every main5-1 table for any rater table: mixed, icc, bias, adjusted."""
+    spark = raters.sparkSession
+    d, fit, gs = fit_rater_model(raters)
+    null_fit, _ = fit_random_intercept(d, "rater_id", "rating_score", [], ["Intercept"], checkpoint=False)
+    e = random_effects(fit, gs, "rater_id")
+    return {"mixed": _mixed_df(spark, fit), "icc": _icc_df(spark, null_fit), "bias": _bias_df(e),
+            "adjusted": _adjusted_df(d, e)}
+
+
 def full_model(spark, sf_dir):
-    def build():
-        d, xs, names = _design(spark, sf_dir)
-        fit, gs = fit_random_intercept(d, "rater_id", "rating_score", xs, names, checkpoint=False)
-        return d, fit, gs
-    return memo(spark, sf_dir, "rater_full", build)
+    return memo(spark, sf_dir, "rater_full", lambda: fit_rater_model(ratings(spark, sf_dir)))
+
+
+def _mixed_df(spark, fit):
+    return spark.createDataFrame(coef_rows(fit), COEF_SCHEMA)
+
+
+def _icc_df(spark, fit):
+    icc = fit.tau2 / (fit.tau2 + fit.sigma2) if fit.tau2 + fit.sigma2 > 0 else float("nan")
+    return spark.createDataFrame([(float(fit.tau2), float(fit.sigma2), float(icc), fit.n_groups, fit.n)],
+                                 "tau2 double, sigma2 double, icc double, n_raters long, n_obs long")
+
+
+def _bias_df(e: DataFrame) -> DataFrame:
+    return (e.select("rater_id", F.expr(sig_sql("random_effect")).alias("random_effect"),
+                     bias_class(F.col("random_effect")).alias("bias_type"))
+             .orderBy(F.col("random_effect").desc(), "rater_id"))
+
+
+def _adjusted_df(d: DataFrame, e: DataFrame) -> DataFrame:
+    # no broadcast hint: AQE broadcasts the per-rater table when its runtime size
+    # is small and splits a hot rater's partition
+    j = d.select("employee_id", "rater_id", "rating_score").join(e, "rater_id", "left")
+    return j.select("employee_id", "rater_id", "rating_score",
+                    F.expr(sig_sql("random_effect")).alias("random_effect"),
+                    F.expr(sig_sql("rating_score - random_effect")).alias("adjusted_rating_score"))
 
 
 def rater_mixed(spark, sf_dir):
     """main5-1 [4]: fixed effects with z tests and the group (rater) variance."""
     _, fit, _ = full_model(spark, sf_dir)
-    return spark.createDataFrame(coef_rows(fit), COEF_SCHEMA)
+    return _mixed_df(spark, fit)
 
 
 def rater_icc(spark, sf_dir):
     """main5-1 [5]: ICC = τ² / (τ² + σ²) of the intercept-only model."""
-    d = rater_table(spark, sf_dir)
-    fit, _ = fit_random_intercept(d, "rater_id", "rating_score", [], ["Intercept"])
-    icc = fit.tau2 / (fit.tau2 + fit.sigma2) if fit.tau2 + fit.sigma2 > 0 else float("nan")
-    return spark.createDataFrame([(float(fit.tau2), float(fit.sigma2), float(icc), fit.n_groups, fit.n)],
-                                 "tau2 double, sigma2 double, icc double, n_raters long, n_obs long")
+    d, _, _ = full_model(spark, sf_dir)
+    fit, _ = fit_random_intercept(d, "rater_id", "rating_score", [], ["Intercept"], checkpoint=False)
+    return _icc_df(spark, fit)
 
 
 def bias_class(effect):
@@ -65,30 +108,13 @@ def bias_class(effect):
              .otherwise(NEUTRAL))
 
 
-def _effects(spark, sf_dir) -> DataFrame:
-    _, fit, gs = full_model(spark, sf_dir)
-    return random_effects(fit, gs, "rater_id")
-
-
 def rater_bias(spark, sf_dir):
     """main5-1 [6]: per rater the random effect and its bias class, largest first."""
-    e = _effects(spark, sf_dir)
-    return (e.select("rater_id", F.expr(sig_sql("random_effect")).alias("random_effect"),
-                     bias_class(F.col("random_effect")).alias("bias_type"))
-             .orderBy(F.col("random_effect").desc(), "rater_id"))
+    _, fit, gs = full_model(spark, sf_dir)
+    return _bias_df(random_effects(fit, gs, "rater_id"))
 
 
 def rater_adjusted(spark, sf_dir):
-    """main5-1 [7]: every rating minus its rater's effect (left join on rater).
-
-    The effect table has one row per rater; no broadcast hint — AQE broadcasts
-    it when its runtime size is small and splits a hot rater's partition.
-    """
+    """main5-1 [7]: every rating minus its rater's effect (left join on rater)."""
     d, fit, gs = full_model(spark, sf_dir)
-    e = random_effects(fit, gs, "rater_id")
-    # the rater table written once for the fit (no re-run of its source join)
-    r = d.select("employee_id", "rater_id", "rating_score")
-    j = r.join(e, "rater_id", "left")
-    return j.select("employee_id", "rater_id", "rating_score",
-                    F.expr(sig_sql("random_effect")).alias("random_effect"),
-                    F.expr(sig_sql("rating_score - random_effect")).alias("adjusted_rating_score"))
+    return _adjusted_df(d, random_effects(fit, gs, "rater_id"))

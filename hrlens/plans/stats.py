@@ -17,14 +17,17 @@ RATER_COLUMNS = ["employee_id", "rater_id", "rating_score", "department", "job_l
                  "performance_true", "goal_difficulty", "age", "tenure_years"]
 
 
-def large_active(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Active establishments with at least the summary headcount, with pay and year."""
-    est = establishments(spark, sf_dir)
-    base = est.where((F.col("status_code") == ACTIVE) & (F.col("headcount") >= PARAMS["summary_min_headcount"]))
+def large_active_df(est: DataFrame, min_headcount: int) -> DataFrame:
+    """Active establishments with at least ``min_headcount``, with pay and year (any registry)."""
+    base = est.where((F.col("status_code") == ACTIVE) & (F.col("headcount") >= min_headcount))
     return (with_annual_pay(base)
             .withColumn("year", F.year(date_column(base, "start_date", "yyyy-MM-dd"))))
 
 
+def large_active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return large_active_df(establishments(spark, sf_dir), PARAMS["summary_min_headcount"])
+
+
 def _industry(spark, sf_dir):
     return large_active(spark, sf_dir).where(F.col("industry_code").isin(*PARAMS["summary_industries"]))
 
@@ -38,10 +41,6 @@ def rater_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratings(spark, sf_dir).select(*RATER_COLUMNS).na.drop()
 
 
-def rater_table_materialized(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rater table written once for the multi-pass model fit."""
-    return materialize(rater_table(spark, sf_dir), repartition=False)
-
 
 # ANOVA -------------------------------------------------------------------------
 def anova_industry(spark, sf_dir):
@@ -135,10 +134,12 @@ def ols_line(spark, sf_dir):
     return spark.createDataFrame(pdf).withColumnRenamed("x", "headcount")
 
 
-def multi_design(spark, sf_dir):
-    base = large_active(spark, sf_dir)
-    base = base.where(F.col("industry_code").isin(*PARAMS["summary_industries"])
-                      & F.col("region_code").isin(*PARAMS["summary_regions"]))
+def multi_design_df(large: DataFrame, industries, regions):
+    """main4-5/4-6 design: pay ~ headcount + year + industry and region dummies (drop first).
+
+    ``large`` is ``large_active_df`` of any registry; returns (design, feature names).
+    """
+    base = large.where(F.col("industry_code").isin(*industries) & F.col("region_code").isin(*regions))
     base = (base.select("est_id", "annual_pay", "headcount", "year",
                         code_to_text("industry_code").alias("industry_code"),
                         code_to_text("region_code").alias("region_code")).na.drop())
@@ -148,6 +149,10 @@ def multi_design(spark, sf_dir):
     return d, ["headcount", "year"] + ind + reg
 
 
+def multi_design(spark, sf_dir):
+    return multi_design_df(large_active(spark, sf_dir), PARAMS["summary_industries"], PARAMS["summary_regions"])
+
+
 def ols_multi(spark, sf_dir):
     d, xs = multi_design(spark, sf_dir)
     fit = ols.ols_fit(d, "annual_pay", xs, diagnostics=False, checkpoint=False)

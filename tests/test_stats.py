@@ -122,3 +122,25 @@ def test_tukey_without_error_df_is_nan(spark):
     assert len(rows) == 3 and all(r["p_adj"] is None or r["p_adj"] != r["p_adj"] for r in rows)
     assert math.isnan(dist.qtukey(0.95, 3, 0)) and math.isnan(dist.ptukey(2.0, 3, 0))
     assert math.isnan(dist.psturng(2.0, 3, 0))
+
+
+def test_rater_reports_on_any_table(spark):
+    """The rater analysis runs on a user's own table (FIXTURES A5 columns), rows incomplete dropped."""
+    from hrlens.plans.rater import rater_reports
+    rng = np.random.default_rng(12)
+    rows = []
+    for r in range(30):
+        eff = rng.normal(0, 0.5)
+        for e in range(20):
+            rows.append((r * 100 + e, r, float(3 + eff + rng.normal(0, 1)), ["S", "E"][e % 2], ["J", "M"][e % 3 == 0],
+                         float(rng.random()), float(rng.random()), float(20 + e), float(e % 7)))
+    rows.append((9999, 1, None, "S", "J", 0.1, 0.1, 30.0, 1.0))
+    df = spark.createDataFrame(rows, "employee_id long, rater_id long, rating_score double, department string, "
+                                     "job_level string, performance_true double, goal_difficulty double, "
+                                     "age double, tenure_years double")
+    r = rater_reports(df)
+    assert r["adjusted"].count() == 600 and r["bias"].count() == 30
+    icc = r["icc"].first()
+    assert 0 < icc["icc"] < 1 and icc["n_obs"] == 600
+    terms = [x["term"] for x in r["mixed"].collect()]
+    assert terms[:3] == ["Intercept", "C(department)[T.S]", "C(job_level)[T.M]"] and terms[-1] == "Group Var"
