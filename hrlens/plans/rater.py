@@ -39,12 +39,17 @@ def design_df(raters: DataFrame):
     return d, xs, names
 
 
-def fit_rater_model(raters: DataFrame):
+def complete_raters(raters: DataFrame) -> DataFrame:
+    """The A5 columns with incomplete rows dropped, written once for the multi-pass fits."""
+    return materialize(raters.select(*RATER_COLUMNS).na.drop(), repartition=False)
+
+
+def fit_rater_model(raters: DataFrame, complete: DataFrame | None = None):
     """main5-1 full model on any rater table: (written design, fit, per-rater sums).
 
     ``raters`` must hold the A5 columns; incomplete rows are dropped first.
     """
-    complete = materialize(raters.select(*RATER_COLUMNS).na.drop(), repartition=False)
+    complete = complete_raters(raters) if complete is None else complete
     d, xs, names = design_df(complete)
     fit, gs = fit_random_intercept(d, "rater_id", "rating_score", xs, names, checkpoint=False)
     return d, fit, gs
@@ -60,8 +65,12 @@ def rater_reports(raters: DataFrame) -> dict:
             "adjusted": _adjusted_df(d, e)}
 
 
+def _complete(spark, sf_dir):
+    return memo(spark, sf_dir, "rater_complete", lambda: complete_raters(ratings(spark, sf_dir)))
+
+
 def full_model(spark, sf_dir):
-    return memo(spark, sf_dir, "rater_full", lambda: fit_rater_model(ratings(spark, sf_dir)))
+    return memo(spark, sf_dir, "rater_full", lambda: fit_rater_model(None, _complete(spark, sf_dir)))
 
 
 def _mixed_df(spark, fit):
@@ -97,8 +106,8 @@ def rater_mixed(spark, sf_dir):
 
 def rater_icc(spark, sf_dir):
     """main5-1 [5]: ICC = τ² / (τ² + σ²) of the intercept-only model."""
-    d, _, _ = full_model(spark, sf_dir)
-    fit, _ = fit_random_intercept(d, "rater_id", "rating_score", [], ["Intercept"], checkpoint=False)
+    fit, _ = fit_random_intercept(_complete(spark, sf_dir), "rater_id", "rating_score", [], ["Intercept"],
+                                  checkpoint=False)
     return _icc_df(spark, fit)
 
 
