@@ -40,6 +40,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -61,8 +62,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``hrlens`` importable in every Python worker (what ``--py-files`` does).
+
+    UDFs and ``mapInPandas`` functions refer to hrlens modules, so executors
+    must import the package.  Once per Spark application the package is zipped
+    on the driver and registered with ``addPyFile``; Spark copies it to each
+    executor.  Harmless where hrlens is installed on the workers already.
+    """
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="hrlens-pyfiles-"), "hrlens.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def apply_required_confs(spark: SparkSession) -> None:
     """Set the semantic confs on a session someone else built (runtime-settable only)."""
+    ship_package(spark)
     for k, v in REQUIRED_CONFS.items():
         try:
             if spark.conf.get(k, None) != v:
