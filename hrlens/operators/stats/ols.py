@@ -76,16 +76,8 @@ def ols_fit(df: DataFrame, y: str, xs: list[str], order_key: str | None = None,
     if n == 0:
         raise ValueError("OLS: no complete rows")
     means = {c: float(m[c]) for c in cols}
-    exprs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            exprs.append(F.sum((F.col(a) - F.lit(means[a])) * (F.col(b) - F.lit(means[b]))).alias(f"{a}|{b}"))
-    s = d.agg(*exprs).first().asDict()
     p = len(xs)
-    S = np.zeros((p + 1, p + 1))
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols[i:], start=i):
-            S[i, j] = S[j, i] = float(s[f"{a}|{b}"] or 0.0)
+    S = centred_gram(d, cols, means)
     Sxx, Sxy, Syy = S[:p, :p], S[:p, p], S[p, p]
     singular = np.linalg.matrix_rank(Sxx) < p if p else False
     Sinv = np.linalg.pinv(Sxx) if singular else np.linalg.inv(Sxx)
@@ -115,6 +107,50 @@ def ols_fit(df: DataFrame, y: str, xs: list[str], order_key: str | None = None,
     return fit
 
 
+WIDE_GRAM = 40
+
+
+def centred_gram(d: DataFrame, cols: list[str], means: dict, wide: int = WIDE_GRAM) -> np.ndarray:
+    """Σ (cᵢ − c̄ᵢ)(cⱼ − c̄ⱼ) over all rows, as a k×k numpy matrix.
+
+    Up to ``wide`` columns: one aggregate of k(k+1)/2 ``sum`` columns (codegen).
+    Wider designs (many dummy levels): each partition forms its own Gram matrix
+    with numpy in ``mapInPandas`` and emits it as one array row; Spark sums the
+    arrays element-wise (partial aggregation per position), so the driver still
+    receives only k² numbers.
+    """
+    k = len(cols)
+    if k <= wide:
+        exprs = [F.sum((F.col(a) - F.lit(means[a])) * (F.col(b) - F.lit(means[b]))).alias(f"g{i}_{j}")
+                 for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
+        r = d.agg(*exprs).first()
+        S = np.zeros((k, k))
+        for i in range(k):
+            for j in range(i, k):
+                S[i, j] = S[j, i] = float(r[f"g{i}_{j}"] or 0.0)
+        return S
+    mu = np.array([means[c] for c in cols])
+
+    def part(it):
+        G = np.zeros((k, k))
+        seen = False
+        for pdf in it:
+            if pdf.empty:
+                continue
+            X = pdf[cols].to_numpy(dtype="float64") - mu
+            G += X.T @ X
+            seen = True
+        if seen:
+            yield pd.DataFrame({"g": [G.reshape(-1).tolist()]})
+
+    parts = d.select(*cols).mapInPandas(part, "g array<double>")
+    summed = (parts.select(F.posexplode("g").alias("pos", "v")).groupBy("pos").agg(F.sum("v").alias("v")))
+    S = np.zeros(k * k)
+    for r in summed.collect():
+        S[int(r["pos"])] = float(r["v"])
+    return S.reshape(k, k)
+
+
 def _resid_expr(y: str, xs: list[str], fit: OlsFit):
     e = F.col(y) - F.lit(float(fit.coef[0]))
     for c, b in zip(xs, fit.coef[1:]):

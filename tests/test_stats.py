@@ -144,3 +144,16 @@ def test_rater_reports_on_any_table(spark):
     assert 0 < icc["icc"] < 1 and icc["n_obs"] == 600
     terms = [x["term"] for x in r["mixed"].collect()]
     assert terms[:3] == ["Intercept", "C(department)[T.S]", "C(job_level)[T.M]"] and terms[-1] == "Group Var"
+
+
+def test_wide_gram_matches_narrow(spark):
+    rng = np.random.default_rng(13)
+    n, k = 500, 6
+    X = rng.normal(size=(n, k)) * [1, 10, 100, 0.1, 1, 5] + 2000
+    cols = [f"c{i}" for i in range(k)]
+    df = spark.createDataFrame([tuple(map(float, r)) for r in X], ", ".join(f"{c} double" for c in cols)).repartition(3)
+    means = {c: float(X[:, i].mean()) for i, c in enumerate(cols)}
+    narrow = ols.centred_gram(df, cols, means, wide=40)
+    wide = ols.centred_gram(df, cols, means, wide=2)
+    Xc = X - X.mean(axis=0)
+    assert np.allclose(narrow, Xc.T @ Xc, rtol=1e-9) and np.allclose(wide, narrow, rtol=1e-9)
