@@ -32,9 +32,22 @@ REGISTRY_HEADERS = {
 REGISTRY_ENCODING = "MS949"
 
 
+def require_charset(spark: SparkSession, encoding: str) -> None:
+    """Korean code pages need ``spark.sql.legacy.javaCharsets``; set it or fail early."""
+    if encoding.upper().replace("-", "") in ("UTF8", "USASCII", "ISO88591", "UTF16"):
+        return
+    key = "spark.sql.legacy.javaCharsets"
+    if spark.conf.get(key, "false") != "true":
+        try:
+            spark.conf.set(key, "true")
+        except Exception as e:  # pragma: no cover - depends on the deployment
+            raise RuntimeError(f"reading {encoding} needs {key}=true in the session") from e
+
+
 def read_text_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", header: bool = True,
                   columns: list[str] | None = None) -> DataFrame:
     """Every column as a string (no inference pass over the file)."""
+    require_charset(spark, encoding)
     r = spark.read.option("header", header).option("encoding", encoding).option("mode", "PERMISSIVE")
     if columns:
         r = r.schema(StructType([StructField(c, StringType()) for c in columns]))

@@ -19,6 +19,7 @@ def test_cp949_registry(spark):
              "사아자,2,300,5000000,11,551001,1999-01-01,2025-03-04,0,2"]
     with open(os.path.join(d, "r.csv"), "w", encoding="cp949") as f:
         f.write("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "false")  # the reader must turn it on itself
     df = read_registry_csv(spark, d)
     rows = {r["est_name"]: r for r in df.collect()}
     assert set(rows) == {"가나다(주)", "라마바", "사아자"}
