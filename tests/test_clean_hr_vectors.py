@@ -136,3 +136,10 @@ def test_date_column_pushes_down(spark):
     assert "GreaterThanOrEqual(end_date,1999-01-01)" in buf.getvalue()
     assert "EqualTo(status_code,2)" in buf.getvalue()
     assert [tuple(r) for r in df.collect()] == [(3, 1)]
+
+
+def test_centroids_are_unit_norm(spark):
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    rows = E.queries()["person_centroids"](spark, SF_SMALL).collect()
+    assert rows and all(abs(sum(x * x for x in r["centroid"]) - 1.0) < 1e-6 for r in rows)
