@@ -13,7 +13,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ...functions.clean import round_sig
 from .dist import f_sf, psturng, qtukey
@@ -25,22 +25,18 @@ def f_pvalue_udf(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
                      dtype="float64")
 
 
-@F.pandas_udf(DoubleType())
-def tukey_pvalue_udf(q: pd.Series, k: pd.Series, nu: pd.Series) -> pd.Series:
-    return pd.Series([psturng(a, int(b), c) if pd.notna(a) else None for a, b, c in zip(q, k, nu)],
-                     dtype="float64")
-
-
-@F.pandas_udf(DoubleType())
-def tukey_qcrit_udf(alpha: pd.Series, k: pd.Series, nu: pd.Series) -> pd.Series:
-    cache: dict = {}
-    out = []
-    for a, b, c in zip(alpha, k, nu):
-        key = (a, int(b), c)
-        if key not in cache:
-            cache[key] = qtukey(1.0 - a, int(b), c)
-        out.append(cache[key])
-    return pd.Series(out, dtype="float64")
+@F.pandas_udf(StructType([StructField("p_adj", DoubleType()), StructField("q_crit", DoubleType())]))
+def tukey_udf(q: pd.Series, k: pd.Series, nu: pd.Series, alpha: pd.Series) -> pd.DataFrame:
+    """Adjusted p-value and critical value per pair, one Python pass (q_crit cached per (α, k, ν))."""
+    crit: dict = {}
+    p_adj, q_crit = [], []
+    for a, b, c, al in zip(q, k, nu, alpha):
+        key = (al, int(b), c)
+        if key not in crit:
+            crit[key] = qtukey(1.0 - al, int(b), c)
+        q_crit.append(crit[key])
+        p_adj.append(psturng(a, int(b), c) if pd.notna(a) else None)
+    return pd.DataFrame({"p_adj": pd.Series(p_adj, dtype="float64"), "q_crit": pd.Series(q_crit, dtype="float64")})
 
 
 def clean_groups(df: DataFrame, group_col: str, value: Column | str) -> DataFrame:
@@ -133,9 +129,10 @@ def tukey_table(df: DataFrame, group_col: str, value: Column | str) -> DataFrame
 def tukey_hsd(df: DataFrame, group_col: str, value: Column | str, alpha: float = 0.05) -> DataFrame:
     """Tukey HSD: group1, group2, meandiff, p-adj, lower, upper, reject (α = 0.05)."""
     p = _pairs(df, group_col, value)
-    qc = tukey_qcrit_udf(F.lit(alpha), F.col("k"), F.col("df_within"))
-    p = (p.withColumn("q_crit", qc)
-          .withColumn("p_adj", tukey_pvalue_udf("q_stat", "k", "df_within"))
+    t = tukey_udf(F.col("q_stat"), F.col("k"), F.col("df_within"), F.lit(alpha))
+    p = (p.withColumn("t", t)
+          .withColumn("q_crit", F.col("t.q_crit"))
+          .withColumn("p_adj", F.col("t.p_adj"))
           .withColumn("lower", F.col("meandiff") - F.col("q_crit") * F.col("std_pair"))
           .withColumn("upper", F.col("meandiff") + F.col("q_crit") * F.col("std_pair")))
     return p.select("group1", "group2", round_sig("meandiff").alias("meandiff"),
