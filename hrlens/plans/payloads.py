@@ -28,7 +28,7 @@ def _to_10k(c: Column) -> Column:
 
 
 def pay_api_topk(spark, sf_dir):
-    """main4-7: the year's top-n organisations by pay, in 10k won."""
+    """The year's top-n organisations by pay, in 10k won."""
     items = pay_items(spark, sf_dir).where(F.col("pay_year") == PAY_PARAMS["year"])
     out = top_k(items, PAY_PARAMS["top_n"], [F.col("amount").desc(), "org_name"])
     return out.select("rank", "org_name", F.col("amount").alias("avg_pay_thousand"),
@@ -36,7 +36,7 @@ def pay_api_topk(spark, sf_dir):
 
 
 def pay_growth_topk(spark, sf_dir):
-    """main4-8: organisations present in both years, top-n by pay rise.
+    """Organisations present in both years, top-n by pay rise.
 
     J1: inner join on the name.  The API lists an organisation once per year,
     so the join is one-to-one; AQE's skew rule splits oversized partitions.
@@ -64,25 +64,25 @@ def _pages(spark, sf_dir):
 
 
 def news_rss(spark, sf_dir):
-    """main.py / main2-1.py: feed entries (title, link, published)."""
+    """News feed: entries (title, link, published)."""
     return pl.parse_rss(pl.rss_payloads(_pages(spark, sf_dir), NEWS_PARAMS["rss_items_per_feed"]))
 
 
 def news_json(spark, sf_dir):
-    """main3.py: search-response items as rows."""
+    """News search: response items as rows."""
     return pl.parse_news_json(pl.news_json_payloads(_pages(spark, sf_dir), NEWS_PARAMS["json_display"])) \
              .select("title", "link", "description", F.col("pubDate").alias("pub_date"))
 
 
 def news_clean(spark, sf_dir):
-    """main3.py: title and description with tags stripped and entities decoded."""
+    """News search: title and description with tags stripped and entities decoded."""
     rows = news_json(spark, sf_dir)
     return rows.select(clean_html("title").alias("title"), "link",
                        clean_html("description").alias("description"), "pub_date")
 
 
 def news_search_urls(spark, sf_dir):
-    """main.py / main2-1.py: request URL and output file stem for a keyword.
+    """News feed: request URL and output file stem for a keyword.
 
     Keywords are the cleaned page titles (one request per page); the keyword is
     percent-encoded like ``urllib.parse.quote`` and stripped of spaces for the
@@ -112,7 +112,7 @@ def absolute_url(href: Column, base: Column) -> Column:
 
 
 def page_links_topn(spark, sf_dir):
-    """main1-3.py: first n http(s) links of each page, numbered SH1..SHn.
+    """Image links: first n http(s) links of each page, numbered SH1..SHn.
 
     Array functions per row — no shuffle, no window.
     """

@@ -45,7 +45,7 @@ def complete_raters(raters: DataFrame) -> DataFrame:
 
 
 def fit_rater_model(raters: DataFrame, complete: DataFrame | None = None):
-    """main5-1 full model on any rater table: (written design, fit, per-rater sums).
+    """The full rater model on any rater table: (written design, fit, per-rater sums).
 
     ``raters`` must hold the A5 columns; incomplete rows are dropped first.
     """
@@ -56,7 +56,7 @@ def fit_rater_model(raters: DataFrame, complete: DataFrame | None = None):
 
 
 def rater_reports(raters: DataFrame) -> dict:
-    """Every main5-1 table for any rater table: mixed, icc, bias, adjusted."""
+    """Every rater-bias table for any rater table: mixed, icc, bias, adjusted."""
     spark = raters.sparkSession
     d, fit, gs = fit_rater_model(raters)
     null_fit, _ = fit_random_intercept(d, "rater_id", "rating_score", [], ["Intercept"], checkpoint=False)
@@ -99,13 +99,13 @@ def _adjusted_df(d: DataFrame, e: DataFrame) -> DataFrame:
 
 
 def rater_mixed(spark, sf_dir):
-    """main5-1 [4]: fixed effects with z tests and the group (rater) variance."""
+    """Fixed effects with z tests and the group (rater) variance."""
     _, fit, _ = full_model(spark, sf_dir)
     return _mixed_df(spark, fit)
 
 
 def rater_icc(spark, sf_dir):
-    """main5-1 [5]: ICC = τ² / (τ² + σ²) of the intercept-only model."""
+    """ICC = τ² / (τ² + σ²) of the intercept-only model."""
     fit, _ = fit_random_intercept(_complete(spark, sf_dir), "rater_id", "rating_score", [], ["Intercept"],
                                   checkpoint=False)
     return _icc_df(spark, fit)
@@ -118,12 +118,12 @@ def bias_class(effect):
 
 
 def rater_bias(spark, sf_dir):
-    """main5-1 [6]: per rater the random effect and its bias class, largest first."""
+    """Per rater the random effect and its bias class, largest first."""
     _, fit, gs = full_model(spark, sf_dir)
     return _bias_df(random_effects(fit, gs, "rater_id"))
 
 
 def rater_adjusted(spark, sf_dir):
-    """main5-1 [7]: every rating minus its rater's effect (left join on rater)."""
+    """Every rating minus its rater's effect (left join on rater)."""
     d, fit, gs = full_model(spark, sf_dir)
     return _adjusted_df(d, random_effects(fit, gs, "rater_id"))

@@ -45,7 +45,7 @@ def _est(spark: SparkSession, sf_dir: str) -> DataFrame:
     return establishments(spark, sf_dir)
 
 
-# main3-1: pay top-k of large active establishments ------------------------------
+# pay top-k of large active establishments ---------------------------------------
 def pay_topk_large_df(est: DataFrame, min_headcount: int, k: int) -> DataFrame:
     base = (est.where((F.col("status_code") == ACTIVE) & (F.col("headcount") >= min_headcount))
                .select("est_id", "est_name", "headcount",
@@ -59,7 +59,7 @@ def pay_topk_large(spark, sf_dir):
     return pay_topk_large_df(_est(spark, sf_dir), PARAMS["large_headcount"], PARAMS["top_k"])
 
 
-# main3-2: headcount top-k in two regions -----------------------------------------
+# headcount top-k in two regions --------------------------------------------------
 def headcount_topk_region_df(est: DataFrame, regions, k: int) -> DataFrame:
     base = (est.where(F.col("region_code").isin(*regions) & F.col("headcount").isNotNull())
                .select("est_id", "est_name", "region_code", "headcount"))
@@ -71,7 +71,7 @@ def headcount_topk_region(spark, sf_dir):
     return headcount_topk_region_df(_est(spark, sf_dir), PARAMS["topk_regions"], PARAMS["top_k"])
 
 
-# main3-3: closures per month of one year -----------------------------------------
+# closures per month of one year --------------------------------------------------
 def closures_by_month_df(est: DataFrame, year: int, all_months: bool = False) -> DataFrame:
     """Closures per month of ``year``; ``all_months`` adds zero rows for empty months (A8 axis)."""
     end = date_column(est, "end_date")
@@ -93,7 +93,7 @@ def closures_by_month(spark, sf_dir):
     return closures_by_month_df(_est(spark, sf_dir), PARAMS["closure_year"])
 
 
-# main3-4: net inflow top-k within one industry ------------------------------------
+# net inflow top-k within one industry ---------------------------------------------
 def net_inflow_topk_df(est: DataFrame, industry, k: int) -> DataFrame:
     base = (est.where((F.col("status_code") == ACTIVE) & (F.col("industry_code") == F.lit(industry)))
                .select("est_id", "est_name", (F.col("joiners") - F.col("leavers")).alias("net_inflow"))
@@ -106,7 +106,7 @@ def net_inflow_topk(spark, sf_dir):
     return net_inflow_topk_df(_est(spark, sf_dir), PARAMS["industry"], PARAMS["top_k"])
 
 
-# main3-5: one company against its industry mean ---------------------------------
+# one company against its industry mean ------------------------------------------
 def pay_vs_industry_df(est: DataFrame, industry, target_name: str) -> DataFrame:
     """Industry mean pay and the company's pay (its first row by est_id), one pass."""
     peers = (est.where((F.col("status_code") == ACTIVE) & (F.col("industry_code") == F.lit(industry)))
@@ -126,7 +126,7 @@ def pay_vs_industry(spark, sf_dir):
     return pay_vs_industry_df(_est(spark, sf_dir), PARAMS["industry"], PARAMS["target_name"])
 
 
-# main3-6: mean pay of named peers ------------------------------------------------
+# mean pay of named peers ---------------------------------------------------------
 def peer_pay_df(est: DataFrame, names) -> DataFrame:
     return (est.where((F.col("status_code") == ACTIVE) & F.col("est_name").isin(*names))
                .groupBy("est_name")
@@ -139,7 +139,7 @@ def peer_pay(spark, sf_dir):
     return peer_pay_df(_est(spark, sf_dir), PARAMS["peer_names"])
 
 
-# main3-7: affiliates by name substring --------------------------------------------
+# affiliates by name substring -----------------------------------------------------
 def _affiliates(est: DataFrame, substring: str) -> DataFrame:
     return (est.where((F.col("status_code") == ACTIVE) & contains_text("est_name", substring))
                .groupBy("est_name")
@@ -170,7 +170,7 @@ def affiliate_rank(spark, sf_dir):
                              PARAMS["affiliate_target"])
 
 
-# main4-1 / main4-2: count and mean pay per group ---------------------------------
+# count and mean pay per group ----------------------------------------------------
 def pay_summary_df(est: DataFrame, group_col: str, values, min_headcount: int) -> DataFrame:
     base = (with_annual_pay(
         est.where((F.col("status_code") == ACTIVE) & (F.col("headcount") >= min_headcount)

@@ -135,7 +135,7 @@ def ols_line(spark, sf_dir):
 
 
 def multi_design_df(large: DataFrame, industries, regions):
-    """main4-5/4-6 design: pay ~ headcount + year + industry and region dummies (drop first).
+    """Multiple-regression and model design: pay ~ headcount + year + industry and region dummies (drop first).
 
     ``large`` is ``large_active_df`` of any registry; returns (design, feature names).
     """

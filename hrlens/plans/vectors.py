@@ -32,12 +32,12 @@ def _centroids(spark, sf_dir) -> DataFrame:
 
 
 def person_centroids(spark, sf_dir):
-    """main1-4: unit-norm mean of each person's unit-norm reference vectors."""
+    """Unit-norm mean of each person's unit-norm reference vectors."""
     return _centroids(spark, sf_dir).select("person", "n_refs", _sig_vec("centroid").alias("centroid"))
 
 
 def person_match(spark, sf_dir):
-    """main1-4: each target vector's best person by cosine, or 'unknown' below 0.35."""
+    """Each target vector's best person by cosine, or 'unknown' below 0.35."""
     e = _embeddings(spark, sf_dir)
     m = nearest_centroid(e.where(F.col("is_target")), "vec_id", "embedding", _centroids(spark, sf_dir),
                          SIM_THRESHOLD, UNKNOWN)
@@ -47,7 +47,7 @@ def person_match(spark, sf_dir):
 
 
 def largest_box(spark, sf_dir):
-    """main1-4 (largest face per image) over a numeric stand-in: per order, the
+    """Largest face per image, over a numeric stand-in: per order, the
     line item with the largest box (x1=discount, y1=tax, x2=quantity,
     y2=extendedprice/1000); ties → first line (line number, part, supplier)."""
     li = read_table(spark, sf_dir, "lineitem")
