@@ -11,7 +11,9 @@ from ..operators.topk import top_k
 from ..sources import payloads as pl
 from ..sources.tables import pay_by_year, read_table
 
-# Stand-in parameters (reference: the 2024 list, growth 2023 → 2024).
+# Stand-in parameters: years mapped to the test data (reference: the 2024 list,
+# growth 2023 → 2024).  Fixed values: top 20, 500 rows per API page, 30 items per
+# news search, the SH<n>.jpg naming and the 20-image cap of the link collector.
 PAY_PARAMS = {"year": 2000, "growth_from": 1999, "growth_to": 2000, "top_n": 20, "page_size": 500}
 NEWS_PARAMS = {"rss_items_per_feed": 100, "json_display": 30}
 SEARCH_PARAMS = {"base": "https://news.example.com/rss/search?q=", "suffix": "&hl=ko", "file_prefix": "News_"}
