@@ -55,8 +55,7 @@ def pay_growth_topk(spark, sf_dir):
 def api_status_gate(spark, sf_dir):
     """Every response page with its result code and whether it is used."""
     p = pl.api_status(pl.pay_api_payloads(pay_by_year(spark, sf_dir), PAY_PARAMS["page_size"]))
-    n = F.coalesce(F.size(F.from_xml("payload", pl.PAY_PAYLOAD_SCHEMA, pl.XML_OPTS)["body"]["items"]["item"]),
-                   F.lit(0))
+    n = F.coalesce(F.size(F.col("x.body.items.item")), F.lit(0))
     return p.select("pay_year", "page_no", "result_code", "result_msg", "accepted",
                     F.greatest(n, F.lit(0)).alias("n_items"))
 

@@ -78,24 +78,37 @@ def pay_api_payloads(items: DataFrame, page_size: int = 500) -> DataFrame:
     return ok.unionByName(nxt)
 
 
+def parsed_pay_payloads(payloads: DataFrame) -> DataFrame:
+    """Each response parsed once: the payload columns plus ``x`` (header and items)."""
+    return payloads.select("*", F.from_xml("payload", PAY_PAYLOAD_SCHEMA, XML_OPTS).alias("x"))
+
+
 def api_status(payloads: DataFrame) -> DataFrame:
-    """Result code and message per payload, and whether it is accepted."""
-    code = F.xpath_string("payload", F.lit("//resultCode"))
-    msg = F.xpath_string("payload", F.lit("//resultMsg"))
-    return payloads.select("*", code.alias("result_code"), msg.alias("result_msg"),
-                           code.isin(*API_OK_CODES).alias("accepted"))
+    """Result code and message per payload, and whether it is accepted.
+
+    Read from the one parse of the response (``response/header``); the item
+    count comes from the same parse.
+    """
+    p = parsed_pay_payloads(payloads)
+    code = F.col("x.header.resultCode")
+    return p.select(*payloads.columns, "x", code.alias("result_code"),
+                    F.col("x.header.resultMsg").alias("result_msg"),
+                    F.coalesce(code.isin(*API_OK_CODES), F.lit(False)).alias("accepted"))
 
 
 def parse_pay_payloads(payloads: DataFrame) -> DataFrame:
     """S6 + F7 + F8: accepted payloads → (pay_year, org_name, amount) rows.
 
-    Items with an empty name/amount or an amount that does not parse are
-    skipped, as the analysis does.
+    One XML parse per response: rejected responses contribute an empty item
+    list inside the same projection (a Filter on the parsed status would be
+    pushed below it and parse the document a second time).  Items with an
+    empty name/amount or an amount that does not parse are skipped, as the
+    analysis does.
     """
-    acc = api_status(payloads).where("accepted")
-    parsed = acc.select("pay_year", F.from_xml("payload", PAY_PAYLOAD_SCHEMA, XML_OPTS).alias("x"))
-    items = parsed.select("pay_year", F.inline(F.coalesce(F.col("x.body.items.item"),
-                                                          F.array().cast("array<struct<ENT_NAME:string,N_SUM:string>>"))))
+    st = api_status(payloads)
+    empty = F.array().cast("array<struct<ENT_NAME:string,N_SUM:string>>")
+    gated = F.when(F.col("accepted"), F.col("x.body.items.item"))
+    items = st.select("pay_year", F.inline(F.coalesce(gated, empty)))
     return (items.where(non_empty("ENT_NAME") & non_empty("N_SUM"))
                  .select("pay_year", F.col("ENT_NAME").alias("org_name"),
                          money_text_to_long("N_SUM").alias("amount"))
