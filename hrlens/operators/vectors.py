@@ -35,9 +35,14 @@ def l2_norm(v: Column) -> Column:
 
 
 def normalize(v: Column) -> Column:
-    """v/‖v‖; the zero vector is returned unchanged; NULL stays NULL."""
-    n = l2_norm(v)
-    return F.when(n == 0, v).otherwise(F.transform(v, lambda x: x / n))
+    """v/‖v‖; the zero vector is returned unchanged; NULL stays NULL.
+
+    The sum of squares is folded once and handed to the finish function, so
+    the per-element division reads a lambda variable instead of recomputing
+    the norm for every element.
+    """
+    return F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x,
+                       lambda ss: F.when(ss == 0, v).otherwise(F.transform(v, lambda x: x / F.sqrt(ss))))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -101,9 +106,11 @@ def nearest_centroid(targets: DataFrame, id_col: str, vec: str, cent: DataFrame,
     init = F.struct(F.lit(None).cast("string").alias("person"), F.lit(-1.0).alias("sim"))
 
     def step(acc, g):
-        s = dot(F.col("t"), g["centroid"])
-        return F.when(s > acc["sim"], F.struct(g["person"].cast("string").alias("person"), s.alias("sim"))) \
-                .otherwise(acc)
+        # the dot product is folded once and compared in the finish function
+        prods = F.zip_with(F.col("t"), g["centroid"], lambda x, y: x * y)
+        return F.aggregate(prods, F.lit(0.0), lambda a, x: a + x,
+                           lambda s: F.when(s > acc["sim"], F.struct(g["person"].cast("string").alias("person"),
+                                                                     s.alias("sim"))).otherwise(acc))
 
     best = F.when(F.col("t").isNull(), init).otherwise(F.aggregate("gallery", init, step))
     per_block = j.select(id_col, best.alias("b"))
