@@ -143,3 +143,27 @@ def test_centroids_are_unit_norm(spark):
     from conftest import SF_SMALL
     rows = E.queries()["person_centroids"](spark, SF_SMALL).collect()
     assert rows and all(abs(sum(x * x for x in r["centroid"]) - 1.0) < 1e-6 for r in rows)
+
+
+def test_money_text_matches_python_rule(spark):
+    """F7 against the Python rule (drop commas, cut at '.', int(), else skip) on generated text."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    def rule(s):
+        try:
+            return int(s.replace(",", "").split(".")[0])
+        except ValueError:
+            return None
+
+    samples = []
+
+    @settings(max_examples=300, deadline=None, database=None)
+    @given(st.text(alphabet="0123456789,.+- ", min_size=1, max_size=10))
+    def gen(s):
+        samples.append(s)
+
+    gen()
+    got = [r[0] for r in spark.createDataFrame([(s,) for s in samples], "s string")
+           .select(C.money_text_to_long("s")).collect()]
+    assert [g for g in got] == [rule(s) for s in samples]
