@@ -26,8 +26,11 @@ def to_number(c: ColumnOrName) -> Column:
     Surrounding blanks are accepted (``' 12 '`` → 12.0); ``'1,234'`` and ``'abc'``
     become NULL, like a coercing parse.
     """
-    d = _try_cast(F.trim(_c(c).cast("string")), "double")
-    return F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
+    t = F.trim(_c(c).cast("string"))
+    d = _try_cast(t, "double")
+    # text that overflows a double is not a number (only an explicit 'inf' is infinite)
+    overflow = (F.abs(d) == F.lit(float("inf"))) & ~F.lower(t).rlike("^[+-]?inf(inity)?$")
+    return F.when(F.isnan(d) | overflow, F.lit(None).cast("double")).otherwise(d)
 
 
 def _try_cast(c: Column, type_: str) -> Column:

@@ -167,3 +167,28 @@ def test_money_text_matches_python_rule(spark):
     got = [r[0] for r in spark.createDataFrame([(s,) for s in samples], "s string")
            .select(C.money_text_to_long("s")).collect()]
     assert [g for g in got] == [rule(s) for s in samples]
+
+
+def test_to_number_matches_pandas_coerce(spark):
+    """P18 against pandas' to_numeric(errors='coerce') on generated numeric-looking text."""
+    import math
+
+    import pandas as pd
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    samples = ["inf", "-inf", "nan", "1e3", " 12 ", "1_000", "0x10", ".5", "5.", "+.5e-1", "5e763"]
+
+    @settings(max_examples=300, deadline=None, database=None)
+    @given(st.text(alphabet="0123456789.,-+e ", min_size=1, max_size=8))
+    def gen(s):
+        samples.append(s)
+
+    gen()
+    got = [r[0] for r in spark.createDataFrame([(s,) for s in samples], "s string").select(C.to_number("s")).collect()]
+    want = pd.to_numeric(pd.Series(samples), errors="coerce")
+    for s, g, w in zip(samples, got, want):
+        if pd.isna(w):
+            assert g is None, s
+        else:
+            assert g == w or (math.isinf(g) and math.isinf(w) and (g > 0) == (w > 0)), s
