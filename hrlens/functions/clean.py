@@ -71,8 +71,21 @@ def to_date_tolerant(c: ColumnOrName, patterns: Iterable[str] | str | None = Non
         patterns = (patterns,)
     pats = tuple(patterns or DEFAULT_DATE_PATTERNS)
     s = F.trim(x.cast("string"))
-    parsed = [F.try_to_timestamp(s, F.lit(p)).cast("date") for p in pats]
-    return F.coalesce(*parsed)
+    return F.coalesce(*[_parse_one(s, p) for p in pats])
+
+
+# yyyy<sep>MM<sep>dd patterns accept one- or two-digit month and day (as strptime's
+# %m/%d do) but nothing longer: a lenient pattern behind a shape check.
+_YMD = {"yyyy-MM-dd": ("yyyy-M-d", r"^\d{4}-\d{1,2}-\d{1,2}$"),
+        "yyyy/MM/dd": ("yyyy/M/d", r"^\d{4}/\d{1,2}/\d{1,2}$"),
+        "yyyy.MM.dd": ("yyyy.M.d", r"^\d{4}\.\d{1,2}\.\d{1,2}$")}
+
+
+def _parse_one(s: Column, pattern: str) -> Column:
+    if pattern in _YMD:
+        lenient, shape = _YMD[pattern]
+        return F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(lenient)).cast("date"))
+    return F.try_to_timestamp(s, F.lit(pattern)).cast("date")
 
 
 def date_column(df, name: str, patterns: Iterable[str] | str | None = None) -> Column:
