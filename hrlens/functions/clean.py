@@ -58,7 +58,11 @@ def code_to_text(c: ColumnOrName) -> Column:
 
 
 # F10 / D3 --------------------------------------------------------------------
-DEFAULT_DATE_PATTERNS = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd", "yyyy.MM.dd", "yyyy-MM-dd HH:mm:ss")
+# Layouts tried when no format is given (a coercing parse without a format infers
+# these; slashed day-month order follows its month-first default).
+DEFAULT_DATE_PATTERNS = ("yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd", "yyyy.MM.dd", "yyyy-MM-dd HH:mm:ss",
+                         "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.SSS",
+                         "MM/dd/yyyy")
 
 
 def to_date_tolerant(c: ColumnOrName, patterns: Iterable[str] | str | None = None) -> Column:

@@ -208,3 +208,13 @@ def test_fixed_format_dates_match_strptime(spark):
         except ValueError:
             want.append(None)
     assert got == want
+
+
+def test_free_format_dates_match_pandas(spark):
+    import pandas as pd
+    samples = ["2020-01-05", "2020-01-05T10:11:12", "2020-01-05 10:11", "01/05/2020", "2020/01/05", "20200105",
+               "2020-01-05T10:11:12.345", "junk"]
+    got = [r[0] for r in spark.createDataFrame([(x,) for x in samples], "s string")
+           .select(C.to_date_tolerant("s")).collect()]
+    want = [None if pd.isna(v) else v.date() for v in (pd.to_datetime(x, errors="coerce") for x in samples)]
+    assert got == want
