@@ -42,3 +42,11 @@ def test_closures_month_spine(spark):
                                  (2, dt.date(2000, 1, 1))], "status_code int, end_date date")
     rows = [tuple(r) for r in closures_by_month_df(est, 1999, all_months=True).collect()]
     assert len(rows) == 12 and rows[2] == (3, 2) and rows[3] == (4, 0)
+
+
+def test_cli_lists_keys_and_rejects_unknown(capsys):
+    from hrlens.__main__ import main
+    assert main(["--list"]) == 0
+    lines = capsys.readouterr().out.strip().splitlines()
+    assert len(lines) == 60 and lines[0].startswith("pay_topk_large")
+    assert main(["no_such_key"]) == 2
