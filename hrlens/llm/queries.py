@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dac, fingerprints, lm, secrets, sharding, toxicity
+from . import dac, fingerprints, lm, neardup, secrets, sharding, toxicity
 from .common import Scratch
 
 
@@ -35,6 +35,10 @@ def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), n_words=2)
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -56,7 +60,7 @@ def op10_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op3_sharding, op4_fingerprints, op5_language_model, op9_secrets, op10_dac)}
+    return {f.__name__: f for f in (op1_toxicity, op3_sharding, op4_fingerprints, op5_language_model, op7_minhash, op9_secrets, op10_dac)}
 
 
 def oracle_sql() -> dict[str, str]:
