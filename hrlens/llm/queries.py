@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dac, fingerprints, lm, neardup, secrets, sharding, toxicity
+from . import dac, decontaminate, fingerprints, lm, mixing, neardup, secrets, sharding, toxicity
 from .common import Scratch
 
 
@@ -20,6 +20,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(docs, toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, _ = mixing.mixing_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (sharding.assign_shards(table(spark, sf_dir, "documents"))
             .withColumn("law", F.lit("bytes")).withColumn("grown_shard", F.lit(None).cast("int"))
@@ -35,6 +40,10 @@ def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), n_words=2)
 
@@ -60,7 +69,7 @@ def op10_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op3_sharding, op4_fingerprints, op5_language_model, op7_minhash, op9_secrets, op10_dac)}
+    return {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_sharding, op4_fingerprints, op5_language_model, op6_decontamination, op7_minhash, op9_secrets, op10_dac)}
 
 
 def oracle_sql() -> dict[str, str]:
