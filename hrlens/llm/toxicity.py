@@ -92,11 +92,14 @@ def train(positives: list[str], unlabelled: list[str], prior: float, n_models: i
     if not positives or not unlabelled:
         p = min(max(prior, 1e-4), 0.25)
         return ToxicityModel({}, np.array([np.log(p / (1 - p))]))
-    docs = [{f for w in words_of(t) for f in features_of(w)} for t in (*positives, *unlabelled)]
     n_pos, n_unl = len(positives), len(unlabelled)
-    in_pos = Counter(f for d in docs[:n_pos] for f in d)
+    in_pos: Counter = Counter()
+    for t in positives:
+        in_pos.update({f for w in words_of(t) for f in features_of(w)})
     in_pos = {f: c for f, c in in_pos.items() if c >= min_docs}
-    in_unl = Counter(f for d in docs[n_pos:] for f in d if f in in_pos)
+    in_unl: Counter = Counter()
+    for t in unlabelled:
+        in_unl.update({f for w in words_of(t) for f in features_of(w) if f in in_pos})
     ranked = []
     for f, c in in_pos.items():
         a, u = c / n_pos, in_unl.get(f, 0) / n_unl
@@ -107,8 +110,8 @@ def train(positives: list[str], unlabelled: list[str], prior: float, n_models: i
     names = [f for _, f in sorted(ranked)[:max_features]]
     at = {f: i for i, f in enumerate(names)}
     rows, cols = [], []
-    for i, d in enumerate(docs):
-        hit = [at[f] for f in d if f in at]
+    for i, t in enumerate((*positives, *unlabelled)):
+        hit = list({at[f] for w in words_of(t) for f in features_of(w) if f in at})
         rows += [i] * len(hit)
         cols += hit
     rows, cols = np.array(rows, np.int64), np.array(cols, np.int64)
