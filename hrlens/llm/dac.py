@@ -111,22 +111,31 @@ class WordEncoder:
 
     The tokenizer's pattern lets a match begin with one space but never run from a non-space character into a space.
     So a text may be cut before every space that stands between two non-space characters, and the pieces' ids
-    joined: the result equals encoding the whole text.  About ``limit`` pieces are remembered.
+    joined: the result equals encoding the whole text.  About ``limit`` pieces are remembered; beyond that the third
+    used most stays.
     """
 
     _NEAR_SPACE = re.compile(r"[\s]\s")
     _TOGETHER = 2000
+    _PUNCTUATION = ".,;:!?|)"
+    #: Marks a piece that has no space before it.
+    _BARE = " "
 
     def __init__(self, path: str, limit: int = 600_000):
         from tokenizers import Tokenizer
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        self._reset()
-
-    def _reset(self) -> None:
         self.known = _Pieces()
         self.flat, self.used = np.empty(1 << 16, np.uint32), 0
-        self.start, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.start, self.size, self.uses = (np.empty(0, np.int64) for _ in range(3))
+
+    def _forget(self) -> None:
+        keep = np.sort(np.argpartition(-self.uses, self.limit // 3)[:self.limit // 3])
+        pieces = list(self.known)
+        self.flat, size = self._gather(keep)
+        self.start, self.size, self.uses, self.used = np.cumsum(size) - size, size, self.uses[keep], len(self.flat)
+        self.known = _Pieces()
+        self.known.update({pieces[k]: i for i, k in enumerate(keep.tolist())})
 
     @classmethod
     def pieces(cls, text: str) -> list[str]:
@@ -143,20 +152,64 @@ class WordEncoder:
                 else:
                     out[-1] += " " + w
             words = out
-        words[0] = " " + words[0]
+        words[0] = cls._BARE + words[0]
         return words
 
-    def _learn(self, new: list[str]) -> None:
-        """Encode new pieces.  Those without line breaks go together, one a line: a line break before a space is a
-        token of its own, so the ids are cut there."""
-        whole = [p[1:] if p[0] == " " else " " + p for p in new]
-        lined = [i for i, p in enumerate(new) if p[0] != " " and "\n" not in p]
+    def _learn(self) -> None:
+        """Encode the new pieces.  A word that ends in punctuation is the word and the punctuation, which the pattern
+        always separates; so only words and punctuation themselves are encoded."""
+        parts: list[tuple[int, int] | None] = []
+        pieces, number = self.known.new, self.known.__getitem__
+        i = 0
+        while i < len(pieces):  # words found here are appended and handled in turn
+            p = pieces[i]
+            core = p.rstrip(self._PUNCTUATION)
+            if len(core) < len(p) and core and core[-1].isalnum():
+                parts.append((number(core), number(self._BARE + p[len(core):])))
+            else:
+                parts.append(None)
+            i += 1
+        first = len(self.size)
+        self.known.new = []
+        whole = [i for i, x in enumerate(parts) if x is None]
+        ids = self._encode([pieces[i] for i in whole])
+        sizes = np.zeros(len(pieces), np.int64)
+        sizes[whole] = np.fromiter(map(len, ids), np.int64, len(ids))
+        self._append(np.concatenate(ids) if ids else np.empty(0, np.uint32), sizes)
+        joined = [i for i, x in enumerate(parts) if x is not None]
+        if joined:
+            pair = np.array([parts[i] for i in joined])
+            flat, size = self._gather(pair.ravel())
+            sizes = size.reshape(-1, 2).sum(axis=1)
+            at = np.array(joined) + first
+            self.size[at] = sizes
+            self.start[at] = self.used + np.cumsum(sizes) - sizes
+            self._append(flat, np.empty(0, np.int64))
+
+    def _append(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        if self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat[:self.used], np.empty(2 * len(ids) + self.used, np.uint32)])
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.start = np.concatenate([self.start, self.used + np.cumsum(sizes) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.used += len(ids)
+
+    def _gather(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Joined ids of pieces, and each piece's number of ids."""
+        size = self.size[index]
+        ends = np.cumsum(size)
+        at = np.repeat(self.start[index] - (ends - size), size)
+        return self.flat[at + np.arange(len(at))], size
+
+    def _encode(self, pieces: list[str]) -> list[np.ndarray]:
+        """Ids of pieces from the library.  Those without line breaks go together, one a line: a line break before a
+        space is a token of its own, so the ids are cut there."""
+        whole = [p[1:] if p[0] == self._BARE else " " + p for p in pieces]
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        ids: list = [None] * len(new)
-        if len(line) != 1:
-            lined = []
+        lined = [i for i, p in enumerate(pieces) if p[0] != self._BARE and "\n" not in p] if len(line) == 1 else []
+        ids: list = [None] * len(pieces)
         groups = [lined[i:i + self._TOGETHER] for i in range(0, len(lined), self._TOGETHER)]
-        texts = ["".join(whole[i] + "\n" for i in g) + " " for g in groups]
+        texts = ["".join([whole[i] + "\n" for i in g]) + " " for g in groups]
         for g, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             got = np.array(e.ids, np.uint32)
             cuts = np.flatnonzero(got == line[0])
@@ -165,32 +218,26 @@ class WordEncoder:
         rest = [i for i, x in enumerate(ids) if x is None]
         for i, e in zip(rest, self.tokenizer.encode_batch_fast([whole[i] for i in rest], add_special_tokens=False), strict=True):
             ids[i] = np.array(e.ids, np.uint32)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        more = int(sizes.sum())
-        if self.used + more > len(self.flat):
-            self.flat = np.concatenate([self.flat[:self.used], np.empty(2 * more + self.used, np.uint32)])
-        self.flat[self.used:self.used + more] = np.concatenate(ids)
-        self.start = np.concatenate([self.start, self.used + np.cumsum(sizes) - sizes])
-        self.size = np.concatenate([self.size, sizes])
-        self.used += more
+        return ids
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not texts:
             return []
         if len(self.known) > self.limit:
-            self._reset()
+            self._forget()
         number, counts, index = self.known.__getitem__, [], []
         for t in texts:
             words = self.pieces(t) if t else []
             counts.append(len(words))
             index.extend(map(number, words))
         if self.known.new:
-            self._learn(self.known.new)
-            self.known.new = []
+            self._learn()
         index = np.array(index, np.int64)
-        size = self.size[index]
+        used = np.bincount(index, minlength=len(self.known))
+        used[:len(self.uses)] += self.uses
+        self.uses = used
+        all_ids, size = self._gather(index)
         ends = np.cumsum(size)
-        all_ids = self.flat[np.repeat(self.start[index] - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
         cuts = np.concatenate([[0], ends])[np.cumsum(counts)]
         return np.split(all_ids, cuts[:-1])
 
