@@ -7,9 +7,10 @@ bands of 4 let a pair of similarity 0.8 through with a probability above 1 - 1e-
 Equal shingle sets are one node from the start.  Documents that share a band meet in a bucket, and no bucket's pairs
 are listed.  First each bucket is a star around its best connected member (the one with the largest buckets, as the
 original of a family of edited copies), which costs one comparison a member.  What is left are buckets with several
-components.  A member with more than a fifth of shingles that no other such member has cannot reach the threshold
-with any of them and is done.  The others are compared across components, bucket by bucket.  All links are decided on
-full shingle sets, so star and pruning lose none.
+components.  There the members outside a bucket's largest component are held against the members of its other
+components, first by a bound: each set has 1024 bits, a bit being the parity of the number of its shingles that hash
+there, and the bits in which two sets differ are never more than the shingles in which they differ.  Pairs that may
+reach the threshold are compared on full shingle sets, as all links are; so star and bound lose none.
 
 Sets are made of 64-bit hashes of shingles.  Everything is keyed joins and aggregates; a hot bucket is pre-aggregated
 or split by the skew join rule.
@@ -30,6 +31,7 @@ from .common import U64, Scratch, WordIds, body, bound_batches, chunks, mix64
 PERMUTATIONS, ROWS = 128, 4
 BANDS = PERMUTATIONS // ROWS
 PERCENT = 80
+PARITY_BITS = 1024
 TOGETHER = 2_000_000
 _U32 = np.uint32
 
@@ -118,8 +120,14 @@ def sketch(docs: DataFrame, n: int) -> DataFrame:
     return made.select("row", F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "n_shingles", "set_id", "keys")
 
 
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """Parities of the shingle counts in PARITY_BITS hash places, as 64-bit integers."""
+    odd = np.bincount((shingles & U64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """node and its shingles; ``wanted`` has (node, low, set_id), ``low`` the id of a document with that set."""
+    """node, its shingles and their parities; ``wanted`` has (node, low, set_id), ``low`` the id of a document with that set."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = WordIds()
         for batch in batches:
@@ -128,10 +136,11 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                 ids.room()
                 sets = shingle_sets(ids, texts[i:j], n)
                 same = [k for k, (s, w) in enumerate(zip(sets, batch["set_id"][i:j], strict=True)) if xxhash.xxh3_128_digest(s.tobytes()) == w]
-                yield pd.DataFrame({"node": batch["node"].to_numpy()[i:j][same], "shingles": [sets[k].view(np.int64) for k in same]})
+                yield pd.DataFrame({"node": batch["node"].to_numpy()[i:j][same], "shingles": [sets[k].view(np.int64) for k in same],
+                                    "parity": [parity(sets[k]) for k in same]})
     rows = docs.select("doc_id", body().alias("text")).join(wanted, F.col("doc_id").eqNullSafe(F.col("low"))).select("node", "set_id", "text")
     # rows that repeat a doc_id and a set come out alike, so any one of a node serves
-    return rows.mapInPandas(run, "node long, shingles array<long>").dropDuplicates(["node"])
+    return rows.mapInPandas(run, "node long, shingles array<long>, parity array<long>").dropDuplicates(["node"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -184,19 +193,19 @@ def links_of(nodes: DataFrame, docs: DataFrame, n: int, scratch: Scratch) -> Dat
     def mixed(p: DataFrame) -> DataFrame:
         """Keys of the buckets with several components."""
         return p.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    rest = placed.join(mixed(placed), "key", "left_semi")
-    own = sets.join(rest.select("node").distinct(), "node", "left_semi")
-    shingle = own.select("node", F.explode("shingles").alias("x"))
-    alone = (shingle.groupBy("x").agg(F.count(F.lit(1)).alias("f"), F.min("node").alias("node")).where("f = 1")
-             .groupBy("node").agg(F.count(F.lit(1)).alias("alone")))
-    out = (alone.join(own.select("node", F.size("shingles").alias("n")), "node")
-           .where(f"(n - alone) * 100 < n * {PERCENT}").select("node"))
-    rest = scratch.table("rest", rest.join(out, "node", "left_anti"))
-    groups = rest.select("key", "comp").distinct()
-    crossing = groups.toDF("key", "ca").join(groups.toDF("key", "cb"), "key").where("ca < cb")
-    crossed = (crossing.join(rest.select("key", F.col("comp").alias("ca"), F.col("node").alias("x")), ["key", "ca"])
-               .join(rest.select("key", F.col("comp").alias("cb"), F.col("node").alias("y")), ["key", "cb"]))
-    pairs = crossed.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    mark = sets.select("node", F.size("shingles").alias("n"), *[F.col("parity")[i].alias(f"p{i}") for i in range(PARITY_BITS // 64)])
+    rest = scratch.table("rest", placed.join(mixed(placed), "key", "left_semi").join(mark, "node"))
+    largest = (rest.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m")).groupBy("key")
+               .agg(F.max(F.struct("m", "comp")).alias("l")).select("key", F.col("l.comp").alias("largest")))
+    rest = rest.join(largest, "key")
+    x, y = (rest.select("key", *[F.col(c).alias(f"{s}_{c}") for c in rest.columns if c != "key"]) for s in "xy")
+    apart = sum(F.bit_count(F.col(f"x_p{i}").bitwiseXOR(F.col(f"y_p{i}"))) for i in range(PARITY_BITS // 64))
+    both = F.col("x_n") + F.col("y_n")
+    meets = ((x["key"] == y["key"]) & (F.col("x_comp") != F.col("y_comp"))
+             & ((F.col("y_comp") == F.col("y_largest")) | (F.col("x_node") < F.col("y_node")))
+             & (F.least("x_n", "y_n") * 100 >= F.greatest("x_n", "y_n") * PERCENT) & (apart * (100 + PERCENT) <= both * (100 - PERCENT)))
+    pairs = (x.where("x_comp <> x_largest").join(y, meets)
+             .select(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b")).distinct())
     more = scratch.table("more", verified(pairs, sets))
     if more.isEmpty():
         return comp
