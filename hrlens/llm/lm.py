@@ -100,21 +100,27 @@ class Slice:
     bits: np.ndarray
     start: np.ndarray          # first bit of each part
     size: np.ndarray           # bits of each part
+    _TOGETHER = 1 << 15
 
     def levels(self, h: np.ndarray, segment: np.ndarray) -> np.ndarray:
         """Highest level found of each n-gram, -1 for none."""
         out = np.full(len(h), -1, np.int64)
-        live = np.arange(len(h))
-        part = segment - self.first
-        for level in range(MAX_LEVELS):
-            low, high = spread(h[live], level)
-            for k in range(HASHES):
-                at = probe(low, high, k, self.size[part[live]]) + self.start[part[live]]
-                on = self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
-                live, low, high = live[on], low[on], high[on]
-            out[live] = level
-            if not len(live):
-                break
+        for i in range(0, len(h), self._TOGETHER):  # arrays of a block stay in the processor's cache
+            live = np.arange(i, min(i + self._TOGETHER, len(h)))
+            part = segment[live] - self.first
+            gram, size, start = h[live], self.size[part], self.start[part]
+            for level in range(MAX_LEVELS):
+                low, high = spread(gram, level)
+                ok = np.ones(len(live), bool)
+                for k in range(HASHES):
+                    at = probe(low, high, k, size) + start
+                    ok &= self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+                    if np.count_nonzero(ok) < 0.7 * len(ok) or k == HASHES - 1:
+                        live, gram, size, start, low, high = (x[ok] for x in (live, gram, size, start, low, high))
+                        ok = np.ones(len(live), bool)
+                out[live] = level
+                if not len(live):
+                    break
         return out
 
 
@@ -233,29 +239,46 @@ def look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndar
     return np.where(keys[at] == wanted, values[at], -1)
 
 
-def _score_chunk(lm: LanguageModel, ids: WordIds, texts: list[str], backoff: float) -> pd.DataFrame:
+class _KnownWords(WordIds):
+    """Words of a task with their exact counts (-1: not a head word) and their counts in the filter."""
+
+    def __init__(self, lm: LanguageModel):
+        super().__init__(500_000)
+        self.lm, self.exact, self.quantised = lm, np.empty(0, np.int64), np.empty(0)
+
+    def room(self) -> None:
+        super().room()
+        self.exact, self.quantised = self.exact[:len(self)], self.quantised[:len(self)]
+
+    def counts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        h = word_hash(self.hashes())
+        new = h[len(self.exact):]
+        if len(new):
+            self.exact = np.concatenate([self.exact, look_up(*self.lm.head_hash.value, new.view(np.int64))])
+            self.quantised = np.concatenate([self.quantised, middle(self.lm.levels(new))])
+        return h, self.exact, self.quantised
+
+
+def _score_chunk(lm: LanguageModel, ids: _KnownWords, texts: list[str], backoff: float) -> pd.DataFrame:
     seq, sizes = sequence(ids, texts)
-    used, local = np.unique(seq, return_inverse=True)
-    hashes = word_hash(ids.hashes()[used])
-    exact = look_up(*lm.head_hash.value, hashes.view(np.int64))
-    words = middle(lm.levels(hashes))
-    history, word = local[:-1], local[1:]
+    hashes, exact, quantised = ids.counts()
+    history, word = seq[:-1], seq[1:]
     pairs = middle(lm.levels(pair_hash(hashes[history], hashes[word])))
-    p1 = (words[word] + 1) / (lm.n_tokens + lm.n_distinct + 1)
-    before = words[history]
-    p = (np.minimum(pairs, before) + backoff * p1) / (before + backoff)
+    p1 = (quantised + 1) / (lm.n_tokens + lm.n_distinct + 1)
+    before = quantised[history]
+    p = (np.minimum(pairs, before) + backoff * p1[word]) / (before + backoff)
     ends = np.cumsum(sizes)
     starts = ends - sizes
-    c = exact[word]
-    tail = np.flatnonzero(c < 0)
-    doc = np.repeat(np.arange(len(texts)), sizes)
-    key, times = np.unique(doc[tail] << 32 | word[tail], return_counts=True)
+    logs = np.where(exact > 0, np.log10(np.maximum(exact, 0) + 1.0), 0.0)
+    known = (exact > 0).astype(np.int64)
+    tail = np.flatnonzero(exact[word] < 0)
+    doc = np.searchsorted(ends, tail, side="right")
+    key, times = np.unique(doc << 32 | word[tail], return_counts=True)
     cuts = np.searchsorted(key >> 32, np.arange(len(texts) + 1))
     tail_h = hashes.view(np.int64)[key & 0xFFFFFFFF]
     return pd.DataFrame({
         "n_tokens": sizes, "score": np.add.reduceat(np.log10(p), starts),
-        "known": np.add.reduceat((c > 0).astype(np.int64), starts),
-        "logs": np.add.reduceat(np.where(c > 0, np.log10(np.maximum(c, 0) + 1.0), 0.0), starts),
+        "known": np.add.reduceat(known[word], starts), "logs": np.add.reduceat(logs[word], starts),
         "tail_h": [tail_h[i:j] for i, j in zip(cuts, cuts[1:], strict=False)],
         "tail_n": [times[i:j] for i, j in zip(cuts, cuts[1:], strict=False)]})
 
@@ -267,7 +290,7 @@ def score_texts(docs: DataFrame, lm: LanguageModel, scratch: Scratch, backoff: f
     shared = LanguageModel(lm.n_tokens, lm.n_distinct, lm.n_segments, lm.slices, lm.spans, lm.head_hash)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = WordIds(500_000)
+        ids = _KnownWords(shared)
         for batch in batches:
             texts = list(batch["text"])
             for i, j in chunks([len(t) for t in texts], 6 * TOGETHER):
