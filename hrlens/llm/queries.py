@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dac, decontaminate, fingerprints, lm, mixing, neardup, secrets, sharding, toxicity
+from . import dac, decontaminate, fingerprints, lm, mixing, neardup, pii, secrets, sharding, toxicity
 from .common import Scratch
 
 
@@ -48,6 +48,10 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), n_words=2)
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
@@ -69,7 +73,7 @@ def op10_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_sharding, op4_fingerprints, op5_language_model, op6_decontamination, op7_minhash, op9_secrets, op10_dac)}
+    return {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_sharding, op4_fingerprints, op5_language_model, op6_decontamination, op7_minhash, op8_pii, op9_secrets, op10_dac)}
 
 
 def oracle_sql() -> dict[str, str]:
