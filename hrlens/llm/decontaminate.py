@@ -105,10 +105,12 @@ def seed_hits(docs: DataFrame, seeds: np.ndarray, short: list[int]) -> DataFrame
                 if not found_doc:
                     continue
                 h, d, at = (np.concatenate(x) for x in (found_h, found_doc, found_at))
+                if not len(h):
+                    continue
                 order = np.argsort(d, kind="stable")
                 h, d, at = h[order].view(np.int64), d[order], at[order]
                 with_hit, first = np.unique(d, return_index=True)
-                ends = np.append(first[1:], len(d))[:len(first)]
+                ends = np.append(first[1:], len(d))
                 yield pd.DataFrame({"id": batch["id"].to_numpy()[i:j][with_hit], "no_id": batch["no_id"].to_numpy()[i:j][with_hit],
                                     "text": [texts[i + k] for k in with_hit],
                                     "h": [h[a:b] for a, b in zip(first, ends, strict=True)], "at": [at[a:b] for a, b in zip(first, ends, strict=True)]})

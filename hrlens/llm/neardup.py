@@ -136,6 +136,8 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                 ids.room()
                 sets = shingle_sets(ids, texts[i:j], n)
                 same = [k for k, (s, w) in enumerate(zip(sets, batch["set_id"][i:j], strict=True)) if xxhash.xxh3_128_digest(s.tobytes()) == w]
+                if not same:
+                    continue
                 yield pd.DataFrame({"node": batch["node"].to_numpy()[i:j][same], "shingles": [sets[k].view(np.int64) for k in same],
                                     "parity": [parity(sets[k]) for k in same]})
     rows = docs.select("doc_id", body().alias("text")).join(wanted, F.col("doc_id").eqNullSafe(F.col("low"))).select("node", "set_id", "text")
