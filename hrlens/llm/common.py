@@ -94,7 +94,7 @@ class WordIds(dict):
     so a task's memory does not grow with its vocabulary.
     """
 
-    def __init__(self, limit: int = 1_000_000, seed: int = 0):
+    def __init__(self, limit: int = 300_000, seed: int = 0):
         super().__init__()
         self.limit, self.seed, self.words = limit, seed, []
         self._hashes = np.empty(0, U64)

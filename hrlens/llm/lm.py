@@ -243,7 +243,7 @@ class _KnownWords(WordIds):
     """Words of a task with their exact counts (-1: not a head word) and their counts in the filter."""
 
     def __init__(self, lm: LanguageModel):
-        super().__init__(500_000)
+        super().__init__(400_000)
         self.lm, self.exact, self.quantised = lm, np.empty(0, np.int64), np.empty(0)
 
     def room(self) -> None:

@@ -53,7 +53,7 @@ class ToxicityModel:
             v = memo.get(w, False)
             if v is False:  # not seen yet; None: no known feature
                 found = [self.weights[f] for f in features_of(w) if f in self.weights]
-                if len(memo) > 500_000:
+                if len(memo) > 150_000:
                     memo.clear()
                 v = memo[w] = sum(found) if found else None
             if v is not None:
@@ -111,7 +111,7 @@ def train(positives: list[str], unlabelled: list[str], prior: float, n_models: i
     at = {f: i for i, f in enumerate(names)}
     rows, cols = [], []
     for i, t in enumerate((*positives, *unlabelled)):
-        hit = list({at[f] for w in words_of(t) for f in features_of(w) if f in at})
+        hit = sorted({at[f] for w in words_of(t) for f in features_of(w) if f in at})  # same sums in every run
         rows += [i] * len(hit)
         cols += hit
     rows, cols = np.array(rows, np.int64), np.array(cols, np.int64)
