@@ -82,8 +82,12 @@ def t_cdf(t: float, nu: float) -> float:
 
 
 def t_ppf(p: float, nu: float) -> float:
-    """Quantile of Student t (bisection on the CDF)."""
-    lo, hi = -1e3, 1e3
+    """Quantile of Student t (bisection on the CDF, the bracket found by doubling)."""
+    lo, hi = -1.0, 1.0
+    while t_cdf(lo, nu) > p and math.isfinite(lo):
+        lo *= 2.0
+    while t_cdf(hi, nu) < p and math.isfinite(hi):
+        hi *= 2.0
     for _ in range(200):
         mid = (lo + hi) / 2.0
         if t_cdf(mid, nu) < p:
@@ -159,6 +163,8 @@ def qtukey(p: float, k: int, nu: float) -> float:
     if nu is None or not nu > 0 or k is None or k < 2:
         return float("nan")
     lo, hi = 0.0, 100.0
+    while hi < 1e9 and ptukey(hi, k, nu) < p:
+        hi *= 2.0
     for _ in range(60):
         mid = (lo + hi) / 2.0
         if ptukey(mid, k, nu) < p:

@@ -48,10 +48,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) a scratch folder is created and registered.
+    (local tests) a scratch folder is created and registered.  On a cluster an
+    unset folder is an error: executors could not see a machine's own folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="hrlens-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)

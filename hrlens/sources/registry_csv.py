@@ -67,11 +67,11 @@ def read_registry_csv(spark: SparkSession, path: str, encoding: str = REGISTRY_E
         if alias not in raw.columns:
             raw = raw.withColumn(alias, F.lit(None).cast("string"))
     typed = raw.select(
-        F.xxhash64("est_name", "start_date", "end_date", "region_code", "industry_code").alias("est_id"),
+        F.xxhash64(*sorted(REGISTRY_HEADERS.values())).alias("est_id"),
         F.col("est_name"),
-        to_long("status_code").cast("int").alias("status_code"),
+        to_long("status_code").try_cast("int").alias("status_code"),
         code_to_text("industry_code").alias("industry_code"),
-        to_long("region_code").cast("int").alias("region_code"),
+        to_long("region_code").try_cast("int").alias("region_code"),
         to_long("headcount").alias("headcount"),
         to_number("billed_amount").alias("billed_amount"),
         to_long("joiners").alias("joiners"),
