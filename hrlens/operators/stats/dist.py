@@ -2,7 +2,7 @@
 
 These run on the driver (or inside a pandas UDF) on a handful of numbers —
 test statistics and degrees of freedom — never on rows.  Algorithms are the
-textbook ones: Lentz continued fraction for the regularised incomplete beta
+textbook ones: the continued fraction of the regularised incomplete beta
 function, Gauss–Legendre quadrature for the studentized range (Tukey).
 """
 
@@ -14,43 +14,64 @@ import numpy as np
 
 
 # incomplete beta ------------------------------------------------------------
-def _betacf(a: float, b: float, x: float, max_iter: int = 500, eps: float = 1e-15) -> float:
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = 1.0 / (d if abs(d) > tiny else tiny)
-    h = d
-    for m in range(1, max_iter + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = 1.0 / (d if abs(d) > tiny else tiny)
-        c = 1.0 + aa / c
-        c = c if abs(c) > tiny else tiny
-        de = d * c
-        h *= de
-        if abs(de - 1.0) < eps:
-            break
-    return h
-
-
-def betainc_reg(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta I_x(a, b)."""
+def _stirling_rest(x: float) -> float:
+    """ln Γ(x) minus its leading terms (x - 1/2) ln x - x + ln(2π)/2, by the asymptotic series."""
+    r = 1.0 / (x * x)
+    return (1 / 12 - r * (1 / 360 - r * (1 / 1260 - r * (1 / 1680 - r / 1188)))) / x
+
+
+def log_beta(a: float, b: float) -> float:
+    """ln B(a, b); with a large argument ln Γ is differenced term by term, so no digits cancel at any df."""
+    small, large = sorted((a, b))
+    if large < 32.0:
+        return math.lgamma(a) + math.lgamma(b) - math.lgamma(a + b)
+    total = small + large
+    if small < 32.0:
+        return (math.lgamma(small) + small - small * math.log(total) - (large - 0.5) * math.log1p(small / large)
+                + _stirling_rest(large) - _stirling_rest(total))
+    return (0.5 * math.log(2.0 * math.pi) + (small - 0.5) * math.log(small / total) - 0.5 * math.log(total)
+            - (large - 0.5) * math.log1p(small / large)
+            + _stirling_rest(small) + _stirling_rest(large) - _stirling_rest(total))
+
+
+def _beta_fraction(a: float, b: float, x: float) -> float:
+    """1 / (1 + d1/(1 + d2/(1 + ...))) of the incomplete beta function (DLMF 8.17.22), run until it stands still.
+
+    Numerators and denominators of successive convergents follow the fundamental recurrence; both are
+    divided by the newest denominator each step, which leaves their ratio as it is.
+    """
+    num, den, num_before, den_before = 1.0, 1.0, 0.0, 1.0
+    value, j = 1.0, 0
+    while True:
+        j += 1
+        m = j // 2
+        if j % 2:
+            d = -(a + m) / (a + 2 * m) * ((a + b + m) / (a + 2 * m + 1)) * x
+        else:
+            d = m / (a + 2 * m - 1) * ((b - m) / (a + 2 * m)) * x
+        num, num_before = num + d * num_before, num
+        den, den_before = den + d * den_before, den
+        if den == 0.0:
+            continue
+        num, num_before, den_before, den = num / den, num_before / den, den_before / den, 1.0
+        if d == 0.0 or abs(num - value) <= 1e-16 * abs(num):
+            return num
+        value = num
+
+
+def betainc_reg(a: float, b: float, x: float, rest: float | None = None) -> float:
+    """Regularised incomplete beta I_x(a, b); ``rest`` is 1 - x, for callers that know it more exactly."""
+    y = 1.0 - x if rest is None else rest
     if x <= 0.0:
         return 0.0
-    if x >= 1.0:
+    if y <= 0.0:
         return 1.0
-    lbt = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-           + a * math.log(x) + b * math.log1p(-x))
-    if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1.0 - x) / b
+    log_x = math.log1p(-y) if y < 0.5 else math.log(x)
+    log_y = math.log1p(-x) if x < 0.5 else math.log(y)
+    front = math.exp(a * log_x + b * log_y - log_beta(a, b))
+    if (b + 1.0) * x < (a + 1.0) * y:
+        return front * _beta_fraction(a, b, x) / a
+    return 1.0 - front * _beta_fraction(b, a, y) / b
 
 
 # tails ----------------------------------------------------------------------
@@ -64,7 +85,7 @@ def f_sf(f: float, d1: float, d2: float) -> float:
         return 0.0
     if f <= 0:
         return 1.0
-    return betainc_reg(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f))
+    return betainc_reg(d2 / 2.0, d1 / 2.0, d2 / (d2 + d1 * f), d1 * f / (d2 + d1 * f))
 
 
 def t_sf2(t: float, nu: float) -> float:
@@ -73,7 +94,7 @@ def t_sf2(t: float, nu: float) -> float:
         return float("nan")
     if math.isinf(t):
         return 0.0
-    return betainc_reg(nu / 2.0, 0.5, nu / (nu + t * t))
+    return betainc_reg(nu / 2.0, 0.5, nu / (nu + t * t), t * t / (nu + t * t))
 
 
 def t_cdf(t: float, nu: float) -> float:
@@ -137,19 +158,17 @@ def ptukey(q: float, k: int, nu: float) -> float:
         return float("nan")
     if q <= 0:
         return 0.0
-    if nu is None or nu > 50000 or math.isinf(nu):
+    if nu is None or math.isinf(nu):
         return float(_range_cdf_inf(np.array([q]), k)[0])
-    # s = chi_nu / sqrt(nu): log density, integrated over its bulk
+    # e = chi_nu / sqrt(nu) - 1, integrated over its bulk; its density is scaled by its own sum, so neither
+    # a gamma function nor a difference of large terms is needed at any df
     sd = 1.0 / math.sqrt(2.0 * nu)
-    lo = max(1e-9, 1.0 - 12.0 * sd) if nu > 20 else 1e-9
-    hi = 1.0 + 12.0 * sd if nu > 20 else 1.0 + 14.0 * max(sd, 0.15) + (8.0 if nu < 5 else 0.0)
-    s = lo + (hi - lo) * (_S_NODES + 1.0) / 2.0
-    ws = (hi - lo) / 2.0 * _S_W
-    logf = (nu / 2.0) * math.log(nu) - math.lgamma(nu / 2.0) - (nu / 2.0 - 1.0) * math.log(2.0) \
-        + (nu - 1.0) * np.log(s) - nu * s * s / 2.0
-    dens = np.exp(logf)
-    inner = _range_cdf_inf(q * s, k)
-    return float(min(1.0, max(0.0, np.sum(ws * dens * inner))))
+    lo = max(1e-9 - 1.0, -12.0 * sd) if nu > 20 else 1e-9 - 1.0
+    hi = 12.0 * sd if nu > 20 else 14.0 * max(sd, 0.15) + (8.0 if nu < 5 else 0.0)
+    e = lo + (hi - lo) * (_S_NODES + 1.0) / 2.0
+    dens = _S_W * np.exp((nu - 1.0) * np.log1p(e) - nu * (e + e * e / 2.0))
+    inner = _range_cdf_inf(q * (1.0 + e), k)
+    return float(min(1.0, max(0.0, np.sum(dens * inner) / np.sum(dens))))
 
 
 def psturng(q: float, k: int, nu: float) -> float:
