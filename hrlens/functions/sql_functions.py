@@ -33,7 +33,7 @@ FUNCTIONS = {
                        f" / {WON_PER_10K} AS BIGINT)"),
     "money_to_long": ("s STRING", "BIGINT", "try_cast(split_part(replace(s, ',', ''), '.', 1) AS BIGINT)"),
     "bias_class": ("effect DOUBLE", "STRING",
-                   "CASE WHEN effect > 0.1 THEN 'Leniency' WHEN effect < -0.1 THEN 'Severity' ELSE 'Neutral' END"),
+                   "CASE WHEN effect > 0.1 THEN 'Leniency (관대화)' WHEN effect < -0.1 THEN 'Severity (엄격화)' ELSE 'Neutral (중립)' END"),
 }
 
 

@@ -15,7 +15,7 @@ from .memo import memo
 from .stats import RATER_COLUMNS
 
 # Bias classes and their cut-offs on the rater effect.
-LENIENCY, SEVERITY, NEUTRAL = "Leniency", "Severity", "Neutral"
+LENIENCY, SEVERITY, NEUTRAL = "Leniency (관대화)", "Severity (엄격화)", "Neutral (중립)"
 BIAS_CUTOFF = 0.1
 NUMERIC = ["performance_true", "goal_difficulty", "age", "tenure_years"]
 CATEGORICAL = ["department", "job_level"]

@@ -14,7 +14,7 @@ def test_sql_functions(spark):
     register_sql_functions(spark)
     r = spark.sql("SELECT clean_html('<b>A</b> &amp;lt; B') c, annual_pay_10k(950, 1) p, "
                   "annual_pay_10k(1, 0) z, money_to_long('1,234.9') m, bias_class(-0.2) b").first()
-    assert (r.c, r.p, r.z, r.m, r.b) == ("A &lt; B", 12, None, 1234, "Severity")
+    assert (r.c, r.p, r.z, r.m, r.b) == ("A &lt; B", 12, None, 1234, "Severity (엄격화)")
 
 
 def test_sinks(spark):
