@@ -84,18 +84,34 @@ def anova_test(df: DataFrame, group_col: str, value: Column | str, factor: str,
     return (t.withColumn("p_value", p)
              .select(F.lit(factor).alias("factor"), "n_groups", "df_between", "df_within",
                      round_sig("f_stat").alias("f_stat"), round_sig("p_value").alias("p_value"),
-                     (F.col("p_value") < alpha).alias("significant")))
+                     (F.col("p_value") < alpha).alias("significant"),
+                     F.when(F.col("n_groups") < 2, "not enough groups").when(F.col("p_value") < alpha, "group means differ")
+                     .when(F.col("p_value") >= alpha, "no significant difference").alias("verdict")))
 
 
-def _pairs(df: DataFrame, group_col: str, value: Column | str) -> DataFrame:
-    """All k(k-1)/2 pairs of *groups* (the comparisons themselves), group1 < group2.
+def _compared(df: DataFrame, group_col: str, value: Column | str) -> DataFrame:
+    """One row: the k group summaries ``g`` in one sorted array, ``k``, ``ms_within``, ``df_within`` and ``f_stat``.
 
-    The k group summaries are packed into one sorted array (the output has
-    k(k-1)/2 rows, so k is small by construction) and the pairs are generated
-    with array functions — no join, no row pairs.
+    The table is read once; what ANOVA and the comparisons need comes from the array.  Tukey's result has
+    k(k-1)/2 rows, so its groups are few by construction (``anova_oneway`` takes any number).
     """
-    g = group_moments(df, group_col, value)
-    packed = g.agg(F.sort_array(F.collect_list(F.struct("grp", "n", "mean"))).alias("g"))
+    packed = group_moments(df, group_col, value).agg(F.sort_array(F.collect_list(F.struct("grp", "n", "mean", "var"))).alias("g"))
+
+    def total(term):
+        return F.aggregate(F.transform("g", term), F.lit(0.0), lambda acc, v: acc + v)
+    t = packed.select("g", F.size("g").cast("long").alias("k"),
+                      F.aggregate("g", F.lit(0).cast("long"), lambda acc, r: acc + r["n"]).alias("n_total"),
+                      total(lambda r: r["n"] * r["mean"]).alias("sum"),
+                      total(lambda r: (r["n"] - 1) * F.coalesce(r["var"], F.lit(0.0))).alias("ss_within"))
+    t = t.withColumn("grand", F.try_divide("sum", "n_total")).withColumn("df_within", F.col("n_total") - F.col("k"))
+    t = t.withColumn("ss_between", total(lambda r: r["n"] * F.pow(r["mean"] - F.col("grand"), 2)))
+    t = t.withColumn("ms_within", F.try_divide("ss_within", "df_within"))
+    return t.select("g", "k", "ms_within", "df_within",
+                    F.try_divide(F.try_divide("ss_between", F.col("k") - 1), "ms_within").alias("f_stat"))
+
+
+def _pairs(compared: DataFrame) -> DataFrame:
+    """All k(k-1)/2 pairs of groups, group1 < group2, made with array functions: no join."""
     k_ = F.size("g")
 
     def later(i):
@@ -104,31 +120,34 @@ def _pairs(df: DataFrame, group_col: str, value: Column | str) -> DataFrame:
     idx = F.when(k_ > 1, F.sequence(F.lit(0), k_ - 2)).otherwise(F.array().cast("array<int>"))
     pair_arr = F.flatten(F.transform(idx, lambda i: F.transform(
         later(i), lambda j: F.struct(F.col("g")[i].alias("a"), F.col("g")[j].alias("b")))))
-    pairs = packed.select(F.explode(pair_arr).alias("p")).select(
+    pairs = compared.select("k", "ms_within", "df_within", F.explode(pair_arr).alias("p")).select(
+        "k", "ms_within", "df_within",
         F.col("p.a.grp").alias("group1"), F.col("p.a.n").alias("n1"), F.col("p.a.mean").alias("mean1"),
         F.col("p.b.grp").alias("group2"), F.col("p.b.n").alias("n2"), F.col("p.b.mean").alias("mean2"))
-    # one scalar subquery for the three numbers the pairs need
-    t = anova_oneway(df, group_col, value).select(
-        F.struct("ms_within", "df_within", "n_groups").alias("s")).scalar()
-    msw, dfw, k = t["ms_within"], t["df_within"], t["n_groups"]
-    se = F.sqrt(msw / 2 * (F.lit(1.0) / F.col("n1") + F.lit(1.0) / F.col("n2")))
+    se = F.sqrt(F.col("ms_within") / 2 * (F.lit(1.0) / F.col("n1") + F.lit(1.0) / F.col("n2")))
     return (pairs.withColumn("meandiff", F.col("mean2") - F.col("mean1"))
                  .withColumn("std_pair", se)
-                 .withColumn("q_stat", F.abs(F.col("meandiff")) / F.col("std_pair"))
-                 .withColumn("k", k).withColumn("df_within", dfw))
+                 .withColumn("q_stat", F.try_divide(F.abs(F.col("meandiff")), F.col("std_pair"))))
 
 
 def tukey_table(df: DataFrame, group_col: str, value: Column | str) -> DataFrame:
     """Pairwise mean differences and their studentized statistics (oracle part)."""
-    p = _pairs(df, group_col, value)
+    p = _pairs(_compared(df, group_col, value))
     return p.select("group1", "group2", "n1", "n2", round_sig("meandiff").alias("meandiff"),
                     round_sig("std_pair").alias("std_pair"), round_sig("q_stat").alias("q_stat")) \
             .orderBy("group1", "group2")
 
 
-def tukey_hsd(df: DataFrame, group_col: str, value: Column | str, alpha: float = 0.05) -> DataFrame:
-    """Tukey HSD: group1, group2, meandiff, p-adj, lower, upper, reject (α = 0.05)."""
-    p = _pairs(df, group_col, value)
+def tukey_hsd(df: DataFrame, group_col: str, value: Column | str, alpha: float = 0.05,
+              only_after_anova: bool = False) -> DataFrame:
+    """Tukey HSD: group1, group2, meandiff, p-adj, lower, upper, reject (α = 0.05).
+
+    With ``only_after_anova`` the pairs are compared only if the F test rejects at ``alpha``, else there are no rows.
+    """
+    c = _compared(df, group_col, value)
+    if only_after_anova:
+        c = c.where("k > 1").where(f_pvalue_udf("f_stat", F.col("k") - 1, "df_within") < alpha)
+    p = _pairs(c)
     t = tukey_udf(F.col("q_stat"), F.col("k"), F.col("df_within"), F.lit(alpha))
     p = (p.withColumn("t", t)
           .withColumn("q_crit", F.col("t.q_crit"))

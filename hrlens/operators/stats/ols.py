@@ -98,8 +98,12 @@ def ols_fit(df: DataFrame, y: str, xs: list[str], order_key: str | None = None,
     XtX[0, 0] = n
     XtX[0, 1:] = XtX[1:, 0] = n * xbar
     XtX[1:, 1:] = Sxx + n * np.outer(xbar, xbar)
-    ev = np.linalg.eigvalsh(XtX)
-    fit.extra["cond_no"] = float(math.sqrt(ev.max() / ev.min())) if ev.min() > 0 else float("inf")
+    # its smallest eigenvalue comes from the inverse, whose blocks are built from centred sums
+    inv = np.empty((p + 1, p + 1))
+    inv[1:, 1:] = Sinv
+    inv[0, 1:] = inv[1:, 0] = -(Sinv @ xbar)
+    inv[0, 0] = 1.0 / n + xbar @ Sinv @ xbar
+    fit.extra["cond_no"] = float("inf") if singular else float(math.sqrt(np.linalg.eigvalsh(XtX).max() * np.linalg.eigvalsh(inv).max()))
     if diagnostics:
         _residual_moments(d, y, xs, fit)
         if order_key is not None:
@@ -294,7 +298,3 @@ def band_frame(fit: OlsFit, x: str, lo: float, hi: float, points: int = 100,
     half = tc * np.sqrt(np.maximum(var, 0))
     return pd.DataFrame({"x": grid, "fit": fitted / scale, "lower": (fitted - half) / scale,
                          "upper": (fitted + half) / scale})
-
-
-def normal_p(z: float) -> float:
-    return norm_sf2(z)

@@ -1,12 +1,14 @@
 """DuckDB oracle SQL for the statistics keys that SQL can express.
 
 F tables, Tukey pair statistics and simple-regression coefficients are
-closed-form aggregates; p-values need distribution tails and are unit-tested
-against published table values instead (tests/test_stats.py).
+closed-form aggregates; F and t tails are summed by Simpson's rule
+(``oracle_tails``), which shares nothing with the continued fraction of
+``operators/stats/dist.py``.
 """
 
 from __future__ import annotations
 
+from .oracle_tails import beta_tail, t_quantile
 from .oracle_views import PAY_WON, sig, with_views
 from .registry import PARAMS as P
 
@@ -52,18 +54,86 @@ def _tukey(views: str, base: str, grp: str, y: str) -> str:
         f"{sig('abs(md) / se')} AS q_stat FROM p ORDER BY group1, group2")
 
 
-def _ols_simple(x: str) -> str:
-    base = _large()
-    v = with_views("est")
-    return v + (
-        f", d AS (SELECT CAST({x} AS DOUBLE) AS x, annual_pay AS y FROM ({base}) b "
+def _anova_test(views: str, base: str, grp: str, y: str, factor: str, alpha: float = 0.05) -> str:
+    return views + (
+        f", g AS (SELECT {grp} AS grp, count(y) AS n, avg(y) AS m, var_samp(y) AS v FROM "
+        f"(SELECT {grp}, CAST({y} AS DOUBLE) AS y FROM ({base}) b0) b "
+        f"WHERE {grp} IS NOT NULL AND y IS NOT NULL AND NOT isnan(y) GROUP BY {grp}), "
+        f"s AS (SELECT count(*) AS k, CAST(sum(n) AS BIGINT) - count(*) AS dfw, "
+        f"sum(n * pow(m - (SELECT sum(n * m) / sum(n) FROM g), 2)) AS ssb, "
+        f"sum((n - 1) * COALESCE(v, 0.0)) AS ssw FROM g), "
+        f"f AS (SELECT *, (ssb / (k - 1)) / (ssw / dfw) AS f FROM s), "
+        f"src AS (SELECT 0 AS id, dfw / 2.0 AS a, (k - 1) / 2.0 AS b, ssb / ssw AS z FROM f WHERE k > 1), "
+        f"{beta_tail('src', 'tail')}\n"
+        f"SELECT '{factor}' AS factor, k AS n_groups, k - 1 AS df_between, dfw AS df_within, {sig('f')} AS f_stat, "
+        f"{sig('p')} AS p_value, p < {alpha} AS significant, "
+        f"CASE WHEN k < 2 THEN 'not enough groups' WHEN p < {alpha} THEN 'group means differ' "
+        f"WHEN p >= {alpha} THEN 'no significant difference' END AS verdict FROM f LEFT JOIN tail ON true")
+
+
+def _ols_ctes(x: str) -> str:
+    """d (the rows), e (sums, slope, intercept, residual variance) and t (coefficients) of y ~ x."""
+    return with_views("est") + (
+        f", d AS (SELECT est_id, CAST({x} AS DOUBLE) AS x, annual_pay AS y FROM ({_large()}) b "
         f"WHERE {x} IS NOT NULL AND annual_pay IS NOT NULL AND NOT isnan(annual_pay)), "
-        f"s AS (SELECT regr_count(y, x) AS n, regr_slope(y, x) AS b1, regr_intercept(y, x) AS b0, "
+        f"s AS (SELECT CAST(regr_count(y, x) AS DOUBLE) AS n, regr_slope(y, x) AS b1, regr_intercept(y, x) AS b0, "
         f"regr_sxx(y, x) AS sxx, regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy, regr_avgx(y, x) AS mx FROM d), "
-        f"e AS (SELECT *, (syy - sxy * sxy / sxx) / (n - 2) AS s2 FROM s), "
-        f"t AS (SELECT 'const' AS term, b0 AS coef, sqrt(s2 * (1.0 / n + mx * mx / sxx)) AS se FROM e "
-        f"UNION ALL SELECT '{x}' AS term, b1 AS coef, sqrt(s2 / sxx) AS se FROM e)\n"
-        f"SELECT term, {sig('coef')} AS coef, {sig('se')} AS std_err, {sig('coef / se')} AS t_stat FROM t")
+        f"e AS (SELECT *, (syy - sxy * sxy / sxx) / (n - 2) AS s2, n - 2.0::DOUBLE AS nu FROM s), "
+        f"t AS (SELECT 0 AS id, 'const' AS term, b0 AS coef, sqrt(s2 * (1.0 / n + mx * mx / sxx)) AS se, nu FROM e "
+        f"UNION ALL SELECT 1 AS id, '{x}' AS term, b1 AS coef, sqrt(s2 / sxx) AS se, nu FROM e)")
+
+
+def _ols_simple(x: str) -> str:
+    return _ols_ctes(x) + f"\nSELECT term, {sig('coef')} AS coef, {sig('se')} AS std_err, {sig('coef / se')} AS t_stat FROM t"
+
+
+def _ols_report(x: str) -> str:
+    return _ols_ctes(x) + (
+        f", src AS (SELECT id, nu / 2 AS a, 0.5 AS b, pow(coef / se, 2) / nu AS z FROM t), {beta_tail('src', 'tail')}, "
+        f"{t_quantile('e', 'crit')}\n"
+        f"SELECT term, {sig('coef')} AS coef, {sig('se')} AS std_err, {sig('coef / se')} AS t_stat, {sig('p')} AS p_value, "
+        f"{sig('coef - crit.t * se')} AS ci_low, {sig('coef + crit.t * se')} AS ci_high FROM t JOIN tail USING (id), crit")
+
+
+def _ols_fit(x: str) -> str:
+    """Long form: one row a statistic.  Residual moments, the omnibus transformations and Durbin-Watson by est_id."""
+    stats = {
+        "n_obs": "n", "df_model": "1", "df_resid": "nu", "r_squared": "r2", "adj_r_squared": "1 - (1 - r2) * (n - 1) / nu",
+        "f_statistic": "f", "f_pvalue": "p", "log_likelihood": "ll", "aic": "4 - 2 * ll", "bic": "2 * ln(n) - 2 * ll",
+        "omnibus": "zs * zs + zk * zk", "omnibus_pvalue": "exp(-(zs * zs + zk * zk) / 2)", "skew": "skew", "kurtosis": "kurt",
+        "jarque_bera": "jb", "jb_pvalue": "exp(-jb / 2)", "durbin_watson": "dw", "cond_no": "cond", "singular": "0"}
+    rows = " UNION ALL ".join(f"SELECT '{k}' AS statistic, CAST({v} AS DOUBLE) AS v FROM z" for k, v in stats.items())
+    return _ols_ctes(x) + (
+        ", r AS (SELECT est_id, y - b0 - b1 * x AS r FROM d, e), "
+        "l AS (SELECT r, r - lag(r) OVER (ORDER BY est_id) AS step FROM r), "
+        "m0 AS (SELECT avg(r) AS mu FROM r), "
+        "m AS (SELECT avg(pow(r - mu, 2)) AS m2, avg(pow(r - mu, 3)) AS m3, avg(pow(r - mu, 4)) AS m4 FROM r, m0), "
+        "w AS (SELECT sum(step * step) / sum(r * r) AS dw FROM l), "
+        "h AS (SELECT *, m3 / pow(m2, 1.5) AS skew, m4 / (m2 * m2) AS kurt, sxy * sxy / (sxx * syy) AS r2, s2 * nu AS ssr, "
+        "n * (1 + mx * mx) + sxx AS trace FROM e, m, w), "
+        "i AS (SELECT *, r2 / ((1 - r2) / nu) AS f, -n / 2.0 * (ln(2 * pi()) + ln(ssr / n) + 1) AS ll, "
+        "n / 6.0 * (skew * skew + pow(kurt - 3, 2) / 4) AS jb, "
+        "(trace + sqrt(trace * trace - 4 * n * sxx)) / 2 / sqrt(n * sxx) AS cond, "
+        # skewness to a normal score: Johnson S_U with the moments of the skewness under normality
+        "skew * sqrt((n + 1.0) * (n + 3) / (6.0 * (n - 2))) AS ys, "
+        "sqrt(2 * (3.0 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2.0) * (n + 5) * (n + 7) * (n + 9)) - 1)) - 1 AS ws, "
+        # kurtosis to a normal score: cube root of a scaled chi-square
+        "(kurt - 3.0 * (n - 1) / (n + 1)) / sqrt(24.0 * n * (n - 2) * (n - 3) / ((n + 1.0) * (n + 1) * (n + 3) * (n + 5))) AS yk, "
+        "6.0 * (n * n - 5 * n + 2) / ((n + 7.0) * (n + 9)) * sqrt(6.0 * (n + 3) * (n + 5) / (n * (n - 2.0) * (n - 3))) AS sk FROM h), "
+        "j AS (SELECT *, 6 + 8 / sk * (2 / sk + sqrt(1 + 4 / (sk * sk))) AS ak FROM i), "
+        "src AS (SELECT 0 AS id, nu / 2 AS a, 0.5 AS b, f / nu AS z FROM j), " + beta_tail("src", "tail") + ", "
+        "z AS (SELECT *, asinh(ys / sqrt(2 / (ws - 1))) / sqrt(ln(ws) / 2) AS zs, "
+        "(1 - 2 / (9 * ak) - cbrt((1 - 2 / ak) / (1 + yk * sqrt(2 / (ak - 4))))) / sqrt(2 / (9 * ak)) AS zk FROM j, tail)\n"
+        f"SELECT statistic, {sig('v')} AS value FROM ({rows}) u")
+
+
+def _ols_line(x: str, points: int = 100) -> str:
+    half = "crit.t * sqrt(s2 * (1.0 / n + pow(x - mx, 2) / sxx))"
+    return _ols_ctes(x) + (
+        f", {t_quantile('e', 'crit')}, "
+        f"grid AS (SELECT lo + (hi - lo) * i / {points - 1}.0 AS x FROM (SELECT min(x) AS lo, max(x) AS hi FROM d) b, range({points}) r(i))\n"
+        f"SELECT {sig('x')} AS {x}, {sig('(b0 + b1 * x) / 10000')} AS fit, {sig(f'(b0 + b1 * x - {half}) / 10000')} AS lower, "
+        f"{sig(f'(b0 + b1 * x + {half}) / 10000')} AS upper FROM grid, e, crit")
 
 
 def sql() -> dict[str, str]:
@@ -76,6 +146,12 @@ def sql() -> dict[str, str]:
     q["anova_rater"] = _anova(with_views("ratings"), RATERS, "rater_id", "rating_score", "rater_id")
     q["tukey_industry"] = _tukey(v, ind, "industry_code", "annual_pay")
     q["tukey_region"] = _tukey(v, reg, "region_code", "annual_pay_10k")
-    q["ols_year"] = _ols_simple("year")
-    q["ols_headcount"] = _ols_simple("headcount")
+    q["anova_industry_test"] = _anova_test(v, ind, "industry_code", "annual_pay", "industry_code")
+    q["anova_region_test"] = _anova_test(v, reg, "region_code", "annual_pay_10k", "region_code")
+    q["anova_rater_test"] = _anova_test(with_views("ratings"), RATERS, "rater_id", "rating_score", "rater_id")
+    for x in ("year", "headcount"):
+        q[f"ols_{x}"] = _ols_simple(x)
+        q[f"ols_{x}_report"] = _ols_report(x)
+        q[f"ols_{x}_fit"] = _ols_fit(x)
+    q["ols_line"] = _ols_line("headcount")
     return q

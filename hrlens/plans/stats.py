@@ -73,7 +73,7 @@ def tukey_industry(spark, sf_dir):
 
 
 def tukey_industry_test(spark, sf_dir):
-    return anova.tukey_hsd(_industry(spark, sf_dir), "industry_code", "annual_pay")
+    return anova.tukey_hsd(_industry(spark, sf_dir), "industry_code", "annual_pay", only_after_anova=True)
 
 
 def tukey_region(spark, sf_dir):
@@ -81,7 +81,7 @@ def tukey_region(spark, sf_dir):
 
 
 def tukey_region_test(spark, sf_dir):
-    return anova.tukey_hsd(_region(spark, sf_dir), "region_code", "annual_pay_10k")
+    return anova.tukey_hsd(_region(spark, sf_dir), "region_code", "annual_pay_10k", only_after_anova=True)
 
 
 # OLS ---------------------------------------------------------------------------
@@ -92,7 +92,7 @@ def _coef_df(spark, fit, with_tests: bool) -> DataFrame:
 
 
 def _fit_df(spark, fit) -> DataFrame:
-    return spark.createDataFrame(ols.fit_frame(fit))
+    return spark.createDataFrame(ols.fit_frame(fit)).select("statistic", round_sig("value").alias("value"))
 
 
 def _simple(spark, sf_dir, x: str, diagnostics: bool = True):
@@ -131,7 +131,8 @@ def ols_line(spark, sf_dir):
     fit = ols.ols_fit(d, "annual_pay", ["headcount"], diagnostics=False)
     rng = d.where(F.col("annual_pay").isNotNull()).agg(F.min("headcount"), F.max("headcount")).first()
     pdf = ols.band_frame(fit, "headcount", float(rng[0]), float(rng[1]), scale=10000.0)
-    return spark.createDataFrame(pdf).withColumnRenamed("x", "headcount")
+    df = spark.createDataFrame(pdf).withColumnRenamed("x", "headcount")
+    return df.select(*[round_sig(c).alias(c) for c in df.columns])
 
 
 def multi_design_df(large: DataFrame, industries, regions):
