@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame
 
 from ..session import ensure_checkpoint_dir
 
-ROWS_PER_PARTITION = 1_000_000
+#: With 200 doubles a row (random features) a partition is some 80 MB.
+ROWS_PER_PARTITION = 50_000
 
 
 def materialize(df: DataFrame, n_rows: int | None = None, repartition: bool = True) -> DataFrame:
