@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import not_null_flag, round_sig
+from .persist import materialize
 
 
 def month_spine(bounds: DataFrame, lo: str, hi: str) -> DataFrame:
@@ -103,9 +104,13 @@ def attrition_matrix(df: DataFrame, row_key: str, col_key: str, flag: Column,
     Pass ``col_values`` to skip the distinct-values job.
     """
     base = df.where(F.col(row_key).isNotNull() & F.col(col_key).isNotNull())
-    g = base.groupBy(row_key)
+    cells = base.groupBy(row_key, col_key).agg(rate_pct(flag).alias("__rate"))
+    if col_values is None:
+        # the cells are written once; finding the columns and pivoting read them, not the table
+        cells = materialize(cells, repartition=False)
+    g = cells.groupBy(row_key)
     p = g.pivot(col_key, col_values) if col_values is not None else g.pivot(col_key)
-    wide = p.agg(rate_pct(flag))
+    wide = p.agg(F.first("__rate", ignorenulls=True))
     cols = [c for c in wide.columns if c != row_key]
     return wide.select(row_key, *[round_sig(c).alias(c) for c in cols]).orderBy(row_key)
 

@@ -136,7 +136,7 @@ def pay_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
              .agg(F.format_number(F.avg("o_totalprice"), 1).alias("avg_pay_text")))
 
 
-def write_registry_table(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
+def write_registry_table(spark: SparkSession, sf_dir: str, path: str, tasks: int | None = None) -> DataFrame:
     """Write the registry once as Parquet partitioned by ``status_code``; return the reader.
 
     The analyses filter on the status first (active / withdrawn), so on the
