@@ -99,6 +99,8 @@ def news_search_urls(spark, sf_dir):
 
 # page links (G3 / O8) -----------------------------------------------------------
 HREF_PATTERN = '<a [^>]*?href="([^"]*)"'
+#: ``src`` of an image element in any case, quoted either way or not at all.
+IMAGE_PATTERN = """(?i)<img\\b[^>]*?\\ssrc\\s*=\\s*(?:"([^"]*)"|'([^']*)'|([^\\s"'>]+))"""
 
 
 def url_parts(base: Column) -> dict[str, Column]:
@@ -121,10 +123,28 @@ def page_links_topn(spark, sf_dir):
 
     Array functions per row — no shuffle, no window.
     """
+    return links_topn(_pages(spark, sf_dir), F.regexp_extract_all("html", F.lit(HREF_PATTERN), 1))
+
+
+def image_sources(html: str = "html") -> Column:
+    """``src`` of every image element of the page, in order; empty ones are none."""
+    groups = [F.regexp_extract_all(html, F.lit(IMAGE_PATTERN), k) for k in (1, 2, 3)]  # one of the three is not empty
+    sources = F.transform(F.arrays_zip(*[g.alias(f"g{k}") for k, g in enumerate(groups)]),
+                          lambda x: F.trim(F.concat(x["g0"], x["g1"], x["g2"])))
+    return F.filter(sources, lambda u: u != "")
+
+
+def page_images_topn(pages: DataFrame) -> DataFrame:
+    """The first n http(s) images of each page (page_id, url, html), numbered like the links."""
+    return links_topn(pages, image_sources())
+
+
+def links_topn(pages: DataFrame, found: Column) -> DataFrame:
+    """page_id, item_no, file_name, link_url: the first n of the ``found`` links of each page, made absolute."""
     # the page URL's parts are columns, so the per-link lambda reads them instead
     # of running three regexes for every link
-    p = _pages(spark, sf_dir).select("page_id", "html", *[c.alias(f"__{k}") for k, c in url_parts(F.col("url")).items()])
-    links = F.transform(F.regexp_extract_all("html", F.lit(HREF_PATTERN), 1),
+    p = pages.select("page_id", found.alias("__found"), *[c.alias(f"__{k}") for k, c in url_parts(F.col("url")).items()])
+    links = F.transform("__found",
                         lambda h: absolute_url(h, F.col("__origin"), F.col("__scheme"), F.col("__folder")))
     keep = F.slice(F.filter(links, lambda u: u.startswith(LINK_PARAMS["scheme"])), 1, LINK_PARAMS["max_items"])
     return (p.select("page_id", F.posexplode(keep).alias("pos", "link_url"))
