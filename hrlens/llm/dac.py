@@ -23,6 +23,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -111,17 +113,19 @@ class WordEncoder:
 
     The tokenizer's pattern lets a match begin with one space but never run from a non-space character into a space.
     So a text may be cut before every space that stands between two non-space characters, and the pieces' ids
-    joined: the result equals encoding the whole text.  About ``limit`` pieces are remembered; beyond that the third
+    joined: the result equals encoding the whole text.  About ``limit`` pieces are remembered; beyond that the half
     used most stays.
     """
 
     _NEAR_SPACE = re.compile(r"[\s]\s")
     _TOGETHER = 2000
-    _PUNCTUATION = ".,;:!?|)"
+    #: Characters that end a word; ``>`` is not among them, since special tokens end in it.
+    _PUNCTUATION = ".,;:!?|)$&#%*\"]}"
+    _LINE = re.compile(r"(?<=\S)\n(?=\S)")
     #: Marks a piece that has no space before it.
     _BARE = " "
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 1_200_000):
         from tokenizers import Tokenizer
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
@@ -130,7 +134,7 @@ class WordEncoder:
         self.start, self.size, self.uses = (np.empty(0, np.int64) for _ in range(3))
 
     def _forget(self) -> None:
-        keep = np.sort(np.argpartition(-self.uses, self.limit // 3)[:self.limit // 3])
+        keep = np.sort(np.argpartition(-self.uses, self.limit // 2)[:self.limit // 2])
         pieces = list(self.known)
         self.flat, size = self._gather(keep)
         self.start, self.size, self.uses, self.used = np.cumsum(size) - size, size, self.uses[keep], len(self.flat)
@@ -155,43 +159,54 @@ class WordEncoder:
         words[0] = cls._BARE + words[0]
         return words
 
+    @classmethod
+    def leaves(cls, piece: str) -> list[str]:
+        """The parts that the pattern always separates: the lines, and in each the word and the punctuation after it."""
+        out = []
+        for k, line in enumerate(cls._LINE.split(piece)):
+            if k:
+                out.append(cls._BARE + "\n")
+                line = cls._BARE + line
+            core = line.rstrip(cls._PUNCTUATION)
+            if len(core) < len(line) and core and core[-1].isalnum():
+                out += [core, cls._BARE + line[len(core):]]
+            else:
+                out.append(line)
+        return out
+
     def _learn(self) -> None:
-        """Encode the new pieces.  A word that ends in punctuation is the word and the punctuation, which the pattern
-        always separates; so only words and punctuation themselves are encoded."""
-        parts: list[tuple[int, int] | None] = []
-        pieces, number = self.known.new, self.known.__getitem__
+        """Encode the new pieces.  A piece of several leaves is their ids joined; only leaves go to the library."""
+        pieces, number, ends = self.known.new, self.known.__getitem__, frozenset(self._PUNCTUATION)
+        first = len(self.size)
+        whole, joined, parts, counts = [], [], [], []
         i = 0
-        while i < len(pieces):  # words found here are appended and handled in turn
+        while i < len(pieces):  # leaves found here are appended and handled in turn
             p = pieces[i]
-            core = p.rstrip(self._PUNCTUATION)
-            if len(core) < len(p) and core and core[-1].isalnum():
-                parts.append((number(core), number(self._BARE + p[len(core):])))
+            found = self.leaves(p) if p[-1:] in ends or "\n" in p else (p,)
+            if len(found) == 1:
+                whole.append(i)
             else:
-                parts.append(None)
+                joined.append(i)
+                parts.extend(map(number, found))
+                counts.append(len(found))
             i += 1
-        first = len(self.size)
         self.known.new = []
-        whole = [i for i, x in enumerate(parts) if x is None]
-        ids = self._encode([pieces[i] for i in whole])
-        sizes = np.zeros(len(pieces), np.int64)
-        sizes[whole] = np.fromiter(map(len, ids), np.int64, len(ids))
-        self._append(np.concatenate(ids) if ids else np.empty(0, np.uint32), sizes)
-        joined = [i for i, x in enumerate(parts) if x is not None]
+        none = np.zeros(len(pieces), np.int64)
+        self.start, self.size = np.concatenate([self.start, none]), np.concatenate([self.size, none])
+        for index, ids, sizes in self._encode(pieces, whole):
+            self._append(first + index, ids, sizes)
         if joined:
-            pair = np.array([parts[i] for i in joined])
-            flat, size = self._gather(pair.ravel())
-            sizes = size.reshape(-1, 2).sum(axis=1)
-            at = np.array(joined) + first
-            self.size[at] = sizes
-            self.start[at] = self.used + np.cumsum(sizes) - sizes
-            self._append(flat, np.empty(0, np.int64))
-
-    def _append(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+            ids, sizes = self._gather(np.array(parts, np.int64))
+            begin = np.cumsum(counts) - counts
+            self._append(first + np.array(joined, np.int64), ids, np.add.reduceat(sizes, begin))
+
+    def _append(self, index: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Store the joined ids of the pieces of these numbers."""
         if self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat[:self.used], np.empty(2 * len(ids) + self.used, np.uint32)])
         self.flat[self.used:self.used + len(ids)] = ids
-        self.start = np.concatenate([self.start, self.used + np.cumsum(sizes) - sizes])
-        self.size = np.concatenate([self.size, sizes])
+        self.start[index] = self.used + np.cumsum(sizes) - sizes
+        self.size[index] = sizes
         self.used += len(ids)
 
     def _gather(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -201,38 +216,71 @@ class WordEncoder:
         at = np.repeat(self.start[index] - (ends - size), size)
         return self.flat[at + np.arange(len(at))], size
 
-    def _encode(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of pieces from the library.  Those without line breaks go together, one a line: a line break before a
-        space is a token of its own, so the ids are cut there."""
-        whole = [p[1:] if p[0] == self._BARE else " " + p for p in pieces]
+    def _encode(self, pieces: list[str], whole: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of these pieces: numbers, joined ids and sizes.  Those without line breaks or spaces at an end go together,
+        one a line: a line break beside a non-space, or before a space, is a token of its own, so the ids are cut there."""
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        lined = [i for i, p in enumerate(pieces) if p[0] != self._BARE and "\n" not in p] if len(line) == 1 else []
-        ids: list = [None] * len(pieces)
-        groups = [lined[i:i + self._TOGETHER] for i in range(0, len(lined), self._TOGETHER)]
-        texts = ["".join([whole[i] + "\n" for i in g]) + " " for g in groups]
+        spaced, bare, alone = [], [], []
+        for i in whole:
+            p = pieces[i]
+            own = p[1:] if p[0] == self._BARE else p
+            if len(line) != 1 or not own or own[0].isspace() or own[-1].isspace() or "\n" in own:
+                alone.append(i)
+            else:
+                (spaced if own is p else bare).append(i)
+        groups, texts = [], []
+        for some, text in ((spaced, lambda g: "".join([" " + pieces[i] + "\n" for i in g]) + " "),
+                           (bare, lambda g: "".join([pieces[i][1:] + "\n" for i in g]))):
+            cut = [some[i:i + self._TOGETHER] for i in range(0, len(some), self._TOGETHER)]
+            groups += cut
+            texts += map(text, cut)
         for g, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            got = np.array(e.ids, np.uint32)
-            cuts = np.flatnonzero(got == line[0])
-            for i, s, t in zip(g, np.concatenate([[0], cuts[:-1] + 1]).tolist(), cuts.tolist(), strict=True):
-                ids[i] = got[s:t]
-        rest = [i for i, x in enumerate(ids) if x is None]
-        for i, e in zip(rest, self.tokenizer.encode_batch_fast([whole[i] for i in rest], add_special_tokens=False), strict=True):
-            ids[i] = np.array(e.ids, np.uint32)
-        return ids
+            ids = np.array(e.ids, np.uint32)
+            breaks = np.flatnonzero(ids == line[0])
+            if len(breaks) != len(g):
+                raise ValueError("the tokenizer joins line breaks with what stands beside them")
+            yield np.array(g), np.delete(ids[:breaks[-1]], breaks[:-1]), np.diff(breaks, prepend=-1) - 1
+        texts = [pieces[i][1:] if pieces[i][0] == self._BARE else " " + pieces[i] for i in alone]
+        for i, e in zip(alone, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            yield np.array([i]), np.array(e.ids, np.uint32), np.array([len(e.ids)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not texts:
             return []
         if len(self.known) > self.limit:
             self._forget()
-        number, counts, index = self.known.__getitem__, [], []
-        for t in texts:
-            words = self.pieces(t) if t else []
-            counts.append(len(words))
-            index.extend(map(number, words))
+        number = self.known.__getitem__
+        plain, rests, odd, words, first = [], [], [], [], []
+        counts = np.zeros(len(texts), np.int64)
+        for k, t in enumerate(texts):
+            if not t:
+                continue
+            if self._NEAR_SPACE.search(t) or t[0].isspace() or t[-1].isspace():
+                pieces = self.pieces(t)
+                odd.append(k)
+                counts[k] = len(pieces)
+                words += map(number, pieces)
+            else:
+                word, _, rest = t.partition(" ")
+                plain.append(k)
+                first.append(number(self._BARE + word))
+                rests.append(rest or None)
+        # words between single spaces: split and made distinct by Arrow, so that one batch asks for each word once
+        split = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
+        counts[plain] = 1 + pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False)
+        coded = split.flatten().dictionary_encode()
+        distinct = np.fromiter(map(number, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+        index = np.empty(counts.sum(), np.int64)
+        starts = np.cumsum(counts) - counts
+        is_odd = np.zeros(len(texts), bool)
+        is_odd[odd] = True
+        of_odd = np.repeat(is_odd, counts)
+        of_first = np.zeros(len(index), bool)
+        of_first[starts[plain]] = True
+        index[of_odd], index[of_first] = words, first
+        index[~of_odd & ~of_first] = distinct[coded.indices.to_numpy()]
         if self.known.new:
             self._learn()
-        index = np.array(index, np.int64)
         used = np.bincount(index, minlength=len(self.known))
         used[:len(self.uses)] += self.uses
         self.uses = used
