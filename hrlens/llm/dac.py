@@ -28,12 +28,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, body, bound_batches, partitions, range_bounds, range_index
+from .common import body, bound_batches, chunks, partitions, range_bounds, range_index
 
 MAGIC = b"DAC1"
 END_ID = 0
 #: Ids after which a segment is closed (a longer document is a segment of its own).
 SEGMENT_IDS = 1_000_000
+#: Characters of text encoded together (a longer document is encoded alone).
+CHUNK_CHARS = 4_000_000
 SEGMENTS = "range int, segment long, start long, n_ids long, doc_ids array<long>, lengths binary, ids binary"
 
 
@@ -125,7 +127,7 @@ class WordEncoder:
     #: Marks a piece that has no space before it.
     _BARE = " "
 
-    def __init__(self, path: str, limit: int = 1_200_000):
+    def __init__(self, path: str, limit: int = 600_000):
         from tokenizers import Tokenizer
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
@@ -228,21 +230,21 @@ class WordEncoder:
                 alone.append(i)
             else:
                 (spaced if own is p else bare).append(i)
-        groups, texts = [], []
+
+        def ids_of(text: str) -> np.ndarray:  # one text a call: the library holds some 150 bytes a token until then
+            return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
         for some, text in ((spaced, lambda g: "".join([" " + pieces[i] + "\n" for i in g]) + " "),
                            (bare, lambda g: "".join([pieces[i][1:] + "\n" for i in g]))):
-            cut = [some[i:i + self._TOGETHER] for i in range(0, len(some), self._TOGETHER)]
-            groups += cut
-            texts += map(text, cut)
-        for g, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids = np.array(e.ids, np.uint32)
-            breaks = np.flatnonzero(ids == line[0])
-            if len(breaks) != len(g):
-                raise ValueError("the tokenizer joins line breaks with what stands beside them")
-            yield np.array(g), np.delete(ids[:breaks[-1]], breaks[:-1]), np.diff(breaks, prepend=-1) - 1
-        texts = [pieces[i][1:] if pieces[i][0] == self._BARE else " " + pieces[i] for i in alone]
-        for i, e in zip(alone, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            yield np.array([i]), np.array(e.ids, np.uint32), np.array([len(e.ids)])
+            for at in range(0, len(some), self._TOGETHER):
+                g = some[at:at + self._TOGETHER]
+                ids = ids_of(text(g))
+                breaks = np.flatnonzero(ids == line[0])
+                if len(breaks) != len(g):
+                    raise ValueError("the tokenizer joins line breaks with what stands beside them")
+                yield np.array(g), np.delete(ids[:breaks[-1]], breaks[:-1]), np.diff(breaks, prepend=-1) - 1
+        for i in alone:
+            ids = ids_of(pieces[i][1:] if pieces[i][0] == self._BARE else " " + pieces[i])
+            yield np.array([i]), ids, np.array([len(ids)])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not texts:
@@ -325,7 +327,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
             return row
 
         for batch in batches:
-            coded = words.encode(list(batch["text"]))
+            texts = list(batch["text"])
+            coded = [ids for a, b in chunks([len(t) for t in texts], CHUNK_CHARS) for ids in words.encode(texts[a:b])]
             for r, doc_id, null, ids in zip(batch["range"], batch["doc_id"], batch["no_id"], coded, strict=True):
                 if r != state["range"] or total > SEGMENT_IDS:
                     if docs_in:
