@@ -246,6 +246,22 @@ class WordEncoder:
             ids = ids_of(pieces[i][1:] if pieces[i][0] == self._BARE else " " + pieces[i])
             yield np.array([i]), ids, np.array([len(ids)])
 
+    def _apart(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words without the punctuation at their ends, and of that punctuation (-1: none).
+
+        Same rule as ``leaves`` for words of one line; done by Arrow, so that only leaves are asked for."""
+        number = self.known.__getitem__
+        core = pc.utf8_rtrim(words, self._PUNCTUATION)
+        ended = pc.and_(pc.less(pc.binary_length(core), pc.binary_length(words)),
+                        pc.and_(pc.match_substring_regex(core, r"[\p{L}\p{N}]\z"), pc.invert(pc.match_substring(words, "\n"))))
+        base = pc.if_else(ended, core, words).dictionary_encode()
+        numbers = np.fromiter(map(number, base.dictionary.to_pylist()), np.int64, len(base.dictionary))[base.indices.to_numpy()]
+        ends = np.full(len(words), -1)
+        tail = pc.replace_substring_regex(words.filter(ended), r"(?s)^.*[\p{L}\p{N}]", "").dictionary_encode()
+        bare = np.array([number(self._BARE + t) for t in tail.dictionary.to_pylist()], np.int64)
+        ends[ended.to_numpy(zero_copy_only=False)] = bare[tail.indices.to_numpy()]
+        return numbers, ends
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not texts:
             return []
@@ -271,24 +287,32 @@ class WordEncoder:
         split = pc.split_pattern(pa.array(rests, pa.large_string()), " ")
         counts[plain] = 1 + pc.fill_null(pc.list_value_length(split), 0).to_numpy(zero_copy_only=False)
         coded = split.flatten().dictionary_encode()
-        distinct = np.fromiter(map(number, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
-        index = np.empty(counts.sum(), np.int64)
+        word, end = self._apart(coded.dictionary)
+        m = len(word)
+        word = np.concatenate([word, np.array(first + words, np.int64)])
+        end = np.concatenate([end, np.full(len(first) + len(words), -1)])
+        index = np.empty(counts.sum(), np.int64)  # of every word its place in ``word`` and ``end``
         starts = np.cumsum(counts) - counts
         is_odd = np.zeros(len(texts), bool)
         is_odd[odd] = True
         of_odd = np.repeat(is_odd, counts)
         of_first = np.zeros(len(index), bool)
         of_first[starts[plain]] = True
-        index[of_odd], index[of_first] = words, first
-        index[~of_odd & ~of_first] = distinct[coded.indices.to_numpy()]
+        index[of_first], index[of_odd] = m + np.arange(len(first)), m + len(first) + np.arange(len(words))
+        index[~of_odd & ~of_first] = coded.indices.to_numpy()
         if self.known.new:
             self._learn()
-        used = np.bincount(index, minlength=len(self.known))
+        ended = end[index]
+        two = ended >= 0
+        ends = np.cumsum(1 + two)
+        numbers = np.empty(ends[-1] if len(ends) else 0, np.int64)
+        numbers[ends - 1 - two] = word[index]
+        numbers[ends[two] - 1] = ended[two]
+        used = np.bincount(numbers, minlength=len(self.known))
         used[:len(self.uses)] += self.uses
         self.uses = used
-        all_ids, size = self._gather(index)
-        ends = np.cumsum(size)
-        cuts = np.concatenate([[0], ends])[np.cumsum(counts)]
+        all_ids, size = self._gather(numbers)
+        cuts = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], ends])[np.cumsum(counts)]]
         return np.split(all_ids, cuts[:-1])
 
 
