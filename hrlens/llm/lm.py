@@ -37,7 +37,7 @@ SEGMENT_GRAMS = 1_000_000
 HEAD_WORDS = 1 << 22
 BACKOFF = 1000.0
 #: Tokens a task handles together.
-TOGETHER = 3_000_000
+TOGETHER = 1_500_000
 
 
 def tokens(text: str) -> list[bytes]:
