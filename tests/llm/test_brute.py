@@ -1,6 +1,7 @@
 """The queries against brute force on the smallest tables, and the methods' own laws."""
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -253,6 +254,16 @@ def test_word_encoder_equals_whole_texts(docs):
         assert [x.tolist() for x in e.encode(texts[k:k + 20])] == [w.ids for w in want]
 
 
+def test_word_encoder_on_random_texts():
+    rng = random.Random(3)
+    parts = [*"ab Z9.\n\n  \t\r'$&#%*\"]}>|<_é　中\U0001f389\x1c\x85²s", "<|endoftext|>", " the", "n't", "'ll", " \n", "word"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 40))) for _ in range(5000)]
+    e = dac.WordEncoder(tokenizers.path("byte_bpe_50k.json"), limit=500)
+    for k in range(0, len(texts), 250):
+        want = e.tokenizer.encode_batch(texts[k:k + 250], add_special_tokens=False)
+        assert [x.tolist() for x in e.encode(texts[k:k + 250])] == [w.ids for w in want]
+
+
 @pytest.mark.parametrize("values", [[], [0], [255, 256, 65535, 65536, 2**32 - 1], list(range(0, 90_000, 7))])
 def test_dac_round_trip(values):
     r = dac.DacReader(dac.dac_encode(np.array(values, np.uint32)))
