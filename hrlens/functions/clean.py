@@ -105,11 +105,6 @@ def date_column(df, name: str, patterns: Iterable[str] | str | None = None) -> C
     return to_date_tolerant(F.col(name), patterns)
 
 
-def as_date(c: ColumnOrName) -> Column:
-    """Date/timestamp column → date (no parsing)."""
-    return _c(c).cast("date")
-
-
 # P9 / P10 / P11 --------------------------------------------------------------
 def not_null_flag(c: ColumnOrName) -> Column:
     """``notnull().astype(int)``."""

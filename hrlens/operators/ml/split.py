@@ -28,11 +28,6 @@ def with_split(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42)
     return df.withColumn("split", F.when(is_test(key, test_size, seed), "test").otherwise("train"))
 
 
-def train_test(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    t = is_test(key, test_size, seed)
-    return df.where(~t), df.where(t)
-
-
 def split_sql(key_sql: str, test_size: float = 0.2, seed: int = 42) -> str:
     """The same assignment in DuckDB SQL (oracle)."""
     return (f"CASE WHEN (('0x' || substr(md5(CAST({key_sql} AS VARCHAR) || ':{seed}'), 1, 8))::BIGINT "

@@ -72,12 +72,6 @@ def _prep(df: DataFrame, group: str, y: str, xs: list[str],
     return centred, means, int(m["__n"])
 
 
-def group_sums(centred: DataFrame, group: str, cols: list[str]) -> DataFrame:
-    """Per group: n_g and s_g (sum of every W column). Partial aggregation first."""
-    return centred.groupBy(group).agg(F.count(F.lit(1)).alias("n_g"),
-                                      *[F.sum(c).alias(c) for c in cols])
-
-
 def _pairs(cols: list[str]) -> list[tuple[int, int]]:
     return [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
 

@@ -31,11 +31,6 @@ def top_k(df: DataFrame, k: int, order: OrderSpec, rank_col: str | None = "rank"
     return out
 
 
-def last_n_in_order(df: DataFrame, n: int, key: str) -> DataFrame:
-    """The last ``n`` rows by ``key`` (ascending output)."""
-    return df.orderBy(F.col(key).desc()).limit(n).orderBy(key)
-
-
 def rank_of(df: DataFrame, key_col: str, key_value, value_col: str) -> DataFrame:
     """1 + number of rows with a larger value than the named entity's.
 

@@ -29,11 +29,6 @@ def as_double_array(c: Column) -> Column:
     return F.transform(c, lambda x: x.cast("double"))
 
 
-def l2_norm(v: Column) -> Column:
-    """√Σx² by a left fold over the array."""
-    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
-
-
 def normalize(v: Column) -> Column:
     """v/‖v‖; the zero vector is returned unchanged; NULL stays NULL.
 
