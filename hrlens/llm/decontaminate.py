@@ -1,16 +1,15 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-1. The items' word 3-grams are seeds.  One pass over the documents finds every seed hit; documents without a hit are
-   out.  Seeds are broadcast; a benchmark of more than ``SEED_BLOCK`` seeds is dealt into blocks of items, one pass
-   each.
-2. A seed's document frequency is counted over all documents.  A seed is rare unless more than ``COMMON`` times as
-   frequent as the middle seed of its item, so a passage that many documents copy keeps its seeds and stock phrases
-   drop out at any corpus size.
-3. Rare hits are joined with the items' seeds.  A pair (document, item) with two different seeds near one diagonal (or
-   the only seed of a short item) is a candidate.
-4. Each candidate's neighbourhoods in the document are aligned with the item, word by word (match 2, mismatch and gap
-   -1).  The score is the best local alignment over that of a perfect copy; from ``THRESHOLD`` on the document is
-   contaminated.
+"""Benchmark decontamination: two-word seeds, counted within a window, then Smith-Waterman alignment.
+
+1. A seed is a pair of an item's words that stand next to each other or one word apart.  One pass over the documents
+   looks up their pairs of the same kind.  Seeds are broadcast; a benchmark of more than ``SEED_BLOCK`` words is dealt
+   into blocks of items, one pass each.
+2. An alignment that reaches the threshold has few edits for its matches, so a known number of its matched words are
+   followed by the next one at most one word on, in the document and in the item (``need_of``).  A document with that
+   many seeds of an item within the longest stretch such an alignment can take is a candidate.  The gate follows from
+   the score alone: it drops no pair that aligns, however often its seeds occur elsewhere.
+3. The candidate's stretches are aligned with the item, word by word (match 2, mismatch and gap -1); equal stretches
+   once.  The score is the best local alignment over that of a perfect copy; from ``THRESHOLD`` on the document is
+   contaminated.  Items of one or two words have to occur with all their words.
 
 Words are runs of characters between white space and ASCII punctuation, in lower case.
 """
@@ -18,22 +17,24 @@ Words are runs of characters between white space and ASCII punctuation, in lower
 from __future__ import annotations
 
 import functools
+import math
 import string
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, WordIds, body, bound_batches, chunks, mix64
+from .common import body, bound_batches, chunks
 
-SEED_WORDS = 3
 SEED_BLOCK = 2_000_000
-COMMON = 4
 THRESHOLD = 0.5
 MATCH, MISS, GAP = 2, -1, 1
 TOGETHER = 1_000_000
+HITS_TOGETHER = 2_000_000
+REMEMBERED = 20_000
 _TABLE = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
 
@@ -41,82 +42,115 @@ def words_of(text: str) -> list[bytes]:
     return text.lower().encode().translate(_TABLE).split()
 
 
-def seeds_of(ids: WordIds, words: list[list[bytes]]) -> list[np.ndarray]:
-    """Hash of the seed that starts at each place of each word list; a shorter text is one seed."""
-    out = []
-    for w in words:
-        index = ids.index(w)
-        h = ids.hashes()[index]
-        n = min(SEED_WORDS, len(w))
-        s = mix64(h[:len(h) - n + 1] + U64(n))
-        for k in range(1, n):
-            s = mix64(s * U64(0x9E3779B97F4A7C15) + h[k:len(h) - n + 1 + k])
-        out.append(s)
-    return out
+def need_of(n_words: int) -> int:
+    """Least number of close pairs in an alignment that reaches the threshold.
 
-
-def item_seeds(items: DataFrame) -> DataFrame:
-    """item_id, item, n_words, h, at: one row a seed of an item (items without words have none)."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = WordIds()
-        for batch in batches:
-            words = [words_of(t) for t in batch["item"]]
-            for item_id, text, w, s in zip(batch["item_id"], batch["item"], words, seeds_of(ids, words), strict=True):
-                if len(w):
-                    yield pd.DataFrame({"item_id": int(item_id), "item": text, "n_words": len(w), "h": s.view(np.int64), "at": np.arange(len(s))})
-            ids.room()
-    rows = items.where("item_id is not null").select(F.col("item_id").cast("long"), body().alias("item"))
-    return rows.mapInPandas(run, "item_id long, item string, n_words long, h long, at long")
-
-
-def seed_hits(docs: DataFrame, seeds: np.ndarray, short: list[int]) -> DataFrame:
-    """Documents with a hit among the sorted seeds: row, id, no_id, text, hits (h, at).
-
-    ``short`` has the lengths of items below SEED_WORDS words, whose only seed is that long.
+    With x matched words and costs c between one and the next, 2x - sum(c) >= 2 * THRESHOLD * n.  If k of the x - 1 steps
+    cost at most 1 (no more than one word between, on either side) and the others at least 2, k >= THRESHOLD * n - 1.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((seeds, short))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted, lengths = shared.value
-        ids = WordIds()
-        for batch in batches:
-            texts = list(batch["text"])
-            for i, j in chunks([len(t) for t in texts], TOGETHER):
-                ids.room()
-                index = [ids.index(words_of(t)) for t in texts[i:j]]
-                sizes = np.array([len(x) for x in index], np.int64)
-                flat = ids.hashes()[np.concatenate(index)]
-                if not len(wanted) or not len(flat):
-                    continue
-                doc = np.repeat(np.arange(len(index)), sizes)
-                place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                found_h, found_doc, found_at = [], [], []
-                for n in {SEED_WORDS, *lengths}:
-                    if len(flat) < n:
-                        continue
-                    s = mix64(flat[:len(flat) - n + 1] + U64(n))
-                    for k in range(1, n):
-                        s = mix64(s * U64(0x9E3779B97F4A7C15) + flat[k:len(flat) - n + 1 + k])
-                    near = np.minimum(np.searchsorted(wanted, s), len(wanted) - 1)
-                    hit = np.flatnonzero((wanted[near] == s) & (doc[:len(s)] == doc[n - 1:]))
-                    found_h.append(s[hit])
-                    found_doc.append(doc[hit])
-                    found_at.append(place[hit])
-                if not found_doc:
-                    continue
-                h, d, at = (np.concatenate(x) for x in (found_h, found_doc, found_at))
-                if not len(h):
-                    continue
-                order = np.argsort(d, kind="stable")
-                h, d, at = h[order].view(np.int64), d[order], at[order]
-                with_hit, first = np.unique(d, return_index=True)
-                ends = np.append(first[1:], len(d))
-                yield pd.DataFrame({"id": batch["id"].to_numpy()[i:j][with_hit], "no_id": batch["no_id"].to_numpy()[i:j][with_hit],
-                                    "text": [texts[i + k] for k in with_hit],
-                                    "h": [h[a:b] for a, b in zip(first, ends, strict=True)], "at": [at[a:b] for a, b in zip(first, ends, strict=True)]})
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"), body().alias("text"))
-    return (rows.mapInPandas(run, "id long, no_id boolean, text string, h array<long>, at array<long>")
-            .select(F.monotonically_increasing_id().alias("row"), "id", "no_id", "text", F.arrays_zip("h", "at").alias("hits")))
+    return max(1, math.ceil(THRESHOLD * n_words) - 1)
+
+
+def reach_of(n_words: int) -> int:
+    """Words of a document that such an alignment spans at most: x + sum(c) <= 3x - 2 * THRESHOLD * n."""
+    return max(1, math.floor((3 - 2 * THRESHOLD) * n_words))
+
+
+class Seeds:
+    """The items' words as numbers, and for every seed the items that have it."""
+
+    def __init__(self, item_ids: list[int], texts: list[str]):
+        split = [(i, w) for i, w in zip(item_ids, map(words_of, texts), strict=True) if w]
+        self.item_ids = [i for i, _ in split]
+        self.vocabulary: dict[bytes, int] = {}
+        self.items = [np.array([self.vocabulary.setdefault(x, len(self.vocabulary)) for x in w], np.int64) for _, w in split]
+        self.n_words = len(self.vocabulary)
+        self.single = any(len(w) == 1 for w in self.items)
+        self.need = np.array([need_of(len(w)) for w in self.items], np.int64)
+        self.reach = np.array([reach_of(len(w)) for w in self.items], np.int64)
+        keys = [np.unique(self.keys_of(w)) for w in self.items]
+        key = np.concatenate([np.empty(0, np.int64), *keys])
+        order = np.argsort(key, kind="stable")
+        self.owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys])[order]
+        self.key, self.first = np.unique(key[order], return_index=True)
+        self.count = np.diff(np.append(self.first, len(key)))
+        self.known: dict[tuple[int, bytes], tuple[int, int, int, int]] = {}
+
+    def keys_of(self, w: np.ndarray) -> np.ndarray:
+        n = self.n_words
+        if len(w) == 1:
+            return n * n + w
+        return np.concatenate([w[:-1] * n + w[1:], w[:-2] * n + w[2:]]) if len(w) > 2 else w[:1] * n + w[1:]
+
+    def lookup(self, flat: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place in ``flat`` and number of the seed, of every seed found; by place."""
+        places, seeds = [], []
+        for apart in (1, 2, *([0] if self.single else [])):
+            a, b = flat[:len(flat) - apart], flat[apart:]
+            at = np.flatnonzero((a >= 0) & (b >= 0) & (doc[:len(a)] == doc[apart:]))
+            key = a[at] * self.n_words + b[at] if apart else self.n_words**2 + a[at]
+            near = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+            hit = np.flatnonzero(self.key[near] == key)
+            places.append(at[hit])
+            seeds.append(near[hit])
+        place, seed = np.concatenate(places), np.concatenate(seeds)
+        order = np.argsort(place, kind="stable")
+        return place[order], seed[order]
+
+    def best(self, item: int, window: np.ndarray) -> tuple[int, int, int, int]:
+        """``align``, remembered for equal stretches."""
+        key = (item, window.tobytes())
+        if key not in self.known:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[key] = align(self.items[item], window)
+        return self.known[key]
+
+    def matches(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, float, int, int]]:
+        """(text, item_id, n_seeds, matched, score, first word, end word) of every text and item it holds a copy of."""
+        if not self.items:
+            return
+        for i, j in chunks([len(t) for t in texts], TOGETHER):
+            words = [words_of(t) for t in texts[i:j]]
+            starts = np.cumsum([0, *map(len, words)])
+            flat = np.fromiter(map(self.vocabulary.get, chain.from_iterable(words), repeat(-1)), np.int64, starts[-1])
+            doc = np.repeat(np.arange(j - i), np.diff(starts))
+            place, seed = self.lookup(flat, doc)
+            total = np.bincount(doc[place], self.count[seed], j - i).astype(np.int64).tolist()
+            for d, e in chunks(total, HITS_TOGETHER):
+                a, b = np.searchsorted(place, (starts[d], starts[e]))
+                for k, *found in self._candidates(flat, doc, starts, place[a:b], seed[a:b]):
+                    yield (i + k, *found)
+
+    def _candidates(self, flat: np.ndarray, doc: np.ndarray, starts: np.ndarray, place: np.ndarray, seed: np.ndarray) -> Iterator[tuple]:
+        n = self.count[seed]
+        post = np.repeat(self.first[seed] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        hits = np.unique(self.owner[post] * len(flat) + np.repeat(place, n))
+        item, at = np.divmod(hits, max(1, len(flat)))
+        last = np.arange(len(hits)) + self.need[item] - 1
+        first = np.flatnonzero(last < len(hits))
+        last = last[first]
+        first, last = (x[(item[first] == item[last]) & (doc[at[first]] == doc[at[last]]) & (at[last] - at[first] < self.reach[item[first]])] for x in (first, last))
+        if not len(first):
+            return
+        item_of, doc_of = item[first], doc[at[first]]
+        low = np.maximum(at[last] - self.reach[item_of], starts[doc_of])
+        high = np.minimum(at[first] + self.reach[item_of] + 1, starts[doc_of + 1])
+        cut = np.flatnonzero((np.diff(item_of) != 0) | (np.diff(doc_of) != 0) | (low[1:] > high[:-1])) + 1
+        best: dict[tuple[int, int], tuple[int, int, int, int]] = {}
+        for x, y in zip([0, *cut], [*cut - 1, len(first) - 1], strict=True):
+            k, d, reach = int(item_of[x]), int(doc_of[x]), int(self.reach[item_of[x]])
+            a, b, step = int(low[x]), int(high[y]), 64 * reach
+            for c in range(a, max(a + 1, b - reach), step):  # an alignment is no longer than the overlap
+                score, matched, f, end = self.best(k, flat[c:min(b, c + step + reach)])
+                if score > best.get((d, k), (0,))[0]:
+                    best[d, k] = (score, matched, c + f - int(starts[d]), c + end - int(starts[d]))
+        for (d, k), (score, matched, f, end) in best.items():
+            size = len(self.items[k])
+            if matched < size if size <= 2 else score < THRESHOLD * MATCH * size:
+                continue
+            a, b = np.searchsorted(hits, (k * len(flat) + starts[d], k * len(flat) + starts[d + 1]))
+            yield d, self.item_ids[k], int(b - a), matched, score / (MATCH * size), f, end
 
 
 def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int, int]:
@@ -141,77 +175,38 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int, int]:
     return score, int(matched), j, end
 
 
-def windows(at: np.ndarray, in_item: np.ndarray, seeds: np.ndarray, n_item: int, n_doc: int) -> list[tuple[int, int]]:
-    """Places of a document worth aligning: runs of near diagonals with two different seeds (one, if the item has one)."""
-    diagonal = at - in_item
-    order = np.argsort(diagonal, kind="stable")
-    diagonal, seeds = diagonal[order], seeds[order]
-    slack = max(4, n_item // 4)
-    cuts = np.flatnonzero(np.diff(diagonal) > slack) + 1
-    need = min(2, max(1, n_item - SEED_WORDS + 1))
-    out = []
-    for d, s in zip(np.split(diagonal, cuts), np.split(seeds, cuts), strict=True):
-        if len(set(s.tolist())) >= need:
-            a, b = max(0, int(d[0]) - slack), min(n_doc, int(d[-1]) + n_item + slack)
-            if out and a <= out[-1][1] - n_item:
-                out[-1] = (out[-1][0], max(b, out[-1][1]))
-            else:
-                out.append((a, b))
-    return out
-
-
-def aligned(candidates: DataFrame) -> DataFrame:
-    """doc_id, item_id, n_seeds, matched, score, first_word, end_word of the contaminated pairs."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for r in batch.itertuples():
-                ids = WordIds()
-                item, text = ids.index(words_of(r.item)), ids.index(words_of(r.text))
-                at, in_item, h = (np.asarray(x, np.int64) for x in (r.at, r.in_item, r.h))
-                best = (0, 0, 0, 0)
-                for a, b in windows(at, in_item, h, len(item), len(text)):
-                    score, matched, first, end = align(item, text[a:b])
-                    best = max(best, (score, matched, a + first, a + end), key=lambda x: x[0])
-                score = best[0] / (MATCH * len(item))
-                if score >= THRESHOLD:
-                    out.append((r.id, r.no_id, r.item_id, len(set(h.tolist())), best[1], score, best[2], best[3]))
-            yield pd.DataFrame(out, columns=["id", "no_id", "item_id", "n_seeds", "matched", "score", "first_word", "end_word"])
-    pairs = candidates.mapInPandas(run, "id long, no_id boolean, item_id long, n_seeds long, matched long, score double, first_word long, end_word long")
-    return pairs.select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "item_id", "n_seeds", "matched", "score", "first_word", "end_word")
+def seed_blocks(items: DataFrame) -> Iterator[Seeds]:
+    """The items in blocks whose seeds are few enough to broadcast; at least one."""
+    rows = items.where("item_id is not null").select(F.col("item_id").cast("long"), body().alias("item")).distinct()
+    n_words = rows.agg(F.sum(F.length("item") / 2 + 1)).first()[0] or 0
+    n_blocks = max(1, math.ceil(n_words / SEED_BLOCK))
+    for b in range(n_blocks):
+        block = rows.where(F.pmod(F.xxhash64("item_id", "item"), F.lit(n_blocks)) == b).collect()
+        yield Seeds([r["item_id"] for r in block], [r["item"] for r in block])
 
 
 def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row for every document and item it holds a copy of, exact or edited.
 
-    Documents and items without words match nothing, nor does a NULL item_id.  Rows that repeat a document give a row
-    each, rows that repeat an item count once.
+    ``n_seeds`` counts the document's places with a seed of the item.  Documents and items without words match nothing,
+    nor does a NULL item_id.  Rows that repeat a document give a row each, rows that repeat an item count once.
     """
-    spark = docs.sparkSession
-    bound_batches(spark)
-    scratch = Scratch(spark, "decontaminate")
-    every = scratch.table("seeds", item_seeds(items.select("item_id", "text").distinct()))
-    n_blocks = max(1, -(-every.count() // SEED_BLOCK))
-    found = [_in_block(docs, every.where(F.pmod(F.xxhash64("item_id", "item"), F.lit(n_blocks)) == b), scratch, f"hits-{b}")
-             for b in range(n_blocks)]
-    return functools.reduce(DataFrame.unionByName, found)
-
-
-def _in_block(docs: DataFrame, seeds: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """The result for the items of one block, whose seeds are few enough to broadcast."""
-    short = sorted(r["n_words"] for r in seeds.where(f"n_words < {SEED_WORDS}").select("n_words").distinct().collect())
-    wanted = np.sort(seeds.select("h").distinct().toPandas()["h"].to_numpy(np.int64).view(U64))
-    found = scratch.table(name, seed_hits(docs, wanted, short))
-    hit = found.select("row", F.explode("hits").alias("x")).select("row", "x.h", F.col("x.at").alias("in_doc"))
-    df = hit.select("h", "row").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("df"))
-    known = seeds.join(df, "h")
-    usual = known.groupBy("item_id", "item").agg(F.percentile_approx("df", 0.5).alias("usual"))
-    rare = (known.join(usual, ["item_id", "item"]).where(f"df <= {COMMON} * usual")
-            .select("h", "item_id", "item", F.col("at").alias("in_item")))
-    pairs = (hit.join(rare, "h").groupBy("row", "item_id", "item")
-             .agg(F.collect_list(F.struct("in_doc", "in_item", "h")).alias("s")))  # bounded by the document's own hits
-    return aligned(pairs.join(found.select("row", "id", "no_id", "text"), "row")
-                   .select("id", "no_id", "text", "item_id", "item", F.col("s.in_doc").alias("at"), F.col("s.in_item").alias("in_item"), F.col("s.h").alias("h")))
+    bound_batches(docs.sparkSession)
+    return functools.reduce(DataFrame.unionByName, [_in_block(docs, seeds) for seeds in seed_blocks(items)])
+
+
+def _in_block(docs: DataFrame, seeds: Seeds) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(seeds)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = pd.DataFrame(shared.value.matches(list(batch["text"])), columns=["k", "item_id", "n_seeds", "matched", "score", "first_word", "end_word"])
+            if len(found):
+                k = found.pop("k").to_numpy()
+                yield pd.DataFrame({"id": batch["id"].to_numpy()[k], "no_id": batch["no_id"].to_numpy()[k]}).join(found)
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"), body().alias("text"))
+    pairs = rows.mapInPandas(run, "id long, no_id boolean, item_id long, n_seeds long, matched long, score double, first_word long, end_word long")
+    return pairs.select(F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "item_id", "n_seeds", "matched", "score", "first_word", "end_word")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -169,6 +169,15 @@ def test_edited_copy(spark):
     assert [(x.doc_id, x.item_id, x.first_word) for x in r] == [(1, 7, 50)] and 0.5 <= r[0].score < 1
 
 
+def test_edited_copies_that_are_frequent(spark):
+    item = [f"w{k}" for k in range(22)]
+    copy = ["new" if k in (3, 8, 13, 18) else w for k, w in enumerate(item)]
+    docs = spark.createDataFrame([(0, " ".join(item)), *((i, f"d{i} " + " ".join(copy)) for i in range(1, 9))], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = {r.doc_id: r.score for r in decontaminate.contaminated(docs, items).collect()}
+    assert got == pytest.approx({0: 1.0} | dict.fromkeys(range(1, 9), 32 / 44))
+
+
 def test_mixing():
     rng = np.random.default_rng(2)
     texts = [" ".join(rng.choice([f"{d}{k}" for k in range(40)], 30)) for d in "ab" for _ in range(60)]
