@@ -24,7 +24,7 @@ from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import body, bound_batches, chunks
@@ -210,6 +210,20 @@ def _in_block(docs: DataFrame, seeds: Seeds) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item, with their columns."""
-    out = contaminated(docs, items).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(out, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows whose own text holds no benchmark item, with their columns."""
+    bound_batches(docs.sparkSession)
+    for seeds in seed_blocks(items):
+        docs = docs.where(~_holds(docs, seeds))
+    return docs
+
+
+def _holds(docs: DataFrame, seeds: Seeds) -> Column:
+    shared = docs.sparkSession.sparkContext.broadcast(seeds)
+
+    @F.pandas_udf("boolean")
+    def holds(texts: pd.Series) -> pd.Series:
+        out = np.zeros(len(texts), bool)
+        for k, *_ in shared.value.matches(list(texts)):
+            out[k] = True
+        return pd.Series(out)
+    return holds(body())

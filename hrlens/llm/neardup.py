@@ -98,8 +98,8 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return key
 
 
-def sketch(docs: DataFrame, n: int) -> DataFrame:
-    """row, doc_id, n_shingles, set_id (NULL without shingles), keys for every row."""
+def sketch(docs: DataFrame, n: int, row: str | None = None) -> DataFrame:
+    """row, doc_id, n_shingles, set_id (NULL without shingles), keys for every row; ``row``: a column that numbers the rows."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = WordIds()
         for batch in batches:
@@ -114,7 +114,7 @@ def sketch(docs: DataFrame, n: int) -> DataFrame:
                 yield pd.DataFrame({"row": batch["row"].to_numpy()[i:j], "n_shingles": [len(s) for s in sets],
                                     "set_id": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                                     "keys": keys, "id": batch["id"].to_numpy()[i:j], "no_id": batch["no_id"].to_numpy()[i:j]})
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+    rows = docs.select((F.col(row) if row else F.monotonically_increasing_id()).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
                        F.col("doc_id").isNull().alias("no_id"), body().alias("text"))
     made = rows.mapInPandas(run, "row long, id long, no_id boolean, n_shingles long, set_id binary, keys array<long>")
     return made.select("row", F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "n_shingles", "set_id", "keys")
@@ -126,8 +126,11 @@ def parity(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(bool), bitorder="little").view(np.int64)
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """node, its shingles and their parities; ``wanted`` has (node, low, set_id), ``low`` the id of a document with that set."""
+def sets_of(docs: DataFrame, wanted: DataFrame, n: int, row: str | None = None) -> DataFrame:
+    """node, its shingles and their parities; ``wanted`` has (node, low, set_id), ``low`` the id of a document with that set.
+
+    Where ``row`` numbers the rows, a node is such a number and its text is found by it.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = WordIds()
         for batch in batches:
@@ -140,7 +143,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                     continue
                 yield pd.DataFrame({"node": batch["node"].to_numpy()[i:j][same], "shingles": [sets[k].view(np.int64) for k in same],
                                     "parity": [parity(sets[k]) for k in same]})
-    rows = docs.select("doc_id", body().alias("text")).join(wanted, F.col("doc_id").eqNullSafe(F.col("low"))).select("node", "set_id", "text")
+    if row:
+        rows = docs.select(F.col(row).alias("node"), body().alias("text")).join(wanted, "node").select("node", "set_id", "text")
+    else:
+        rows = docs.select("doc_id", body().alias("text")).join(wanted, F.col("doc_id").eqNullSafe(F.col("low"))).select("node", "set_id", "text")
     # rows that repeat a doc_id and a set come out alike, so any one of a node serves
     return rows.mapInPandas(run, "node long, shingles array<long>, parity array<long>").dropDuplicates(["node"])
 
@@ -176,13 +182,13 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             return label
 
 
-def links_of(nodes: DataFrame, docs: DataFrame, n: int, scratch: Scratch) -> DataFrame:
+def links_of(nodes: DataFrame, docs: DataFrame, n: int, scratch: Scratch, row: str | None = None) -> DataFrame:
     """Components (node, comp) of all nodes that have a link.  ``nodes``: node, low, set_id, keys."""
     meet = nodes.select("node", F.explode("keys").alias("key"))
     sizes = meet.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = scratch.table("members", meet.join(sizes, "key"))
     degree = members.groupBy("node").agg(F.sum("size").alias("degree"))
-    sets = scratch.table("shingles", sets_of(docs, nodes.select("node", "low", "set_id").join(degree.select("node"), "node", "left_semi"), n))
+    sets = scratch.table("shingles", sets_of(docs, nodes.select("node", "low", "set_id").join(degree.select("node"), "node", "left_semi"), n, row))
     hubs = members.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("minus"))).alias("h"))
     star = members.join(hubs.select("key", (-F.col("h.minus")).alias("hub")), "key").where("node <> hub")
     pairs = star.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
@@ -221,25 +227,29 @@ def near_duplicates(docs: DataFrame, n_words: int = 5) -> DataFrame:
     smallest doc_id reachable, itself included; one row of a component is kept, the one with that doc_id.  A document
     without words is linked with nothing and kept.  A NULL doc_id counts as larger than any other.
     """
-    spark = docs.sparkSession
-    bound_batches(spark)
-    scratch = Scratch(spark, "neardup")
-    rows = scratch.table("rows", sketch(docs, n_words))
+    return _judged(docs, n_words, Scratch(docs.sparkSession, "neardup")).drop("row")
+
+
+def _judged(docs: DataFrame, n_words: int, scratch: Scratch, row: str | None = None) -> DataFrame:
+    """``near_duplicates`` with the number of the row."""
+    bound_batches(docs.sparkSession)
+    rows = scratch.table("rows", sketch(docs, n_words, row))
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     nodes = scratch.table("nodes", rows.where("set_id is not null").groupBy("set_id")
                           .agg(F.min(first).alias("first"), F.first("keys").alias("keys"))
                           .select("set_id", F.col("first.row").alias("node"), "first", F.col("first.doc_id").alias("low"), "keys"))
-    comp = links_of(nodes, docs, n_words, scratch)
+    comp = links_of(nodes, docs, n_words, scratch, row)
     grouped = nodes.select("set_id", "node", "first").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     keeper = grouped.groupBy("comp").agg(F.min("first").alias("keeper"))
     of_set = grouped.join(keeper, "comp").select("set_id", "keeper")
     return (rows.select("row", "doc_id", "n_shingles", "set_id").join(of_set, "set_id", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("keeper").isNotNull(), F.col("keeper.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+            .select("row", "doc_id", "n_shingles", F.when(F.col("keeper").isNotNull(), F.col("keeper.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
                     F.coalesce(F.col("row") == F.col("keeper.row"), F.lit(True)).alias("kept")))
 
 
 def drop_near_duplicates(docs: DataFrame, n_words: int = 5) -> DataFrame:
-    """The documents with one of each group left, with their columns; rows that share a doc_id stay or go together."""
-    out = (near_duplicates(docs, n_words).groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept")
-           .select(F.col("doc_id").alias("_gone")))
-    return docs.join(out, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    """One row of each group, with its columns; rows that share a doc_id are told apart by a number written with them."""
+    scratch = Scratch(docs.sparkSession, "neardup")
+    numbered = scratch.table("input", docs.withColumn("_row", F.monotonically_increasing_id()))
+    out = _judged(numbered, n_words, scratch, "_row").where("not kept").select(F.col("row").alias("_row"))
+    return numbered.join(out, "_row", "left_anti").select(docs.columns)

@@ -62,3 +62,20 @@ def test_stages(spark, edge, empty, labels, tmp_path, name, stage):
         assert kept <= {(r.doc_id, r.text) for r in docs.collect()}
         if name in ("mixing", "sharding"):
             assert len(kept) == docs.select("doc_id", "text").distinct().count()
+
+
+def test_stages_judge_rows_not_ids(spark):
+    bad, clean = "see the quick brown fox jumps over the lazy dog", [f"c{i} nothing of a{i} benchmark b{i} in here {i}" for i in range(4)]
+    rows = [(None, bad), (None, clean[0]), (None, clean[1]), (5, bad), (5, clean[2]), (5, clean[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = decontaminate.drop_contaminated(docs, items(spark)).collect()
+    assert sorted(map(str, map(tuple, left))) == sorted(str(r) for r in rows if r[1] != bad)
+
+
+def test_one_row_of_a_group_stays(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"u{i}" for i in range(60))
+    rows = [(None, base), (None, base), (None, base + " x"), (5, other), (5, other), (5, other + " y"), (5, "alone here"), (None, ""), (None, "")]
+    left = neardup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(str(r.doc_id) for r in left) == ["5", "5", "None", "None", "None"]
+    assert sorted(r.text[:1] for r in left) == ["", "", "a", "u", "w"]
