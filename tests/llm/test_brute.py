@@ -241,6 +241,17 @@ def test_lexer():
     assert [(s, k, e) for s, _, k, e in brute_secrets(tricky)] == [(s, k, e) for k, s, e, *_ in secrets.scan_text(tricky) if k in secrets.BASE]
 
 
+@pytest.mark.parametrize("text", [
+    'config["password"] = "LIT"', "$c['db']['password'] = 'LIT';", 'password: str = "LIT"', 'const apiKey: string = "LIT"', 'token: Optional[str] = "LIT"',
+    'password = b"LIT"', "password = rb'LIT'", 'password = """LIT"""', "password = \'\'\'LIT\'\'\'", 'password = ("LIT")', 'password = (\n  "LIT"\n)',
+    'password = os.getenv("P", "LIT")', 'x = f(g(1), "LIT")\npassword = x', "<password>LIT</password>", '<db><password type="a">\n LIT\n</password></db>'])
+def test_lexer_forms(text):
+    lit = "Xy7kQ29zLm41pT"
+    text = text.replace("LIT", lit)
+    assert lit in {text[s:e] for k, s, e, *_ in secrets.scan_text(text) if k == "literal"}
+    assert {text[s:e] for k, s, e, *_ in secrets.scan_text(text) if k == "literal"} == {lit}
+
+
 def test_token_files(spark, docs):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokenizers.path("byte_bpe_50k.json"))
