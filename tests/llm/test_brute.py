@@ -3,6 +3,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -252,6 +253,18 @@ def test_lexer_forms(text):
     assert {text[s:e] for k, s, e, *_ in secrets.scan_text(text) if k == "literal"} == {lit}
 
 
+def test_lexer_shares_what_is_added_up():
+    """Memory and time follow the text, not the number of times that names are added up."""
+    double = 'x = "Xy7kQ29z"\n' + "x = x + x\n" * 40 + "password = x"
+    assert [(double[s:e], n) for k, s, e, n, _ in secrets.scan_text(double) if k == "literal"] == [("Xy7kQ29z", "password")]
+    lines = "".join(f's = s + "a{i}"\n' for i in range(4000)) + "token = s"
+    tracemalloc.start()
+    found = [f for f in secrets.scan_text(lines) if f[0] == "literal"]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 4001 and peak < 100 * len(lines)
+
+
 def test_token_files(spark, docs):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokenizers.path("byte_bpe_50k.json"))
