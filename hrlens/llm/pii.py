@@ -1,9 +1,12 @@
 """Personal data replaced by surrogates: keyed, of the same type, gender, script and format.
 
-Detected are e-mail addresses, IPv4 addresses, phone numbers, payment cards (with a valid check digit), social
-security numbers, IBANs (valid check digits) and person names (after a form of address, or a known given name with the
+Detected are e-mail addresses, IP addresses, phone numbers (3-3-4 digits, 10 digits by the rules of area and exchange
+codes, international ones from "+" on), payment cards (with a valid check digit), social security numbers, IBANs (valid
+check digits, in one run or in groups of four) and person names (after a form of address, or a known given name with the
 capitalised word after it).  A name's parts are entities of their own: given names by gender, and surnames; so
-"Ms Smith" and "Jane Smith" keep referring to one person.
+"Ms Smith" and "Jane Smith" keep referring to one person.  A second pass over the document takes every other whole-word
+mention of the parts found, in any letter case, for the same entity; articles, particles and the like (``NO_MENTION``)
+are left out of it.
 
 A surrogate comes from a keyed permutation of all values with the entity's format (digits to digits, vowels to vowels,
 consonants to consonants, of the same script; listed given names among those of their gender and script; check digits
@@ -15,6 +18,7 @@ conflict take the next permutation until no conflict is left.  The same entity g
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import math
 import re
 from collections.abc import Callable, Iterator
@@ -37,6 +41,11 @@ GIVEN = {
 }
 ADDRESS = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Sir": "m", "Madam": "f", "Herr": "m", "Frau": "f", "Señor": "m", "Señora": "f",
            "Monsieur": "m", "Madame": "f", "Dr": "", "Prof": ""}
+#: Words that may stand in a name's place and are ordinary words elsewhere.
+NO_MENTION = frozenset("a an and at by de del den der di do dos du el et for he her his i in is it la las le les lo los of on or she that the they to van "
+                       "von was we who with y you und die das был и в на не".split())
+#: Country calling codes of one and two digits; all others have three.
+CODES = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 ALPHABETS = ["0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóúàèìòùâêîôûäëïöü", "çñß", "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "ъьё",
              "αεηιουω", "βγδζθκλμνξπρστφχψ"]
 _CLASS = {c: a for a in ALPHABETS for c in a}
@@ -46,11 +55,16 @@ _DIGITS = re.compile(r"\d")
 _EMAIL = re.compile(r"(?<![\w.+%-])[\w.+%-]{1,64}@[A-Za-z0-9][A-Za-z0-9-]{0,62}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}(?![\w@-])")
 _IP = re.compile(r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\.?\d)")
 _PHONE = re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])")
+_PLAIN_PHONE = re.compile(r"(?<![\w.+-])[2-9]\d{2}[2-9]\d{6}(?![\w-]|\.\d)")
+_FAR_PHONE = re.compile(r"(?<![\w+])\+[1-9](?:[ ./()-]{0,2}\d){6,14}(?!\w)")  # 7 to 15 digits
+_IP6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![\w:])")
 _SSN = re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])")
 _CARD = re.compile(r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])")
 _IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?!\w)")
+_IBAN_GROUPS = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?:[ -][A-Z0-9]{4}){2,7}(?:[ -][A-Z0-9]{1,3})?(?!\w)")
+_WORD = re.compile(r"(?<!\w)[^\W\d_]++(?!\w)")
 _ADDRESSED = re.compile(r"\b(" + "|".join(sorted(ADDRESS, key=len, reverse=True)) + r")\b\.? ([^\W\d_]+)(?: ([^\W\d_]+))?")
-_GIVEN = re.compile(r"\b(" + "|".join(n for names in GIVEN.values() for n in names) + r")\b(?: ([^\W\d_]+))?")
+_GIVEN = re.compile(r"\b(" + "|".join(x for names in GIVEN.values() for n in names for x in (n, n.upper())) + r")\b(?: ([^\W\d_]+))?")
 SPANS = "array<struct<start:long,end:long,type:string,norm:string>>"
 
 
@@ -67,6 +81,14 @@ def iban_rest(text: str) -> int:
     return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97
 
 
+def ip6_of(text: str) -> str | None:
+    """The address in full, if it is one."""
+    try:
+        return ipaddress.IPv6Address(text).exploded
+    except ValueError:
+        return None
+
+
 def digits_of(text: str) -> str:
     return "".join(c for c in text if c.isdecimal() and c.isascii())
 
@@ -84,12 +106,24 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
         for m in _IBAN.finditer(text):
             if iban_rest(m[0]) == 1:
                 add(m.start(), m.end(), "IBAN", m[0])
+        for m in _IBAN_GROUPS.finditer(text):
+            groups = re.split("[ -]", m[0])
+            for n in range(len(groups), 3, -1):  # capitals after the number may look like groups of it
+                joined = "".join(groups[:n])
+                if len(joined) >= 15 and iban_rest(joined) == 1:
+                    add(m.start(), m.start() + len(joined) + n - 1, "IBAN", joined)
+                    break
         for m in _CARD.finditer(text):
             if luhn(d := digits_of(m[0])) == 0 and len(set(d)) > 1:
                 add(m.start(), m.end(), "CARD", d)
-        for kind, pattern in (("SSN", _SSN), ("PHONE", _PHONE)):
+        for kind, pattern in (("SSN", _SSN), ("PHONE", _PHONE), ("PHONE", _PLAIN_PHONE)):
             for m in pattern.finditer(text):
                 add(m.start(), m.end(), kind, digits_of(m[0]))
+        for m in _FAR_PHONE.finditer(text):
+            add(m.start(), m.end(), "PHONE", "+" + digits_of(m[0]))
+        for m in _IP6.finditer(text) if ":" in text else ():
+            if len(m[0].replace(":", "")) >= 4 and _DIGITS.search(m[0]) and (address := ip6_of(m[0])):
+                add(m.start(), m.end(), "IP", address)
         for m in _IP.finditer(text):
             if all(int(x) < 256 for x in m[0].split(".")):
                 add(m.start(), m.end(), "IP", ".".join(str(int(x)) for x in m[0].split(".")))
@@ -107,6 +141,17 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
         if m[2] and m[2][0].isupper():
             add(m.start(1), m.end(1), "GIVEN_" + _BY_NAME[m[1].lower()][1].upper(), m[1].lower())
             add(m.start(2), m.end(2), "SURNAME", m[2].lower())
+    out = without_overlaps(found)
+    parts: dict[str, str] = {}
+    for _, _, kind, norm in out:
+        if kind.startswith(("GIVEN", "SURNAME")) and norm not in NO_MENTION:
+            parts.setdefault(norm, kind)
+    if not parts:
+        return out
+    return without_overlaps(out + [(m.start(), m.end(), parts[n], n) for m in _WORD.finditer(text) if (n := m[0].lower()) in parts])
+
+
+def without_overlaps(found: list[tuple[int, int, str, str]]) -> list[tuple[int, int, str, str]]:
     out, end = [], 0
     rank = {id(f): i for i, f in enumerate(found)}
     for f in sorted(found, key=lambda f: (f[0], rank[id(f)])):
@@ -135,9 +180,9 @@ def permute(n: int, x: int, key: bytes, tweak: str) -> int:
             return x
 
 
-def permute_text(text: str, key: bytes, tweak: str, first: str = "") -> str:
-    """Another text of the same pattern of character classes; ``first``: the characters its first digit may have."""
-    slots = [(i, first if first and i == 0 and c in first else _CLASS[c]) for i, c in enumerate(text) if c in _CLASS]
+def permute_text(text: str, key: bytes, tweak: str, first: str = "", places: tuple[int, ...] = (0,)) -> str:
+    """Another text of the same pattern of character classes; ``first``: the characters its digits at ``places`` may have."""
+    slots = [(i, first if first and i in places and c in first else _CLASS[c]) for i, c in enumerate(text) if c in _CLASS]
     n = x = 0
     total = math.prod(len(a) for _, a in slots)
     for i, a in slots:
@@ -153,13 +198,15 @@ def permute_text(text: str, key: bytes, tweak: str, first: str = "") -> str:
 def surrogate(kind: str, norm: str, attempt: int = 0, key: bytes = KEY) -> str:
     """Normal form of the surrogate of an entity."""
     tweak = f"{kind}|{attempt}"
-    if attempt >= MAX_ATTEMPTS and not norm[0].isdigit():
+    if attempt >= MAX_ATTEMPTS and not norm[0].isdigit() and kind not in ("PHONE", "IP"):
         return permute_text(norm, key, tweak) + permute_text("barelo", key, f"{tweak}|{norm}")  # the format is used up
     if kind == "EMAIL":
         name, _, host = norm.partition("@")
         host, dot, top = host.rpartition(".")
         mixed = permute_text(name + "@" + host, key, tweak)
         return mixed + dot + top
+    if kind == "IP" and ":" in norm:
+        return ipaddress.IPv6Address(permute(2**128, int(ipaddress.IPv6Address(norm)), key, tweak)).exploded
     if kind == "IP":
         x = 0
         for part in norm.split("."):
@@ -173,8 +220,11 @@ def surrogate(kind: str, norm: str, attempt: int = 0, key: bytes = KEY) -> str:
         start = norm[:2]
         rest = permute_text(norm[4:].lower(), key, tweak).upper()
         return f"{start}{98 - iban_rest(start + '00' + rest):02d}{rest}"
+    if kind == "PHONE" and norm[0] == "+":
+        code = next((n for n in (2, 3) if norm[1:n] in CODES), 4)
+        return norm[:code] + permute_text(norm[code:], key, f"{tweak}|{norm[:code]}", "23456789")
     if kind == "PHONE":
-        return norm[:-10] + permute_text(norm[-10:], key, tweak, "23456789")
+        return norm[:-10] + permute_text(norm[-10:], key, tweak, "23456789", (0, 3))
     if kind.startswith("GIVEN") and norm in _BY_NAME:
         _, gender, script = _BY_NAME[norm]
         names = GIVEN[script, gender]
@@ -185,8 +235,11 @@ def surrogate(kind: str, norm: str, attempt: int = 0, key: bytes = KEY) -> str:
 def render(kind: str, mention: str, value: str) -> str:
     """The surrogate in the mention's form: separators of numbers and letter case of names are kept."""
     if kind in ("PHONE", "SSN", "CARD"):
-        digits = iter(value)
+        digits = iter(digits_of(value))
         return "".join(next(digits) if c in ALPHABETS[0] else c for c in mention)
+    if kind == "IBAN":
+        rest = iter(value)
+        return "".join(next(rest) if c.isalnum() else c for c in mention)
     if kind == "SURNAME" or kind.startswith("GIVEN"):
         return value.upper() if mention.isupper() and len(mention) > 1 else value[:1].upper() + value[1:] if mention[:1].isupper() else value
     return value

@@ -211,6 +211,34 @@ def test_surrogates(spark, docs):
     assert sorted(k for *_, k, _ in pii.detect(new)) == sorted(k for *_, k, _ in pii.detect(text))  # check digits hold
 
 
+def test_mentions_of_names_found(spark):
+    text = "Jane Smith wrote. Later Smith and Jane left; SMITH's car, jane too. JANE SMITH signed. Smithson stays."
+    new = pii.replace_personal_data(spark.createDataFrame([(1, text), (2, "Smith and Jane without a full name")], "doc_id long, text string")).collect()
+    new = {r.doc_id: r for r in new}
+    words = re.findall(r"\w+", new[1].text)
+    given, surname = words[:2]
+    assert not {"jane", "smith"} & {w.lower() for w in words} and new[1].n_entities == 8
+    assert [words[i] for i in (4, 6, 8, 11, 13, 14)] == [surname, given, surname.upper(), given.lower(), given.upper(), surname.upper()]
+    assert new[1].text.endswith("Smithson stays.") and new[2].n_entities == 0
+
+
+@pytest.mark.parametrize("mention,kind", [
+    ("DE89 3704 0044 0532 0130 00", "IBAN"), ("GB29 NWBK 6016 1331 9268 19", "IBAN"), ("+49 30 901820", "PHONE"), ("+442079460018", "PHONE"),
+    ("+33 (0)1 23 45 67 89", "PHONE"), ("2125550187", "PHONE"), ("2001:db8::8a2e:370:7334", "IP"), ("fe80:0:0:0:202:b3ff:fe1e:8329", "IP")])
+def test_formats_of_numbers(mention, kind):
+    [(start, end, found, norm)] = pii.detect(f"at {mention} ABCD or so")
+    assert (start, end, found) == (3, 3 + len(mention), kind)
+    new = pii.render(kind, mention, pii.surrogate(kind, norm))
+    assert new != mention and [k for *_, k, _ in pii.detect(f"at {new} ABCD or so")] == [kind]
+    if kind != "IP":
+        assert re.sub("[0-9A-Z]", "0", new) == re.sub("[0-9A-Z]", "0", mention) and (new[:2] == mention[:2] or mention[0] == "2")
+
+
+def test_numbers_that_are_none():
+    for text in ("DE88 3704 0044 0532 0130 00", "at 12:34:56", "a::b", "std::vector", "1712345678 seconds", "+12 x", "12345678901234567890123"):
+        assert pii.detect(text) == []
+
+
 def test_surrogates_stay_distinct(spark):
     names = [a + b for a in "bcdfg" for b in "aeiou"]
     table = spark.createDataFrame([("SURNAME", n) for n in names], "type string, norm string")
