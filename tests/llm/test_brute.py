@@ -179,6 +179,34 @@ def test_edited_copies_that_are_frequent(spark):
     assert got == pytest.approx({0: 1.0} | dict.fromkeys(range(1, 9), 32 / 44))
 
 
+def test_gate_against_ungated_alignment():
+    """Every text whose whole-text alignment reaches the threshold is found, with the same score, and no other."""
+    rng, over = random.Random(1), 0
+    for k in range(1500):
+        size, n = rng.randint(3, 40), rng.choice((8, 40, 1000))
+        item = [f"v{rng.randrange(n)}" for _ in range(size)]
+        copy, every = [], rng.choice((1, 2, 3, 4, 5, 6))
+        for i, w in enumerate(item):
+            edit = rng.choice("dica") if i % every == k % every else ""
+            copy += {"d": [], "i": [w, "new"], "c": ["new"], "a": [f"v{rng.randrange(n)}"]}.get(edit, [w])
+        text = [f"v{rng.randrange(n)}" for _ in range(rng.randint(0, 60))] + copy + [f"v{rng.randrange(n)}" for _ in range(rng.randint(0, 60))]
+        seeds = decontaminate.Seeds([7], [" ".join(item)])
+        flat = np.array([seeds.vocabulary.get(w.encode(), -1) for w in text], np.int64)
+        score = decontaminate.align(seeds.items[0], flat)[0] / (2 * size)
+        got = [x[4] for x in seeds.matches([" ".join(text)])]
+        assert got == ([pytest.approx(score)] if score >= decontaminate.THRESHOLD else [])
+        over += bool(got)
+    assert 500 < over < 1500
+
+
+@pytest.mark.parametrize("item,changed,score", [
+    ([f"w{k}" for k in range(15)], (2, 5, 8, 11), 18 / 30), ([f"w{k}" for k in range(30)], range(2, 27, 3), 33 / 60), (["again"] * 15, (), 1.0)])
+def test_copies_with_few_intact_words(spark, item, changed, score):
+    text = " ".join("new" if k in changed else w for k, w in enumerate(item))
+    r = decontaminate.contaminated(spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")).collect()
+    assert [x.score for x in r] == [pytest.approx(score)]
+
+
 def test_mixing():
     rng = np.random.default_rng(2)
     texts = [" ".join(rng.choice([f"{d}{k}" for k in range(40)], 30)) for d in "ab" for _ in range(60)]
