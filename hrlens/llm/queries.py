@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dac, decontaminate, fingerprints, lm, mixing, neardup, pii, secrets, sharding, toxicity
+from . import dac, decontaminate, fingerprints, licenses, lm, mixing, neardup, pii, secrets, sharding, toxicity, variants
 from .common import Scratch
 
 
@@ -72,8 +72,24 @@ def op10_dac(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.read_tokens(spark, f"{scratch.path}/ids")
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+    def labels(*columns):
+        return F.array_join(F.array_sort(F.array_distinct(F.concat(*[F.col(c)["label"] for c in columns]))), ",")
+    best = F.coalesce(F.array_max(F.col("found")["containment"]), F.lit(0.0))
+    return found.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(F.col("places")["word"]).alias("first_word"),
+                        F.array_max(F.col("places")["word"]).alias("last_word"), labels("places").alias("base_labels"), labels("places", "found").alias("labels"),
+                        F.when(F.size("places") > 0, 1.0).otherwise(best).alias("score"))
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_sharding, op4_fingerprints, op5_language_model, op6_decontamination, op7_minhash, op8_pii, op9_secrets, op10_dac)}
+    return {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_sharding, op4_fingerprints, op5_language_model, op6_decontamination, op7_minhash, op8_pii, op9_secrets, op10_dac, op11_licenses,
+                                   op13_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
