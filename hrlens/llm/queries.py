@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import dac, decontaminate, fingerprints, licenses, lm, mixing, neardup, pii, secrets, sharding, toxicity, variants
+from . import dac, decontaminate, fingerprints, hardneg, licenses, lm, mixing, neardup, pii, secrets, sharding, toxicity, variants
 from .common import Scratch
 
 
@@ -83,14 +83,44 @@ def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.when(F.size("places") > 0, 1.0).otherwise(best).alias("score"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    quantised = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("long"))
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.select(F.col("vec_id").alias("id"), relabelled.alias("label"), F.when(usable, quantised).alias("vector"))
+    return hardneg.mine_hard_negatives(rows, F.col("id") % 100 == 0)
+
+
 def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_sharding, op4_fingerprints, op5_language_model, op6_decontamination, op7_minhash, op8_pii, op9_secrets, op10_dac, op11_licenses,
-                                   op13_variants)}
+                                   op12_hard_negatives, op13_variants)}
+
+
+#: Every anchor's scores with all rows, ranked.
+HARD_NEGATIVES = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, row_number() OVER () AS nr,
+         [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.nr AS anchor, a.vec_id AS anchor_id, b.vec_id, b.nr, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.nr <> b.nr
+), p AS (
+  SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, nr) <= 5
+)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor, p.nr ORDER BY n.score DESC, n.vec_id, n.nr) AS INTEGER) AS rank,
+       n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON p.anchor = n.anchor AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor, p.nr ORDER BY n.score DESC, n.vec_id, n.nr) <= 5
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op12_hard_negatives": HARD_NEGATIVES}
