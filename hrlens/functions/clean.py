@@ -20,17 +20,25 @@ def _c(c: ColumnOrName) -> Column:
 
 
 # P18 / D2 --------------------------------------------------------------------
+_INFINITE = r"(?i)^[+-]?inf(inity)?$"
+# Digits with an optional fraction and exponent; suffixes and hexadecimal forms of the JVM's parser are no numbers.
+_DECIMAL = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# A written exponent above 308 leaves the range of a double, whatever stands before it.
+_EXPONENT_TOO_LARGE = r"[eE]\+?0*(309|3[1-9]\d|[4-9]\d\d|[1-9]\d{3,})$"
+
+
 def to_number(c: ColumnOrName) -> Column:
     """Tolerant numeric parse: text → double, unparsable → NULL, NaN → NULL.
 
     Surrounding blanks are accepted (``' 12 '`` → 12.0); ``'1,234'`` and ``'abc'``
-    become NULL, like a coercing parse.
+    become NULL, like a coercing parse.  Text beyond the range of a double is not a
+    number (``'1e400'``, ``'0e400'``), text too close to zero is zero (``'1e-400'``);
+    only an explicit ``'inf'`` is infinite.
     """
     t = F.trim(_c(c).cast("string"))
     d = _try_cast(t, "double")
-    # text that overflows a double is not a number (only an explicit 'inf' is infinite)
-    overflow = (F.abs(d) == F.lit(float("inf"))) & ~F.lower(t).rlike("^[+-]?inf(inity)?$")
-    return F.when(F.isnan(d) | overflow, F.lit(None).cast("double")).otherwise(d)
+    finite = t.rlike(_DECIMAL) & ~t.rlike(_EXPONENT_TOO_LARGE) & (F.abs(d) < float("inf"))
+    return F.when(finite | t.rlike(_INFINITE), d)
 
 
 def _try_cast(c: Column, type_: str) -> Column:

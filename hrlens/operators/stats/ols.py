@@ -1,12 +1,10 @@
-"""Ordinary least squares with a full report (M3–M5), from distributed sums.
-
-Pass 1 computes n and the column means; pass 2 the centred cross-products
-Σ(xᵢ-x̄ᵢ)(xⱼ-x̄ⱼ) as p(p+1)/2 ``sum`` columns of one aggregate (centring keeps
-ill-scaled columns such as calendar years exact); the driver solves the
-(p+1)² system, as Spark ML's normal-equation solver does.  Pass 3 adds the
-residual moments for skew, kurtosis, Jarque–Bera and the omnibus test, and the
-Durbin–Watson sum is stitched from per-partition sums over a range
-partitioning by the order key (no global window, no row on the driver).
+"""Ordinary least squares with a full report (M3–M5) from a distributed QR.
+
+One pass folds all rows into the R factor of ``[1, X, y]`` (``qr.r_factor``); the driver solves the triangular system,
+which is accurate for ill-scaled columns such as calendar years.  Collinear columns (a dummy level that others
+explain) are named and the shortest solution is taken.  A second pass over a range partitioning by the order key sums
+the residual moments for skew, kurtosis, Jarque–Bera and the omnibus test and, stitched at the partitions' borders, the
+Durbin–Watson sum (no global window, no row on the driver).
 """
 
 from __future__ import annotations
@@ -20,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..persist import materialize
-from .dist import chi2_sf_2df, f_sf, norm_sf2, t_ppf, t_sf2
+from . import qr
+from .dist import chi2_sf_2df, f_sf, t_ppf, t_sf2
 
 
 @dataclass
@@ -63,122 +62,88 @@ def ols_fit(df: DataFrame, y: str, xs: list[str], order_key: str | None = None,
             diagnostics: bool = True, checkpoint: bool = True) -> OlsFit:
     """Fit y ~ 1 + xs on all rows with finite values (P9 dropna semantics).
 
-    The cleaned design is checkpointed once for the 3–4 passes that follow;
-    pass ``checkpoint=False`` when the input is already a written table.
+    With diagnostics the cleaned design is checkpointed for the second pass; pass ``checkpoint=False`` when the
+    input is already a written table.  ``extra["collinear"]`` names the columns that others explain.
     """
     keep = [order_key] if (diagnostics and order_key is not None) else []
     d = _clean(df, y, xs, keep=keep)
-    if checkpoint:
+    if checkpoint and diagnostics:
         d = materialize(d, repartition=False)
-    cols = xs + [y]
-    m = d.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in cols]).first()
-    n = int(m["n"])
+    n, r = qr.r_factor(d, xs + [y])
     if n == 0:
         raise ValueError("OLS: no complete rows")
-    means = {c: float(m[c]) for c in cols}
-    p = len(xs)
-    S = centred_gram(d, cols, means)
-    Sxx, Sxy, Syy = S[:p, :p], S[:p, p], S[p, p]
-    singular = np.linalg.matrix_rank(Sxx) < p if p else False
-    Sinv = np.linalg.pinv(Sxx) if singular else np.linalg.inv(Sxx)
-    beta = Sinv @ Sxy
-    xbar = np.array([means[c] for c in xs])
-    b0 = means[y] - xbar @ beta
-    ssr = float(Syy - beta @ Sxy)
-    df_resid = n - p - 1
-    s2 = ssr / df_resid if df_resid > 0 else float("nan")
-    cov = np.zeros((p + 1, p + 1))
-    cov[1:, 1:] = s2 * Sinv
-    cov[0, 1:] = cov[1:, 0] = -s2 * (Sinv @ xbar)
-    cov[0, 0] = s2 * (1.0 / n + xbar @ Sinv @ xbar)
-    fit = OlsFit(["const"] + xs, np.concatenate([[b0], beta]), cov, n, p, df_resid, ssr, float(Syy), means)
-    fit.extra["singular"] = bool(singular)
-    # condition number of the uncentred design [1, X]
-    XtX = np.zeros((p + 1, p + 1))
-    XtX[0, 0] = n
-    XtX[0, 1:] = XtX[1:, 0] = n * xbar
-    XtX[1:, 1:] = Sxx + n * np.outer(xbar, xbar)
-    # its smallest eigenvalue comes from the inverse, whose blocks are built from centred sums
-    inv = np.empty((p + 1, p + 1))
-    inv[1:, 1:] = Sinv
-    inv[0, 1:] = inv[1:, 0] = -(Sinv @ xbar)
-    inv[0, 0] = 1.0 / n + xbar @ Sinv @ xbar
-    fit.extra["cond_no"] = float("inf") if singular else float(math.sqrt(np.linalg.eigvalsh(XtX).max() * np.linalg.eigvalsh(inv).max()))
+    s = qr.solve(r)
+    df_resid = n - s.rank
+    s2 = s.ssr / df_resid if df_resid > 0 else float("nan")
+    terms = ["const"] + xs
+    means = {c: float(r[0, j] / r[0, 0]) for j, c in enumerate(xs + [y], 1)}
+    fit = OlsFit(terms, s.coef, s2 * s.inverse, n, s.rank - 1, df_resid, s.ssr, float((r[1:, -1] ** 2).sum()), means)
+    fit.extra.update(singular=bool(s.collinear), collinear=[terms[j] for j in s.collinear], cond_no=s.cond)
     if diagnostics:
-        _residual_moments(d, y, xs, fit)
-        if order_key is not None:
-            fit.extra["durbin_watson"] = _durbin_watson(d, y, xs, order_key, fit)
+        fit.extra.update(residual_report(d.select(*keep, resid_expr(y, xs, fit).alias("e")), n, order_key))
     return fit
 
 
-WIDE_GRAM = 40
+def resid_expr(y: str, xs: list[str], fit: OlsFit):
+    e = F.col(y) - F.lit(float(fit.coef[0]))
+    for c, b in zip(xs, fit.coef[1:]):
+        e = e - F.lit(float(b)) * F.col(c)
+    return e
 
 
-def centred_gram(d: DataFrame, cols: list[str], means: dict, wide: int = WIDE_GRAM) -> np.ndarray:
-    """Σ (cᵢ − c̄ᵢ)(cⱼ − c̄ⱼ) over all rows, as a k×k numpy matrix.
+def residual_report(residuals: DataFrame, n: int, order_key: str | None = None) -> dict:
+    """Moments and tests of the column ``e``, and Σ(e_t − e_{t−1})² / Σe² in ``order_key`` order, in one pass.
 
-    Up to ``wide`` columns: one aggregate of k(k+1)/2 ``sum`` columns (codegen).
-    Wider designs (many dummy levels): each partition forms its own Gram matrix
-    with numpy in ``mapInPandas`` and emits it as one array row; Spark sums the
-    arrays element-wise (partial aggregation per position), so the driver still
-    receives only k² numbers.
+    Rows are range-partitioned by key and sorted within partitions; each partition returns its power sums, its inner
+    sum of squared steps and its border residuals; the driver stitches the (#partitions) border pairs in key order.
     """
-    k = len(cols)
-    if k <= wide:
-        exprs = [F.sum((F.col(a) - F.lit(means[a])) * (F.col(b) - F.lit(means[b]))).alias(f"g{i}_{j}")
-                 for i, a in enumerate(cols) for j, b in enumerate(cols) if j >= i]
-        r = d.agg(*exprs).first()
-        S = np.zeros((k, k))
-        for i in range(k):
-            for j in range(i, k):
-                S[i, j] = S[j, i] = float(r[f"g{i}_{j}"] or 0.0)
-        return S
-    mu = np.array([means[c] for c in cols])
-
-    def part(it):
-        G = np.zeros((k, k))
-        seen = False
+    if order_key is not None:
+        parts = max(1, int(residuals.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        residuals = residuals.select(F.col(order_key).alias("k"), "e").repartitionByRange(parts, "k").sortWithinPartitions("k")
+        kind = residuals.schema["k"].dataType.simpleString()
+    else:
+        residuals, kind = residuals.select(F.lit(0).alias("k"), "e"), "int"
+
+    def per_part(it):
+        # streams the partition batch by batch; only sums and border values are kept
+        first_key = first_e = last_e = None
+        ssd, sums = 0.0, np.zeros(4)
         for pdf in it:
             if pdf.empty:
                 continue
-            X = pdf[cols].to_numpy(dtype="float64") - mu
-            G += X.T @ X
-            seen = True
-        if seen:
-            yield pd.DataFrame({"g": [G.reshape(-1).tolist()]})
-
-    parts = d.select(*cols).mapInPandas(part, "g array<double>")
-    summed = (parts.select(F.posexplode("g").alias("pos", "v")).groupBy("pos").agg(F.sum("v").alias("v")))
-    S = np.zeros(k * k)
-    for r in summed.collect():
-        S[int(r["pos"])] = float(r["v"])
-    return S.reshape(k, k)
-
-
-def _resid_expr(y: str, xs: list[str], fit: OlsFit):
-    e = F.col(y) - F.lit(float(fit.coef[0]))
-    for c, b in zip(xs, fit.coef[1:]):
-        e = e - F.lit(float(b)) * F.col(c)
-    return e
-
-
-def _residual_moments(d: DataFrame, y: str, xs: list[str], fit: OlsFit) -> None:
-    e = _resid_expr(y, xs, fit)
-    r = d.select(e.alias("e")).agg(F.sum("e").alias("s1"), F.sum(F.pow("e", 2)).alias("s2"),
-                                   F.sum(F.pow("e", 3)).alias("s3"), F.sum(F.pow("e", 4)).alias("s4")).first()
-    n = fit.n
-    mu = r["s1"] / n
-    m2 = r["s2"] / n - mu ** 2
-    m3 = r["s3"] / n - 3 * mu * r["s2"] / n + 2 * mu ** 3
-    m4 = r["s4"] / n - 4 * mu * r["s3"] / n + 6 * mu ** 2 * r["s2"] / n - 3 * mu ** 4
+            e = pdf["e"].to_numpy(dtype="float64")
+            if first_e is None:
+                first_key, first_e = pdf["k"].iloc[0], e[0]
+            else:
+                ssd += (e[0] - last_e) ** 2
+            ssd += float(np.sum(np.diff(e) ** 2))
+            sums += [e.sum(), (e ** 2).sum(), (e ** 3).sum(), (e ** 4).sum()]
+            last_e = e[-1]
+        if first_e is not None:
+            yield pd.DataFrame({"first_key": [first_key], "first_e": [first_e], "last_e": [last_e], "ssd": [ssd],
+                                **{f"s{i + 1}": [v] for i, v in enumerate(sums)}})
+
+    schema = f"first_key {kind}, first_e double, last_e double, ssd double, s1 double, s2 double, s3 double, s4 double"
+    rows = sorted(residuals.mapInPandas(per_part, schema).collect(), key=lambda r: (r["first_key"] is not None, r["first_key"]))
+    s1, s2, s3, s4 = (math.fsum(r[f"s{i}"] for r in rows) for i in range(1, 5))
+    out = _moments(n, s1, s2, s3, s4)
+    if order_key is not None:
+        ssd = math.fsum(r["ssd"] for r in rows) + math.fsum((b["first_e"] - a["last_e"]) ** 2 for a, b in zip(rows, rows[1:]))
+        out["durbin_watson"] = ssd / s2 if s2 > 0 else float("nan")
+    return out
+
+
+def _moments(n: int, s1: float, s2: float, s3: float, s4: float) -> dict:
+    mu = s1 / n
+    m2 = s2 / n - mu ** 2
+    m3 = s3 / n - 3 * mu * s2 / n + 2 * mu ** 3
+    m4 = s4 / n - 4 * mu * s3 / n + 6 * mu ** 2 * s2 / n - 3 * mu ** 4
     skew = m3 / m2 ** 1.5 if m2 > 0 else float("nan")
     kurt = m4 / m2 ** 2 if m2 > 0 else float("nan")
-    fit.extra.update(skew=skew, kurtosis=kurt)
     jb = n / 6.0 * (skew ** 2 + (kurt - 3.0) ** 2 / 4.0)
-    fit.extra.update(jarque_bera=jb, jb_pvalue=chi2_sf_2df(jb))
-    zs, zk = _skew_z(skew, n), _kurt_z(kurt, n)
-    omni = zs ** 2 + zk ** 2
-    fit.extra.update(omnibus=omni, omnibus_pvalue=chi2_sf_2df(omni) if not math.isnan(omni) else float("nan"))
+    omni = _skew_z(skew, n) ** 2 + _kurt_z(kurt, n) ** 2
+    return {"skew": skew, "kurtosis": kurt, "jarque_bera": jb, "jb_pvalue": chi2_sf_2df(jb), "omnibus": omni,
+            "omnibus_pvalue": chi2_sf_2df(omni) if not math.isnan(omni) else float("nan")}
 
 
 def _skew_z(b2: float, n: int) -> float:
@@ -211,44 +176,6 @@ def _kurt_z(b2: float, n: int) -> float:
     return (t1 - t2) / math.sqrt(2 / (9.0 * a))
 
 
-def _durbin_watson(src: DataFrame, y: str, xs: list[str], key: str, fit: OlsFit) -> float:
-    """Σ(e_t − e_{t−1})² / Σe² in ``key`` order, without a global window.
-
-    Rows are range-partitioned by key and sorted within partitions; each
-    partition returns its inner sum and its border residuals; the driver
-    stitches the (#partitions) border pairs in key order.
-    """
-    cols = [key, y] + xs
-    d = _clean(src.select(*cols), y, xs, keep=[key]).select(key, _resid_expr(y, xs, fit).alias("e"))
-    parts = max(1, int(src.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = d.repartitionByRange(parts, key).sortWithinPartitions(key)
-
-    def per_part(it):
-        # streams the partition batch by batch; only border values are kept
-        first_key = first_e = last_e = None
-        ssd = sse = 0.0
-        for pdf in it:
-            if pdf.empty:
-                continue
-            e = pdf["e"].to_numpy(dtype="float64")
-            if first_e is None:
-                first_key, first_e = pdf[key].iloc[0], e[0]
-            else:
-                ssd += (e[0] - last_e) ** 2
-            ssd += float(np.sum(np.diff(e) ** 2))
-            sse += float(np.sum(e ** 2))
-            last_e = e[-1]
-        if first_e is not None:
-            yield pd.DataFrame({"first_key": [first_key], "first_e": [first_e], "last_e": [last_e],
-                                "ssd": [ssd], "sse": [sse]})
-
-    schema = f"first_key {d.schema[key].dataType.simpleString()}, first_e double, last_e double, ssd double, sse double"
-    rows = sorted(ranged.mapInPandas(per_part, schema).collect(), key=lambda r: r["first_key"])
-    ssd = sum(r["ssd"] for r in rows) + sum((b["first_e"] - a["last_e"]) ** 2 for a, b in zip(rows, rows[1:]))
-    sse = sum(r["sse"] for r in rows)
-    return ssd / sse if sse > 0 else float("nan")
-
-
 # report tables ------------------------------------------------------------------
 def coef_frame(fit: OlsFit, alpha: float = 0.05, with_tests: bool = True) -> pd.DataFrame:
     se = fit.std_err
@@ -268,7 +195,7 @@ def fit_frame(fit: OlsFit) -> pd.DataFrame:
     adj = 1 - (1 - r2) * (n - 1) / fit.df_resid if fit.df_resid > 0 else float("nan")
     fstat = (r2 / p) / ((1 - r2) / fit.df_resid) if p > 0 and fit.df_resid > 0 and r2 < 1 else float("nan")
     ll = -n / 2.0 * (math.log(2 * math.pi) + math.log(fit.ssr / n) + 1) if fit.ssr > 0 else float("nan")
-    k = p + 1
+    k = p + 1  # estimated parameters
     stats = {
         "n_obs": float(n), "df_model": float(p), "df_resid": float(fit.df_resid),
         "r_squared": r2, "adj_r_squared": adj, "f_statistic": fstat,
@@ -281,7 +208,7 @@ def fit_frame(fit: OlsFit) -> pd.DataFrame:
         "jb_pvalue": fit.extra.get("jb_pvalue", float("nan")),
         "durbin_watson": fit.extra.get("durbin_watson", float("nan")),
         "cond_no": fit.extra.get("cond_no", float("nan")),
-        # 1 when X'X was singular (e.g. a dummy level without rows) and a pseudo-inverse was used
+        # 1 when columns were collinear (e.g. a dummy level without rows) and the shortest solution was taken
         "singular": 1.0 if fit.extra.get("singular") else 0.0,
     }
     return pd.DataFrame({"statistic": list(stats), "value": [float(v) for v in stats.values()]})

@@ -45,6 +45,8 @@ def queries() -> dict[str, QueryFn]:
         "ols_headcount_report": stats.ols_headcount_report,
         "ols_headcount_fit": stats.ols_headcount_fit,
         "ols_line": stats.ols_line,
+        "ols_line_boot": stats.ols_line_boot,
+        "ols_firm_effects": stats.ols_firm_effects,
         "ols_multi": stats.ols_multi,
         "ols_multi_fit": stats.ols_multi_fit,
         "pay_api_topk": payloads.pay_api_topk,

@@ -8,6 +8,7 @@ closed-form aggregates; F and t tails are summed by Simpson's rule
 
 from __future__ import annotations
 
+from ..operators.stats import bootstrap
 from .oracle_tails import beta_tail, t_quantile
 from .oracle_views import PAY_WON, sig, with_views
 from .registry import PARAMS as P
@@ -136,6 +137,80 @@ def _ols_line(x: str, points: int = 100) -> str:
         f"{sig(f'(b0 + b1 * x + {half}) / 10000')} AS upper FROM grid, e, crit")
 
 
+def _ols_line_boot(x: str, points: int = 100, replicates: int = 1000, seed: int = 42) -> str:
+    """Replicates drawn row by row as in ``operators/stats/bootstrap.py``: same prime, constants and Poisson quantiles."""
+    p = bootstrap.PRIME
+
+    def md5_mod(text: str) -> str:
+        return f"('0x' || substr(md5({text}), 1, 15))::BIGINT % {p}"
+    weight = " + ".join(f"CAST(u >= {t} AS INTEGER)" for t in bootstrap.thresholds())
+    return _ols_ctes(x) + (
+        f", k AS (SELECT x - mx AS x, y - my AS y, {md5_mod('CAST(est_id AS VARCHAR)')} AS k FROM d, (SELECT avg(x) AS mx, avg(y) AS my FROM d) c), "
+        f"c AS (SELECT CAST(i AS INTEGER) AS replicate, 1 + ({md5_mod(f"'a:' || i || ':{seed}'")}) % {p - 1} AS a, {md5_mod(f"'b:' || i || ':{seed}'")} AS b "
+        f"FROM range({replicates}) r(i)), "
+        f"w AS (SELECT replicate, x, y, CAST({weight} AS DOUBLE) AS w FROM (SELECT replicate, x, y, (k * a + b) % {p} AS u FROM k, c) u), "
+        "g AS (SELECT replicate, sum(w) AS n, sum(w * x) AS sx, sum(w * y) AS sy, sum(w * x * x) AS sxx, sum(w * x * y) AS sxy FROM w GROUP BY replicate), "
+        "f AS (SELECT *, (n * sxy - sx * sy) / NULLIF(n * sxx - sx * sx, 0) AS slope FROM g), "
+        "l AS (SELECT slope, (sy - slope * sx) / n + my - slope * mx AS intercept FROM f, (SELECT avg(x) AS mx, avg(y) AS my FROM d) m WHERE slope IS NOT NULL), "
+        f"grid AS (SELECT lo + (hi - lo) * i / {points - 1}.0 AS x FROM (SELECT min(x) AS lo, max(x) AS hi FROM d) b, range({points}) r(i)), "
+        "band AS (SELECT x, quantile_cont(intercept + slope * x, 0.025) AS lower, quantile_cont(intercept + slope * x, 0.975) AS upper FROM grid, l GROUP BY x)\n"
+        f"SELECT {sig('x')} AS {x}, {sig('(b0 + b1 * x) / 10000')} AS fit, {sig('lower / 10000')} AS lower, {sig('upper / 10000')} AS upper FROM band, e")
+
+
+def _ols_firm_effects() -> str:
+    """The two slopes from deviations from the firms' means (a 2 x 2 system), each firm's coefficient from its means."""
+    return with_views("est") + (
+        f", d AS (SELECT est_name AS g, CAST(headcount AS DOUBLE) AS x1, CAST(year(start_date) AS DOUBLE) AS x2, {PAY_WON} AS y FROM est "
+        "WHERE status_code = 1 AND headcount >= 1 AND start_date IS NOT NULL AND billed_amount IS NOT NULL), "
+        "m AS (SELECT g, count(*) AS n, avg(x1) AS m1, avg(x2) AS m2, avg(y) AS my FROM d GROUP BY g), "
+        "s AS (SELECT sum((x1 - m1) * (x1 - m1)) AS a, sum((x1 - m1) * (x2 - m2)) AS b, sum((x2 - m2) * (x2 - m2)) AS c, "
+        "sum((x1 - m1) * (y - my)) AS p, sum((x2 - m2) * (y - my)) AS q, sum((y - my) * (y - my)) AS yy, count(*) AS n FROM d JOIN m USING (g)), "
+        "f AS (SELECT *, (c * p - b * q) / (a * c - b * b) AS b1, (a * q - b * p) / (a * c - b * b) AS b2, a * c - b * b AS det FROM s), "
+        "e AS (SELECT *, (yy - b1 * p - b2 * q) / (n - (SELECT count(*) FROM m) - 2) AS s2 FROM f), "
+        "r AS (SELECT n AS nr, m1 AS r1, m2 AS r2, my AS ry FROM m ORDER BY g LIMIT 1), "
+        "t AS (SELECT CASE WHEN g = (SELECT min(g) FROM m) THEN 'const' ELSE 'firm_' || g END AS term, "
+        "CASE WHEN g = (SELECT min(g) FROM m) THEN my - b1 * m1 - b2 * m2 ELSE my - ry - b1 * (m1 - r1) - b2 * (m2 - r2) END AS coef, "
+        "CASE WHEN g = (SELECT min(g) FROM m) THEN 0 ELSE 1.0 / nr END + 1.0 / m.n AS inv_n, "
+        "CASE WHEN g = (SELECT min(g) FROM m) THEN m1 ELSE m1 - r1 END AS v1, CASE WHEN g = (SELECT min(g) FROM m) THEN m2 ELSE m2 - r2 END AS v2, "
+        "s2, a, b, c, det FROM m, r, e "
+        "UNION ALL SELECT 'headcount', b1, 0, 1, 0, s2, a, b, c, det FROM e UNION ALL SELECT 'year', b2, 0, 0, 1, s2, a, b, c, det FROM e), "
+        "z AS (SELECT term, coef, sqrt(s2 * (inv_n + (c * v1 * v1 - 2 * b * v1 * v2 + a * v2 * v2) / det)) AS se FROM t)\n"
+        f"SELECT term, {sig('coef')} AS coef, {sig('se')} AS std_err, {sig('coef / se')} AS t_stat FROM z")
+
+
+def _ols_multi() -> str:
+    """Normal equations of the centred columns, solved and inverted by Gauss-Jordan steps in a recursive query."""
+    base = _large(f"AND industry_code IN ({_in(P['summary_industries'])}) AND region_code IN ({_in(P['summary_regions'])})")
+    return "WITH RECURSIVE " + with_views("est").removeprefix("WITH ") + (
+        f", b AS (SELECT annual_pay AS y, CAST(headcount AS DOUBLE) AS h, year, CAST(industry_code AS VARCHAR) AS ind, CAST(region_code AS VARCHAR) AS reg "
+        f"FROM ({base}) b0 WHERE annual_pay IS NOT NULL AND year IS NOT NULL), "
+        "lv AS (SELECT list_sort(list(DISTINCT ind)) AS li, list_sort(list(DISTINCT reg)) AS lr FROM b), "
+        "nm AS (SELECT ['headcount', 'year'] || ['industry_code_' || v FOR v IN li[2:]] || ['region_code_' || v FOR v IN lr[2:]] AS names FROM lv), "
+        "rw AS (SELECT y, [h, year] || [CAST(ind = v AS DOUBLE) FOR v IN li[2:]] || [CAST(reg = v AS DOUBLE) FOR v IN lr[2:]] AS x FROM b, lv), "
+        "k AS (SELECT CAST(len(names) AS INTEGER) AS k FROM nm), "
+        "lg AS (SELECT CAST(j AS INTEGER) AS j, CASE WHEN j <= k THEN x[j] ELSE y END AS v, r FROM (SELECT *, row_number() OVER () AS r FROM rw) q, k, range(1, 1000) g(j) WHERE j <= k + 1), "
+        "mu AS (SELECT j, avg(v) AS mu, count(*) AS n FROM lg GROUP BY j), "
+        "cn AS (SELECT lg.j, r, v - mu AS v FROM lg JOIN mu USING (j)), "
+        "gm AS (SELECT a.j AS i, b.j AS j, sum(a.v * b.v) AS v FROM cn a JOIN cn b USING (r) GROUP BY a.j, b.j), "
+        "ls AS (SELECT i, list(v ORDER BY j) AS v FROM gm, k WHERE i <= k GROUP BY i), "
+        # [S | s_y | identity]
+        "gj AS (SELECT 0 AS step, list(v || [CAST(q = i AS DOUBLE) FOR q IN range(1, k + 1)] ORDER BY i) AS m FROM ls, k "
+        "UNION ALL SELECT step + 1, [[CASE WHEN i = step + 1 THEN m[i][j] / m[step + 1][step + 1] ELSE m[i][j] - m[i][step + 1] * m[step + 1][j] / m[step + 1][step + 1] END "
+        "FOR j IN range(1, 2 * k + 2)] FOR i IN range(1, k + 1)] FROM gj, k WHERE step < k), "
+        "sv AS (SELECT m, k FROM gj, k WHERE step = k), "
+        "co AS (SELECT CAST(i AS INTEGER) AS id, m[i][k + 1] AS coef, m[i][k + 1 + i] AS v FROM sv, range(1, 1000) g(i) WHERE i <= k), "
+        "st AS (SELECT (SELECT v FROM gm, k WHERE i = k + 1 AND j = k + 1) - (SELECT sum(coef * v2.v) FROM co JOIN (SELECT i, v FROM gm, k WHERE j = k + 1) v2 ON v2.i = co.id) AS ssr, "
+        "CAST((SELECT min(n) FROM mu) - k - 1 AS DOUBLE) AS nu, (SELECT min(n) FROM mu) AS n FROM k), "
+        "e AS (SELECT *, ssr / nu AS s2 FROM st), "
+        "iv AS (SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, m[i][k + 1 + j] AS v FROM sv, range(1, 1000) g(i), range(1, 1000) h(j) WHERE i <= k AND j <= k), "
+        "cs AS (SELECT (SELECT mu FROM mu, k WHERE j = k + 1) - (SELECT sum(coef * mu) FROM co JOIN mu ON mu.j = co.id) AS coef, "
+        "(SELECT sum(iv.v * a.mu * b.mu) FROM iv JOIN mu a ON a.j = iv.i JOIN mu b ON b.j = iv.j) + 1.0 / (SELECT n FROM st) AS v), "
+        "t AS (SELECT 0 AS id, 'const' AS term, cs.coef, sqrt(s2 * cs.v) AS se, nu FROM cs, e UNION ALL SELECT id, names[id], coef, sqrt(s2 * v), nu FROM co, nm, e), "
+        f"src AS (SELECT id, nu / 2 AS a, 0.5 AS b, pow(coef / se, 2) / nu AS z FROM t), {beta_tail('src', 'tail')}, {t_quantile('e', 'crit')}\n"
+        f"SELECT term, {sig('coef')} AS coef, {sig('se')} AS std_err, {sig('coef / se')} AS t_stat, {sig('p')} AS p_value, "
+        f"{sig('coef - crit.t * se')} AS ci_low, {sig('coef + crit.t * se')} AS ci_high FROM t JOIN tail USING (id), crit")
+
+
 def sql() -> dict[str, str]:
     q: dict[str, str] = {}
     v = with_views("est")
@@ -154,4 +229,7 @@ def sql() -> dict[str, str]:
         q[f"ols_{x}_report"] = _ols_report(x)
         q[f"ols_{x}_fit"] = _ols_fit(x)
     q["ols_line"] = _ols_line("headcount")
+    q["ols_line_boot"] = _ols_line_boot("headcount")
+    q["ols_firm_effects"] = _ols_firm_effects()
+    q["ols_multi"] = _ols_multi()
     return q

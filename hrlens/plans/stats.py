@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.clean import code_to_text, date_column, round_sig
 from ..functions.pay import with_annual_pay
 from ..operators.persist import materialize
-from ..operators.stats import anova, ols
+from ..operators.stats import absorb, anova, bootstrap, ols
 from ..operators.stats.design import add_dummies
 from ..sources.tables import establishments, ratings
 from .registry import ACTIVE, PARAMS
@@ -135,6 +135,31 @@ def ols_line(spark, sf_dir):
     return df.select(*[round_sig(c).alias(c) for c in df.columns])
 
 
+def ols_line_boot(spark, sf_dir):
+    """M5: fitted pay (10k won) over headcount with the band of 1,000 Poisson bootstrap replicates."""
+    d = large_active(spark, sf_dir).select("est_id", "headcount", "annual_pay")
+    d = materialize(d.where(F.col("headcount").isNotNull() & F.col("annual_pay").isNotNull() & ~F.isnan("annual_pay")), repartition=False)
+    fit = ols.ols_fit(d, "annual_pay", ["headcount"], diagnostics=False)
+    lo, hi = d.agg(F.min("headcount"), F.max("headcount")).first()
+    lines = bootstrap.line_replicates(d, "headcount", "annual_pay", "est_id")
+    pdf = bootstrap.bootstrap_band(lines, float(lo), float(hi), scale=10000.0)
+    pdf.insert(1, "fit", (fit.coef[0] + fit.coef[1] * pdf["x"]) / 10000.0)
+    df = spark.createDataFrame(pdf).withColumnRenamed("x", "headcount")
+    return df.select(*[round_sig(c).alias(c) for c in df.columns])
+
+
+def firm_effects(spark, sf_dir) -> absorb.AbsorbedFit:
+    """Pay of every active establishment ~ headcount + year + one effect a firm, however many firms there are."""
+    active = large_active_df(establishments(spark, sf_dir), 1)
+    return absorb.fit_absorbed(active, "annual_pay", ["headcount", "year"], "est_name")
+
+
+def ols_firm_effects(spark, sf_dir):
+    """M4/M12 with a factor of any cardinality: dummy-coded coefficients with their errors, a row a firm."""
+    t = absorb.coef_table(firm_effects(spark, sf_dir), "firm")
+    return t.select("term", *[round_sig(c).alias(c) for c in ("coef", "std_err", "t_stat")])
+
+
 def multi_design_df(large: DataFrame, industries, regions):
     """Multiple-regression and model design: pay ~ headcount + year + industry and region dummies (drop first).
 

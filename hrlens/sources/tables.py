@@ -144,8 +144,12 @@ def write_registry_table(spark: SparkSession, sf_dir: str, path: str, tasks: int
     read by the active-only analyses, and every other filter (headcount,
     region, industry, dates) is pushed into the Parquet scan.  This is the
     production form of the stand-in view: at scale the three-table join runs
-    once, not once per analysis.
+    once, not once per analysis.  ``tasks`` writers (the session's shuffle
+    partitions by default) get the rows by a hash of the establishment's key, so
+    the few status codes do not decide the parallelism; each writes at most one
+    file a status.
     """
-    (establishments(spark, sf_dir).repartition("status_code")
+    n = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (establishments(spark, sf_dir).repartition(n, F.xxhash64("est_id"))
      .write.mode("overwrite").partitionBy("status_code").parquet(path))
     return spark.read.parquet(path)

@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+from pyspark.sql import functions as F
+
 
 from hrlens.plans.registry import pay_topk_large_df
 from hrlens.sources import payloads as pl
@@ -64,7 +66,11 @@ def test_registry_table_prunes_status(spark):
     from hrlens.plans.registry import PARAMS, pay_topk_large_df
     from hrlens.sources.tables import establishments, write_registry_table
     path = os.path.join(tempfile.mkdtemp(prefix="hrlens-regtab-"), "registry")
-    reg = write_registry_table(spark, SF_SMALL, path)
+    reg = write_registry_table(spark, SF_SMALL, path, tasks=6)
+    writers = {f.split("-")[1] for d in os.listdir(path) if d.startswith("status_code=") for f in os.listdir(f"{path}/{d}") if f.startswith("part-")}
+    assert len(writers) == 6
+    sizes = [r["n"] for r in reg.groupBy("status_code", F.input_file_name()).agg(F.count("*").alias("n")).where("status_code = 1").collect()]
+    assert max(sizes) < 2 * min(sizes)
     df = pay_topk_large_df(reg, PARAMS["large_headcount"], PARAMS["top_k"])
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
