@@ -51,6 +51,19 @@ def body(text: Column | str = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A helper column's name that no column of ``df`` has, in either case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def own_columns(names: list[str]) -> list[Column]:
+    """Columns by their literal names, dots included."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in names]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

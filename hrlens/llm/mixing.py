@@ -9,7 +9,7 @@
    step is 1 and an iteration reads ``r = max(floor, r - p . g)``, ``g[d] = (sum of r t p[d] - T[d]) / M[d]``.
    A document's rate follows from its posterior and the few vectors g so far.  So an iteration is one pass over the
    written posteriors that sums one vector per task, and no rate is ever stored or shuffled.
-3. A rate becomes copies: its whole part, and one more with the probability of the rest, drawn by hash of the doc_id.
+3. A rate becomes copies: its whole part, and one more with the probability of the rest, drawn by hash of the row's number and doc_id.
 """
 
 from __future__ import annotations
@@ -19,10 +19,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, WordIds, body, bound_batches, chunks
+from .common import Scratch, WordIds, body, bound_batches, chunks, fresh, own_columns
 
 #: Bound of the labelled sample brought to the driver (documented parameter).
 MAX_LABELLED = 6000
@@ -185,18 +185,18 @@ def fit_rates(table: DataFrame, model: DomainModel, targets: dict[str, float], f
     return {d: (float(t), float(r)) for d, t, r in zip(model.domains, target, reached, strict=True)}
 
 
-def copies(rate, doc_id):
-    """Whole copies of a document at its rate."""
-    draw = F.pmod(F.xxhash64(F.coalesce(doc_id.cast("long"), F.lit(-1).cast("long")), F.lit(23)), F.lit(1 << 30)) / float(1 << 30)
+def copies(rate: Column, row: Column, doc_id: Column) -> Column:
+    """Whole copies of a row at its rate; rows that share a doc_id are drawn one by one."""
+    draw = F.pmod(F.xxhash64(row, F.coalesce(doc_id.cast("long"), F.lit(-1).cast("long")), F.lit(23)), F.lit(1 << 30)) / float(1 << 30)
     return (F.floor(rate) + (draw < rate - F.floor(rate)).cast("long")).cast("long")
 
 
 def rates(table: DataFrame, model: DomainModel) -> DataFrame:
-    """The table with each document's rate and copies."""
+    """The table (with its rows' numbers) with each document's rate and copies, without the numbers."""
     @F.pandas_udf("double")
     def rate(p: pd.Series) -> pd.Series:
         return pd.Series(model.rates(np.stack(p.to_numpy())) if len(p) else [], dtype="float64")
-    return table.withColumn("rate", rate("posterior")).withColumn("copies", copies(F.col("rate"), F.col("doc_id")))
+    return table.withColumn("rate", rate("posterior")).withColumn("copies", copies(F.col("rate"), F.col("row"), F.col("doc_id"))).drop("row")
 
 
 def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS, floor: float = 0.0) -> tuple[DataFrame, DomainModel]:
@@ -204,7 +204,7 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] =
     spark = docs.sparkSession
     bound_batches(spark)
     model = fit_domains(docs, labels)
-    table = Scratch(spark, "mixing").table("posteriors", posteriors(docs, model))
+    table = Scratch(spark, "mixing").table("posteriors", posteriors(docs, model).withColumn("row", F.monotonically_increasing_id()))
     fit_rates(table, model, targets, floor)
     return rates(table, model), model
 
@@ -222,5 +222,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] = TARGETS)
             ids.room()
             out.append(shared.value.rates(shared.value.posterior(texts[i:j], ids)[0]))
         return pd.Series(np.concatenate(out) if out else [], dtype="float64")
-    times = F.sequence(F.lit(1).cast("long"), F.greatest(copies(F.col("_rate"), F.col("doc_id")), F.lit(1)))
-    return docs.withColumn("_rate", rate(body())).withColumn("_copy", F.explode(times)).select(*[F.col(f"`{c}`") for c in docs.columns])
+    r, row, copy = (fresh(docs, c) for c in ("rate", "row", "copy"))
+    numbered = docs.withColumn(r, rate(body())).withColumn(row, F.monotonically_increasing_id())
+    times = F.sequence(F.lit(1).cast("long"), F.greatest(copies(F.col(r), F.col(row), F.col("doc_id")), F.lit(1)))
+    return numbered.withColumn(copy, F.explode(times)).select(own_columns(docs.columns))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, Scratch, WordIds, body, bound_batches, chunks, mix64
+from .common import U64, Scratch, WordIds, body, bound_batches, chunks, fresh, mix64, own_columns
 
 PERMUTATIONS, ROWS = 128, 4
 BANDS = PERMUTATIONS // ROWS
@@ -99,7 +99,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, n: int, row: str | None = None) -> DataFrame:
-    """row, doc_id, n_shingles, set_id (NULL without shingles), keys for every row; ``row``: a column that numbers the rows."""
+    """row, doc_id, text_hash, n_shingles, set_id (NULL without shingles), keys for every row; ``row``: a column that numbers the rows."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = WordIds()
         for batch in batches:
@@ -111,13 +111,13 @@ def sketch(docs: DataFrame, n: int, row: str | None = None) -> DataFrame:
                 keys: list = [None] * len(sets)
                 for k, row in zip(some, band_keys(signatures([sets[k] for k in some])).view(np.int64), strict=True):
                     keys[k] = row
-                yield pd.DataFrame({"row": batch["row"].to_numpy()[i:j], "n_shingles": [len(s) for s in sets],
+                yield pd.DataFrame({"row": batch["row"].to_numpy()[i:j], "text_hash": batch["text_hash"].to_numpy()[i:j], "n_shingles": [len(s) for s in sets],
                                     "set_id": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                                     "keys": keys, "id": batch["id"].to_numpy()[i:j], "no_id": batch["no_id"].to_numpy()[i:j]})
     rows = docs.select((F.col(row) if row else F.monotonically_increasing_id()).alias("row"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
-                       F.col("doc_id").isNull().alias("no_id"), body().alias("text"))
-    made = rows.mapInPandas(run, "row long, id long, no_id boolean, n_shingles long, set_id binary, keys array<long>")
-    return made.select("row", F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "n_shingles", "set_id", "keys")
+                       F.col("doc_id").isNull().alias("no_id"), F.xxhash64(body()).alias("text_hash"), body().alias("text"))
+    made = rows.mapInPandas(run, "row long, id long, no_id boolean, text_hash long, n_shingles long, set_id binary, keys array<long>")
+    return made.select("row", F.when(~F.col("no_id"), F.col("id")).alias("doc_id"), "text_hash", "n_shingles", "set_id", "keys")
 
 
 def parity(shingles: np.ndarray) -> np.ndarray:
@@ -127,9 +127,10 @@ def parity(shingles: np.ndarray) -> np.ndarray:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int, row: str | None = None) -> DataFrame:
-    """node, its shingles and their parities; ``wanted`` has (node, low, set_id), ``low`` the id of a document with that set.
+    """node, its shingles and their parities; ``wanted`` has (node, low, text_hash, set_id): id and text hash of a document with that set.
 
-    Where ``row`` numbers the rows, a node is such a number and its text is found by it.
+    Where ``row`` numbers the rows, a node is such a number and its text is found by it, else by id and text hash, so
+    rows that share an id (or have none) meet only the sets of their own texts.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = WordIds()
@@ -146,7 +147,9 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int, row: str | None = None)
     if row:
         rows = docs.select(F.col(row).alias("node"), body().alias("text")).join(wanted, "node").select("node", "set_id", "text")
     else:
-        rows = docs.select("doc_id", body().alias("text")).join(wanted, F.col("doc_id").eqNullSafe(F.col("low"))).select("node", "set_id", "text")
+        texts = docs.select("doc_id", F.xxhash64(body()).alias("own_hash"), body().alias("text"))
+        rows = (texts.join(wanted, (F.col("own_hash") == F.col("text_hash")) & F.col("doc_id").eqNullSafe(F.col("low")))
+                .select("node", "set_id", "text"))
     # rows that repeat a doc_id and a set come out alike, so any one of a node serves
     return rows.mapInPandas(run, "node long, shingles array<long>, parity array<long>").dropDuplicates(["node"])
 
@@ -183,12 +186,12 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 
 def links_of(nodes: DataFrame, docs: DataFrame, n: int, scratch: Scratch, row: str | None = None) -> DataFrame:
-    """Components (node, comp) of all nodes that have a link.  ``nodes``: node, low, set_id, keys."""
+    """Components (node, comp) of all nodes that have a link.  ``nodes``: node, low, text_hash, set_id, keys."""
     meet = nodes.select("node", F.explode("keys").alias("key"))
     sizes = meet.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = scratch.table("members", meet.join(sizes, "key"))
     degree = members.groupBy("node").agg(F.sum("size").alias("degree"))
-    sets = scratch.table("shingles", sets_of(docs, nodes.select("node", "low", "set_id").join(degree.select("node"), "node", "left_semi"), n, row))
+    sets = scratch.table("shingles", sets_of(docs, nodes.select("node", "low", "text_hash", "set_id").join(degree.select("node"), "node", "left_semi"), n, row))
     hubs = members.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("minus"))).alias("h"))
     star = members.join(hubs.select("key", (-F.col("h.minus")).alias("hub")), "key").where("node <> hub")
     pairs = star.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
@@ -234,10 +237,10 @@ def _judged(docs: DataFrame, n_words: int, scratch: Scratch, row: str | None = N
     """``near_duplicates`` with the number of the row."""
     bound_batches(docs.sparkSession)
     rows = scratch.table("rows", sketch(docs, n_words, row))
-    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "text_hash")
     nodes = scratch.table("nodes", rows.where("set_id is not null").groupBy("set_id")
                           .agg(F.min(first).alias("first"), F.first("keys").alias("keys"))
-                          .select("set_id", F.col("first.row").alias("node"), "first", F.col("first.doc_id").alias("low"), "keys"))
+                          .select("set_id", F.col("first.row").alias("node"), "first", F.col("first.doc_id").alias("low"), F.col("first.text_hash").alias("text_hash"), "keys"))
     comp = links_of(nodes, docs, n_words, scratch, row)
     grouped = nodes.select("set_id", "node", "first").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     keeper = grouped.groupBy("comp").agg(F.min("first").alias("keeper"))
@@ -250,6 +253,7 @@ def _judged(docs: DataFrame, n_words: int, scratch: Scratch, row: str | None = N
 def drop_near_duplicates(docs: DataFrame, n_words: int = 5) -> DataFrame:
     """One row of each group, with its columns; rows that share a doc_id are told apart by a number written with them."""
     scratch = Scratch(docs.sparkSession, "neardup")
-    numbered = scratch.table("input", docs.withColumn("_row", F.monotonically_increasing_id()))
-    out = _judged(numbered, n_words, scratch, "_row").where("not kept").select(F.col("row").alias("_row"))
-    return numbered.join(out, "_row", "left_anti").select(docs.columns)
+    number = fresh(docs, "row_number")
+    numbered = scratch.table("input", docs.withColumn(number, F.monotonically_increasing_id()))
+    out = _judged(numbered, n_words, scratch, number).where("not kept").select(F.col("row").alias(number))
+    return numbered.join(out, number, "left_anti").select(own_columns(docs.columns))

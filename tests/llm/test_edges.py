@@ -1,5 +1,6 @@
 """Every operator and pipeline stage on edge rows, and on an empty table."""
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from hrlens.llm import dac, decontaminate, fingerprints, lm, mixing, neardup, pii, secrets, sharding, toxicity
@@ -58,7 +59,10 @@ def test_stages(spark, edge, empty, labels, tmp_path, name, stage):
     for docs in (edge, empty):
         out = stage(spark, docs, str(tmp_path))
         assert out.columns[:len(docs.columns)] == docs.columns
-        kept = {(r.doc_id, r.text) for r in out.collect()}
+        rows = out.collect()
+        clash = set(docs.columns) - {"shard"} if name == "sharding" else set(docs.columns)
+        assert {tuple(r[c] for c in sorted(clash)) for r in rows} <= {tuple(r[c] for c in sorted(clash)) for r in docs.collect()}
+        kept = {(r.doc_id, r.text) for r in rows}
         assert kept <= {(r.doc_id, r.text) for r in docs.collect()}
         if name in ("mixing", "sharding"):
             assert len(kept) == docs.select("doc_id", "text").distinct().count()
@@ -79,3 +83,25 @@ def test_one_row_of_a_group_stays(spark):
     left = neardup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert sorted(str(r.doc_id) for r in left) == ["5", "5", "None", "None", "None"]
     assert sorted(r.text[:1] for r in left) == ["", "", "a", "u", "w"]
+
+
+def test_rows_without_ids_stay_linear(spark):
+    """Rows that share an id, or have none, meet only the sets of their own texts."""
+    rows = [(None if i % 2 else 7, f"text number {i} has its own words w{i} v{i} u{i}") for i in range(400)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = docs.select(F.monotonically_increasing_id().alias("node"), F.col("doc_id").alias("low"), F.xxhash64("text").alias("text_hash"),
+                         F.lit(b"").alias("set_id"))
+    joined = neardup.sets_of(docs, wanted, 5)
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "own_hash" in plan and "text_hash" in plan
+    out = neardup.near_duplicates(docs).collect()
+    assert len(out) == 800 and sum(r.kept for r in out) == 400
+
+
+def test_copies_are_drawn_by_row(spark):
+    """Rows of one id get whole copies that add up to their rates, as rows of different ids do."""
+    n, rate = 4000, 1.37
+    for key in (F.lit(5).cast("long"), F.lit(None).cast("long"), F.col("id")):
+        df = spark.range(n).select(key.alias("doc_id"), F.lit(rate).alias("rate"), F.col("id").alias("row"))
+        total = df.select(F.sum(mixing.copies(F.col("rate"), F.col("row"), F.col("doc_id"))).alias("s")).first()["s"]
+        assert abs(total - n * rate) < 4 * (n * 0.37 * 0.63) ** 0.5
