@@ -10,8 +10,9 @@ upstream joins), and a lost executor costs a re-read, not a recomputation.
 from __future__ import annotations
 
 import math
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
@@ -27,3 +28,30 @@ def materialize(df: DataFrame, n_rows: int | None = None, repartition: bool = Tr
             n_rows = df.count()
         df = df.repartition(max(1, math.ceil(n_rows / ROWS_PER_PARTITION)))
     return df.checkpoint(eager=True)
+
+
+class Rounds:
+    """The table of an iterative job, written anew each round in the shared folder; the round before is removed.
+
+    A written table cuts the lineage, so a lost executor costs a re-read of the last round.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark = spark
+        self.path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.k = 0
+
+    def write(self, df: DataFrame) -> DataFrame:
+        """Writes ``df``, which may read the round before, and returns the written table."""
+        self.k += 1
+        df.write.parquet(f"{self.path}/{self.k}")
+        self._remove(f"{self.path}/{self.k - 1}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{self.k}")
+
+    def drop(self) -> None:
+        """Removes the folder, once no DataFrame reads it any more."""
+        self._remove(self.path)
+
+    def _remove(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)

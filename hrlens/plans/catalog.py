@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import hr, ml, payloads, rater, registry, stats, vectors
+from . import boosting, hr, ml, payloads, rater, registry, stats, vectors
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -71,6 +71,10 @@ def queries() -> dict[str, QueryFn]:
         "pay_importance": ml.pay_importance,
         "pay_shap": ml.pay_shap,
         "pay_shap_summary": ml.pay_shap_summary,
+        "pay_gradient_histogram": boosting.pay_gradient_histogram,
+        "pay_leafwise_tree": boosting.pay_leafwise_tree,
+        "pay_newton_tree": boosting.pay_newton_tree,
+        "pay_boosted": boosting.pay_boosted,
         "attrition_svm": ml.attrition_svm,
         "attrition_whatif": ml.attrition_whatif,
         "activity_rf": ml.activity_rf,
@@ -80,11 +84,12 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import oracle_hr, oracle_payloads, oracle_registry, oracle_stats, oracle_vectors
+    from . import oracle_boost, oracle_hr, oracle_payloads, oracle_registry, oracle_stats, oracle_vectors
     out: dict[str, str] = {}
     out.update(oracle_registry.sql())
     out.update(oracle_hr.sql())
     out.update(oracle_stats.sql())
     out.update(oracle_payloads.sql())
     out.update(oracle_vectors.sql())
+    out.update(oracle_boost.sql())
     return out
