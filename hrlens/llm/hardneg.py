@@ -281,7 +281,8 @@ def search(visits: DataFrame, chunks: DataFrame, form: Format, same: bool, most:
         for batch in batches:
             for c in batch.itertuples(index=False):
                 yield from one(c)
-    found = visits.join(chunks, "leaf").drop("leaf").mapInPandas(run, FOUND)
+    # both sides grow with the data and Spark can't foresee what a Python stage returns: never a broadcast
+    found = visits.hint("merge").join(chunks, "leaf").drop("leaf").mapInPandas(run, FOUND)
     ranked = Window.partitionBy("row", "window").orderBy(F.col("score").desc(), "other", "other_row")
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= most)
 

@@ -227,7 +227,8 @@ def near_words(chunks: DataFrame) -> DataFrame:
     def side(s: str) -> DataFrame:
         return chunks.select(*[F.col(c).alias(f"{s}_{c}") for c in chunks.columns])
     a = side("a").withColumn("meet", F.explode("a_meets"))
-    met = (a.join(side("b"), F.col("meet") == F.col("b_key"))
+    # both sides grow with the vocabulary, one by its neighbours beyond what Spark foresees: never a broadcast
+    met = (a.hint("merge").join(side("b"), F.col("meet") == F.col("b_key"))
            .where((F.col("meet") != F.col("a_key")) | (F.col("a_id") <= F.col("b_id")))
            .select(*[f"{s}_{c}" for s in "ab" for c in ("id", "length", "letters", "counts")]))
     return met.mapInPandas(run, "word string, near string, near_n long")
