@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, bound_batches, partitions
 
-SAMPLE, FANOUT, LEAF_SAMPLE = 8192, 16, 32
+SAMPLE, FANOUT, LEAF_SAMPLE = 8192, 16, 128
 CHUNK_ROWS, CHUNK_VALUES, BLOCK = 1024, 1 << 18, 128
 #: Anchors that one task sorts and packs.
 ANCHORS_A_TASK = 4096
