@@ -75,6 +75,8 @@ def queries() -> dict[str, QueryFn]:
         "pay_leafwise_tree": boosting.pay_leafwise_tree,
         "pay_newton_tree": boosting.pay_newton_tree,
         "pay_boosted": boosting.pay_boosted,
+        "pay_forest": boosting.pay_forest,
+        "activity_forest": boosting.activity_forest,
         "attrition_svm": ml.attrition_svm,
         "attrition_whatif": ml.attrition_whatif,
         "activity_rf": ml.activity_rf,
