@@ -61,6 +61,7 @@ def queries() -> dict[str, QueryFn]:
         "person_match": vectors.person_match,
         "largest_box": vectors.largest_box,
         "split_check": vectors.split_check,
+        "split_exact": vectors.split_exact,
         "rater_mixed": rater.rater_mixed,
         "rater_icc": rater.rater_icc,
         "rater_bias": rater.rater_bias,

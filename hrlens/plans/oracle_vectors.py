@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..operators.ml.split import split_sql
+from ..operators.ml.split import exact_split_sql, split_sql
 from .oracle_views import sig, with_views
 from .vectors import SIM_THRESHOLD, UNKNOWN
 
@@ -39,5 +39,6 @@ def sql() -> dict[str, str]:
         f"SELECT l_orderkey AS image_id, l_linenumber AS face_no, l_partkey, l_suppkey, {sig('area')} AS area FROM ("
         f"SELECT *, {area} AS area FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey "
         f"ORDER BY {area} DESC, l_linenumber, l_partkey, l_suppkey) = 1) t")
+    q["split_exact"] = with_views("emp") + exact_split_sql("emp", "employee_id")
     q["split_check"] = with_views("emp") + f"SELECT employee_id, {split_sql('employee_id')} AS split FROM emp"
     return q

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clean import sig_sql
-from ..operators.ml.split import is_test, with_split
+from ..operators.ml.split import exact_split, is_test, with_split
 from ..operators.vectors import box_area, centroids, largest_per_group, nearest_centroid
 from ..sources.tables import employees, read_table
 
@@ -61,3 +61,8 @@ def largest_box(spark, sf_dir):
 def split_check(spark, sf_dir):
     """L1: the 80/20 hash split of the attrition table (seed 42)."""
     return with_split(employees(spark, sf_dir).select("employee_id"), "employee_id")
+
+
+def split_exact(spark, sf_dir):
+    """L1: a split whose test side has exactly ceil(0.2 n) rows."""
+    return exact_split(employees(spark, sf_dir).select("employee_id"), "employee_id")
