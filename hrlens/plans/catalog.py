@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import boosting, hr, ml, payloads, rater, registry, stats, vectors
+from . import boosting, csv_types, hr, ml, payloads, rater, registry, stats, vectors
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,8 @@ def queries() -> dict[str, QueryFn]:
         "affiliate_rank": registry.affiliate_rank,
         "pay_summary_industry": registry.pay_summary_industry,
         "pay_summary_region": registry.pay_summary_region,
+        "csv_types": csv_types.csv_types,
+        "first_in_file": csv_types.first_in_file,
         "turnover_monthly": hr.turnover_monthly,
         "exit_reason_share": hr.exit_reason_share,
         "attrition_dept_role": hr.attrition_dept_role,
@@ -95,4 +97,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(oracle_payloads.sql())
     out.update(oracle_vectors.sql())
     out.update(oracle_boost.sql())
+    out.update(csv_types.sql())
     return out

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.clean import code_to_text, to_date_tolerant, to_long, to_number
+from .positions import with_position
 
 # Registry headers (as published) → aliases used by the engine.
 REGISTRY_HEADERS = {
@@ -57,17 +58,18 @@ def read_text_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", heade
 def read_registry_csv(spark: SparkSession, path: str, encoding: str = REGISTRY_ENCODING) -> DataFrame:
     """The registry with English aliases and typed, tolerant columns.
 
-    Missing known columns become NULL.  ``est_id`` is a row key hashed from the
-    row's content (name, dates, codes) — stable across re-reads and cluster
-    sizes, unlike a file position — used for tie-breaks.
+    Missing known columns become NULL.  ``est_id`` is the row's place in the files (``positions.with_position``):
+    files in order of path, rows in file order.  It is the same however the scan is cut, tells exact duplicates apart,
+    and as a tie-break it gives the row that comes first in the files.
     """
     raw = read_text_csv(spark, path, encoding)
+    raw = with_position(raw, "est_id")
     raw = raw.withColumnsRenamed({k: v for k, v in REGISTRY_HEADERS.items() if k in raw.columns})
     for alias in REGISTRY_HEADERS.values():
         if alias not in raw.columns:
             raw = raw.withColumn(alias, F.lit(None).cast("string"))
     typed = raw.select(
-        F.xxhash64(*sorted(REGISTRY_HEADERS.values())).alias("est_id"),
+        "est_id",
         F.col("est_name"),
         to_long("status_code").try_cast("int").alias("status_code"),
         code_to_text("industry_code").alias("industry_code"),
