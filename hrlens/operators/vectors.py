@@ -1,28 +1,35 @@
 """Vector operators: normalisation, centroids, nearest-centroid matching (V1–V4).
 
-Vectors stay ``array<double>`` columns and all arithmetic is higher-order SQL
+Vectors stay ``array<double>`` columns and all reported arithmetic is higher-order SQL
 functions (``aggregate``, ``transform``, ``zip_with``) — JVM-side, no UDF.
 
-Matching never materialises (target, person) pairs.  The gallery of person
-centroids is packed into blocks of at most ``block_size`` persons (one array
-row per block).  Each target is replicated once per block (equi-join on the
-block number) and the best person of the block is found by folding over the
-block's array; a final ``min`` over (−similarity, person) picks the winner
-across blocks.  With one block — a gallery that fits the broadcast budget —
-the plan is a broadcast hash join and no shuffle of the targets.
+Matching is an exact search in a gallery of any size (V3).  A few pivots, persons drawn by hash, cut the gallery into
+cells: a person belongs to its nearest pivot and keeps its distance from it.  Cells are packed, in order of that
+distance, into chunks of bounded size.  A target first searches the chunks of its own nearest cell.  The similarity found
+there limits how far a better person may be; by the triangle inequality a person at distance r from a pivot is no
+nearer to the target than |D - r|, D being the target's distance from the pivot.  So only cells, and of these only
+chunks, whose range of r reaches into the limit are searched then: a keyed join with a range condition.  Within a
+chunk the best person is found by folding over its array, so no (target, person) pair is a row.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .persist import materialize
 
-GALLERY_BROADCAST_BYTES = 64 * 1024 * 1024
-DEFAULT_BLOCK_SIZE = 4096
+#: Pivots grow with the square root of the gallery up to this number (they go to every task).
+MAX_PIVOTS = 256
+#: Persons and numbers in one chunk of a cell.
+CHUNK_PERSONS, CHUNK_VALUES = 512, 1 << 18
+#: Of distances: more than their rounding.
+SLACK = 1e-6
 
 
 def as_double_array(c: Column) -> Column:
@@ -68,36 +75,101 @@ def centroids(refs: DataFrame, person: str, vec: str) -> DataFrame:
     return m.select("person", F.col("n_members").alias("n_refs"), normalize(F.col("mean_vec")).alias("centroid"))
 
 
-def _gallery_blocks(cent: DataFrame, block_size: int) -> tuple[DataFrame, int, int]:
-    stats = cent.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("centroid")).alias("dim")).first()
-    n, dim = int(stats["n"] or 0), int(stats["dim"] or 0)
-    n_blocks = max(1, math.ceil(n / block_size))
-    if n_blocks == 1:
-        blocks = cent.agg(F.sort_array(F.collect_list(F.struct("person", "centroid"))).alias("gallery")) \
-                     .select(F.lit(0).alias("block_no"), "gallery")
-    else:
-        b = F.pmod(F.xxhash64("person"), F.lit(n_blocks)).cast("int")
-        blocks = (cent.groupBy(b.alias("block_no"))
-                      .agg(F.sort_array(F.collect_list(F.struct("person", "centroid"))).alias("gallery")))
-    return blocks, n_blocks, n * dim * 8
+def _matrix(vectors, dim: int) -> np.ndarray:
+    out = np.zeros((len(vectors), dim))
+    for i, v in enumerate(vectors):
+        out[i, :min(len(v), dim)] = np.nan_to_num(np.asarray(v, np.float64))[:dim]
+    return out
+
+
+def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] + (pivots * pivots).sum(axis=1) - 2 * x @ pivots.T, 0.0))
+
+
+def _chunks(cent: DataFrame, pivots: np.ndarray, dim: int) -> DataFrame:
+    """The gallery by cells: cell, lo and hi (distances from the pivot), norm (largest squared), gallery (sorted by person)."""
+    most = max(1, min(CHUNK_PERSONS, CHUNK_VALUES // max(1, dim)))
+    kind = cent.schema["person"].dataType.simpleString()
+    columns = ["cell", "lo", "hi", "norm", "gallery"]
+
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = _matrix(batch["centroid"], dim)
+            d = _distances(x, pivots)
+            at = d.argmin(axis=1)
+            yield batch.assign(cell=at.astype(np.int32), r=d[np.arange(len(x)), at], norm=(x * x).sum(axis=1))
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cell, held = None, []
+
+        def chunk() -> tuple:
+            r = [h[1] for h in held]
+            return cell, min(r), max(r), max(h[2] for h in held), [{"person": h[0], "centroid": h[3]} for h in held]
+        for batch in batches:
+            out = []
+            for c, *values in zip(batch["cell"], batch["person"], batch["r"], batch["norm"], batch["centroid"], strict=True):
+                if held and (c != cell or len(held) == most):
+                    out.append(chunk())
+                    held = []
+                cell = c
+                held.append(values)
+            if out:
+                yield pd.DataFrame(out, columns=columns)
+        if held:
+            yield pd.DataFrame([chunk()], columns=columns)
+    at = cent.select("person", "centroid").mapInPandas(placed, f"person {kind}, centroid array<double>, cell int, r double, norm double")
+    ranged = at.repartitionByRange("cell", "r").sortWithinPartitions("cell", "r", "person")
+    made = ranged.mapInPandas(packed, f"cell int, lo double, hi double, norm double, gallery array<struct<person:{kind},centroid:array<double>>>")
+    return made.withColumn("gallery", F.sort_array("gallery"))
+
+
+def _meet(visits: DataFrame, chunks: DataFrame) -> DataFrame:
+    """The chunks of the visited cells whose distances from the pivot lie between near and far."""
+    return visits.join(chunks, (visits["cell"] == chunks["cell"]) & (F.col("lo") <= F.col("far")) & (F.col("hi") >= F.col("near")))
 
 
 def nearest_centroid(targets: DataFrame, id_col: str, vec: str, cent: DataFrame,
-                     threshold: float, unknown: str = "unknown",
-                     block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+                     threshold: float, unknown: str = "unknown", n_pivots: int | None = None) -> DataFrame:
     """V3+V4: best person by cosine (strict '>' → smallest person wins ties), thresholded.
 
     Output: id, match_name, best_person, best_sim, similarity (the reported value:
-    best_sim when matched, else max(best_sim, 0)), is_match.
+    best_sim when matched, else max(best_sim, 0)), is_match.  A target without a vector, or an
+    empty gallery, has no best person and a best_sim of -1.
     """
-    t = targets.select(F.col(id_col), normalize(as_double_array(F.col(vec))).alias("t"))
-    # the gallery is read twice (size check, blocks): write it once
-    cent = materialize(cent, repartition=False)
-    blocks, n_blocks, approx_bytes = _gallery_blocks(cent, block_size)
-    # broadcast only a gallery whose measured size fits the budget
-    side = F.broadcast(blocks) if approx_bytes <= GALLERY_BROADCAST_BYTES else blocks
-    rep = t.withColumn("block_no", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    j = rep.join(side, "block_no", "inner")
+    t = materialize(targets.select(F.col(id_col).alias("id"), normalize(as_double_array(F.col(vec))).alias("t"),
+                                   F.monotonically_increasing_id().alias("row")), repartition=False)
+    cent = materialize(cent.select("person", "centroid"), repartition=False)
+    size = cent.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("centroid")).alias("dim")).first()
+    n, dim = int(size["n"] or 0), int(size["dim"] or 0)
+    wanted = n_pivots or min(MAX_PIVOTS, max(1, math.isqrt(n)))
+    drawn = cent.orderBy(F.xxhash64(F.col("person").cast("string")), "person").limit(wanted).collect()  # at most MAX_PIVOTS
+    pivots = _matrix([r["centroid"] for r in drawn], dim) if drawn else np.zeros((1, dim))
+    chunks = materialize(_chunks(cent, pivots, dim), repartition=False)
+    cells = {r["cell"]: r for r in chunks.groupBy("cell").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("norm").alias("norm")).collect()}
+    own = np.array(sorted(cells), np.int64)  # a row a pivot at most
+    lo, hi, norm = (np.array([cells[c][k] for c in own], np.float64) for k in ("lo", "hi", "norm"))
+    kind = f"row long, t array<double>, cell int, far double, near double"
+
+    def visits(batches: Iterator[pd.DataFrame], first: bool) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(own):
+                continue
+            x = _matrix(batch["t"], dim)
+            d = _distances(x, pivots)[:, own]
+            nearest = d.argmin(axis=1)
+            if first:
+                yield pd.DataFrame({"row": batch["row"], "t": batch["t"], "cell": own[nearest].astype(np.int32), "far": np.inf, "near": 0.0})
+                continue
+            # a person as good as the best so far is at most so far away
+            sim = batch["sim"].to_numpy(np.float64)
+            limit = np.sqrt(np.maximum((x * x).sum(axis=1)[:, None] + norm - 2 * sim[:, None], 0.0)) + SLACK
+            keep = (np.maximum(d - hi, lo - d) <= limit) & (np.arange(len(own)) != nearest[:, None])
+            i, j = np.nonzero(keep)
+            if not len(i):
+                continue
+            yield pd.DataFrame({"row": batch["row"].to_numpy()[i], "t": [batch["t"].iloc[k] for k in i], "cell": own[j].astype(np.int32),
+                                "far": d[i, j] + limit[i, j], "near": d[i, j] - limit[i, j]})
+
     init = F.struct(F.lit(None).cast("string").alias("person"), F.lit(-1.0).alias("sim"))
 
     def step(acc, g):
@@ -107,17 +179,17 @@ def nearest_centroid(targets: DataFrame, id_col: str, vec: str, cent: DataFrame,
                            lambda s: F.when(s > acc["sim"], F.struct(g["person"].cast("string").alias("person"),
                                                                      s.alias("sim"))).otherwise(acc))
 
-    best = F.when(F.col("t").isNull(), init).otherwise(F.aggregate("gallery", init, step))
-    per_block = j.select(id_col, best.alias("b"))
-    if n_blocks == 1:
-        win = per_block.select(id_col, F.col("b.person").alias("best_person"), F.col("b.sim").alias("best_sim"))
-    else:
-        # smallest (−sim, has_no_person, person): best similarity, then first person
-        key = F.struct((-F.col("b.sim")).alias("neg_sim"), F.col("b.person").isNull().alias("none"),
-                       F.col("b.person").alias("person"))
-        win = (per_block.groupBy(id_col).agg(F.min(key).alias("w"))
-                        .select(id_col, F.col("w.person").alias("best_person"),
-                                (-F.col("w.neg_sim")).alias("best_sim")))
+    def best_of(found: DataFrame) -> DataFrame:
+        return _meet(found, chunks).select("row", F.aggregate("gallery", init, step).alias("b"))
+    # smallest (−sim, has_no_person, person): best similarity, then first person
+    key = F.struct((-F.col("b.sim")).alias("neg_sim"), F.col("b.person").isNull().alias("none"), F.col("b.person").alias("person"))
+    there = t.where(F.col("t").isNotNull()).select("row", "t")
+    start = best_of(there.mapInPandas(lambda batches: visits(batches, True), kind)).groupBy("row").agg(F.min(key).alias("w"))
+    start = materialize(start, repartition=False)
+    more = best_of(there.join(start.select("row", (-F.col("w.neg_sim")).alias("sim")), "row").mapInPandas(lambda batches: visits(batches, False), kind))
+    win = start.unionByName(more.groupBy("row").agg(F.min(key).alias("w"))).groupBy("row").agg(F.min("w").alias("w"))
+    win = t.select("id", "row").join(win, "row", "left").select(
+        F.col("id").alias(id_col), F.col("w.person").alias("best_person"), F.coalesce(-F.col("w.neg_sim"), F.lit(-1.0)).alias("best_sim"))
     matched = F.col("best_person").isNotNull() & (F.col("best_sim") >= threshold)
     return win.select(id_col,
                       F.when(matched, F.col("best_person")).otherwise(F.lit(unknown)).alias("match_name"),

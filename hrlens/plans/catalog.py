@@ -61,6 +61,8 @@ def queries() -> dict[str, QueryFn]:
         "news_search_urls": payloads.news_search_urls,
         "person_centroids": vectors.person_centroids,
         "person_match": vectors.person_match,
+        "person_match_all": vectors.person_match_all,
+        "vector_match": vectors.vector_match,
         "largest_box": vectors.largest_box,
         "split_check": vectors.split_check,
         "split_exact": vectors.split_exact,

@@ -28,12 +28,16 @@ def sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["person_centroids"] = _vectors() + f"SELECT person, n_refs, list_transform(cv, lambda x: {sig('x')}) AS centroid FROM c"
     th = SIM_THRESHOLD
-    q["person_match"] = _vectors() + (
-        f", s AS (SELECT t.vec_id, c.person, list_dot_product(t.v, c.cv) AS sim FROM n t, c WHERE t.is_target), "
-        f"b AS (SELECT vec_id, person, sim FROM s QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, person) = 1)\n"
-        f"SELECT vec_id, CASE WHEN sim >= {th} THEN person ELSE '{UNKNOWN}' END AS match_name, person AS best_person, "
-        f"{sig('sim')} AS best_sim, {sig(f'CASE WHEN sim >= {th} THEN sim ELSE greatest(sim, 0.0) END')} AS similarity, "
-        f"sim >= {th} AS is_match FROM b")
+    def match(pairs: str) -> str:
+        return _vectors() + (
+            f", s AS ({pairs}), "
+            f"b AS (SELECT vec_id, person, sim FROM s QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY sim DESC, person) = 1)\n"
+            f"SELECT vec_id, CASE WHEN sim >= {th} THEN person ELSE '{UNKNOWN}' END AS match_name, person AS best_person, "
+            f"{sig('sim')} AS best_sim, {sig(f'CASE WHEN sim >= {th} THEN sim ELSE greatest(sim, 0.0) END')} AS similarity, "
+            f"sim >= {th} AS is_match FROM b")
+    q["person_match"] = match("SELECT t.vec_id, c.person, list_dot_product(t.v, c.cv) AS sim FROM n t, c WHERE t.is_target")
+    q["person_match_all"] = match("SELECT t.vec_id, c.person, list_dot_product(t.v, c.cv) AS sim FROM n t, c")
+    q["vector_match"] = match("SELECT t.vec_id, format('v{:012d}', g.vec_id) AS person, list_dot_product(t.v, g.v) AS sim FROM n t, n g WHERE t.is_target AND NOT g.is_target")
     area = "(l_quantity - l_discount) * (l_extendedprice / 1000 - l_tax)"
     q["largest_box"] = (
         f"SELECT l_orderkey AS image_id, l_linenumber AS face_no, l_partkey, l_suppkey, {sig('area')} AS area FROM ("

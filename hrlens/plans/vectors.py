@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clean import sig_sql
 from ..operators.ml.split import exact_split, is_test, with_split
-from ..operators.vectors import box_area, centroids, largest_per_group, nearest_centroid
+from ..operators.vectors import as_double_array, box_area, centroids, largest_per_group, nearest_centroid, normalize
 from ..sources.tables import employees, read_table
 
 # Fixed value: similarity threshold of the face matcher.
@@ -36,16 +36,30 @@ def person_centroids(spark, sf_dir):
     return _centroids(spark, sf_dir).select("person", "n_refs", _sig_vec("centroid").alias("centroid"))
 
 
-def person_match(spark, sf_dir):
-    """Each target vector's best person by cosine, or 'unknown' below 0.35."""
-    e = _embeddings(spark, sf_dir)
-    m = nearest_centroid(e.where(F.col("is_target")), "vec_id", "embedding", _centroids(spark, sf_dir),
-                         SIM_THRESHOLD, UNKNOWN)
+def _matched(targets: DataFrame, cent: DataFrame) -> DataFrame:
+    m = nearest_centroid(targets, "vec_id", "embedding", cent, SIM_THRESHOLD, UNKNOWN)
     return m.select("vec_id", "match_name", "best_person",
                     F.expr(sig_sql("best_sim")).alias("best_sim"),
                     F.expr(sig_sql("similarity")).alias("similarity"), "is_match")
 
 
+def person_match(spark, sf_dir):
+    """Each target vector's best person by cosine, or 'unknown' below 0.35."""
+    return _matched(_embeddings(spark, sf_dir).where(F.col("is_target")), _centroids(spark, sf_dir))
+
+
+def person_match_all(spark, sf_dir):
+    """Every vector of the table against the persons' centroids of the reference part: a whole second table is scored."""
+    return _matched(_embeddings(spark, sf_dir), _centroids(spark, sf_dir))
+
+
+def vector_match(spark, sf_dir):
+    """V3 in a gallery as large as the table: every reference vector is a person of its own, every target finds its nearest."""
+    e = _embeddings(spark, sf_dir).where(F.col("embedding").isNotNull())
+    gallery = e.where(~F.col("is_target")).select(F.format_string("v%012d", "vec_id").alias("person"), normalize(as_double_array(F.col("embedding"))).alias("centroid"))
+    return _matched(e.where(F.col("is_target")), gallery)
+
+
 def largest_box(spark, sf_dir):
     """Largest face per image, over a numeric stand-in: per order, the
     line item with the largest box (x1=discount, y1=tax, x2=quantity,

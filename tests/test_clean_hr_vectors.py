@@ -88,7 +88,7 @@ def test_vectors_zero_and_blocks(spark):
     cent = vectors.centroids(spark.createDataFrame(refs, "person string, v array<double>"), "person", "v")
     t = spark.createDataFrame(tg, "id long, v array<double>")
     one = {r["id"]: tuple(r) for r in vectors.nearest_centroid(t, "id", "v", cent, 0.35).collect()}
-    many = {r["id"]: tuple(r) for r in vectors.nearest_centroid(t, "id", "v", cent, 0.35, block_size=2).collect()}
+    many = {r["id"]: tuple(r) for r in vectors.nearest_centroid(t, "id", "v", cent, 0.35, n_pivots=2).collect()}
     assert one.keys() == many.keys()
     for k in one:
         assert one[k][1:3] == many[k][1:3] and one[k][3] == pytest.approx(many[k][3])
