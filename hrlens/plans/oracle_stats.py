@@ -178,15 +178,15 @@ def _ols_firm_effects() -> str:
         f"SELECT term, {sig('coef')} AS coef, {sig('se')} AS std_err, {sig('coef / se')} AS t_stat FROM z")
 
 
-def _ols_multi() -> str:
+def _multi_ctes() -> str:
     """Normal equations of the centred columns, solved and inverted by Gauss-Jordan steps in a recursive query."""
     base = _large(f"AND industry_code IN ({_in(P['summary_industries'])}) AND region_code IN ({_in(P['summary_regions'])})")
     return "WITH RECURSIVE " + with_views("est").removeprefix("WITH ") + (
-        f", b AS (SELECT annual_pay AS y, CAST(headcount AS DOUBLE) AS h, year, CAST(industry_code AS VARCHAR) AS ind, CAST(region_code AS VARCHAR) AS reg "
+        f", b AS (SELECT est_id, annual_pay AS y, CAST(headcount AS DOUBLE) AS h, year, CAST(industry_code AS VARCHAR) AS ind, CAST(region_code AS VARCHAR) AS reg "
         f"FROM ({base}) b0 WHERE annual_pay IS NOT NULL AND year IS NOT NULL), "
         "lv AS (SELECT list_sort(list(DISTINCT ind)) AS li, list_sort(list(DISTINCT reg)) AS lr FROM b), "
         "nm AS (SELECT ['headcount', 'year'] || ['industry_code_' || v FOR v IN li[2:]] || ['region_code_' || v FOR v IN lr[2:]] AS names FROM lv), "
-        "rw AS (SELECT y, [h, year] || [CAST(ind = v AS DOUBLE) FOR v IN li[2:]] || [CAST(reg = v AS DOUBLE) FOR v IN lr[2:]] AS x FROM b, lv), "
+        "rw AS (SELECT est_id, y, [h, year] || [CAST(ind = v AS DOUBLE) FOR v IN li[2:]] || [CAST(reg = v AS DOUBLE) FOR v IN lr[2:]] AS x FROM b, lv), "
         "k AS (SELECT CAST(len(names) AS INTEGER) AS k FROM nm), "
         "lg AS (SELECT CAST(j AS INTEGER) AS j, CASE WHEN j <= k THEN x[j] ELSE y END AS v, r FROM (SELECT *, row_number() OVER () AS r FROM rw) q, k, range(1, 1000) g(j) WHERE j <= k + 1), "
         "mu AS (SELECT j, avg(v) AS mu, count(*) AS n FROM lg GROUP BY j), "
@@ -205,12 +205,68 @@ def _ols_multi() -> str:
         "iv AS (SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, m[i][k + 1 + j] AS v FROM sv, range(1, 1000) g(i), range(1, 1000) h(j) WHERE i <= k AND j <= k), "
         "cs AS (SELECT (SELECT mu FROM mu, k WHERE j = k + 1) - (SELECT sum(coef * mu) FROM co JOIN mu ON mu.j = co.id) AS coef, "
         "(SELECT sum(iv.v * a.mu * b.mu) FROM iv JOIN mu a ON a.j = iv.i JOIN mu b ON b.j = iv.j) + 1.0 / (SELECT n FROM st) AS v), "
-        "t AS (SELECT 0 AS id, 'const' AS term, cs.coef, sqrt(s2 * cs.v) AS se, nu FROM cs, e UNION ALL SELECT id, names[id], coef, sqrt(s2 * v), nu FROM co, nm, e), "
-        f"src AS (SELECT id, nu / 2 AS a, 0.5 AS b, pow(coef / se, 2) / nu AS z FROM t), {beta_tail('src', 'tail')}, {t_quantile('e', 'crit')}\n"
+        "t AS (SELECT 0 AS id, 'const' AS term, cs.coef, sqrt(s2 * cs.v) AS se, nu FROM cs, e UNION ALL SELECT id, names[id], coef, sqrt(s2 * v), nu FROM co, nm, e)")
+
+
+def _ols_multi() -> str:
+    return _multi_ctes() + (
+        f", src AS (SELECT id, nu / 2 AS a, 0.5 AS b, pow(coef / se, 2) / nu AS z FROM t), {beta_tail('src', 'tail')}, {t_quantile('e', 'crit')}\n"
         f"SELECT term, {sig('coef')} AS coef, {sig('se')} AS std_err, {sig('coef / se')} AS t_stat, {sig('p')} AS p_value, "
         f"{sig('coef - crit.t * se')} AS ci_low, {sig('coef + crit.t * se')} AS ci_high FROM t JOIN tail USING (id), crit")
 
 
+def _largest_eigenvalue(matrix: str, name: str, steps: int = 60) -> str:
+    """CTE ``name`` (ev) by power iteration on the matrix in CTE ``matrix`` (m: list of rows)."""
+    product = "[list_sum([m[i][j] * x[j] FOR j IN range(1, len(x) + 1)]) FOR i IN range(1, len(x) + 1)]"
+    return (f"{name}_p AS (SELECT 0 AS step, m, [1.0 / i FOR i IN range(1, len(m) + 1)] AS x, 0.0::DOUBLE AS ev FROM {matrix} "
+            f"UNION ALL SELECT step + 1, m, [v / n FOR v IN y], n FROM (SELECT step, m, y, sqrt(list_sum([v * v FOR v IN y])) AS n "
+            f"FROM (SELECT step, m, {product} AS y FROM {name}_p WHERE step < {steps}) q) r), "
+            f"{name} AS (SELECT ev FROM {name}_p WHERE step = {steps})")
+
+
+def _ols_multi_fit() -> str:
+    """Long form, as ``_ols_fit``; the condition number from the largest eigenvalues of X'X and of its inverse."""
+    return _multi_ctes() + (
+        ", fitted AS (SELECT est_id, y, list_sum([x[i] * c[i] FOR i IN range(1, len(x) + 1)]) + cs.coef AS f "
+        "FROM rw, cs, (SELECT list(coef ORDER BY id) AS c FROM co) l), "
+        "r AS (SELECT est_id, y - f AS r FROM fitted), l AS (SELECT r, r - lag(r) OVER (ORDER BY est_id) AS step FROM r), m0 AS (SELECT avg(r) AS mu FROM r), "
+        "m AS (SELECT avg(pow(r - mu, 2)) AS m2, avg(pow(r - mu, 3)) AS m3, avg(pow(r - mu, 4)) AS m4 FROM r, m0), "
+        "w AS (SELECT sum(step * step) / sum(r * r) AS dw FROM l), "
+        # the uncentred X'X and its inverse, the constant first
+        "dsg AS (SELECT r, CAST(i AS INTEGER) AS i, CASE WHEN i = 0 THEN 1 ELSE x[i] END AS v FROM (SELECT *, row_number() OVER () AS r FROM rw) q, k, range(0, 1000) g(i) WHERE i <= k), "
+        "xx AS (SELECT list(v ORDER BY i) AS m FROM (SELECT i, list(v ORDER BY j) AS v FROM ("
+        "SELECT a.i, b.j, sum(a.v * b.v) AS v FROM dsg a JOIN (SELECT r, i AS j, v FROM dsg) b USING (r) GROUP BY a.i, b.j) q GROUP BY i) p), "
+        "vm AS (SELECT i, sum(v * mu) AS v FROM iv JOIN mu ON mu.j = iv.j GROUP BY i), "
+        "iu AS (SELECT 0 AS i, 0 AS j, cs.v FROM cs UNION ALL SELECT i, 0, -v FROM vm UNION ALL SELECT 0, i, -v FROM vm UNION ALL SELECT i, j, v FROM iv), "
+        "ix AS (SELECT list(v ORDER BY i) AS m FROM (SELECT i, list(v ORDER BY j) AS v FROM iu GROUP BY i) p), "
+        + _largest_eigenvalue("xx", "hi") + ", " + _largest_eigenvalue("ix", "low") + ", "
+        "sst AS (SELECT v AS sst FROM gm, k WHERE i = k + 1 AND j = k + 1), "
+        "h AS (SELECT n, nu, k, ssr, 1 - ssr / sst AS r2, m3 / pow(m2, 1.5) AS skew, m4 / (m2 * m2) AS kurt, dw, sqrt(hi.ev * low.ev) AS cond "
+        "FROM e, k, m, w, sst, hi, low), " + _fit_tail("k", "nu / 2 AS a, k / 2.0 AS b, f * k / nu AS z"))
+
+
+def _fit_tail(p: str, tail: str) -> str:
+    """From CTE h (n, nu, ssr, r2, skew, kurt, dw, cond and what ``p`` and ``tail`` use) to the long table of statistics."""
+    stats = {
+        "n_obs": "n", "df_model": p, "df_resid": "nu", "r_squared": "r2", "adj_r_squared": "1 - (1 - r2) * (n - 1) / nu",
+        "f_statistic": "f", "f_pvalue": "p", "log_likelihood": "ll", "aic": f"2 * ({p} + 1) - 2 * ll", "bic": f"({p} + 1) * ln(n) - 2 * ll",
+        "omnibus": "zs * zs + zk * zk", "omnibus_pvalue": "exp(-(zs * zs + zk * zk) / 2)", "skew": "skew", "kurtosis": "kurt",
+        "jarque_bera": "jb", "jb_pvalue": "exp(-jb / 2)", "durbin_watson": "dw", "cond_no": "cond", "singular": "0"}
+    rows = " UNION ALL ".join(f"SELECT '{name}' AS statistic, CAST({v} AS DOUBLE) AS v FROM z" for name, v in stats.items())
+    return (
+        f"i AS (SELECT *, (r2 / {p}) / ((1 - r2) / nu) AS f, -n / 2.0 * (ln(2 * pi()) + ln(ssr / n) + 1) AS ll, "
+        "n / 6.0 * (skew * skew + pow(kurt - 3, 2) / 4) AS jb, "
+        "skew * sqrt((n + 1.0) * (n + 3) / (6.0 * (n - 2))) AS ys, "
+        "sqrt(2 * (3.0 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2.0) * (n + 5) * (n + 7) * (n + 9)) - 1)) - 1 AS ws, "
+        "(kurt - 3.0 * (n - 1) / (n + 1)) / sqrt(24.0 * n * (n - 2) * (n - 3) / ((n + 1.0) * (n + 1) * (n + 3) * (n + 5))) AS yk, "
+        "6.0 * (n * n - 5 * n + 2) / ((n + 7.0) * (n + 9)) * sqrt(6.0 * (n + 3) * (n + 5) / (n * (n - 2.0) * (n - 3))) AS sk FROM h), "
+        "jj AS (SELECT *, 6 + 8 / sk * (2 / sk + sqrt(1 + 4 / (sk * sk))) AS ak FROM i), "
+        f"src AS (SELECT 0 AS id, {tail} FROM jj), " + beta_tail("src", "tail") + ", "
+        "z AS (SELECT *, asinh(ys / sqrt(2 / (ws - 1))) / sqrt(ln(ws) / 2) AS zs, "
+        "(1 - 2 / (9 * ak) - cbrt((1 - 2 / ak) / (1 + yk * sqrt(2 / (ak - 4))))) / sqrt(2 / (9 * ak)) AS zk FROM jj, tail)\n"
+        f"SELECT statistic, {sig('v')} AS value FROM ({rows}) u")
+
+
 def sql() -> dict[str, str]:
     q: dict[str, str] = {}
     v = with_views("est")
@@ -232,4 +288,5 @@ def sql() -> dict[str, str]:
     q["ols_line_boot"] = _ols_line_boot("headcount")
     q["ols_firm_effects"] = _ols_firm_effects()
     q["ols_multi"] = _ols_multi()
+    q["ols_multi_fit"] = _ols_multi_fit()
     return q
