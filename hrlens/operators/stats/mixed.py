@@ -13,8 +13,9 @@ group size — never a row or a group.  The profile REML log-likelihood is
     ℓ(θ) = −½[(N−p)(log 2πσ̂² + 1) + Σ_g log(1+n_gθ) + log|A|],
     A = M_XX, β = A⁻¹M_Xy, σ̂² = (M_yy − β'M_Xy)/(N−p),
 
-maximised over log θ (grid + golden section) and compared with the boundary
-θ = 0.  Columns are centred first (a reparametrisation; the intercept is
+maximised over log θ (a grid brackets the maximum, then its derivative is
+bisected, which fixes θ to the last digits as a flat maximum alone does not)
+and compared with the boundary θ = 0.  Columns are centred first (a reparametrisation; the intercept is
 recovered afterwards) so sums of squares stay well scaled.  Random effects
 (BLUPs) are θ/(1+n_gθ)·(s_g,y − s_g,X'β), evaluated by Spark on the per-group
 sums table.
@@ -133,6 +134,18 @@ def reml_profile(T: np.ndarray, buckets, n_total: int, theta: float):
     return ll, beta, Ainv, s2
 
 
+def reml_slope(T: np.ndarray, buckets, n_total: int, theta: float) -> float:
+    """dℓ/dθ: with M' = −Σ U/(1+nθ)², −½[Σ n/(1+nθ) + (N−p) RSS'/RSS + tr(A⁻¹A')], RSS' = (−β, 1) M' (−β, 1)'."""
+    p = T.shape[0] - 1
+    _, beta, Ainv, s2 = reml_profile(T, buckets, n_total, theta)
+    d, logdet = np.zeros_like(T), 0.0
+    for n_g, cnt, U in buckets:
+        d -= U / (1.0 + n_g * theta) ** 2
+        logdet += cnt * n_g / (1.0 + n_g * theta)
+    v = np.append(-beta, 1.0)
+    return -0.5 * (logdet + float(v @ d @ v) / s2 + float(np.sum(Ainv * d[:p, :p])))
+
+
 def fit_random_intercept(df: DataFrame, group: str, y: str, xs: list[str],
                          term_names: list[str] | None = None,
                          checkpoint: bool = True) -> tuple[MixedFit, DataFrame]:
@@ -154,21 +167,14 @@ def fit_random_intercept(df: DataFrame, group: str, y: str, xs: list[str],
     vals = [ll(u) for u in grid]
     i = int(np.argmax(vals))
     lo, hi = grid[max(0, i - 1)], grid[min(len(grid) - 1, i + 1)]
-    g = (math.sqrt(5) - 1) / 2
-    a, b_ = lo, hi
-    c, d = b_ - g * (b_ - a), a + g * (b_ - a)
-    fc, fd = ll(c), ll(d)
-    for _ in range(80):
-        if fc > fd:
-            b_, d, fd = d, c, fc
-            c = b_ - g * (b_ - a)
-            fc = ll(c)
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        if reml_slope(T, buckets, n, math.exp(mid)) > 0:
+            lo = mid
         else:
-            a, c, fc = c, d, fd
-            d = a + g * (b_ - a)
-            fd = ll(d)
-    theta = math.exp((a + b_) / 2)
-    ll_best = ll((a + b_) / 2)
+            hi = mid
+    theta = math.exp((lo + hi) / 2)
+    ll_best = ll((lo + hi) / 2)
     ll0 = reml_profile(T, buckets, n, 0.0)[0]
     if ll0 >= ll_best:
         theta, ll_best = 0.0, ll0

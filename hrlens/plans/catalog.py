@@ -91,7 +91,7 @@ def queries() -> dict[str, QueryFn]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import oracle_boost, oracle_hr, oracle_payloads, oracle_registry, oracle_stats, oracle_vectors
+    from . import oracle_boost, oracle_hr, oracle_payloads, oracle_rater, oracle_registry, oracle_stats, oracle_vectors
     out: dict[str, str] = {}
     out.update(oracle_registry.sql())
     out.update(oracle_hr.sql())
@@ -100,4 +100,5 @@ def oracle_sql() -> dict[str, str]:
     out.update(oracle_vectors.sql())
     out.update(oracle_boost.sql())
     out.update(csv_types.sql())
+    out.update(oracle_rater.sql())
     return out

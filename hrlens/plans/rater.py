@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from ..functions.clean import sig_sql
+from ..functions.clean import round_sig, sig_sql
 from ..operators.stats.design import add_dummies
 from ..operators.persist import materialize
 from ..operators.stats.mixed import coef_rows, fit_random_intercept, random_effects
@@ -74,13 +74,15 @@ def full_model(spark, sf_dir):
 
 
 def _mixed_df(spark, fit):
-    return spark.createDataFrame(coef_rows(fit), COEF_SCHEMA)
+    t = spark.createDataFrame(coef_rows(fit), COEF_SCHEMA)
+    return t.select("term", *[round_sig(c).alias(c) for c in t.columns if c != "term"])
 
 
 def _icc_df(spark, fit):
     icc = fit.tau2 / (fit.tau2 + fit.sigma2) if fit.tau2 + fit.sigma2 > 0 else float("nan")
-    return spark.createDataFrame([(float(fit.tau2), float(fit.sigma2), float(icc), fit.n_groups, fit.n)],
-                                 "tau2 double, sigma2 double, icc double, n_raters long, n_obs long")
+    t = spark.createDataFrame([(float(fit.tau2), float(fit.sigma2), float(icc), fit.n_groups, fit.n)],
+                              "tau2 double, sigma2 double, icc double, n_raters long, n_obs long")
+    return t.select(*[round_sig(c).alias(c) for c in ("tau2", "sigma2", "icc")], "n_raters", "n_obs")
 
 
 def _bias_df(e: DataFrame) -> DataFrame:
