@@ -75,8 +75,8 @@ def full_model(spark, sf_dir):
 
 def _mixed_df(spark, fit):
     t = spark.createDataFrame(coef_rows(fit), COEF_SCHEMA)
-    # a tail far out follows the last digits of z: six digits of it are as many as the fit fixes
-    return t.select("term", *[round_sig(c, 6 if c == "p_value" else 9).alias(c) for c in t.columns if c != "term"])
+    # a tail far out follows the last digits of z: twelve decimals of it are what the fit fixes
+    return t.select("term", *[(F.round(F.col(c) * 1e12) / 1e12 if c == "p_value" else round_sig(c)).alias(c) for c in t.columns if c != "term"])
 
 
 def _icc_df(spark, fit):
