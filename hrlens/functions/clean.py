@@ -113,6 +113,19 @@ def date_column(df, name: str, patterns: Iterable[str] | str | None = None) -> C
     return to_date_tolerant(F.col(name), patterns)
 
 
+# Dates of feeds ----------------------------------------------------------
+# Weekday and time zone as feeds write them; the weekday only repeats the date, so it is cut off.
+_WEEKDAY = r"^\s*[A-Za-z]{3,9}\.?,\s*"
+FEED_DATE_PATTERNS = ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z", "d MMM yyyy HH:mm Z", "d MMM yyyy HH:mm z",
+                      "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd HH:mm:ss")
+
+
+def feed_timestamp(c: ColumnOrName) -> Column:
+    """A feed's publication date (``Mon, 01 Jan 2024 09:00:00 +0900``) as a point in time; what is none becomes NULL."""
+    s = F.trim(F.regexp_replace(F.trim(_c(c)), _WEEKDAY, ""))
+    return F.coalesce(*[F.try_to_timestamp(s, F.lit(p)) for p in FEED_DATE_PATTERNS])
+
+
 # P9 / P10 / P11 --------------------------------------------------------------
 def not_null_flag(c: ColumnOrName) -> Column:
     """``notnull().astype(int)``."""

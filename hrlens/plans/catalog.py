@@ -56,6 +56,7 @@ def queries() -> dict[str, QueryFn]:
         "api_status_gate": payloads.api_status_gate,
         "news_rss": payloads.news_rss,
         "news_json": payloads.news_json,
+        "news_dates": payloads.news_dates,
         "news_clean": payloads.news_clean,
         "page_links_topn": payloads.page_links_topn,
         "news_search_urls": payloads.news_search_urls,

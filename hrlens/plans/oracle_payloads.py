@@ -63,11 +63,16 @@ def sql() -> dict[str, str]:
         f"CAST(count(*) AS INTEGER) AS n_items FROM pg GROUP BY pay_year, page_no "
         f"UNION ALL SELECT CAST(max(pay_year) + 1 AS INTEGER), CAST(1 AS BIGINT), '03', 'NODATA_ERROR', false, 0 FROM yr")
     title = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
-    q["news_rss"] = f"SELECT {title} AS title, url AS link, CAST(NULL AS VARCHAR) AS published FROM pages"
+    at = "(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page_id * 5407))"
+    date = (f"CASE WHEN page_id % 10 = 7 THEN NULL WHEN page_id % 10 = 9 THEN 'yesterday' WHEN page_id % 2 = 0 "
+            f"THEN strftime({at} + INTERVAL 9 HOUR, '%a, %d %b %Y %H:%M:%S') || ' +0900' ELSE strftime({at}, '%a, %d %b %Y %H:%M:%S') || ' GMT' END")
+    q["news_rss"] = f"SELECT {title} AS title, url AS link, {date} AS published FROM pages"
+    q["news_dates"] = " UNION ALL ".join(f"SELECT '{feed}' AS feed, url AS link, {date} AS published, "
+                                         f"CASE WHEN page_id % 10 NOT IN (7, 9) THEN 1704067200 + page_id * 5407 END AS published_unix FROM pages" for feed in ("rss", "json"))
     q["news_json"] = (f"SELECT {title} AS title, url AS link, html AS description, "
-                      f"CAST(NULL AS VARCHAR) AS pub_date FROM pages")
+                      f"{date} AS pub_date FROM pages")
     q["news_clean"] = (f"SELECT {_clean(title)} AS title, url AS link, {_clean('html')} AS description, "
-                       f"CAST(NULL AS VARCHAR) AS pub_date FROM pages")
+                       f"{date} AS pub_date FROM pages")
     kw = _clean(title)
     q["news_search_urls"] = (
         f"SELECT page_id, {kw} AS keyword, '{SEARCH_PARAMS['base']}' || replace(url_encode({kw}), '%2F', '/') "

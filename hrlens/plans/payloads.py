@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clean import clean_html, remove_spaces, trunc_to_long, url_quote
+from ..functions.clean import clean_html, feed_timestamp, remove_spaces, trunc_to_long, url_quote
 from ..functions.pay import THOUSAND_PER_10K
 from ..operators.topk import top_k
 from ..sources import payloads as pl
@@ -75,6 +75,13 @@ def news_json(spark, sf_dir):
              .select("title", "link", "description", F.col("pubDate").alias("pub_date"))
 
 
+def news_dates(spark, sf_dir):
+    """Publication dates of both feeds as points in time (D19), with the text they were read from."""
+    rss = news_rss(spark, sf_dir).select(F.lit("rss").alias("feed"), "link", "published")
+    search = news_json(spark, sf_dir).select(F.lit("json").alias("feed"), "link", F.col("pub_date").alias("published"))
+    return rss.unionByName(search).select("feed", "link", "published", F.unix_timestamp(feed_timestamp("published")).alias("published_unix"))
+
+
 def news_clean(spark, sf_dir):
     """News search: title and description with tags stripped and entities decoded."""
     rows = news_json(spark, sf_dir)

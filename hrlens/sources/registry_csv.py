@@ -12,9 +12,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructField, StructType
 
-from ..functions.clean import code_to_text, to_date_tolerant, to_long, to_number
+from ..functions.clean import code_to_text, nan_to_null, to_date_tolerant, to_long, to_number
+from .infer import column_types, typed
 from .positions import with_position
 
 # Registry headers (as published) → aliases used by the engine.
@@ -104,10 +105,21 @@ def read_hr_csv(spark: SparkSession, path: str, encoding: str = REGISTRY_ENCODIN
 
 
 def read_rater_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """S3 (re-aimed): the rater table as Parquet or CSV instead of a workbook."""
+    """S3 (re-aimed): the rater table as Parquet or CSV instead of a workbook.
+
+    A CSV's columns get the types of their whole content (``infer.column_types``), as a workbook's cells have them.
+    NaN cells become NULL (D7).
+    """
     if fmt == "csv":
-        return spark.read.option("header", True).option("inferSchema", False).csv(path)
-    return spark.read.parquet(path)
+        text = read_text_csv(spark, path)
+        return typed(text, column_types(text))
+    return without_nan(spark.read.parquet(path))
+
+
+def without_nan(df: DataFrame) -> DataFrame:
+    """NaN to NULL in every float and double column of a scan."""
+    return df.select(*[nan_to_null(f"`{f.name}`").cast(f.dataType).alias(f.name) if isinstance(f.dataType, (FloatType, DoubleType)) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
 
 
 def to_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -142,3 +142,26 @@ def test_activity_csv_with_dotted_names(spark):
     assert got[:2] == ["Running", "Lying"] and len(got) == 3
     assert "Applewatch.Steps_LE" in pred.columns
     assert abs(sum(r["importance"] for r in imp.collect()) - 1.0) < 1e-9
+
+
+def test_feed_dates(spark):
+    """Weekday and zone in any common form, one-digit days, and what is no date."""
+    from hrlens.functions.clean import feed_timestamp
+    texts = {"Mon, 01 Jan 2024 09:00:00 +0900": 1704067200, "Mon, 1 Jan 2024 00:00:00 GMT": 1704067200, "01 Jan 2024 00:00 +0000": 1704067200,
+             "Tue, 01 Jan 2024 00:00:00 GMT": 1704067200, "2024-01-01T09:00:00+09:00": 1704067200, " Mon,  01 Jan 2024 00:00:00 UTC ": 1704067200,
+             "yesterday": None, "": None, None: None, "Mon, 32 Jan 2024 00:00:00 GMT": None, "Mon, 01 Foo 2024 00:00:00 GMT": None}
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(F.unix_timestamp(feed_timestamp("t"))).collect()] == list(texts.values())
+
+
+def test_rater_table_is_typed(spark):
+    from hrlens.sources.registry_csv import read_rater_table
+    d = tempfile.mkdtemp(prefix="hrlens-rater-")
+    with open(os.path.join(d, "r.csv"), "w") as f:
+        f.write("employee_id,rater_id,rating_score,department\n1,7,3.5,Sales\n2,7,NA,R&D\n3,9,4,\n")
+    csv = read_rater_table(spark, d, "csv")
+    assert dict(csv.dtypes) == {"employee_id": "bigint", "rater_id": "bigint", "rating_score": "double", "department": "string"}
+    assert [tuple(r) for r in csv.orderBy("employee_id").collect()] == [(1, 7, 3.5, "Sales"), (2, 7, None, "R&D"), (3, 9, 4.0, None)]
+    p = os.path.join(d, "parquet")
+    spark.createDataFrame([(1, float("nan"), 2.0, "x"), (2, 1.5, None, None)], "id long, `a.b` double, c float, d string").write.parquet(p)
+    assert [tuple(r) for r in read_rater_table(spark, p).orderBy("id").collect()] == [(1, None, 2.0, "x"), (2, 1.5, None, None)]
