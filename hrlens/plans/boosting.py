@@ -18,7 +18,7 @@ from .stats import large_active_df
 
 FEATURES = ["headcount", "year", "joiners", "leavers", "region_code"]
 #: Rounds of the comparison key; the analyses' libraries grow 100 by default.
-COMPARED_ROUNDS = 20
+COMPARED_ROUNDS = 5
 
 
 def boosting_design(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,7 @@ def pay_boosted(spark, sf_dir):
 
 
 #: Trees of the pay forest's key; the analysis grows 100.
-PAY_TREES = 20
+PAY_TREES = 10
 
 
 def pay_forest(spark, sf_dir):
