@@ -8,7 +8,7 @@ With W = [X, y]:  T = Σ W'W over all rows, s_g = Σ_{i∈g} W_i, and
 holds every quantity the REML likelihood needs.  Groups of equal size n share
 the weight θ/(1+nθ), so Spark reduces Σ_{g: n_g=n} s_g s_g' per distinct size
 (a second ``groupBy``); the driver receives one (p+1)² matrix per distinct
-group size — never a row or a group.  The profile REML log-likelihood is
+group size — never a row or a group (but for the one row whose values the sums are taken relative to).  The profile REML log-likelihood is
 
     ℓ(θ) = −½[(N−p)(log 2πσ̂² + 1) + Σ_g log(1+n_gθ) + log|A|],
     A = M_XX, β = A⁻¹M_Xy, σ̂² = (M_yy − β'M_Xy)/(N−p),
@@ -56,21 +56,17 @@ class MixedFit:
         return np.sqrt(np.maximum(np.diag(self.cov), 0.0))
 
 
-def _prep(df: DataFrame, group: str, y: str, xs: list[str],
-          checkpoint: bool = True) -> tuple[DataFrame, dict, int]:
+def _prep(df: DataFrame, group: str, y: str, xs: list[str]) -> tuple[DataFrame, dict]:
+    """The complete rows with their values taken relative to those of one row, and these values."""
     cols = xs + [y]
     d = df.select(group, *[F.col(c).cast("double").alias(c) for c in cols])
     cond = F.col(group).isNotNull()
     for c in cols:
         cond = cond & F.col(c).isNotNull() & ~F.isnan(c)
     d = d.where(cond)
-    if checkpoint:
-        d = materialize(d, repartition=False)
-    m = d.agg(F.count(F.lit(1)).alias("__n"), *[F.avg(c).alias(c) for c in cols]).first()
-    means = {c: float(m[c]) for c in cols}
-    centred = d.select(group, F.lit(1.0).alias("__one"),
-                       *[(F.col(c) - F.lit(means[c])).alias(c) for c in cols])
-    return centred, means, int(m["__n"])
+    one = d.select(*cols).first()
+    shift = {c: float(one[c]) for c in cols} if one else {}
+    return d.select(group, F.lit(1.0).alias("__one"), *[(F.col(c) - F.lit(shift.get(c, 0.0))).alias(c) for c in cols]), shift
 
 
 def _pairs(cols: list[str]) -> list[tuple[int, int]]:
@@ -84,7 +80,18 @@ def _sym(vals, k: int, pairs) -> np.ndarray:
     return m
 
 
-def sufficient_stats(centred: DataFrame, group: str, cols: list[str]):
+def centred_stats(T: np.ndarray, buckets) -> tuple[np.ndarray, list, np.ndarray]:
+    """T and Σ s_g s_g' of the columns taken relative to their means, and these means (0 for the column of ones, the first).
+
+    With s_g1 = n: Σ (s − n m)(s − n m)' = U − n (Σs m' + m Σs') + (number of groups) n² m m', and n Σs is U's first column.
+    """
+    m = T[0] / T[0, 0] if T[0, 0] else np.zeros(len(T))
+    m[0] = 0.0
+    out = [(n, count, U - np.outer(U[:, 0], m) - np.outer(m, U[:, 0]) + count * n * n * np.outer(m, m)) for n, count, U in buckets]
+    return T - np.outer(T[:, 0], m) - np.outer(m, T[:, 0]) + T[0, 0] * np.outer(m, m), out, m
+
+
+def sufficient_stats(shifted: DataFrame, group: str, cols: list[str]):
     """T (k×k), and per distinct group size n: (n, number of groups, Σ s_g s_g').
 
     One pass over the rows: the per-group aggregate carries s_g and the group's
@@ -94,7 +101,7 @@ def sufficient_stats(centred: DataFrame, group: str, cols: list[str]):
     """
     k = len(cols)
     pairs = _pairs(cols)
-    gs = centred.groupBy(group).agg(
+    gs = shifted.groupBy(group).agg(
         F.count(F.lit(1)).alias("n_g"), *[F.sum(c).alias(c) for c in cols],
         *[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"w{i}_{j}") for i, j in pairs])
     gs = materialize(gs, repartition=False)
@@ -147,17 +154,21 @@ def reml_slope(T: np.ndarray, buckets, n_total: int, theta: float) -> float:
 
 
 def fit_random_intercept(df: DataFrame, group: str, y: str, xs: list[str],
-                         term_names: list[str] | None = None,
-                         checkpoint: bool = True) -> tuple[MixedFit, DataFrame]:
+                         term_names: list[str] | None = None) -> tuple[MixedFit, DataFrame]:
     """REML fit; returns the fit and the per-group sums table (for BLUPs).
 
-    ``checkpoint=False`` when the input is already a written table.
+    The rows are read once, by one ``groupBy``: values are summed relative to those of some row, so that little cancels,
+    and the means that follow from the sums centre them afterwards.
     """
-    centred, means, n = _prep(df, group, y, xs, checkpoint)
-    if n == 0:
+    shifted, shift = _prep(df, group, y, xs)
+    if not shift:
         raise ValueError("mixed model: no complete rows")
     cols = ["__one"] + xs + [y]
-    T, buckets, gs = sufficient_stats(centred, group, cols)
+    T, buckets, gs = sufficient_stats(shifted, group, cols)
+    n = int(round(T[0, 0]))
+    T, buckets, m = centred_stats(T, buckets)
+    means = {c: shift[c] + float(v) for c, v in zip(cols[1:], m[1:], strict=True)}
+    gs = gs.select(group, "n_g", F.col("__one"), *[(F.col(c) - F.col("n_g") * float(v)).alias(c) for c, v in zip(cols[1:], m[1:], strict=True)])
     n_groups = sum(c for _, c, _ in buckets)
 
     def ll(u):

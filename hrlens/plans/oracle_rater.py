@@ -79,7 +79,7 @@ def _mixed() -> str:
         # the normal tail past z: exp(-z z / 2) times the integral of exp(-v z - v v / 2)
         "tl AS (SELECT i, exp(-any_value(z * z) / 2) * 2 / sqrt(2 * pi()) * sum(wt * exp(-v * z - v * v / 2)) * 12.0 / 6000 / 3 AS p FROM ("
         "SELECT i, abs(coef / se) AS z, q * 12.0 / 6000 AS v, CASE WHEN q = 0 OR q = 6000 THEN 1 WHEN q % 2 = 1 THEN 4 ELSE 2 END AS wt FROM co, range(6001) r(q)) s GROUP BY i)\n"
-        f"SELECT term, {sig('coef')} AS coef, {sig('se')} AS std_err, {sig('coef / se')} AS z, round(p * 1e12) / 1e12 AS p_value, "
+        f"SELECT term, {sig('coef')} AS coef, {sig('se')} AS std_err, {sig('coef / se')} AS z, round(p * 1e9) / 1e9 AS p_value, "
         f"{sig(f'coef - {Z975} * se')} AS ci_low, {sig(f'coef + {Z975} * se')} AS ci_high FROM co JOIN tl USING (i) "
         f"UNION ALL SELECT 'Group Var', {sig('th * s2')}, NULL, NULL, NULL, NULL, NULL FROM sol")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..functions.clean import round_sig, sig_sql
-from ..operators.stats.design import add_dummies
+from ..operators.stats.design import add_dummies, all_levels
 from ..operators.persist import materialize
 from ..operators.stats.mixed import coef_rows, fit_random_intercept, random_effects
 from ..sources.tables import ratings
@@ -30,8 +30,9 @@ def design_df(raters: DataFrame):
     """Fixed-effect design of the rater model from a complete rater table (FIXTURES A5 columns)."""
     d = raters
     xs, names = [], ["Intercept"]
+    found = all_levels(d, CATEGORICAL)
     for c in CATEGORICAL:
-        d, cols = add_dummies(d, c, drop_first=True, prefix=f"__{c}")
+        d, cols = add_dummies(d, c, drop_first=True, lv=found[c], prefix=f"__{c}")
         xs += cols
         names += [f"C({c})[T.{n[len(c) + 3:]}]" for n in cols]
     xs += NUMERIC
@@ -51,7 +52,7 @@ def fit_rater_model(raters: DataFrame, complete: DataFrame | None = None):
     """
     complete = complete_raters(raters) if complete is None else complete
     d, xs, names = design_df(complete)
-    fit, gs = fit_random_intercept(d, "rater_id", "rating_score", xs, names, checkpoint=False)
+    fit, gs = fit_random_intercept(d, "rater_id", "rating_score", xs, names)
     return d, fit, gs
 
 
@@ -59,7 +60,7 @@ def rater_reports(raters: DataFrame) -> dict:
     """Every rater-bias table for any rater table: mixed, icc, bias, adjusted."""
     spark = raters.sparkSession
     d, fit, gs = fit_rater_model(raters)
-    null_fit, _ = fit_random_intercept(d, "rater_id", "rating_score", [], ["Intercept"], checkpoint=False)
+    null_fit, _ = fit_random_intercept(d, "rater_id", "rating_score", [], ["Intercept"])
     e = random_effects(fit, gs, "rater_id")
     return {"mixed": _mixed_df(spark, fit), "icc": _icc_df(spark, null_fit), "bias": _bias_df(e),
             "adjusted": _adjusted_df(d, e)}
@@ -75,8 +76,8 @@ def full_model(spark, sf_dir):
 
 def _mixed_df(spark, fit):
     t = spark.createDataFrame(coef_rows(fit), COEF_SCHEMA)
-    # a tail far out follows the last digits of z: twelve decimals of it are what the fit fixes
-    return t.select("term", *[(F.round(F.col(c) * 1e12) / 1e12 if c == "p_value" else round_sig(c)).alias(c) for c in t.columns if c != "term"])
+    # a tail far out follows the last digits of z: nine decimals of it are what the fit fixes
+    return t.select("term", *[(F.round(F.col(c) * 1e9) / 1e9 if c == "p_value" else round_sig(c)).alias(c) for c in t.columns if c != "term"])
 
 
 def _icc_df(spark, fit):
@@ -109,8 +110,7 @@ def rater_mixed(spark, sf_dir):
 
 def rater_icc(spark, sf_dir):
     """ICC = τ² / (τ² + σ²) of the intercept-only model."""
-    fit, _ = fit_random_intercept(_complete(spark, sf_dir), "rater_id", "rating_score", [], ["Intercept"],
-                                  checkpoint=False)
+    fit, _ = fit_random_intercept(_complete(spark, sf_dir), "rater_id", "rating_score", [], ["Intercept"])
     return _icc_df(spark, fit)
 
 
