@@ -91,23 +91,34 @@ def test_reml_bucketed_equals_dense(spark):
     for g, m in enumerate(sizes):
         u = rng.normal(0, 0.7)
         for _ in range(m):
-            x = rng.normal()
+            x = rng.normal() + 2000
             y = 1 + 2 * x + u + rng.normal(0, 1)
             rows.append((g, float(x), float(y)))
             g_all.append(g), x_all.append(x), y_all.append(y)
     df = spark.createDataFrame(rows, "g int, x double, y double")
-    centred, means, n = mixed._prep(df, "g", "y", ["x"])
-    T, buckets, _ = mixed.sufficient_stats(centred, "g", ["__one", "x", "y"])
-    Xc = np.column_stack([np.ones(n), np.array(x_all) - means["x"]])
-    yc = np.array(y_all) - means["y"]
+    n = len(y_all)
+    shifted, shift = mixed._prep(df, "g", "y", ["x"])
+    T, buckets, _ = mixed.sufficient_stats(shifted, "g", ["__one", "x", "y"])
+    T, buckets, m = mixed.centred_stats(T, buckets)
+    assert shift["x"] + m[1] == pytest.approx(np.mean(x_all)) and shift["y"] + m[2] == pytest.approx(np.mean(y_all))
+    Xc = np.column_stack([np.ones(n), np.array(x_all) - np.mean(x_all)])
+    yc = np.array(y_all) - np.mean(y_all)
+    assert np.allclose(T, np.column_stack([Xc, yc]).T @ np.column_stack([Xc, yc]))
     for theta in (0.0, 0.5, 2.6):
         ll_b = mixed.reml_profile(T, buckets, n, theta)[0]
         ll_d = _dense_reml(Xc, yc, np.array(g_all), theta)[0]
         assert ll_b == pytest.approx(ll_d, rel=1e-10)
+        step = 1e-6 * (1 + theta)
+        if theta:
+            up, down = (mixed.reml_profile(T, buckets, n, theta + s)[0] for s in (step, -step))
+            assert mixed.reml_slope(T, buckets, n, theta) == pytest.approx((up - down) / (2 * step), rel=1e-4, abs=1e-6)
     fit, gs = mixed.fit_random_intercept(df, "g", "y", ["x"])
     assert fit.beta[1] == pytest.approx(2.0, abs=0.5)
     blups = {r["g"]: r["random_effect"] for r in mixed.random_effects(fit, gs, "g").collect()}
     assert len(blups) == len(sizes)
+    assert abs(mixed.reml_slope(T, buckets, n, fit.theta)) < 1e-6
+    with pytest.raises(ValueError):
+        mixed.fit_random_intercept(df.where("g > 99"), "g", "y", ["x"])
 
 
 def test_tukey_single_group_has_no_pairs(spark):
