@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import tempfile
 
+from hrlens.plans import catalog
 from hrlens.functions.sql_functions import register_sql_functions
 from hrlens.plans.registry import closures_by_month_df
 from hrlens.sources.files import list_images
@@ -48,5 +49,5 @@ def test_cli_lists_keys_and_rejects_unknown(capsys):
     from hrlens.__main__ import main
     assert main(["--list"]) == 0
     lines = capsys.readouterr().out.strip().splitlines()
-    assert len(lines) == 60 and lines[0].startswith("pay_topk_large")
+    assert len(lines) == len(catalog.queries()) and lines[0].startswith("pay_topk_large")
     assert main(["no_such_key"]) == 2
