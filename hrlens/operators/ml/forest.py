@@ -33,6 +33,8 @@ GROUP_ROWS = 20_000
 BINS = 64
 #: Trees whose sums one task holds at a time.
 TREES_TOGETHER = 8
+#: Rows times trees that one task sends to their nodes: a small file is one partition, whatever the number of trees.
+ROUTED_ROWS = 200_000
 SUBTREE = "tree int, node int, feature array<int>, cut array<double>, left array<int>, right array<int>, value array<array<double>>, gain array<double>"
 
 
@@ -76,51 +78,96 @@ def side_scores(s: np.ndarray, w: np.ndarray) -> np.ndarray:
         return (ls * ls).sum(axis=1) / lw + (rs * rs).sum(axis=1) / rw
 
 
+def _cuts(x: np.ndarray, rank: np.ndarray, s: np.ndarray, w: np.ndarray, seg: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Best score (-inf: no cut) and cut of one feature in each of n nodes; ``seg`` is the node of each row, ``rank`` its value's."""
+    order = np.argsort(seg * (int(rank.max()) + 1) + rank)
+    v, g = x[order], seg[order]
+    first = np.searchsorted(g, np.arange(n))
+    last = np.append(first[1:], len(g)) - 1
+    best, cut = np.full(n, -np.inf), np.zeros(n)
+    # a missing value sorts last and compares false: it stays right
+    ends = np.flatnonzero((g[:-1] == g[1:]) & ((v[:-1] < v[1:]) | ~np.isnan(v[:-1]) & np.isnan(v[1:])))
+    if not len(ends):
+        return best, cut
+    of = g[ends]
+    cw = np.cumsum(w[order])
+    before = np.where(first > 0, cw[first - 1], 0.0)
+    lw, rw = cw[ends] - before[of], cw[last][of] - cw[ends]
+    ll, rr = np.zeros(len(ends)), np.zeros(len(ends))
+    for q in range(s.shape[1]):
+        c = np.cumsum(s[order, q])
+        before = np.where(first > 0, c[first - 1], 0.0)
+        ll += (c[ends] - before[of]) ** 2
+        rr += (c[last][of] - c[ends]) ** 2
+    score = ll / lw + rr / rw
+    start = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+    most = np.maximum.reduceat(score, start)
+    at = np.flatnonzero(score == np.repeat(most, np.diff(np.append(start, len(of)))))
+    nodes, where = np.unique(of[at], return_index=True)  # the first of equal scores
+    i = ends[at[where]]
+    with np.errstate(invalid="ignore"):
+        middle = v[i] + (v[i + 1] - v[i]) / 2
+    best[nodes], cut[nodes] = most, np.where(np.isnan(v[i + 1]) | ~(middle < v[i + 1]), v[i], middle)
+    return best, cut
+
+
 def grow_exact(x: np.ndarray, s: np.ndarray, w: np.ndarray, tried: int, rng: np.random.Generator) -> dict:
-    """A tree on the rows of one group, split until leaves are pure; ``s`` are label sums (label times weight)."""
+    """A tree on the rows of one group, split until leaves are pure; ``s`` are label sums (label times weight).
+
+    Grown level by level, all open nodes of a level at once: a node tries its features in its own random order.
+    """
     label = s / w[:, None]
-    out: dict[str, list] = {k: [] for k in ("feature", "cut", "left", "right", "value")}
-    gains = np.zeros(x.shape[1])
-
-    def new(rows: np.ndarray) -> int:
-        out["feature"].append(-1)
-        out["cut"].append(0.0)
-        out["left"].append(-1)
-        out["right"].append(-1)
-        out["value"].append((s[rows].sum(axis=0) / w[rows].sum()).tolist())
-        return len(out["feature"]) - 1
-    todo = [(new(np.arange(len(x))), np.arange(len(x)))]
-    while todo:
-        node, rows = todo.pop()
-        if len(rows) < 2 or (label[rows] == label[rows[0]]).all():
-            continue
-        best = None
-        for k, f in enumerate(rng.permutation(x.shape[1])):
-            if k >= tried and best:
+    k = x.shape[1]
+    ranks = np.column_stack([np.unique(x[:, j], return_inverse=True)[1] for j in range(k)])  # a missing value last
+    gains = np.zeros(k)
+    feature, cut, left, right = (np.full(2 * len(x) + 1, v) for v in (-1, 0.0, -1, -1))
+    value = np.zeros((2 * len(x) + 1, s.shape[1]))
+    value[0] = s.sum(axis=0) / w.sum()
+    size = 1
+    rows, seg, nodes = np.arange(len(x)), np.zeros(len(x), np.int64), np.zeros(1, np.int64)  # open rows, by place in nodes
+    while len(nodes):
+        first = np.searchsorted(seg, np.arange(len(nodes)))
+        other = (label[rows] != label[rows[first]][seg]).any(axis=1)
+        mixed = np.bincount(seg, other, len(nodes)) > 0
+        keep = mixed[seg]
+        rows, seg, nodes = rows[keep], (np.cumsum(mixed) - 1)[seg[keep]], nodes[mixed]
+        n = len(nodes)
+        if not n:
+            break
+        order = rng.permuted(np.tile(np.arange(k), (n, 1)), axis=1)
+        best, best_cut, best_f = np.full(n, -np.inf), np.zeros(n), np.full(n, -1)
+        for rank in range(k):
+            wanted = best_f < 0 if rank >= tried else np.ones(n, bool)
+            if not wanted.any():
                 break
-            order = rows[np.argsort(x[rows, f], kind="stable")]
-            v = x[order, f]
-            ends = np.flatnonzero(v[:-1] < v[1:])  # a missing value sorts last and compares false: it stays right
-            if len(ends) == 0 and not (np.isnan(v[-1]) and not np.isnan(v[0])):
-                continue
-            if np.isnan(v[-1]) and not np.isnan(v[0]):
-                ends = np.append(ends, np.count_nonzero(~np.isnan(v)) - 1)
-            score = side_scores(s[order], w[order])[ends]
-            k = int(np.argmax(score))
-            if best is None or score[k] > best[0]:
-                i = ends[k]
-                middle = v[i] if np.isnan(v[i + 1]) else v[i] + (v[i + 1] - v[i]) / 2
-                best = (score[k], f, middle if np.isnan(v[i + 1]) or middle < v[i + 1] else v[i])
-        if best is None:
-            continue
-        score, f, cut = best
-        left = x[rows, f] <= cut
-        total = s[rows].sum(axis=0)
-        gains[f] += score - (total * total).sum() / w[rows].sum()
-        a, b = new(rows[left]), new(rows[~left])
-        out["feature"][node], out["cut"][node], out["left"][node], out["right"][node] = int(f), float(cut), a, b
-        todo += [(a, rows[left]), (b, rows[~left])]
-    return out | {"gain": gains.tolist()}
+            place = np.cumsum(wanted) - 1
+            chosen = wanted[seg]
+            r, g = rows[chosen], place[seg[chosen]]
+            f = order[wanted, rank]
+            found, at = _cuts(x[r, f[g]], ranks[r, f[g]], s[r], w[r], g, len(f))
+            which = np.flatnonzero(wanted)
+            better = found > best[which]
+            best[which[better]], best_cut[which[better]], best_f[which[better]] = found[better], at[better], f[better]
+        splits = best_f >= 0
+        keep = splits[seg]
+        rows, seg = rows[keep], (np.cumsum(splits) - 1)[seg[keep]]
+        nodes, best, best_cut, best_f = nodes[splits], best[splits], best_cut[splits], best_f[splits]
+        n = len(nodes)
+        if not n:
+            break
+        total = np.column_stack([np.bincount(seg, s[rows, q], n) for q in range(s.shape[1])])
+        weight = np.bincount(seg, w[rows], n)
+        np.add.at(gains, best_f, best - (total * total).sum(axis=1) / weight)
+        feature[nodes], cut[nodes] = best_f, best_cut
+        left[nodes], right[nodes] = size + 2 * np.arange(n), size + 2 * np.arange(n) + 1
+        child = 2 * seg + ~(x[rows, best_f[seg]] <= best_cut[seg])
+        sums = np.column_stack([np.bincount(child, s[rows, q], 2 * n) for q in range(s.shape[1])])
+        value[size:size + 2 * n] = sums / np.bincount(child, w[rows], 2 * n)[:, None]
+        by = np.argsort(child, kind="stable")
+        rows, seg, nodes = rows[by], child[by], size + np.arange(2 * n)
+        size += 2 * n
+    return {"feature": feature[:size].tolist(), "cut": cut[:size].tolist(), "left": left[:size].tolist(), "right": right[:size].tolist(),
+            "value": value[:size].tolist(), "gain": gains.tolist()}
 
 
 @dataclass
@@ -147,6 +194,11 @@ def _units(y: np.ndarray, n_classes: int) -> np.ndarray:
     return y[:, None] if not n_classes else np.eye(n_classes)[y.astype(np.int64)]
 
 
+def _dealt(rows: DataFrame, n: int, trees: int) -> DataFrame:
+    """The rows, written in partitions of at most some ROUTED_ROWS rows times trees."""
+    return materialize(rows.repartition(max(1, math.ceil(n * trees / ROUTED_ROWS))), repartition=False)
+
+
 def _routed(rows: DataFrame, k: int, tops: list[Top], trees: list[int], seed: int | None, wanted: dict[int, list[int]] | None = None) -> DataFrame:
     """tree, node, row, w, y and the features of every row in every tree, where w > 0 and the node is wanted (None: all)."""
     a, b = constants(max(trees) + 1, seed or 0)
@@ -247,8 +299,9 @@ def fit(df: DataFrame, features: list[str], label: str, classes: list | None = N
     rows = df.select(F.monotonically_increasing_id().alias("row"), code.alias("y"), *[F.col(f"`{f}`").cast("double").alias(f"f{j}") for j, f in enumerate(features)])
     rows = rows.where(F.col("y").isNotNull() & ~F.isnan("y"))
     # a row's draw comes from its values and its number, which tells equal rows apart
-    rows = materialize(rows.withColumn("k", F.pmod(F.xxhash64("y", *[f"f{j}" for j in range(k)], F.lit(1)) + F.col("row"), F.lit(PRIME))), repartition=False)
+    rows = rows.withColumn("k", F.pmod(F.xxhash64("y", *[f"f{j}" for j in range(k)], F.lit(1)) + F.col("row"), F.lit(PRIME)))
     n = rows.count()
+    rows = _dealt(rows, n, trees)
     tops = [Top(rows=[n]) for _ in range(trees)]
     n_classes = len(classes) if classes is not None else 0
     for i in range(0, trees, TREES_TOGETHER):
@@ -274,8 +327,8 @@ def predict(forest: Forest, df: DataFrame, key: str, output: str = "prediction")
     ``key`` identifies a row; it must be unique and not NULL.
     """
     k, width = len(forest.features), len(forest.classes) if forest.classes is not None else 1
-    rows = materialize(df.select(F.col(f"`{key}`").alias("key"), F.monotonically_increasing_id().alias("row"), F.lit(0).cast("long").alias("k"), F.lit(0.0).alias("y"),
-                                 *[F.col(f"`{f}`").cast("double").alias(f"f{j}") for j, f in enumerate(forest.features)]), repartition=False)
+    rows = _dealt(df.select(F.col(f"`{key}`").alias("key"), F.monotonically_increasing_id().alias("row"), F.lit(0).cast("long").alias("k"), F.lit(0.0).alias("y"),
+                                 *[F.col(f"`{f}`").cast("double").alias(f"f{j}") for j, f in enumerate(forest.features)]), df.count(), len(forest.tops))
     values = [f"v{q}" for q in range(width)]
     schema = "row long, " + ", ".join(f"{v} double" for v in values)
     at = _routed(rows.drop("key"), k, forest.tops, list(range(len(forest.tops))), None)

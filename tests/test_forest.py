@@ -129,3 +129,23 @@ def test_missing_values_and_edges(spark):
     assert set(predicted(model, df).values()) == {None} and model.importances() == [0.0]
     unlabelled = forest.fit(df.withColumn("y", F.when(F.col("id") > 3, F.col("y"))), ["f0"], "y", trees=3)
     assert forest.predict(unlabelled, none, "id").count() == 0
+
+
+def test_growth_is_by_levels_and_rows_are_dealt(spark):
+    """A group costs numpy steps a level, not a node; a one-partition table is spread over tasks by rows times trees."""
+    class Counting:
+        def __init__(self):
+            self.rng, self.drawn = np.random.default_rng(1), 0
+
+        def __getattr__(self, name):
+            self.drawn += 1
+            return getattr(self.rng, name)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 4)).round(3)
+    x[rng.random(3000) < 0.1, 2] = np.nan
+    y, w, draws = x[:, 0] + rng.normal(size=3000), rng.integers(1, 4, 3000).astype(float), Counting()
+    tree = forest.grow_exact(x, (y * w)[:, None], w, 4, draws)
+    assert draws.drawn < 100 < len(tree["feature"])
+    at = forest.descend(tree["feature"], tree["cut"], tree["left"], tree["right"], x)
+    assert np.array(tree["value"])[at][:, 0] == pytest.approx(y)
+    assert forest._dealt(spark.range(1000, numPartitions=1), 1000, 400).rdd.getNumPartitions() == 2
