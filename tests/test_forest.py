@@ -149,3 +149,18 @@ def test_growth_is_by_levels_and_rows_are_dealt(spark):
     at = forest.descend(tree["feature"], tree["cut"], tree["left"], tree["right"], x)
     assert np.array(tree["value"])[at][:, 0] == pytest.approx(y)
     assert forest._dealt(spark.range(1000, numPartitions=1), 1000, 400).rdd.getNumPartitions() == 2
+
+
+def test_activity_rows_that_repeat(spark, tmp_path):
+    """Every held-out row is classified, also where vec_id repeats; no tree is cut at a depth."""
+    from hrlens.plans import ml
+    rng = np.random.default_rng(6)
+    rows = [(i // 2, i % 3, [float(i % 3) + float(v) / 9 for v in rng.normal(size=4)]) for i in range(300)]
+    spark.createDataFrame(rows, "vec_id long, label int, embedding array<float>").coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    out = ml.activity_rf(spark, str(tmp_path)).collect()
+    held_out = ml._activity(spark, str(tmp_path))["predict"].count()
+    assert len(out) == held_out and len({r["vec_id"] for r in out}) * 2 == held_out
+    assert np.mean([r["label"] == r["predicted_label"] for r in out]) > 0.9
+    share = ml.activity_importance(spark, str(tmp_path)).collect()
+    assert len(share) == 4 and sum(r["importance"] for r in share) == pytest.approx(1)
+    assert isinstance(ml._activity(spark, str(tmp_path))["model"], forest.Forest)
