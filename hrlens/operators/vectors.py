@@ -8,8 +8,9 @@ cells: a person belongs to its nearest pivot and keeps its distance from it.  Ce
 distance, into chunks of bounded size.  A target first searches the chunks of its own nearest cell.  The similarity found
 there limits how far a better person may be; by the triangle inequality a person at distance r from a pivot is no
 nearer to the target than |D - r|, D being the target's distance from the pivot.  So only cells, and of these only
-chunks, whose range of r reaches into the limit are searched then: a keyed join with a range condition.  Within a
-chunk the best person is found by folding over its array, so no (target, person) pair is a row.
+chunks, whose range of r reaches into the limit are searched then: a keyed join with a range condition.  A chunk and the
+targets that meet it are one product of matrices; persons within rounding of the best are then compared by the sum in
+order, so the similarity is that of folding over the arrays.  No (target, person) pair is a row.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ MAX_PIVOTS = 256
 CHUNK_PERSONS, CHUNK_VALUES = 512, 1 << 18
 #: Of distances: more than their rounding.
 SLACK = 1e-6
+#: Targets that meet a chunk in one group, and targets multiplied at once.
+GROUP_TARGETS, STEP = 8192, 1024
 
 
 def as_double_array(c: Column) -> Column:
@@ -125,7 +128,28 @@ def _chunks(cent: DataFrame, pivots: np.ndarray, dim: int) -> DataFrame:
 
 def _meet(visits: DataFrame, chunks: DataFrame) -> DataFrame:
     """The chunks of the visited cells whose distances from the pivot lie between near and far."""
-    return visits.join(chunks, (visits["cell"] == chunks["cell"]) & (F.col("lo") <= F.col("far")) & (F.col("hi") >= F.col("near")))
+    return visits.join(chunks, "cell").where((F.col("lo") <= F.col("far")) & (F.col("hi") >= F.col("near")))
+
+
+def _plain(v: Column, dim: int) -> Column:
+    """A vector of the full length without missing or huge numbers."""
+    return (F.size(v) == dim) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 1e150))
+
+
+def best_in_chunk(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of x the first row of y with the largest product, summed in the order of the numbers, and that product."""
+    place, best = np.zeros(len(x), np.int64), np.zeros(len(x))
+    error = 1e-14 * (x.shape[1] + 1) * np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1).max())
+    for a in range(0, len(x), STEP):
+        near = x[a:a + STEP] @ y.T
+        i, j = np.nonzero(near >= (near.max(axis=1) - error[a:a + STEP])[:, None])
+        s = np.zeros(len(i))
+        for k in range(x.shape[1]):
+            s += x[a + i, k] * y[j, k]
+        order = np.lexsort((j, -s, i))
+        first = order[np.searchsorted(i[order], np.arange(len(near)))]
+        place[a:a + STEP], best[a:a + STEP] = j[first], s[first]
+    return place, best
 
 
 def nearest_centroid(targets: DataFrame, id_col: str, vec: str, cent: DataFrame,
@@ -144,7 +168,10 @@ def nearest_centroid(targets: DataFrame, id_col: str, vec: str, cent: DataFrame,
     wanted = n_pivots or min(MAX_PIVOTS, max(1, math.isqrt(n)))
     drawn = cent.orderBy(F.xxhash64(F.col("person").cast("string")), "person").limit(wanted).collect()  # at most MAX_PIVOTS
     pivots = _matrix([r["centroid"] for r in drawn], dim) if drawn else np.zeros((1, dim))
-    chunks = materialize(_chunks(cent, pivots, dim), repartition=False)
+    chunks = materialize(_chunks(cent, pivots, dim).select(
+        "*", F.monotonically_increasing_id().alias("chunk"), F.forall("gallery", lambda g: _plain(g["centroid"], dim)).alias("plain")), repartition=False)
+    seen = t.agg(F.count(F.lit(1)), F.min(_plain(F.col("t"), dim))).first()
+    salts, odd = max(1, -(-seen[0] // GROUP_TARGETS)), seen[1] is False or chunks.agg(F.min("plain")).first()[0] is False
     cells = {r["cell"]: r for r in chunks.groupBy("cell").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("norm").alias("norm")).collect()}
     own = np.array(sorted(cells), np.int64)  # a row a pivot at most
     lo, hi, norm = (np.array([cells[c][k] for c in own], np.float64) for k in ("lo", "hi", "norm"))
@@ -179,8 +206,27 @@ def nearest_centroid(targets: DataFrame, id_col: str, vec: str, cent: DataFrame,
                            lambda s: F.when(s > acc["sim"], F.struct(g["person"].cast("string").alias("person"),
                                                                      s.alias("sim"))).otherwise(acc))
 
+    def search(there: pd.DataFrame, chunk: pd.DataFrame) -> pd.DataFrame:
+        if there.empty or chunk.empty:
+            return pd.DataFrame(columns=["row", "person", "sim"])
+        place, sim = best_in_chunk(np.stack(there["t"]), np.stack(chunk["centroids"].iloc[0]))
+        better = sim > -1.0
+        person = np.where(better, np.asarray(chunk["persons"].iloc[0], object)[place], None)
+        return pd.DataFrame({"row": there["row"].to_numpy(), "person": person, "sim": np.where(better, sim, -1.0)})
+
     def best_of(found: DataFrame) -> DataFrame:
-        return _meet(found, chunks).select("row", F.aggregate("gallery", init, step).alias("b"))
+        met = _meet(found.withColumn("whole", _plain(F.col("t"), dim)), chunks)
+        at = met.where(F.col("whole") & F.col("plain")).select("row", "t", "chunk", F.pmod(F.xxhash64("row"), F.lit(salts)).alias("salt"))
+        usual = chunks.where("plain")
+        dealt = usual.select(F.col("chunk").alias("of_chunk"), F.transform("gallery", lambda g: g["person"].cast("string")).alias("persons"),
+                             F.transform("gallery", lambda g: g["centroid"]).alias("centroids"),
+                             F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))).alias("of_salt"))
+        usual = at.groupBy("chunk", "salt").cogroup(dealt.groupBy("of_chunk", "of_salt")).applyInPandas(search, "row long, person string, sim double")
+        usual = usual.select("row", F.struct("person", "sim").alias("b"))
+        if not odd:
+            return usual
+        # vectors with missing numbers or of another length: folded one by one
+        return usual.unionByName(met.where(~(F.col("whole") & F.col("plain"))).select("row", F.aggregate("gallery", init, step).alias("b")))
     # smallest (−sim, has_no_person, person): best similarity, then first person
     key = F.struct((-F.col("b.sim")).alias("neg_sim"), F.col("b.person").isNull().alias("none"), F.col("b.person").alias("person"))
     there = t.where(F.col("t").isNotNull()).select("row", "t")

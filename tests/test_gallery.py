@@ -63,3 +63,24 @@ def test_edges(spark):
     assert vectors.nearest_centroid(t.limit(0), "id", "v", cent, 0.35).collect() == []
     twice = t.union(t)
     assert vectors.nearest_centroid(twice, "id", "v", cent, 0.35).where("best_person = 'p0000'").count() == 4
+
+
+def test_chunk_search_is_a_product(spark):
+    """The product finds the person that the sum in order finds, ties to the first; odd vectors still go by folding."""
+    rng = np.random.default_rng(7)
+    y = unit(rng.normal(size=(40, 9)))
+    y[20:30] = y[3]
+    x = np.concatenate([unit(rng.normal(size=(3000, 9))), y])
+    place, best = vectors.best_in_chunk(x, y)
+    for i in [*range(0, 3000, 97), *range(3000, 3040)]:
+        sums = []
+        for g in y:
+            s = 0.0
+            for a, b in zip(x[i], g):
+                s += a * b
+            sums.append(s)
+        assert best[i] == max(sums) and place[i] == sums.index(max(sums))
+    cent = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 1.0]), ("c", [1.0]), ("d", [None, 5.0])], "person string, centroid array<double>")
+    t = spark.createDataFrame([(1, [2.0, 0.0]), (2, [0.0, 3.0]), (3, [4.0]), (4, [None, 1.0])], "id long, v array<double>")
+    got = {r["id"]: (r["best_person"], r["best_sim"]) for r in vectors.nearest_centroid(t, "id", "v", cent, 0.35, n_pivots=1).collect()}
+    assert got == {1: ("a", 1.0), 2: ("b", 1.0), 3: ("c", 1.0), 4: (None, -1.0)}
