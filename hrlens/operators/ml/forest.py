@@ -35,7 +35,7 @@ BINS = 64
 TREES_TOGETHER = 8
 #: Rows times trees that one task sends to their nodes: a small file is one partition, whatever the number of trees.
 ROUTED_ROWS = 200_000
-SUBTREE = "tree int, node int, feature array<int>, cut array<double>, left array<int>, right array<int>, value array<array<double>>, gain array<double>"
+SUBTREE = "tree int, node int, feature array<int>, cut array<double>, left array<int>, right array<int>, value array<array<double>>, gain array<double>, cover array<double>"
 
 
 @dataclass
@@ -47,10 +47,12 @@ class Top:
     right: list[int] = field(default_factory=lambda: [-1])
     value: list = field(default_factory=lambda: [None])
     rows: list[int] = field(default_factory=lambda: [0])
+    cover: list[float] = field(default_factory=lambda: [0.0])     # weight of the rows; the root's once it is split
     gain: dict[int, float] = field(default_factory=dict)
 
-    def add(self, rows: int) -> int:
-        for column, v in ((self.feature, -1), (self.cut, 0.0), (self.left, -1), (self.right, -1), (self.value, None), (self.rows, rows)):
+    def add(self, rows: int, cover: float = 0.0) -> int:
+        for column, v in ((self.feature, -1), (self.cut, 0.0), (self.left, -1), (self.right, -1), (self.value, None), (self.rows, rows),
+                          (self.cover, cover)):
             column.append(v)
         return len(self.feature) - 1
 
@@ -123,6 +125,8 @@ def grow_exact(x: np.ndarray, s: np.ndarray, w: np.ndarray, tried: int, rng: np.
     feature, cut, left, right = (np.full(2 * len(x) + 1, v) for v in (-1, 0.0, -1, -1))
     value = np.zeros((2 * len(x) + 1, s.shape[1]))
     value[0] = s.sum(axis=0) / w.sum()
+    cover = np.zeros(2 * len(x) + 1)
+    cover[0] = w.sum()
     size = 1
     rows, seg, nodes = np.arange(len(x)), np.zeros(len(x), np.int64), np.zeros(1, np.int64)  # open rows, by place in nodes
     while len(nodes):
@@ -162,12 +166,13 @@ def grow_exact(x: np.ndarray, s: np.ndarray, w: np.ndarray, tried: int, rng: np.
         left[nodes], right[nodes] = size + 2 * np.arange(n), size + 2 * np.arange(n) + 1
         child = 2 * seg + ~(x[rows, best_f[seg]] <= best_cut[seg])
         sums = np.column_stack([np.bincount(child, s[rows, q], 2 * n) for q in range(s.shape[1])])
-        value[size:size + 2 * n] = sums / np.bincount(child, w[rows], 2 * n)[:, None]
+        cover[size:size + 2 * n] = np.bincount(child, w[rows], 2 * n)
+        value[size:size + 2 * n] = sums / cover[size:size + 2 * n, None]
         by = np.argsort(child, kind="stable")
         rows, seg, nodes = rows[by], child[by], size + np.arange(2 * n)
         size += 2 * n
     return {"feature": feature[:size].tolist(), "cut": cut[:size].tolist(), "left": left[:size].tolist(), "right": right[:size].tolist(),
-            "value": value[:size].tolist(), "gain": gains.tolist()}
+            "value": value[:size].tolist(), "gain": gains.tolist(), "cover": cover[:size].tolist()}
 
 
 @dataclass
@@ -264,7 +269,7 @@ def _split_large(rows: DataFrame, k: int, tops: list[Top], trees: list[int], see
     for (t, node), h in hist.items():
         top, best = tops[t], None
         total = h[0].sum(axis=0)
-        top.rows[node] = int(total[0])
+        top.rows[node], top.cover[node] = int(total[0]), float(total[1])
         if total[0] <= most:
             continue
         for i, f in enumerate(np.random.default_rng([seed or 0, t, node]).permutation(k)):
@@ -274,13 +279,13 @@ def _split_large(rows: DataFrame, k: int, tops: list[Top], trees: list[int], see
             score = np.where((n_left > 0) & (n_left < total[0]), side_scores(h[f, :, 2:], h[f, :, 1]), -np.inf)
             c = int(np.argmax(score))
             if np.isfinite(score[c]) and (best is None or score[c] > best[0]):
-                best = (float(score[c]), int(f), c, int(n_left[c]))
+                best = (float(score[c]), int(f), c, int(n_left[c]), float(h[f, :c + 1, 1].sum()))
         if best is None:
             top.value[node] = (total[2:] / total[1]).tolist()
             continue
-        score, f, c, n_left = best
+        score, f, c, n_left, w_left = best
         top.feature[node], top.cut[node] = f, float(cuts[t, node][f][c])
-        top.left[node], top.right[node] = top.add(n_left), top.add(int(total[0]) - n_left)
+        top.left[node], top.right[node] = top.add(n_left, w_left), top.add(int(total[0]) - n_left, float(total[1]) - w_left)
         top.gain[f] = top.gain.get(f, 0.0) + score - float((total[2:] ** 2).sum() / total[1])
     return True
 
@@ -336,7 +341,7 @@ def predict(forest: Forest, df: DataFrame, key: str, output: str = "prediction")
     most = at.groupBy("tree", "node").count().agg(F.max("count")).first()[0] or 0
     salts = max(1, -(-2 * most // forest.group_rows))
     at = at.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts)).cast("int"))
-    subtrees = forest.subtrees.drop("gain").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    subtrees = forest.subtrees.drop("gain", "cover").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
     def score(rows_: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
         if rows_.empty:
