@@ -1,9 +1,10 @@
 """Second-order gradient boosting from distributed histograms.
 
 Features are cut into bins at quantiles (mergeable sketches, one aggregate for all features) and the binned rows are
-written once.  A tree needs, of each node, the sums of gradient and hessian by (feature, bin); Spark makes them with a
-``groupBy`` over the rows of the nodes in question, combined on the map side, and the driver holds only these sums
-(nodes x features x bins).  Of two siblings the smaller one is summed, the other is parent minus sibling.
+written once, rows of equal bins as one cell with their number and sum of labels: they share every node and score.  A
+tree needs, of each node, the sums of gradient and hessian by (feature, bin).  Each task adds up those of its cells in
+the nodes in question, Spark adds up the tasks', and the driver holds only these sums (nodes x features x bins).  Of two
+siblings the smaller one is summed, the other is parent minus sibling.
 
 A split's gain is Newton's: ``GL^2 / (HL + l2) + GR^2 / (HR + l2) - G^2 / (H + l2)``, a leaf's value ``-G / (H + l2)``.
 Nodes are split best gain first, up to ``max_leaves`` and ``max_depth``: with a bound on leaves trees grow leaf-wise,
@@ -11,7 +12,7 @@ with a bound on depth only they grow depth-wise.  The children of all nodes that
 job, so a tree takes about as many jobs as it is deep, though it is grown one leaf at a time.
 
 Missing values have a bin of their own and go to the side with the larger gain.  Ties of gain (to nine digits) go to
-the lower node, feature and bin.  After each tree the rows' scores are written as the next round's table.
+the lower node, feature and bin.  After each tree the cells' scores are written as the next round's table.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..persist import Rounds
@@ -126,36 +128,76 @@ def binned(df: DataFrame, features: list[str], cuts: list[np.ndarray], label: st
     return rows.mapInPandas(run, "label double, bins array<smallint>")
 
 
-def derivatives(loss: str) -> tuple[Column, Column]:
-    """Gradient and hessian of a row's loss at its score."""
+def cells(rows: DataFrame) -> DataFrame:
+    """Rows of label and bins, with those of equal bins as one: bins, n, and label as their sum."""
+    return rows.groupBy("bins").agg(F.sum("label").alias("label"), F.count(F.lit(1)).alias("n"))
+
+
+def derivatives(loss: str, score: np.ndarray, label: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and hessian of the loss of n rows at their score; ``label`` is the sum of theirs."""
     if loss == "squared":
-        return F.col("score") - F.col("label"), F.lit(1.0)
+        return n * score - label, n.astype(np.float64)
     if loss == "logistic":
-        p = 1 / (1 + F.exp(-F.col("score")))
-        return p - F.col("label"), p * (1 - p)
+        p = 1 / (1 + np.exp(-score))
+        return n * p - label, n * p * (1 - p)
     raise ValueError(f"unknown loss {loss!r}")
 
 
-def node_of(nodes: list[Node], i: int = 0) -> Column:
-    """Number of the node that a row has come to."""
-    node = nodes[i]
-    if node.left < 0:
-        return F.lit(i)
-    b = F.col("bins")[node.feature]
-    left = (b <= node.bin) if node.missing_left else (b <= node.bin) & (b > 0)
-    return F.when(left, node_of(nodes, node.left)).otherwise(node_of(nodes, node.right))
+def place(nodes: list[Node], bins: np.ndarray) -> np.ndarray:
+    """Number of the node that each row of bins has come to."""
+    left, right, feature, cut, missing = (np.array([getattr(n, a) for n in nodes]) for a in ("left", "right", "feature", "bin", "missing_left"))
+    at = np.zeros(len(bins), np.int64)
+    going = np.flatnonzero(left[at] >= 0)
+    while len(going):
+        node = at[going]
+        b = bins[going, feature[node]]
+        at[going] = np.where((b <= cut[node]) & ((b > 0) | missing[node]), left[node], right[node])
+        going = going[left[at[going]] >= 0]
+    return at
+
+
+def rescored(rows: DataFrame, nodes: list[Node], rate: float) -> DataFrame:
+    """The cells with a tree's values added to their scores."""
+    value = np.array([rate * n.value for n in nodes])
+    names = rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bins = batch.column("bins")
+            score = batch.column("score").to_numpy() + value[place(nodes, bins.flatten().to_numpy().reshape(len(bins), -1))]
+            yield pa.RecordBatch.from_arrays([pa.array(score) if c == "score" else batch.column(c) for c in names], names=names)
+    return rows.mapInArrow(run, rows.schema)
 
 
 def histograms(rows: DataFrame, nodes: list[Node], wanted: list[int], shape: tuple[int, int], loss: str) -> dict[int, np.ndarray]:
-    """Sums of gradient, hessian and rows by (feature, bin) of the wanted nodes."""
-    g, h = derivatives(loss)
-    at = rows.select(node_of(nodes).alias("node"), g.alias("g"), h.alias("h"), "bins").where(F.col("node").isin(wanted))
-    cells = at.select("node", "g", "h", F.posexplode("bins").alias("feature", "bin")).groupBy("node", "feature", "bin").agg(
-        F.sum("g").alias("g"), F.sum("h").alias("h"), F.count(F.lit(1)).alias("n"))
-    out = {i: np.zeros((*shape, 3)) for i in wanted}
-    for r in cells.collect():  # at most wanted nodes x features x bins
-        out[r["node"]][r["feature"], r["bin"]] = r["g"], r["h"], r["n"]
-    return out
+    """Sums of gradient, hessian and rows by (feature, bin) of the wanted nodes; ``rows`` without n are single rows."""
+    k, width = shape
+    bare = [Node(0, 0, 0.0, feature=n.feature, bin=n.bin, missing_left=n.missing_left, left=n.left, right=n.right) for n in nodes]
+    slot = np.full(len(nodes), -1)
+    slot[wanted] = np.arange(len(wanted))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((3, len(wanted) * k * width))
+        for batch in batches:
+            bins = batch.column("bins").flatten().to_numpy().reshape(-1, k)
+            at = slot[place(bare, bins)]
+            keep = at >= 0
+            bins, at, (score, label, n) = bins[keep], at[keep], (batch.column(c).to_numpy()[keep] for c in ("score", "label", "n"))
+            g, h = derivatives(loss, score, label, n)
+            cell = (at[:, None] * k + np.arange(k)) * width + bins
+            for sums, v in zip(total, (g, h, n), strict=True):
+                for j in range(k):
+                    sums += np.bincount(cell[:, j], v, len(sums))
+        used = np.flatnonzero(total[2])
+        yield pa.RecordBatch.from_arrays([pa.array(used), *[pa.array(v[used]) for v in total]], names=["cell", "g", "h", "n"])
+    if not k:
+        return {i: np.zeros((0, width, 3)) for i in wanted}
+    n = F.col("n") if "n" in rows.columns else F.lit(1)
+    parts = rows.select("bins", *[F.col(c).cast("double").alias(c) for c in ("score", "label")], n.cast("long").alias("n")).mapInArrow(run, "cell long, g double, h double, n double")
+    out = np.zeros((len(wanted) * k * width, 3))
+    for r in parts.groupBy("cell").agg(*[F.sum(c).alias(c) for c in "ghn"]).collect():  # at most wanted nodes x features x bins
+        out[r["cell"]] = r["g"], r["h"], r["n"]
+    return dict(zip(wanted, out.reshape(len(wanted), k, width, 3), strict=True))
 
 
 def nine_digits(x: np.ndarray) -> np.ndarray:
@@ -192,7 +234,7 @@ def child_sums(node: Node) -> tuple[np.ndarray, np.ndarray]:
 
 
 def grow(rows: DataFrame, p: Params, shape: tuple[int, int]) -> list[Node]:
-    """One tree on rows of label, score and bins."""
+    """One tree on cells of label, n, score and bins."""
     def made(sums: np.ndarray, depth: int, hist: np.ndarray) -> Node:
         node = Node(depth, int(round(sums[2])), float(-sums[0] / (sums[1] + p.l2)) if sums[1] + p.l2 else 0.0, hist)
         if p.max_depth is None or depth < p.max_depth:
@@ -243,9 +285,9 @@ def fit(df: DataFrame, features: list[str], label: str, params: Params = LEAF_WI
     spark = df.sparkSession
     cuts = cut_points(df, features, params.bins)
     tables = Rounds(spark, "boost")
-    rows = tables.write(binned(df, features, cuts, label))
+    rows = tables.write(cells(binned(df, features, cuts, label)))
     if base is None:
-        mean = rows.agg(F.avg("label")).first()[0] or 0.0
+        mean = rows.agg(F.sum("label") / F.sum("n")).first()[0] or 0.0
         base = mean if params.loss == "squared" else math.log(max(mean, 1e-9) / max(1 - mean, 1e-9)) if mean else 0.0
     model = Model(list(features), cuts, float(base), params)
     rows = rows.withColumn("score", F.lit(model.base))
@@ -257,9 +299,7 @@ def fit(df: DataFrame, features: list[str], label: str, params: Params = LEAF_WI
         chosen = [n if n.split else Node(n.depth, n.n, n.value) for n in nodes]
         model.trees.append(chosen)
         if k + 1 < params.rounds:
-            at = node_of(chosen)
-            value = F.element_at(F.array(*[F.lit(params.rate * n.value) for n in chosen]), at + 1)
-            rows = tables.write(rows.withColumn("score", F.col("score") + value))
+            rows = tables.write(rescored(rows, chosen, params.rate))
     tables.drop()
     return model
 
