@@ -252,14 +252,19 @@ class WordEncoder:
         Same rule as ``leaves`` for words of one line; done by Arrow, so that only leaves are asked for."""
         number = self.known.__getitem__
         core = pc.utf8_rtrim(words, self._PUNCTUATION)
-        ended = pc.and_(pc.less(pc.binary_length(core), pc.binary_length(words)),
-                        pc.and_(pc.match_substring_regex(core, r"[\p{L}\p{N}]\z"), pc.invert(pc.match_substring(words, "\n"))))
+        last = pc.utf8_slice_codeunits(core, -1).dictionary_encode()
+        wordly = pc.match_substring_regex(last.dictionary, r"[\p{L}\p{N}]\z").take(last.indices)
+        cut = pc.subtract(pc.binary_length(words), pc.binary_length(core))
+        ended = pc.and_(pc.greater(cut, 0), pc.and_(wordly, pc.invert(pc.match_substring(words, "\n"))))
         base = pc.if_else(ended, core, words).dictionary_encode()
-        numbers = np.fromiter(map(number, base.dictionary.to_pylist()), np.int64, len(base.dictionary))[base.indices.to_numpy()]
+        numbers = np.fromiter(map(number, base.dictionary.to_numpy(zero_copy_only=False)), np.int64, len(base.dictionary))[base.indices.to_numpy()]
         ends = np.full(len(words), -1)
-        tail = pc.replace_substring_regex(words.filter(ended), r"(?s)^.*[\p{L}\p{N}]", "").dictionary_encode()
-        bare = np.array([number(self._BARE + t) for t in tail.dictionary.to_pylist()], np.int64)
-        ends[ended.to_numpy(zero_copy_only=False)] = bare[tail.indices.to_numpy()]
+        where, cut, ended_words = np.flatnonzero(ended.to_numpy(zero_copy_only=False)), cut.filter(ended), words.filter(ended)
+        for size in pc.unique(cut).to_pylist():  # the punctuation is ASCII: as many characters as bytes
+            these = pc.equal(cut, size)
+            tail = pc.utf8_slice_codeunits(ended_words.filter(these), -size).dictionary_encode()
+            bare = np.array([number(self._BARE + t) for t in tail.dictionary.to_pylist()], np.int64)
+            ends[where[these.to_numpy(zero_copy_only=False)]] = bare[tail.indices.to_numpy()]
         return numbers, ends
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
