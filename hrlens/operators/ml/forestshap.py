@@ -140,13 +140,14 @@ def forest_base(model: Forest) -> float:
 
 def forest_shap(df: DataFrame, id_col: str, model: Forest, points_together: int = POINTS) -> DataFrame:
     """(id, feature, feature_value, shap_value) for every row of ``df``; the forest predicts a number."""
-    k, trees = len(model.features), max(1, len(model.tops))
+    k = len(model.features)
     names, parts = [f"f{j}" for j in range(k)], [f"s{j}" for j in range(k)]
     rows = df.select(id_col, *[F.col(f"`{f}`").cast("double").alias(n) for f, n in zip(model.features, names, strict=True)])
     points = materialize(rows.select(*names).distinct().withColumn("point", F.monotonically_increasing_id()), repartition=False)
     groups = max(1, math.ceil(points.count() / points_together))
     grouped = points.withColumn("part", F.pmod(F.xxhash64("point"), F.lit(groups)).cast("int"))
     roots, leaves = _tops(model)
+    trees = max(1, _subtrees(model, leaves).select("tree").distinct().count())  # a tree without a drawn row has no vote
     subtrees = _subtrees(model, leaves).drop("gain").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     places = model.subtrees.sparkSession.createDataFrame(sorted(roots), "tree int, node int")
 

@@ -60,6 +60,15 @@ def test_forest_shap_equals_the_recursion(spark, table, group_rows):
     assert np.allclose(base + got.sum(axis=1), scored["prediction"])
 
 
+def test_trees_without_rows_have_no_part(spark, table):
+    few = table.where("est_id < 2")
+    model = forest.fit(few, FEATURES, "annual_pay", trees=20)
+    assert model.subtrees.count() < 20
+    total = forestshap.forest_shap(few, "est_id", model).groupBy("est_id").agg({"shap_value": "sum"}).toPandas().set_index("est_id").iloc[:, 0]
+    scored = forest.predict(model, few, "est_id").toPandas().set_index("est_id")["prediction"]
+    assert np.allclose(forestshap.forest_base(model) + total, scored.loc[total.index])
+
+
 def test_the_pay_forest_is_a_table(spark, table, monkeypatch):
     """Spark ML's forest, whose nodes the driver holds, takes no part in the comparison, and the forest can be explained."""
     presets = {"few": {M.FOREST: ("rf", M.RF_SPEC[1] | {"numTrees": 4}), M.FAST: ("gbt", M.FAST_SPEC[1] | {"maxIter": 1, "maxDepth": 1})}}
