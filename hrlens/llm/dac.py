@@ -35,7 +35,11 @@ END_ID = 0
 #: Ids after which a segment is closed (a longer document is a segment of its own).
 SEGMENT_IDS = 1_000_000
 #: Characters of text encoded together (a longer document is encoded alone).
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 2_000_000
+#: Bytes of one Arrow batch, of texts or of segments (a longer row is a batch of its own).
+BATCH_BYTES = 4 << 20
+#: Rows the Parquet reader decodes together; it holds their texts in arrays that double as they grow.
+READER_ROWS = 512
 SEGMENTS = "range int, segment long, start long, n_ids long, doc_ids array<long>, lengths binary, ids binary"
 
 
@@ -216,7 +220,8 @@ class WordEncoder:
         size = self.size[index]
         ends = np.cumsum(size)
         at = np.repeat(self.start[index] - (ends - size), size)
-        return self.flat[at + np.arange(len(at))], size
+        at += np.arange(len(at))
+        return self.flat[at], size
 
     def _encode(self, pieces: list[str], whole: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Of these pieces: numbers, joined ids and sizes.  Those without line breaks or spaces at an end go together,
@@ -318,9 +323,17 @@ class WordEncoder:
         self.uses = used
         all_ids, size = self._gather(numbers)
         cuts = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], ends])[np.cumsum(counts)]]
+        del split, coded
+        pa.default_memory_pool().release_unused()  # else a worker keeps some 80 MB of Arrow's freed memory to its end
         return np.split(all_ids, cuts[:-1])
 
 
+def _bound_memory(spark) -> None:
+    """Rows here are long (whole texts, codes of a million ids), so batches are bounded by bytes, not by rows alone."""
+    bound_batches(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 @functools.lru_cache(1)
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder: tasks that follow one another in a worker share its pieces."""
@@ -335,7 +348,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     before it.  Segments bound a task's memory, not the range.
     """
     spark = docs.sparkSession
-    bound_batches(spark)
+    _bound_memory(spark)
     n = partitions(spark)
     bounds = range_bounds(docs, 3 * n)
 
@@ -357,7 +370,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
 
         for batch in batches:
             texts = list(batch["text"])
-            coded = [ids for a, b in chunks([len(t) for t in texts], CHUNK_CHARS) for ids in words.encode(texts[a:b])]
+            coded = (ids for a, b in chunks([len(t) for t in texts], CHUNK_CHARS) for ids in words.encode(texts[a:b]))
             for r, doc_id, null, ids in zip(batch["range"], batch["doc_id"], batch["no_id"], coded, strict=True):
                 if r != state["range"] or total > SEGMENT_IDS:
                     if docs_in:
@@ -375,12 +388,17 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
     rows = docs.select(range_index(key, bounds).alias("range"), F.coalesce(key, F.lit(0)).alias("doc_id"),
                        key.isNull().alias("no_id"), body().alias("text"))
     rows = rows.repartition(n, "range").sortWithinPartitions("range", F.col("no_id").desc(), "doc_id", "text")
-    rows.mapInPandas(encode, SEGMENTS).write.parquet(path)
+    usual = spark.conf.get("spark.sql.parquet.columnarReaderBatchSize")
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READER_ROWS))
+    try:
+        rows.mapInPandas(encode, SEGMENTS).write.parquet(path)
+    finally:
+        spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", usual)  # other queries' rows are short
 
 
 def read_tokens(spark, path: str) -> DataFrame:
     """Per document, in any order: doc_id, start (ids of all documents before it), ids (array, with the end id)."""
-    bound_batches(spark)
+    _bound_memory(spark)
     segments = spark.read.schema(SEGMENTS).parquet(path)
     # one row a key range, of which there are three for each shuffle partition
     totals = {r["range"]: r["n"] for r in segments.groupBy("range").agg(F.sum("n_ids").alias("n")).collect()}
