@@ -164,3 +164,71 @@ def test_activity_rows_that_repeat(spark, tmp_path):
     share = ml.activity_importance(spark, str(tmp_path)).collect()
     assert len(share) == 4 and sum(r["importance"] for r in share) == pytest.approx(1)
     assert isinstance(ml._activity(spark, str(tmp_path))["model"], forest.Forest)
+
+
+def test_equal_rows_are_one_cell(spark):
+    """Many rows of few different features need no upper levels; leaves hold the sums of all their rows."""
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 3, (900, 2)).astype(float)
+    x[rng.random(900) < 0.1, 1] = np.nan
+    y = rng.integers(0, 5, 900) + 10 * x[:, 0]
+    rows = {}
+    for i, p in enumerate(x):
+        rows.setdefault(str(p), []).append(i)
+    df = table(spark, x, y.tolist())
+    model = forest.fit(df, ["f0", "f1"], "y", trees=1, seed=None, group_rows=200)
+    assert len(model.tops[0].feature) == 1
+    got = predicted(model, df)
+    for of in rows.values():
+        assert [got[i] for i in of] == pytest.approx([y[of].mean()] * len(of))
+    assert sum(c for c, a in zip(*model.subtrees.select("cover", "left").first()) if a < 0) == 900
+    classes = [f"c{int(v)}" for v in y]
+    model = forest.fit(table(spark, x, classes, "string"), ["f0", "f1"], "y", classes=sorted(set(classes)), trees=1, tried=2, seed=None)
+    got = predicted(model, table(spark, x, classes, "string"))
+    for of in rows.values():
+        count = {c: [classes[i] for i in of].count(c) for c in sorted(set(classes))}
+        assert {got[i] for i in of} == {max(count, key=count.get)}
+
+
+@pytest.mark.parametrize("kind", ["number", "class"])
+def test_scoring_by_blocks_equals_scoring_by_rows(spark, kind):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 3))
+    x[rng.random((400, 3)) < 0.05] = np.nan
+    y = rng.integers(0, 4, 400)
+    df = table(spark, x, y.tolist() if kind == "class" else (y + rng.normal(size=400)).tolist(), "int" if kind == "class" else "double")
+    model = forest.fit(df, ["f0", "f1", "f2"], "y", classes=[0, 1, 2, 3] if kind == "class" else None, trees=4, group_rows=90)
+    assert len(model.tops[0].feature) > 1
+    by_rows, by_blocks, few = ({r["id"]: r["prediction"] for r in forest.predict(model, df, "id", blocks=b).collect()} for b in (0, 3, None))
+    assert len(by_rows) == 400 and by_blocks == pytest.approx(by_rows) and few == pytest.approx(by_rows)
+
+
+def test_large_nodes_past_the_tables_quantiles(spark, monkeypatch):
+    """A node that no quantile of the table cuts is cut at its own ones."""
+    monkeypatch.setattr(forest, "BINS", 4)
+    y = np.arange(300.0) % 7
+    df = table(spark, [[i] for i in range(300)], y.tolist())
+    model = forest.fit(df, ["f0"], "y", trees=1, seed=None, group_rows=10)
+    assert all(n <= 10 for n, left in zip(model.tops[0].rows, model.tops[0].left) if left < 0)
+    assert predicted(model, df) == dict(enumerate(y))
+
+
+def test_classes_split_as_by_hand():
+    """The sums of squares kept while an entry moves over equal those of whole class counts."""
+    rng = np.random.default_rng(9)
+    rank, seg, w, c = rng.integers(0, 9, 200), rng.integers(0, 5, 200), rng.integers(1, 4, 200).astype(float), rng.integers(0, 3, 200)
+    units = np.eye(3)[c] * w[:, None]
+    total = np.array([units[seg == g].sum(axis=0) for g in range(5)])
+    best, before, after = forest._cuts(rank, seg, 5, w, c, total)
+    for g in range(5):
+        scores = {}
+        for v in np.unique(rank[seg == g])[:-1]:
+            left, right = (units[(seg == g) & side].sum(axis=0) for side in (rank <= v, rank > v))
+            scores[v] = (left ** 2).sum() / left.sum() + (right ** 2).sum() / right.sum()
+        v = max(scores, key=scores.get)
+        assert best[g] == pytest.approx(scores[v]) and rank[before[g]] == v < rank[after[g]]
+
+
+def test_numbers_packed_come_back():
+    for v in ([1.0, 255.0], [-3.0, 300.0], [0.5, np.nan], [0.1, np.pi, np.inf], []):
+        assert np.array_equal(forest._unpack(forest._pack(np.array(v))), np.array(v), equal_nan=True)
