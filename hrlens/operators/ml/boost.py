@@ -13,13 +13,16 @@ job, so a tree takes about as many jobs as it is deep, though it is grown one le
 
 Missing values have a bin of their own and go to the side with the larger gain.  Ties of gain (to nine digits) go to
 the lower node, feature and bin.  After each tree the cells' scores are written as the next round's table.
+
+Bins bound the number of cells, whatever the number of rows.  As long as they are no more than a task can hold, counted
+beforehand, one task grows all trees from them with the same steps, instead of some eight Spark jobs a tree.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -32,6 +35,8 @@ from ..persist import Rounds
 
 #: Ranks of the quantile sketch are off by at most rows / ACCURACY.
 ACCURACY = 100_000
+#: Numbers (bins, label, rows, score, place) of the cells that one task may hold.
+HELD = 1 << 25
 
 
 @dataclass(frozen=True)
@@ -136,7 +141,7 @@ def cells(rows: DataFrame) -> DataFrame:
 def derivatives(loss: str, score: np.ndarray, label: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Gradient and hessian of the loss of n rows at their score; ``label`` is the sum of theirs."""
     if loss == "squared":
-        return n * score - label, n.astype(np.float64)
+        return n * score - label, n.astype(np.float64, copy=False)
     if loss == "logistic":
         p = 1 / (1 + np.exp(-score))
         return n * p - label, n * p * (1 - p)
@@ -233,14 +238,16 @@ def child_sums(node: Node) -> tuple[np.ndarray, np.ndarray]:
     return left, h.sum(axis=0) - left
 
 
-def grow(rows: DataFrame, p: Params, shape: tuple[int, int]) -> list[Node]:
-    """One tree on cells of label, n, score and bins."""
+def grow(rows: DataFrame | None, p: Params, shape: tuple[int, int], sums_of: Callable[[list[Node], list[int]], dict[int, np.ndarray]] | None = None) -> list[Node]:
+    """One tree on cells of label, n, score and bins; ``sums_of`` gives the sums of wanted nodes (default: those of ``rows``)."""
+    sums_of = sums_of or (lambda nodes, wanted: histograms(rows, nodes, wanted, shape, p.loss))
+
     def made(sums: np.ndarray, depth: int, hist: np.ndarray) -> Node:
         node = Node(depth, int(round(sums[2])), float(-sums[0] / (sums[1] + p.l2)) if sums[1] + p.l2 else 0.0, hist)
         if p.max_depth is None or depth < p.max_depth:
             best_split(node, p)
         return node
-    root = histograms(rows, [Node(0, 0, 0.0)], [0], shape, p.loss)[0]
+    root = sums_of([Node(0, 0, 0.0)], [0])[0]
     nodes = [made(root[0].sum(axis=0), 0, root)]
     while True:
         # best first, as far as the children are known
@@ -268,7 +275,7 @@ def grow(rows: DataFrame, p: Params, shape: tuple[int, int]) -> list[Node]:
             nodes[i].left, nodes[i].right = len(nodes), len(nodes) + 1
             nodes += [Node(nodes[i].depth + 1, 0, 0.0), Node(nodes[i].depth + 1, 0, 0.0)]
             small.append(nodes[i].left if left[2] <= right[2] else nodes[i].right)
-        found = histograms(rows, nodes, small, shape, p.loss)
+        found = sums_of(nodes, small)
         for i, s in zip(open_, small, strict=True):
             node = nodes[i]
             other = node.right if s == node.left else node.left
@@ -277,6 +284,79 @@ def grow(rows: DataFrame, p: Params, shape: tuple[int, int]) -> list[Node]:
     return nodes
 
 
+def _kept(nodes: list[Node]) -> list[Node]:
+    """The tree without its sums and without the children of nodes that were not split."""
+    return [Node(n.depth, n.n, n.value, None, *((n.feature, n.bin, n.missing_left, n.gain, n.left, n.right, True, n.step) if n.split else ())) for n in nodes]
+
+
+class Held:
+    """Cells in memory: the sums of nodes as ``histograms`` gives them, and scores."""
+
+    def __init__(self, bins: np.ndarray, label: np.ndarray, n: np.ndarray, base: float, p: Params, shape: tuple[int, int]):
+        order = np.lexsort(bins.T[::-1]) if bins.shape[1] else np.arange(len(bins))  # the same sums, however Spark dealt the cells
+        self.bins, self.label, self.n = np.ascontiguousarray(bins[order].T), label[order], n[order]
+        self.score, self.p, self.shape = np.full(len(bins), base), p, shape
+
+    def tree(self) -> list[Node]:
+        g, h = derivatives(self.p.loss, self.score, self.label, self.n)
+        whole, width = h is self.n, self.shape[1]
+        rows = {0: np.arange(len(self.n))}
+
+        def sums(of: np.ndarray) -> np.ndarray:
+            out, parts = np.zeros((*self.shape, 3)), [v[of] for v in ((g, self.n) if whole else (g, h, self.n))]
+            for j, b in enumerate(self.bins):
+                at = b[of].astype(np.intp)
+                for i, v in enumerate(parts):
+                    out[j, :, 2 if i == len(parts) - 1 else i] = np.bincount(at, v, width)
+            if whole:
+                out[..., 1] = out[..., 2]
+            return out
+
+        def sums_of(nodes: list[Node], wanted: list[int]) -> dict[int, np.ndarray]:
+            for i, n in enumerate(nodes):
+                if n.left >= 0 and n.left not in rows:
+                    of = rows[i]
+                    b = self.bins[n.feature][of]
+                    left = (b <= n.bin) & ((b > 0) | n.missing_left)
+                    rows[n.left], rows[n.right] = of[left], of[~left]
+                    rows[i] = of[:0]  # its children hold them now
+            return {i: sums(rows[i]) for i in wanted}
+        nodes = grow(None, self.p, self.shape, sums_of)
+        leaf = np.zeros(len(nodes), np.int64)  # the leaf that the rows of each node came to
+
+        def walk(i: int, to: int | None) -> None:
+            to = i if to is None and not nodes[i].split else to
+            leaf[i] = i if to is None else to
+            for j in (nodes[i].left, nodes[i].right):
+                if j >= 0:
+                    walk(j, to)
+        walk(0, None)
+        value = np.array([self.p.rate * n.value for n in nodes])
+        for i, of in rows.items():
+            self.score[of] += value[leaf[i]]
+        return _kept(nodes)
+
+
+def _fit_held(rows: DataFrame, base: float, p: Params, shape: tuple[int, int]) -> list[list[Node]]:
+    """All trees of a model, grown by one task from the cells."""
+    names = ["depth", "n", "value", "feature", "bin", "missing_left", "gain", "left", "right", "split", "step"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(b.column("bins").flatten().to_numpy().reshape(len(b), -1), b.column("label").to_numpy(), b.column("n").to_numpy()) for b in batches if len(b)]
+        bins, label, n = (np.concatenate(v) for v in zip(*parts, strict=True)) if parts else (np.zeros((0, shape[0]), np.int16), np.zeros(0), np.zeros(0))
+        held = Held(bins, label, n.astype(np.float64), base, p, shape)
+        for k in range(p.rounds):
+            out = [(k, i, *(getattr(node, c) for c in names)) for i, node in enumerate(held.tree())]
+            yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["tree", "node", *names]), schema=types, preserve_index=False)
+    types = pa.schema([("tree", pa.int32()), ("node", pa.int32()), ("depth", pa.int32()), ("n", pa.int64()), ("value", pa.float64()), ("feature", pa.int32()), ("bin", pa.int32()),
+                       ("missing_left", pa.bool_()), ("gain", pa.float64()), ("left", pa.int32()), ("right", pa.int32()), ("split", pa.bool_()), ("step", pa.int32())])
+    schema = "tree int, node int, depth int, n long, value double, feature int, bin int, missing_left boolean, gain double, left int, right int, split boolean, step int"
+    trees: list[list[Node]] = [[] for _ in range(p.rounds)]
+    for r in sorted(rows.select("bins", "label", "n").repartition(1).mapInArrow(run, schema).collect()):  # the model's nodes
+        trees[r["tree"]].append(Node(r["depth"], r["n"], r["value"], None, *r[5:]))
+    return trees
+
+
 def fit(df: DataFrame, features: list[str], label: str, params: Params = LEAF_WISE, base: float | None = None) -> Model:
     """Boosted trees on the rows with a label; the first score is the label's mean (its log odds for ``logistic``).
 
@@ -286,20 +366,21 @@ def fit(df: DataFrame, features: list[str], label: str, params: Params = LEAF_WI
     cuts = cut_points(df, features, params.bins)
     tables = Rounds(spark, "boost")
     rows = tables.write(cells(binned(df, features, cuts, label)))
+    totals = rows.agg(F.count(F.lit(1)), F.sum("label") / F.sum("n")).first()
     if base is None:
-        mean = rows.agg(F.sum("label") / F.sum("n")).first()[0] or 0.0
+        mean = totals[1] or 0.0
         base = mean if params.loss == "squared" else math.log(max(mean, 1e-9) / max(1 - mean, 1e-9)) if mean else 0.0
     model = Model(list(features), cuts, float(base), params)
-    rows = rows.withColumn("score", F.lit(model.base))
     shape = (len(features), max((len(c) for c in cuts), default=0) + 2)
-    for k in range(params.rounds if features else 0):
-        nodes = grow(rows, params, shape)
-        for n in nodes:
-            n.hist = None
-        chosen = [n if n.split else Node(n.depth, n.n, n.value) for n in nodes]
-        model.trees.append(chosen)
-        if k + 1 < params.rounds:
-            rows = tables.write(rescored(rows, chosen, params.rate))
+    rounds = params.rounds if features else 0
+    if rounds and totals[0] * (len(features) + 12) <= HELD:
+        model.trees = _fit_held(rows, model.base, params, shape)
+        rounds = 0
+    rows = rows.withColumn("score", F.lit(model.base))
+    for k in range(rounds):
+        model.trees.append(_kept(grow(rows, params, shape)))
+        if k + 1 < rounds:
+            rows = tables.write(rescored(rows, model.trees[-1], params.rate))
     tables.drop()
     return model
 
