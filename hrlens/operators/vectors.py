@@ -33,6 +33,8 @@ CHUNK_PERSONS, CHUNK_VALUES = 512, 1 << 18
 SLACK = 1e-6
 #: Targets that meet a chunk in one group, and targets multiplied at once.
 GROUP_TARGETS, STEP = 8192, 1024
+#: Numbers in the copies of targets that a task makes for the cells they visit, at a time.
+VISITED_VALUES = 1 << 20
 
 
 def as_double_array(c: Column) -> Column:
@@ -126,6 +128,13 @@ def _chunks(cent: DataFrame, pivots: np.ndarray, dim: int) -> DataFrame:
     return made.withColumn("gallery", F.sort_array("gallery"))
 
 
+def _pieces(batch: pd.DataFrame, cells: int, dim: int) -> Iterator[pd.DataFrame]:
+    """The targets in pieces whose copies, one a cell, hold at most VISITED_VALUES numbers."""
+    step = max(1, VISITED_VALUES // max(1, cells * dim))
+    for i in range(0, len(batch), step):
+        yield batch.iloc[i:i + step]
+
+
 def _meet(visits: DataFrame, chunks: DataFrame) -> DataFrame:
     """The chunks of the visited cells whose distances from the pivot lie between near and far."""
     return visits.join(chunks, "cell").where((F.col("lo") <= F.col("far")) & (F.col("hi") >= F.col("near")))
@@ -178,7 +187,7 @@ def nearest_centroid(targets: DataFrame, id_col: str, vec: str, cent: DataFrame,
     kind = f"row long, t array<double>, cell int, far double, near double"
 
     def visits(batches: Iterator[pd.DataFrame], first: bool) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (piece for whole in batches for piece in _pieces(whole, 1 if first else len(own), dim)):
             if not len(own):
                 continue
             x = _matrix(batch["t"], dim)

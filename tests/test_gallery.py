@@ -84,3 +84,17 @@ def test_chunk_search_is_a_product(spark):
     t = spark.createDataFrame([(1, [2.0, 0.0]), (2, [0.0, 3.0]), (3, [4.0]), (4, [None, 1.0])], "id long, v array<double>")
     got = {r["id"]: (r["best_person"], r["best_sim"]) for r in vectors.nearest_centroid(t, "id", "v", cent, 0.35, n_pivots=1).collect()}
     assert got == {1: ("a", 1.0), 2: ("b", 1.0), 3: ("c", 1.0), 4: (None, -1.0)}
+
+
+def test_copies_of_targets_are_made_piece_by_piece(spark, monkeypatch):
+    """A task never holds a batch's targets times all cells; the result is that of one piece."""
+    import pandas as pd
+    batch = pd.DataFrame({"row": range(100)})
+    monkeypatch.setattr(vectors, "VISITED_VALUES", 60)
+    pieces = list(vectors._pieces(batch, 4, 3))
+    assert [len(p) for p in pieces] == [5] * 20 and pd.concat(pieces).equals(batch)
+    rng = np.random.default_rng(5)
+    gallery, targets = unit(rng.normal(size=(120, 3))), rng.normal(size=(40, 3))
+    cent, t = tables(spark, gallery, targets)
+    got = {r["id"]: r["best_person"] for r in vectors.nearest_centroid(t, "id", "v", cent, 0.35).collect()}
+    assert got == {i: f"p{int(np.argmax(gallery @ x)):04d}" for i, x in enumerate(targets)}
